@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The questions this library answers are all bounded batch queries; there is
+no late data, watermark, window or state to model, so no streaming operator
+is provided.  The batch operators take any DataFrame, which keeps them usable
+inside ``foreachBatch`` should a caller feed them micro-batches.
+"""
