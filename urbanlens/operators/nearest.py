@@ -119,11 +119,14 @@ def nearest_site(
     distance are null.  ``digits`` rounds the distance (half-up).
     """
     prepared = prepare_sites(sites, site_lat, site_lon, division, order)
-    if strategy == "auto":
-        n = prepared.limit(max_array_sites + 1).count()
-        strategy = "array" if n <= max_array_sites else "grid"
-    if strategy == "array":
-        return _nearest_by_array(points, prepared, lat, lon, max_array_sites, digits)
+    if strategy in ("auto", "array"):
+        # One bounded fetch decides and, when small enough, is the site list.
+        sites_pdf = prepared.orderBy("ord").limit(max_array_sites + 1).toPandas()
+        if len(sites_pdf) <= max_array_sites:
+            return _nearest_by_array(points, sites_pdf, lat, lon, digits)
+        if strategy == "array":
+            raise ValueError(f"more than {max_array_sites} site locations; use the grid plan")
+        strategy = "grid"
     if strategy == "grid":
         if point_id is None:
             raise ValueError("the grid plan needs a unique point_id column")
@@ -176,13 +179,9 @@ def _assign_batches(batches, site_arrays, lat: str, lon: str):
         yield out
 
 
-def _nearest_by_array(points, prepared, lat, lon, max_array_sites, digits):
+def _nearest_by_array(points, sites_pdf, lat, lon, digits):
+    """``sites_pdf``: the prepared sites sorted by ord, already size-checked."""
     spark = points.sparkSession
-    n = prepared.limit(max_array_sites + 1).count()
-    if n > max_array_sites:
-        raise ValueError(f"{n}+ sites exceed the array bound {max_array_sites}; use the grid plan")
-    # At most max_array_sites rows (checked above) leave the cluster, once.
-    sites_pdf = prepared.orderBy("ord").toPandas()
     site_arrays = spark.sparkContext.broadcast(tuple(
         sites_pdf[c].to_numpy() for c in ("lat_r", "lon_r", "cos_lat", "x", "y", "z", "ord", "division")
     ))
@@ -213,19 +212,15 @@ def _cell(s: float, x: Column, y: Column, z: Column) -> list[Column]:
     return [F.floor(c / F.lit(s)).cast("long") for c in (x, y, z)]
 
 
-def _base_cell(prepared: DataFrame, n_sites: int) -> float:
+def _base_cell(n_sites: int, lat_min: float, lat_max: float, lon_min: float, lon_max: float) -> float:
     """Cell side (chord units) of about twice the typical site spacing.
 
     The spacing is taken from the sites' own extent, so clustered sites get
     small cells.  Twice the spacing resolves nearly every point at the first
     level while a point still meets only a few dozen candidates.
     """
-    ext = prepared.agg(
-        F.min("lat_r").alias("a"), F.max("lat_r").alias("b"),
-        F.min("lon_r").alias("c"), F.max("lon_r").alias("d"),
-    ).first()
-    height = max((ext["b"] - ext["a"]) * EARTH_RADIUS_KM, 1e-3)
-    width = max((ext["d"] - ext["c"]) * EARTH_RADIUS_KM * math.cos((ext["a"] + ext["b"]) / 2), 1e-3)
+    height = max((lat_max - lat_min) * EARTH_RADIUS_KM, 1e-3)
+    width = max((lon_max - lon_min) * EARTH_RADIUS_KM * math.cos((lat_min + lat_max) / 2), 1e-3)
     spacing_km = math.sqrt(height * width / n_sites)
     return min(max(2 * spacing_km / EARTH_RADIUS_KM, 1e-9), 2.0)
 
@@ -240,10 +235,14 @@ def _nearest_by_grid(points, prepared, lat, lon, point_id, base_cell_km, digits)
     ))
     # Sites are read once per level; keep them materialised in the shared folder.
     prepared = prepared.checkpoint(eager=True)
-    n_sites = prepared.count()
-    if n_sites == 0:
+    ext = prepared.agg(
+        F.count(F.lit(1)).alias("n"), F.min("lat_r").alias("a"), F.max("lat_r").alias("b"),
+        F.min("lon_r").alias("c"), F.max("lon_r").alias("d"),
+    ).first()
+    if ext["n"] == 0:
         return _finish(pts.withColumn("_best", F.lit(None).cast(_BEST_TYPE)), digits).drop("_p")
-    s = base_cell_km / EARTH_RADIUS_KM if base_cell_km else _base_cell(prepared, n_sites)
+    s = (base_cell_km / EARTH_RADIUS_KM if base_cell_km
+         else _base_cell(ext["n"], ext["a"], ext["b"], ext["c"], ext["d"]))
 
     pending, done = pts, []
     while True:
@@ -260,7 +259,7 @@ def _nearest_by_grid(points, prepared, lat, lon, point_id, base_cell_km, digits)
 
 
 def _grid_level(pending, prepared, point_id, s, final):
-    """One level: (points resolved here, points still pending), both materialised."""
+    """One level: (points resolved here, points still pending), from one checkpoint."""
     keys = ["_cx", "_cy", "_cz"]
     cx, cy, cz = _cell(s, F.col("_p.x"), F.col("_p.y"), F.col("_p.z"))
     pts = pending.withColumns(dict(zip(keys, (cx, cy, cz))))
@@ -296,7 +295,8 @@ def _grid_level(pending, prepared, point_id, s, final):
         return best, best.limit(0).drop("_best")
     chord = 2 * F.sin(F.col("_best.distance") / (2 * EARTH_RADIUS_KM))
     sure = F.coalesce(chord < F.lit(s * (1 - _MARGIN)), F.lit(False))
-    return best.where(sure), best.where(~sure).drop("_best").checkpoint(eager=True)
+    # Both parts are filters over the level's checkpoint; nothing is recomputed.
+    return best.where(sure), best.where(~sure).drop("_best")
 
 
 def nearest_site_summary(
