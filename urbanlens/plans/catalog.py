@@ -15,6 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from urbanlens.functions.clean import format_event_time, parse_event_time, parse_money
+from urbanlens.sources.city import (
+    CRIME_COLUMNS,
+    read_census_blocks,
+    read_crimes,
+    read_income,
+    read_stations,
+)
 from urbanlens.operators.areas import area_ratio, income_lookup
 from urbanlens.operators.nearest import nearest_site, nearest_site_summary
 from urbanlens.operators.ranking import monthly_top_k, monthly_top_k_sql
@@ -226,11 +233,78 @@ def nearest_site_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_site_summary(_assign(spark, sf_dir, "auto", None))
 
 
+# --- the original file formats end to end --------------------------------------------
+
+def _write_csv(df: DataFrame, path: str, sep: str = ",") -> str:
+    df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    return path
+
+
+def _crime_files(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Events as two crime CSV files (text columns, second file reordered)."""
+    ev = inputs.table(spark, sf_dir, "events").select(
+        format_event_time("ts").alias("DATE OCC"),
+        F.date_format("ts", "HHmm").alias("TIME OCC"),
+        F.col("event_type").alias("Premis Desc"),
+        "ts",
+    )
+    first, second = inputs.split_sources(ev, "ts", inputs.EVENTS_SPLIT)
+    base = scratch_path(spark, "crimes_csv")
+    return [
+        _write_csv(first.select("DATE OCC", "TIME OCC", "Premis Desc"), f"{base}/part1"),
+        _write_csv(second.select("Premis Desc", "TIME OCC", "DATE OCC"), f"{base}/part2"),
+    ]
+
+
+def time_of_day_share_csv_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crime CSV text: HHMM clock text cast to int, filtered on the premise text."""
+    cols = {k: CRIME_COLUMNS[k] for k in ("time_occ", "premis")}
+    crimes = read_crimes(spark, _crime_files(spark, sf_dir), columns=cols)
+    return time_of_day_share(crimes.where(F.col("premis") == "error"), "time_occ")
+
+
+def monthly_top3_rank_text_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Busiest months from 'yyyy MMM dd hh:mm:ss a' date text in a CSV file."""
+    orders = inputs.table(spark, sf_dir, "orders").select(
+        format_event_time("o_orderdate").alias("DATE OCC"))
+    path = _write_csv(orders, scratch_path(spark, "dates_csv"))
+    crimes = read_crimes(spark, [path], columns={"date_occ": CRIME_COLUMNS["date_occ"]})
+    return monthly_top_k([crimes.select(parse_event_time("date_occ").alias("t"))], "t", k=3)
+
+
+def area_ratio_geojson_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks as GeoJSON FeatureCollection files, income as a ';' file."""
+    blocks = inputs.blocks(spark, sf_dir).select(
+        F.col("zip").alias("ZCTA20"), F.col("population").alias("POP20"),
+        F.col("housing").alias("HOUSING20"))
+    blocks_path = scratch_path(spark, "blocks_geojson")
+    write_feature_collections(as_features(blocks, ["ZCTA20", "POP20", "HOUSING20"]), blocks_path)
+    income = read_income(spark, _income_csv(spark, sf_dir))
+    return area_ratio(read_census_blocks(spark, blocks_path),
+                      income_lookup(income, "zip", "income_text"))
+
+
+def nearest_site_summary_csv_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crime coordinates and stations as CSV text, then per-station summary."""
+    base = scratch_path(spark, "nearest_csv")
+    pts = inputs.points(spark, sf_dir).select(
+        F.col("c_custkey").cast("string").alias("ID"),
+        F.col("lat").cast("string").alias("LAT"), F.col("lon").cast("string").alias("LON"))
+    stations = inputs.sites(spark, sf_dir).select(
+        F.col("lon").cast("string").alias("X"), F.col("lat").cast("string").alias("Y"),
+        F.col("division").alias("DIVISION"), F.col("ord").cast("string").alias("PREC"))
+    crimes = read_crimes(spark, [_write_csv(pts, f"{base}/crimes")], columns={
+        "id": ("ID", "bigint"), "lat": CRIME_COLUMNS["lat"], "lon": CRIME_COLUMNS["lon"]})
+    sites = read_stations(spark, _write_csv(stations, f"{base}/stations"), order_col="PREC")
+    return nearest_site_summary(nearest_site(crimes, sites, point_id="id"))
+
+
 QUERIES: dict[str, Query] = {
     "time_of_day_share": time_of_day_share_q,
     "time_of_day_share_half_even": time_of_day_share_half_even_q,
     "time_of_day_share_udf": time_of_day_share_udf_q,
     "time_of_day_share_two_sources": time_of_day_share_two_sources_q,
+    "time_of_day_share_csv": time_of_day_share_csv_q,
     "csv_parquet_roundtrip": csv_parquet_roundtrip_q,
     "event_time_parse": event_time_parse_q,
     "semicolon_csv_scan": semicolon_csv_scan_q,
@@ -238,6 +312,7 @@ QUERIES: dict[str, Query] = {
     "single_file_csv_sink": single_file_csv_sink_q,
     "monthly_top3_rank": monthly_top3_rank_q,
     "monthly_top3_row_number": monthly_top3_row_number_q,
+    "monthly_top3_rank_text": monthly_top3_rank_text_q,
     "monthly_top3_per_source": monthly_top3_per_source_q,
     "monthly_top3_per_source_df": monthly_top3_per_source_df_q,
     "feature_flatten": feature_flatten_q,
@@ -247,7 +322,9 @@ QUERIES: dict[str, Query] = {
     "area_ratio_merge": area_ratio_merge_q,
     "area_ratio_shuffle_hash": area_ratio_shuffle_hash_q,
     "area_ratio_strict": area_ratio_strict_q,
+    "area_ratio_geojson": area_ratio_geojson_q,
     "nearest_site_assign": nearest_site_assign_q,
     "nearest_site_assign_grid": nearest_site_assign_grid_q,
     "nearest_site_summary": nearest_site_summary_q,
+    "nearest_site_summary_csv": nearest_site_summary_csv_q,
 }

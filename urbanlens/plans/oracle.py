@@ -104,11 +104,16 @@ def _site_coords_sql() -> str:
             f"{_coord('s_suppkey', I.LAT_BASE, I.SITE_LAT_MULT, I.LAT_SPAN)} AS lat")
 
 
+_NEAREST_SUMMARY = f"""WITH {_pairs()}
+SELECT division, round(avg(distance), 2) AS avg_distance, count(*) AS crime_total
+FROM best GROUP BY division"""
+
 ORACLE_SQL: dict[str, str] = {
     "time_of_day_share": _share("round"),
     "time_of_day_share_half_even": _share("round_even"),
     "time_of_day_share_udf": _share("round"),
     "time_of_day_share_two_sources": _share("round"),
+    "time_of_day_share_csv": _share("round"),
     "csv_parquet_roundtrip": _EVENT_TYPE_COUNTS,
     "event_time_parse": """
 SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
@@ -119,6 +124,7 @@ FROM events WHERE ts IS NOT NULL GROUP BY 1, 2, 3""",
     "single_file_csv_sink": _EVENT_TYPE_COUNTS,
     "monthly_top3_rank": _monthly("rank", ""),
     "monthly_top3_row_number": _monthly("row_number", ", month"),
+    "monthly_top3_rank_text": _monthly("rank", ""),
     "monthly_top3_per_source": _MONTHLY_PER_SOURCE,
     "monthly_top3_per_source_df": _MONTHLY_PER_SOURCE,
     "feature_flatten": f"SELECT s_suppkey, s_name, s_nationkey, {_site_coords_sql()} FROM supplier",
@@ -128,9 +134,9 @@ FROM events WHERE ts IS NOT NULL GROUP BY 1, 2, 3""",
     "area_ratio_merge": _AREA_RATIO,
     "area_ratio_shuffle_hash": _AREA_RATIO,
     "area_ratio_strict": _AREA_RATIO_STRICT,
+    "area_ratio_geojson": _AREA_RATIO,
     "nearest_site_assign": f"WITH {_pairs()} SELECT c_custkey, division, round(distance, 6) AS distance FROM best",
     "nearest_site_assign_grid": f"WITH {_pairs()} SELECT c_custkey, division, round(distance, 6) AS distance FROM best",
-    "nearest_site_summary": f"""WITH {_pairs()}
-SELECT division, round(avg(distance), 2) AS avg_distance, count(*) AS crime_total
-FROM best GROUP BY division""",
+    "nearest_site_summary": _NEAREST_SUMMARY,
+    "nearest_site_summary_csv": _NEAREST_SUMMARY,
 }
