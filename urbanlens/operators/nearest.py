@@ -285,10 +285,16 @@ def _grid_level(pending, prepared, point_id, s, final):
     candidate = F.when(site.isNotNull(), F.struct(
         dist.alias("distance"), site["ord"].alias("ord"), site["division"].alias("division")))
     carried = [c for c in pending.columns if c != point_id]
+    # A point sits in one cell, so grouping by (cell, point) gives the same
+    # groups as by point, and after a sort-merge join on the cell it needs no
+    # second shuffle.  A hot cell is still split by AQE's skew join when
+    # forceOptimizeSkewedJoin is on (session default here), at the price of
+    # that shuffle only then.
     best = (
         pts.join(replicas, on=keys, how="left")
-        .groupBy(point_id)
+        .groupBy(*keys, point_id)
         .agg(F.min(candidate).alias("_best"), *[F.first(c).alias(c) for c in carried])
+        .drop(*keys)
         .checkpoint(eager=True)
     )
     if final:
