@@ -265,7 +265,9 @@ def _grid_level(pending, prepared, point_id, s, final):
     pts = pending.withColumns(dict(zip(keys, (cx, cy, cz))))
 
     # Each site is listed under its own cell and the 26 around it, restricted
-    # to the cells some pending point sits in.
+    # to the cells some pending point sits in.  Materialising this list makes
+    # the point join below a plain shuffle on both sides, which is the shape
+    # AQE needs to split a hot cell.
     sx, sy, sz = _cell(s, F.col("x"), F.col("y"), F.col("z"))
     replicas = (
         prepared.withColumns({"_sx": sx, "_sy": sy, "_sz": sz})
@@ -277,6 +279,7 @@ def _grid_level(pending, prepared, point_id, s, final):
                 (F.col("_sz") + F.col("_dz")).alias("_cz"),
                 F.struct("lat_r", "lon_r", "cos_lat", "ord", "division").alias("_site"))
         .join(pts.select(*keys).distinct(), on=keys, how="left_semi")
+        .checkpoint(eager=True)
     )
     site = F.col("_site")
     p = F.col("_p")
