@@ -44,7 +44,10 @@ def error_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_sources(df: DataFrame, ts: str, boundary: str) -> tuple[DataFrame, DataFrame]:
     """Two sources holding every row once: before ``boundary`` and the rest."""
-    before = F.coalesce(F.col(ts) < F.lit(boundary).cast("timestamp"), F.lit(False))
+    # The boundary takes the column's own type (with or without time zone),
+    # so the split does not depend on the session time zone.
+    bound = F.lit(boundary).cast(df.schema[ts].dataType)
+    before = F.coalesce(F.col(ts) < bound, F.lit(False))
     return df.where(before), df.where(~before)
 
 
