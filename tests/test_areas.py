@@ -63,3 +63,14 @@ def test_broadcast_falls_back_over_the_row_bound(spark, tmp_dir, monkeypatch):
     df = area_ratio(blocks, income, join_strategy="broadcast")
     assert "SortMergeJoin" in physical_plan(df)
     assert _rows(df) == Q3_LOOSE
+
+
+def test_geojson_converted_once_to_parquet(spark, tmp_dir):
+    from urbanlens.sources.city import BLOCK_PROPERTIES
+    from urbanlens.sources.writers import features_to_parquet
+
+    out = features_to_parquet(spark, write_blocks(tmp_dir), BLOCK_PROPERTIES, f"{tmp_dir}/blocks.parquet")
+    flat = spark.read.parquet(out).select(
+        "ZCTA20", "POP20", "HOUSING20").toDF("zip", "population", "housing")
+    income = income_lookup(read_income(spark, write_income(tmp_dir)), "zip", "income_text")
+    assert _rows(area_ratio(flat, income)) == Q3_LOOSE

@@ -15,6 +15,7 @@ from urbanlens.sources.writers import (
     as_features,
     csv_to_parquet,
     feature_collections,
+    features_to_parquet,
     to_parquet,
     write_feature_collections,
     write_result,
@@ -23,5 +24,5 @@ from urbanlens.sources.writers import (
 __all__ = [
     "POINT_GEOMETRY", "conform", "feature_collection_schema", "flatten_features",
     "read_delimited", "read_features", "read_parquet", "reject_counts", "union_sources",
-    "as_features", "csv_to_parquet", "feature_collections", "to_parquet", "write_feature_collections", "write_result",
+    "as_features", "csv_to_parquet", "feature_collections", "features_to_parquet", "to_parquet", "write_feature_collections", "write_result",
 ]

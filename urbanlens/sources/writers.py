@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlens.sources.readers import read_delimited
+from pyspark.sql import types as T
+
+from urbanlens.sources.readers import flatten_features, read_delimited, read_features
 
 
 def to_parquet(df: DataFrame, path: str, mode: str = "overwrite",
@@ -39,6 +41,21 @@ def csv_to_parquet(
     return written
 
 
+def features_to_parquet(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    properties: T.StructType,
+    out_path: str,
+    geometry: T.DataType | None = None,
+) -> str:
+    """Convert GeoJSON FeatureCollection files once to a flat Parquet table.
+
+    The multi-line JSON scan is one task per file and re-parses text on every
+    read; the Parquet copy is split, pruned and filtered like any table.
+    """
+    return to_parquet(flatten_features(read_features(spark, paths, properties, geometry)), out_path)
+
+
 def write_result(
     df: DataFrame,
     path: str,
