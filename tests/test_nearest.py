@@ -75,3 +75,14 @@ def test_haversine_expression_matches_python(spark):
     got = [r[0] for r in df.select(haversine_km("a", "b", "c", "d")).collect()]
     assert got[0] == pytest.approx(_haversine(34.05, -118.25, 34.2, -118.45), rel=1e-14)
     assert got[1] == pytest.approx(math.pi * 6371.0, rel=1e-14)
+
+
+@pytest.mark.parametrize("strategy", ["array", "grid"])
+def test_text_coordinates_with_junk_are_rejected_not_fatal(spark, strategy):
+    pts = spark.createDataFrame([(1, "34.05", "-118.25"), (2, "n/a", "-118.2"), (3, None, "1"),
+                                 (4, "95.0", "0"), (5, "34.2", "-118.45")], "id long, lat string, lon string")
+    sites = spark.createDataFrame([("0", "A", "34.05", "-118.25"), ("x", "B", "oops", "1"),
+                                   ("2", "C", "34.2", "-118.45")], "ord string, division string, lat string, lon string")
+    got = {r.id: r.division for r in nearest_site(pts, sites, point_id="id", strategy=strategy).collect()}
+    assert got == {1: "A", 5: "C"}
+    assert point_rejects(pts).first().bad_coordinates == 3

@@ -64,9 +64,10 @@ def _valid(lat: Column, lon: Column) -> Column:
 
 def point_rejects(points: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """One row: how many points have no usable coordinates."""
+    la, lo = F.col(lat).try_cast("double"), F.col(lon).try_cast("double")
     return points.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.sum(F.when(_valid(F.col(lat), F.col(lon)), 0).otherwise(1)).alias("bad_coordinates"),
+        F.sum(F.when(_valid(la, lo), 0).otherwise(1)).alias("bad_coordinates"),
     )
 
 
@@ -75,10 +76,10 @@ def prepare_sites(
     division: str = "division", order: str = "ord",
 ) -> DataFrame:
     """Sites as radians, cosine and unit vector; one row per distinct location."""
-    s = sites.where(_valid(F.col(lat), F.col(lon))).select(
-        F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon"),
-        F.col(order).cast("long").alias("ord"), F.col(division).cast("string").alias("division"),
-    )
+    s = sites.select(
+        F.col(lat).try_cast("double").alias("lat"), F.col(lon).try_cast("double").alias("lon"),
+        F.col(order).try_cast("long").alias("ord"), F.col(division).cast("string").alias("division"),
+    ).where(_valid(F.col("lat"), F.col("lon")))
     s = s.groupBy("lat", "lon").agg(F.min(F.struct("ord", "division")).alias("w"))
     lat_r, lon_r = F.radians("lat"), F.radians("lon")
     x, y, z = unit_vector(lat_r, lon_r)
@@ -185,7 +186,9 @@ def _nearest_by_array(points, sites_pdf, lat, lon, digits):
     site_arrays = spark.sparkContext.broadcast(tuple(
         sites_pdf[c].to_numpy() for c in ("lat_r", "lon_r", "cos_lat", "x", "y", "z", "ord", "division")
     ))
-    valid = points.where(_valid(F.col(lat).cast("double"), F.col(lon).cast("double")))
+    # Coordinates are read as doubles; unusable ones are dropped, never fatal.
+    valid = (points.withColumns({lat: F.col(lat).try_cast("double"), lon: F.col(lon).try_cast("double")})
+             .where(_valid(F.col(lat), F.col(lon))))
     schema = T.StructType(valid.schema.fields + [
         T.StructField("_best_division", T.StringType()),
         T.StructField("_best_distance", T.DoubleType()),
@@ -226,7 +229,7 @@ def _base_cell(n_sites: int, lat_min: float, lat_max: float, lon_min: float, lon
 
 
 def _nearest_by_grid(points, prepared, lat, lon, point_id, base_cell_km, digits):
-    la, lo = F.col(lat).cast("double"), F.col(lon).cast("double")
+    la, lo = F.col(lat).try_cast("double"), F.col(lon).try_cast("double")
     lat_r, lon_r = F.radians(la), F.radians(lo)
     x, y, z = unit_vector(lat_r, lon_r)
     pts = points.where(_valid(la, lo)).withColumn("_p", F.struct(
