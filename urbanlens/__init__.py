@@ -11,6 +11,6 @@ Sources and sinks live in ``sources``, column expressions in ``functions``,
 the query catalogue over the driver tables in ``plans``.
 """
 
-from urbanlens.session import checkpoint_dir, get_session, scratch_path
+from urbanlens.session import checkpoint_dir, get_session, scale_conf, scratch_path
 
-__all__ = ["checkpoint_dir", "get_session", "scratch_path"]
+__all__ = ["checkpoint_dir", "get_session", "scale_conf", "scratch_path"]

@@ -73,3 +73,25 @@ def compare(spark, name: str, sf_dir: str) -> dict:
         "oracle_dtypes": {c: str(t) for c, t in want.dtypes.items()},
         "first_diff": next(((a, b) for a, b in zip(grows, wrows) if a != b), None),
     }
+
+
+def main(argv: list[str]) -> int:
+    """``python -m urbanlens.plans.verify [sf_dir] [query ...]``: print one line per query."""
+    from urbanlens.session import get_session
+
+    sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
+    names = argv[1:] or list(QUERIES)
+    spark = get_session(master="local[*]", shuffle_partitions=8)
+    failed = 0
+    for name in names:
+        r = compare(spark, name, sf_dir)
+        ok = r["values_match"]
+        failed += not ok
+        print(f"{'OK  ' if ok else 'FAIL'} {name} rows={r['rows']}" + ("" if ok else f" diff={r['first_diff']}"))
+    return 1 if failed else 0
+
+
+if __name__ == "__main__":
+    import sys
+
+    raise SystemExit(main(sys.argv[1:]))

@@ -57,6 +57,28 @@ def get_session(
     return spark
 
 
+def scale_conf(
+    input_bytes: int,
+    partition_bytes: int = 256 * 1024 * 1024,
+    max_shuffle_partitions: int = 100_000,
+) -> dict[str, str]:
+    """Partition sizing for a given input size (pass to ``get_session(conf=...)``).
+
+    Scan splits and shuffle partitions are both sized near ``partition_bytes``
+    so one task's data fits comfortably in executor memory; AQE coalesces
+    shuffle partitions that turn out small (most shuffles here carry partial
+    aggregates) and splits skewed ones.  For 100 TB at 256 MB this gives
+    about 400,000 scan tasks and the shuffle partition cap.
+    """
+    shuffle = min(max(200, input_bytes // partition_bytes), max_shuffle_partitions)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 4),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's reliable checkpoint folder, set up if needed.
 
