@@ -119,3 +119,83 @@ def test_feature_collections_are_bounded_documents(spark, tmp_dir):
     props = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.LongType())])
     back = read_features(spark, path, props).select("properties.k", "properties.v")
     assert sorted(tuple(r) for r in back.collect()) == [(i, 2 * i) for i in range(25)]
+
+
+_zip = st.sampled_from(["90001", "90002", "90003", None])
+_blocks = st.lists(st.tuples(_zip, st.one_of(st.none(), st.integers(-2, 30)),
+                             st.one_of(st.none(), st.integers(0, 20))), min_size=1, max_size=25)
+_incomes = st.lists(st.tuples(st.sampled_from(["90001", "90002", "90004"]),
+                              st.sampled_from(["$1,000", "$52,806", "$250", "--", "$12.50", "", "$7"])),
+                    max_size=6)
+
+
+def _area_python(blocks, incomes, strict):
+    agg = {}
+    for z, p, h in blocks:
+        if strict and (z is None or p is None or h is None or p <= 0):
+            continue
+        tp, th = agg.get(z, (None, None))
+        if p is not None:
+            tp = (tp or 0) + p
+        if h is not None:
+            th = (th or 0) + h
+        agg[z] = (tp, th)
+    out = []
+    for z, text in incomes:
+        clean = text.replace("$", "").replace(",", "").strip()
+        if strict:
+            income = int(clean) if clean.lstrip("+-").isdigit() else None
+        else:
+            try:
+                income = float(clean)
+            except ValueError:
+                income = None
+        if z not in agg or z is None:
+            continue
+        tp, th = agg[z]
+        if strict and (income is None or not tp):
+            continue
+        if th is None or tp is None or income is None or tp == 0:
+            out.append((z, None))
+            continue
+        value = Decimal(repr(float(th) * float(income) / float(tp)))
+        q = Decimal("0.01") if strict else Decimal("1")
+        out.append((z, float(value.quantize(q, rounding=ROUND_HALF_EVEN if strict else ROUND_HALF_UP))))
+    return sorted(out, key=lambda r: (r[0], -1 if r[1] is None else r[1]))
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(_blocks, _incomes, st.booleans())
+def test_area_ratio_matches_python(spark, blocks, incomes, strict):
+    from urbanlens.operators.areas import area_ratio, income_lookup
+
+    bdf = spark.createDataFrame(blocks, "zip string, population long, housing long")
+    idf = spark.createDataFrame(incomes, "zip string, income_text string")
+    got = area_ratio(bdf, income_lookup(idf, "zip", "income_text", strict=strict), strict=strict)
+    rows = sorted(((r.zip, r.average_income) for r in got.collect()),
+                  key=lambda r: (r[0], -1 if r[1] is None else r[1]))
+    assert rows == _area_python(blocks, incomes, strict)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(2019, 2020), st.integers(1, 12)), min_size=1, max_size=40),
+       st.sampled_from(["rank", "row_number"]))
+def test_monthly_top_k_matches_python(spark, months, ties):
+    import datetime
+
+    from urbanlens.operators.ranking import monthly_top_k
+
+    df = spark.createDataFrame([(datetime.datetime(y, m, 3, 10),) for y, m in months], "t timestamp")
+    got = [tuple(r) for r in monthly_top_k([df], "t", k=3, ties=ties).collect()]
+    counts = {}
+    for y, m in months:
+        counts[(y, m)] = counts.get((y, m), 0) + 1
+    want = []
+    for year in sorted({y for y, _ in counts}):
+        rows = sorted(((m, n) for (y, m), n in counts.items() if y == year), key=lambda r: (-r[1], r[0]))
+        for i, (m, n) in enumerate(rows):
+            rank = 1 + sum(1 for _, other in rows if other > n) if ties == "rank" else i + 1
+            if rank <= 3:
+                want.append((year, m, n, rank))
+    want.sort(key=lambda r: (r[0], -r[2], r[3], r[1]))
+    assert got == want
