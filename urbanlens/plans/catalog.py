@@ -14,7 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from urbanlens.functions.clean import format_event_time, parse_event_time, parse_money
+from urbanlens.functions.clean import clock_of, format_event_time, parse_event_time, parse_money
+from urbanlens.operators.areas import area_ratio, income_lookup
+from urbanlens.operators.nearest import nearest_site, nearest_site_summary
+from urbanlens.operators.ranking import monthly_top_k, monthly_top_k_sql
+from urbanlens.operators.shares import time_of_day_share
+from urbanlens.plans import inputs
+from urbanlens.session import scratch_path
 from urbanlens.sources.city import (
     CRIME_COLUMNS,
     read_census_blocks,
@@ -22,12 +28,6 @@ from urbanlens.sources.city import (
     read_income,
     read_stations,
 )
-from urbanlens.operators.areas import area_ratio, income_lookup
-from urbanlens.operators.nearest import nearest_site, nearest_site_summary
-from urbanlens.operators.ranking import monthly_top_k, monthly_top_k_sql
-from urbanlens.operators.shares import time_of_day_share
-from urbanlens.plans import inputs
-from urbanlens.session import scratch_path
 from urbanlens.sources.readers import (
     flatten_features,
     read_delimited,
@@ -67,8 +67,7 @@ def time_of_day_share_two_sources_q(spark: SparkSession, sf_dir: str) -> DataFra
     first = first.select("event_id", "ts", "event_type", "user_id")
     second = second.select("event_type", "user_id", "ts", "event_id")
     both = union_sources([first, second])
-    errors = both.where(F.col("event_type") == "error").select(
-        (F.hour("ts") * 100 + F.minute("ts")).alias("clock"))
+    errors = both.where(F.col("event_type") == "error").select(clock_of("ts").alias("clock"))
     return time_of_day_share(errors, "clock")
 
 
@@ -78,7 +77,7 @@ def csv_parquet_roundtrip_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> CSV with header -> Parquet (all strings) -> rows per event type."""
     base = scratch_path(spark, "csv_parquet")
     csv_dir = f"{base}/csv/events"
-    inputs.table(spark, sf_dir, "events").write.mode("overwrite").option("header", True).csv(csv_dir)
+    _write_csv(inputs.table(spark, sf_dir, "events"), csv_dir)
     written = csv_to_parquet(spark, {"events": csv_dir}, f"{base}/parquet")
     ev = read_parquet(spark, written["events"])
     return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
