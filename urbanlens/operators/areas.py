@@ -76,14 +76,12 @@ def _hinted_join(agg: DataFrame, lookup: DataFrame, strategy: str) -> DataFrame:
         # The aggregate is materialised once in the shared checkpoint folder,
         # which makes its size check cheap and the rest of the job reuse it.
         agg = agg.checkpoint(eager=True)
-        if agg.limit(MAX_BROADCAST_ROWS + 1).count() > MAX_BROADCAST_ROWS:
+        if agg.count() > MAX_BROADCAST_ROWS:
             log.warning("aggregate too large to broadcast; using a sort-merge join")
             strategy = "merge"
     elif strategy == "shuffle_replicate_nl":
         agg = agg.checkpoint(eager=True)
-        n_agg = agg.count()
-        bound = MAX_REPLICATED_PAIRS // max(n_agg, 1)
-        if lookup.limit(bound + 1).count() > bound:
+        if agg.count() * lookup.count() > MAX_REPLICATED_PAIRS:
             log.warning("replicated nested loop over the pair bound; using a shuffled hash join")
             strategy = "shuffle_hash"
     if strategy != "auto":

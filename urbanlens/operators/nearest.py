@@ -121,10 +121,10 @@ def nearest_site(
     """
     prepared = prepare_sites(sites, site_lat, site_lon, division, order)
     if strategy in ("auto", "array"):
-        # One bounded fetch decides and, when small enough, is the site list.
-        sites_pdf = prepared.orderBy("ord").limit(max_array_sites + 1).toPandas()
-        if len(sites_pdf) <= max_array_sites:
-            return _nearest_by_array(points, sites_pdf, lat, lon, digits)
+        # An exact count costs one partial count per task, whatever the size;
+        # only a site list proven small is then fetched (sorted by ord).
+        if prepared.count() <= max_array_sites:
+            return _nearest_by_array(points, prepared.orderBy("ord").toPandas(), lat, lon, digits)
         if strategy == "array":
             raise ValueError(f"more than {max_array_sites} site locations; use the grid plan")
         strategy = "grid"
@@ -252,7 +252,7 @@ def _nearest_by_grid(points, prepared, lat, lon, point_id, base_cell_km, digits)
         final = s >= 2.0
         resolved, pending = _grid_level(pending, prepared, point_id, s, final)
         done.append(resolved)
-        if final or pending.limit(1).count() == 0:
+        if final or pending.isEmpty():
             break
         s = min(s * 2, 2.0)
     result = done[0]
