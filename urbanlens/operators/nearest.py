@@ -22,7 +22,8 @@ Two exact plans:
   so a best candidate closer than ``s`` is final.  Points that are not yet
   sure go on to the next, coarser level; at ``s >= 2`` the block holds every
   site.  ``s0`` comes from the sites' own spread, so a point meets a handful
-  of candidates, and the per-point minimum is a code-generated aggregate.
+  of candidates.  The per-point minimum groups by (cell, point), which the
+  cell join has already partitioned, so there is no second shuffle.
   Every level is written to the shared checkpoint folder before the next.
 """
 
