@@ -71,3 +71,15 @@ def test_semicolon_scan_is_quote_aware(spark, tmp_dir):
         fh.write('Zip Code;Name;Income\n90001;"A; B";"$1,000"\n')
     row = read_delimited(spark, path, sep=";").first()
     assert (row["Zip Code"], row["Name"], row["Income"]) == ("90001", "A; B", "$1,000")
+
+
+def test_crime_rejects_per_source(spark, tmp_dir):
+    from files import write_crime_files
+
+    from urbanlens.sources.city import crime_rejects
+
+    a, b = write_crime_files(tmp_dir)
+    rows = {r.source: r for r in crime_rejects(spark, [a, b]).collect()}
+    assert (rows[a].rows, rows[a].bad_date, rows[a].bad_clock, rows[a].bad_coordinates) == (8, 0, 0, 0)
+    # File B: a missing clock is not a bad clock (it is night); one row has no coordinates.
+    assert (rows[b].rows, rows[b].bad_date, rows[b].bad_clock, rows[b].bad_coordinates) == (5, 0, 0, 1)

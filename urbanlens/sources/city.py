@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from urbanlens.functions.clean import parse_event_time
 from urbanlens.sources.readers import (
     conform,
     flatten_features,
     read_delimited,
     read_features,
     read_parquet,
+    reject_counts,
     union_sources,
 )
 
@@ -59,6 +61,29 @@ def read_crimes(
     return union_sources(frames)
 
 
+def crime_rejects(spark: SparkSession, paths: Sequence[str], fmt: str = "csv") -> DataFrame:
+    """Per source file: rows, and rows each question has to leave out.
+
+    ``bad_date``: date text missing or not in the event layout (dropped by the
+    month ranking); ``bad_clock``: clock text present but not a number (it
+    counts as night, like a missing clock); ``bad_coordinates``: latitude or
+    longitude missing or unreadable (dropped by the nearest-site search).
+    One aggregate scan per file.
+    """
+    frames = []
+    for path in paths:
+        raw = read_delimited(spark, path) if fmt == "csv" else read_parquet(spark, path)
+        text = raw.select(*[F.col(f"`{src}`").alias(name) for name, (src, _) in CRIME_COLUMNS.items()])
+        frames.append(reject_counts(text, {
+            "bad_date": parse_event_time("date_occ").isNull(),
+            "bad_clock": F.col("time_occ").isNotNull()
+            & F.trim("time_occ").try_cast("int").isNull(),
+            "bad_coordinates": F.trim("lat").try_cast("double").isNull()
+            | F.trim("lon").try_cast("double").isNull(),
+        }).select(F.lit(path).alias("source"), "*"))
+    return union_sources(frames)
+
+
 def read_stations(spark: SparkSession, path: str, order_col: str | None = None) -> DataFrame:
     """Stations as (ord, division, lat, lon).
 
