@@ -251,7 +251,9 @@ def _nearest_by_grid(points, prepared, lat, lon, point_id, base_cell_km, digits)
     pending, done = pts, []
     while True:
         final = s >= 2.0
-        resolved, pending = _grid_level(pending, prepared, point_id, s, final)
+        # At the first level every point is pending, so restricting the site
+        # list to occupied cells would cost a full extra scan of the points.
+        resolved, pending = _grid_level(pending, prepared, point_id, s, final, restrict=bool(done))
         done.append(resolved)
         if final or pending.isEmpty():
             break
@@ -262,16 +264,16 @@ def _nearest_by_grid(points, prepared, lat, lon, point_id, base_cell_km, digits)
     return _finish(result.drop("_p"), digits)
 
 
-def _grid_level(pending, prepared, point_id, s, final):
+def _grid_level(pending, prepared, point_id, s, final, restrict=True):
     """One level: (points resolved here, points still pending), from one checkpoint."""
     keys = ["_cx", "_cy", "_cz"]
     cx, cy, cz = _cell(s, F.col("_p.x"), F.col("_p.y"), F.col("_p.z"))
     pts = pending.withColumns(dict(zip(keys, (cx, cy, cz))))
 
     # Each site is listed under its own cell and the 26 around it, restricted
-    # to the cells some pending point sits in.  Materialising this list makes
-    # the point join below a plain shuffle on both sides, which is the shape
-    # AQE needs to split a hot cell.
+    # (``restrict``) to the cells some pending point sits in.  Materialising
+    # this list makes the point join below a plain shuffle on both sides,
+    # which is the shape AQE needs to split a hot cell.
     sx, sy, sz = _cell(s, F.col("x"), F.col("y"), F.col("z"))
     replicas = (
         prepared.withColumns({"_sx": sx, "_sy": sy, "_sz": sz})
@@ -282,9 +284,10 @@ def _grid_level(pending, prepared, point_id, s, final):
                 (F.col("_sy") + F.col("_dy")).alias("_cy"),
                 (F.col("_sz") + F.col("_dz")).alias("_cz"),
                 F.struct("lat_r", "lon_r", "cos_lat", "ord", "division").alias("_site"))
-        .join(pts.select(*keys).distinct(), on=keys, how="left_semi")
-        .checkpoint(eager=True)
     )
+    if restrict:
+        replicas = replicas.join(pts.select(*keys).distinct(), on=keys, how="left_semi")
+    replicas = replicas.checkpoint(eager=True)
     site = F.col("_site")
     p = F.col("_p")
     dist = haversine_from_radians(p["lat_r"], p["lon_r"], p["cos_lat"],
