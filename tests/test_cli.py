@@ -41,3 +41,12 @@ def test_conversion_then_parquet_query(spark, tmp_dir):
     parquet = sorted(glob.glob(os.path.join(tmp_dir, "pq", "*.parquet")))
     df = main(["share", "--crimes", *parquet, "--format", "parquet"], spark)
     assert [tuple(r) for r in df.collect()] == Q1_EXPECTED
+
+
+def test_months_per_source_forms(spark, tmp_dir):
+    from fixtures import Q2_ROW_NUMBER_PER_SOURCE
+
+    crimes = write_crime_files(tmp_dir)
+    for flags in (["--sql"], ["--per-source", "--ties", "row_number"]):
+        df = main(["months", "--crimes", *crimes, *flags], spark)
+        assert [tuple(r) for r in df.collect()] == Q2_ROW_NUMBER_PER_SOURCE, flags
