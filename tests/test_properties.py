@@ -70,6 +70,7 @@ def test_grid_with_a_hot_cell_and_forced_skew_split(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     }
     old = {k: spark.conf.get(k, None) for k in keys}
     # Look at the final adaptive plan of the first point/site join.

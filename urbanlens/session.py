@@ -27,6 +27,10 @@ DEFAULT_CONF = {
     # Split a skewed join partition even when the split costs one more
     # shuffle downstream (the grid search groups right after its join).
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Broadcast a join side only on its measured size (AQE, after the shuffle
+    # map stage ran), never on a file-size estimate made before running.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
