@@ -72,15 +72,23 @@ def point_rejects(points: DataFrame, lat: str = "lat", lon: str = "lon") -> Data
     )
 
 
-def prepare_sites(
+def site_columns(
     sites: DataFrame, lat: str = "lat", lon: str = "lon",
     division: str = "division", order: str = "ord",
 ) -> DataFrame:
-    """Sites as radians, cosine and unit vector; one row per distinct location."""
-    s = sites.select(
+    """Usable sites as (lat, lon, ord, division); unreadable coordinates dropped."""
+    return sites.select(
         F.col(lat).try_cast("double").alias("lat"), F.col(lon).try_cast("double").alias("lon"),
         F.col(order).try_cast("long").alias("ord"), F.col(division).cast("string").alias("division"),
     ).where(_valid(F.col("lat"), F.col("lon")))
+
+
+def prepare_sites(
+    sites: DataFrame, lat: str = "lat", lon: str = "lon",
+    division: str = "division", order: str = "ord",
+) -> DataFrame:
+    """Sites as radians, cosine and unit vector; one row per distinct location."""
+    s = site_columns(sites, lat, lon, division, order)
     s = s.groupBy("lat", "lon").agg(F.min(F.struct("ord", "division")).alias("w"))
     lat_r, lon_r = F.radians("lat"), F.radians("lon")
     x, y, z = unit_vector(lat_r, lon_r)
@@ -120,18 +128,23 @@ def nearest_site(
     grid needs a unique ``point_id``.  With no sites at all, division and
     distance are null.  ``digits`` rounds the distance (half-up).
     """
-    prepared = prepare_sites(sites, site_lat, site_lon, division, order)
     if strategy in ("auto", "array"):
-        # An exact count costs one partial count per task, whatever the size;
-        # only a site list proven small is then fetched (sorted by ord).
-        if prepared.count() <= max_array_sites:
-            return _nearest_by_array(points, prepared.orderBy("ord").toPandas(), lat, lon, digits)
+        # ``take`` scans partitions in growing batches and stops once it holds
+        # max_array_sites + 1 rows, so this fetch is bounded whatever the size
+        # of the site table, and it decides the plan at the same time.  The
+        # plain scan is tried first; the de-duplicated list (a shuffle) only
+        # when repeated locations push the plain one over the bound.
+        for build in (site_columns, prepare_sites):
+            rows = build(sites, site_lat, site_lon, division, order).take(max_array_sites + 1)
+            if len(rows) <= max_array_sites:
+                return _nearest_by_array(points, _site_arrays(rows), lat, lon, digits)
         if strategy == "array":
             raise ValueError(f"more than {max_array_sites} site locations; use the grid plan")
         strategy = "grid"
     if strategy == "grid":
         if point_id is None:
             raise ValueError("the grid plan needs a unique point_id column")
+        prepared = prepare_sites(sites, site_lat, site_lon, division, order)
         return _nearest_by_grid(points, prepared, lat, lon, point_id, base_cell_km, digits)
     raise ValueError(f"unknown strategy {strategy!r}")
 
@@ -181,12 +194,23 @@ def _assign_batches(batches, site_arrays, lat: str, lon: str):
         yield out
 
 
-def _nearest_by_array(points, sites_pdf, lat, lon, digits):
-    """``sites_pdf``: the prepared sites sorted by ord, already size-checked."""
+def _site_arrays(rows) -> tuple:
+    """Size-checked site rows -> arrays sorted by ord, one entry per location."""
+    pdf = pd.DataFrame([(r["lat"], r["lon"], r["ord"], r["division"]) for r in rows],
+                       columns=["lat", "lon", "ord", "division"])
+    pdf = (pdf.sort_values("ord", kind="stable", na_position="last")
+           .drop_duplicates(["lat", "lon"], keep="first").reset_index(drop=True))
+    lat_r = np.radians(pdf["lat"].to_numpy(dtype="float64"))
+    lon_r = np.radians(pdf["lon"].to_numpy(dtype="float64"))
+    cos_lat = np.cos(lat_r)
+    return (lat_r, lon_r, cos_lat, cos_lat * np.cos(lon_r), cos_lat * np.sin(lon_r), np.sin(lat_r),
+            pdf["ord"].to_numpy(), pdf["division"].to_numpy(dtype=object))
+
+
+def _nearest_by_array(points, site_arrays, lat, lon, digits):
+    """``site_arrays``: from ``_site_arrays`` (already size-checked)."""
     spark = points.sparkSession
-    site_arrays = spark.sparkContext.broadcast(tuple(
-        sites_pdf[c].to_numpy() for c in ("lat_r", "lon_r", "cos_lat", "x", "y", "z", "ord", "division")
-    ))
+    site_arrays = spark.sparkContext.broadcast(site_arrays)
     # Coordinates are read as doubles; unusable ones are dropped, never fatal.
     valid = (points.withColumns({lat: F.col(lat).try_cast("double"), lon: F.col(lon).try_cast("double")})
              .where(_valid(F.col(lat), F.col(lon))))
