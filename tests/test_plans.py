@@ -28,6 +28,9 @@ def test_udf_variant_runs_vectorized(spark):
 def test_two_sources_push_the_filter_into_both_scans(spark):
     plan = _plan(spark, "time_of_day_share_two_sources")
     assert plan.count("EqualTo(event_type,error)") == 2
+    # The split of one table into two sources is pushed too (row-group pruning).
+    assert "LessThan(ts,2024-01-16T00:00)" in plan
+    assert "Or(GreaterThanOrEqual(ts,2024-01-16T00:00),IsNull(ts))" in plan
 
 
 def test_rank_filter_becomes_a_group_limit(spark):
