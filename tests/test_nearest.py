@@ -86,3 +86,12 @@ def test_text_coordinates_with_junk_are_rejected_not_fatal(spark, strategy):
     got = {r.id: r.division for r in nearest_site(pts, sites, point_id="id", strategy=strategy).collect()}
     assert got == {1: "A", 5: "C"}
     assert point_rejects(pts).first().bad_coordinates == 3
+
+
+@pytest.mark.parametrize("strategy", ["array", "grid"])
+def test_site_without_order_loses_ties(spark, strategy):
+    pts = spark.createDataFrame([(1, 34.05, -118.25)], "id long, lat double, lon double")
+    sites = spark.createDataFrame([(None, "NO_ORDER", 34.06, -118.25), (9, "NINE", 34.06, -118.25)],
+                                  "ord long, division string, lat double, lon double")
+    row = nearest_site(pts, sites, point_id="id", strategy=strategy).first()
+    assert row.division == "NINE"  # same place, an exact tie: the ordered site wins

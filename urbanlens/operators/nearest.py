@@ -54,6 +54,7 @@ _PAIRS_PER_CHUNK = 2_000_000   # points x sites evaluated at once in a task
 _MARGIN = 1e-9
 
 _BEST_TYPE = "struct<distance:double,ord:long,division:string>"
+_LAST = 2**63 - 1  # order of a site whose order value is missing
 
 
 def _valid(lat: Column, lon: Column) -> Column:
@@ -76,10 +77,14 @@ def site_columns(
     sites: DataFrame, lat: str = "lat", lon: str = "lon",
     division: str = "division", order: str = "ord",
 ) -> DataFrame:
-    """Usable sites as (lat, lon, ord, division); unreadable coordinates dropped."""
+    """Usable sites as (lat, lon, ord, division); unreadable coordinates dropped.
+
+    A site without a usable order value loses every tie (it sorts last).
+    """
     return sites.select(
         F.col(lat).try_cast("double").alias("lat"), F.col(lon).try_cast("double").alias("lon"),
-        F.col(order).try_cast("long").alias("ord"), F.col(division).cast("string").alias("division"),
+        F.coalesce(F.col(order).try_cast("long"), F.lit(_LAST)).alias("ord"),
+        F.col(division).cast("string").alias("division"),
     ).where(_valid(F.col("lat"), F.col("lon")))
 
 
@@ -198,7 +203,7 @@ def _site_arrays(rows) -> tuple:
     """Size-checked site rows -> arrays sorted by ord, one entry per location."""
     pdf = pd.DataFrame([(r["lat"], r["lon"], r["ord"], r["division"]) for r in rows],
                        columns=["lat", "lon", "ord", "division"])
-    pdf = (pdf.sort_values("ord", kind="stable", na_position="last")
+    pdf = (pdf.sort_values("ord", kind="stable")
            .drop_duplicates(["lat", "lon"], keep="first").reset_index(drop=True))
     lat_r = np.radians(pdf["lat"].to_numpy(dtype="float64"))
     lon_r = np.radians(pdf["lon"].to_numpy(dtype="float64"))
