@@ -1,7 +1,5 @@
 """Plan shape: what reaches the scan, where the shuffles are, which nodes run."""
 
-import re
-
 from urbanlens.plans.catalog import QUERIES
 from urbanlens.plans.inspect import physical_plan
 
@@ -17,7 +15,7 @@ def test_share_filter_and_columns_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,error)]" in plan
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in plan
     assert "Python" not in plan and "ArrowEval" not in plan
-    assert re.search(r"HashAggregate.*\n.*\n.*Functions \[1\]: \[partial_count", plan) or "partial_count" in plan
+    assert "partial_count" in plan  # counted in every task before the shuffle
 
 
 def test_udf_variant_runs_vectorized(spark):
