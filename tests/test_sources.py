@@ -83,3 +83,14 @@ def test_crime_rejects_per_source(spark, tmp_dir):
     assert (rows[a].rows, rows[a].bad_date, rows[a].bad_clock, rows[a].bad_coordinates) == (8, 0, 0, 0)
     # File B: a missing clock is not a bad clock (it is night); one row has no coordinates.
     assert (rows[b].rows, rows[b].bad_date, rows[b].bad_clock, rows[b].bad_coordinates) == (5, 0, 0, 1)
+
+
+def test_malformed_lines_kept_or_dropped_by_reader_mode(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "m.csv")
+    with open(path, "w") as fh:
+        fh.write("Zip Code;Name;Income\n90001;A;$1,000\n90002\n90003;C;$3\n")
+    schema = "zip string, name string, income string"
+    kept = read_delimited(spark, path, sep=";", schema=schema).collect()
+    dropped = read_delimited(spark, path, sep=";", schema=schema, mode="DROPMALFORMED").collect()
+    assert [r.zip for r in kept] == ["90001", "90002", "90003"] and kept[1].income is None
+    assert [r.zip for r in dropped] == ["90001", "90003"]
