@@ -302,7 +302,8 @@ def _grid_level(pending, prepared, point_id, s, final, restrict=True):
     # Each site is listed under its own cell and the 26 around it, restricted
     # (``restrict``) to the cells some pending point sits in.  Materialising
     # this list makes the point join below a plain shuffle on both sides,
-    # which is the shape AQE needs to split a hot cell.
+    # which is the shape AQE needs to split a hot cell.  (An explicit
+    # repartition does not do: AQE never splits a user-requested shuffle.)
     sx, sy, sz = _cell(s, F.col("x"), F.col("y"), F.col("z"))
     replicas = (
         prepared.withColumns({"_sx": sx, "_sy": sy, "_sz": sz})
