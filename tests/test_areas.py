@@ -39,16 +39,14 @@ def test_strict_reading(spark, tmp_dir):
     ("broadcast", "BroadcastHashJoin"),
     ("merge", "SortMergeJoin"),
     ("shuffle_hash", "ShuffledHashJoin"),
-    ("shuffle_replicate_nl", "CartesianProduct"),
+    ("shuffle_replicate_nl", "ShuffledHashJoin"),
 ])
 def test_hint_reaches_the_physical_plan(spark, tmp_dir, strategy, operator):
     blocks, income = _inputs(spark, tmp_dir, strict=False)
     assert operator in physical_plan(area_ratio(blocks, income, join_strategy=strategy))
 
 
-def test_replicated_nested_loop_falls_back_over_the_pair_bound(spark, tmp_dir, monkeypatch):
-    import urbanlens.operators.areas as areas
-    monkeypatch.setattr(areas, "MAX_REPLICATED_PAIRS", 4)
+def test_replicated_nested_loop_request_never_plans_a_cartesian_product(spark, tmp_dir):
     blocks, income = _inputs(spark, tmp_dir, strict=False)
     df = area_ratio(blocks, income, join_strategy="shuffle_replicate_nl")
     plan = physical_plan(df)

@@ -4,8 +4,11 @@ Blocks (many rows per area) are summed per area first, so the join only sees
 one row per area on that side; the income table is a lookup of about one
 row per area.  The join strategy is a parameter: left to the optimiser and
 AQE by default, or forced with a hint as the caller asks.  A forced broadcast
-or a replicated nested loop is only planned after checking the sizes it
-depends on; beyond the bound the same answer comes from a shuffled join.
+is only planned after checking the size of the broadcast side; beyond the
+bound the same answer comes from a sort-merge join.  A replicated nested
+loop (a cartesian product filtered by the key) is never planned: the
+``shuffle_replicate_nl`` request is accepted and answered by a shuffled hash
+join on the key, which gives the same rows without forming every pair.
 """
 
 from __future__ import annotations
@@ -21,9 +24,8 @@ log = logging.getLogger(__name__)
 
 JOIN_STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl")
 
-# Size bounds behind the forced strategies.
+# Size bound behind a forced broadcast.
 MAX_BROADCAST_ROWS = 2_000_000
-MAX_REPLICATED_PAIRS = 50_000_000
 
 
 def aggregate_blocks(
@@ -80,10 +82,8 @@ def _hinted_join(agg: DataFrame, lookup: DataFrame, strategy: str) -> DataFrame:
             log.warning("aggregate too large to broadcast; using a sort-merge join")
             strategy = "merge"
     elif strategy == "shuffle_replicate_nl":
-        agg = agg.checkpoint(eager=True)
-        if agg.count() * lookup.count() > MAX_REPLICATED_PAIRS:
-            log.warning("replicated nested loop over the pair bound; using a shuffled hash join")
-            strategy = "shuffle_hash"
+        # Same rows as the equi-join; no cartesian product at any size.
+        strategy = "shuffle_hash"
     if strategy != "auto":
         agg = agg.hint(strategy)
     return agg.join(lookup, on="zip", how="inner")
