@@ -95,3 +95,25 @@ def test_site_without_order_loses_ties(spark, strategy):
                                   "ord long, division string, lat double, lon double")
     row = nearest_site(pts, sites, point_id="id", strategy=strategy).first()
     assert row.division == "NINE"  # same place, an exact tie: the ordered site wins
+
+
+def test_auto_chooses_the_plan_from_the_site_bound(spark):
+    # 12 site rows at 4 locations: over a bound of 5 as listed but within it
+    # once repeated locations are folded (array plan); over a bound of 3 even
+    # then, so the grid plan answers from the folded list.
+    from urbanlens.plans.inspect import physical_plan
+
+    locs = [(34.0, -118.0), (34.1, -118.1), (34.2, -118.3), (35.0, -117.0)]
+    sites = [(i, f"s{i}", *locs[i % 4]) for i in range(12)]
+    pts = [(j, 34 + j * 0.013, -118 - j * 0.007) for j in range(60)]
+    sdf = spark.createDataFrame(sites, "ord long, division string, lat double, lon double")
+    pdf = spark.createDataFrame(pts, "id long, lat double, lon double")
+    want = {pid: min((_haversine(la, lo, s[2], s[3]), s[0], s[1]) for s in sites) for pid, la, lo in pts}
+    for bound, array_plan in ((20, True), (5, True), (3, False)):
+        out = nearest_site(pdf, sdf, point_id="id", strategy="auto", max_array_sites=bound)
+        assert ("MapInPandas" in physical_plan(out)) == array_plan, bound
+        got = {r.id: (r.distance, r.division) for r in out.collect()}
+        assert set(got) == set(want)
+        for pid, (dist, _, division) in want.items():
+            assert got[pid][1] == division, (bound, pid)
+            assert got[pid][0] == pytest.approx(dist, rel=1e-12, abs=1e-9)

@@ -92,12 +92,13 @@ def prepare_sites(
     sites: DataFrame, lat: str = "lat", lon: str = "lon",
     division: str = "division", order: str = "ord",
 ) -> DataFrame:
-    """Sites as radians, cosine and unit vector; one row per distinct location."""
+    """Sites as degrees, radians, cosine and unit vector; one row per distinct location."""
     s = site_columns(sites, lat, lon, division, order)
     s = s.groupBy("lat", "lon").agg(F.min(F.struct("ord", "division")).alias("w"))
     lat_r, lon_r = F.radians("lat"), F.radians("lon")
     x, y, z = unit_vector(lat_r, lon_r)
     return s.select(
+        "lat", "lon",
         lat_r.alias("lat_r"), lon_r.alias("lon_r"), F.cos(lat_r).alias("cos_lat"),
         x.alias("x"), y.alias("y"), z.alias("z"),
         F.col("w.ord").alias("ord"), F.col("w.division").alias("division"),
@@ -133,23 +134,30 @@ def nearest_site(
     grid needs a unique ``point_id``.  With no sites at all, division and
     distance are null.  ``digits`` rounds the distance (half-up).
     """
+    prepared = None
     if strategy in ("auto", "array"):
         # ``take`` scans partitions in growing batches and stops once it holds
         # max_array_sites + 1 rows, so this fetch is bounded whatever the size
         # of the site table, and it decides the plan at the same time.  The
         # plain scan is tried first; the de-duplicated list (a shuffle) only
-        # when repeated locations push the plain one over the bound.
-        for build in (site_columns, prepare_sites):
-            rows = build(sites, site_lat, site_lon, division, order).take(max_array_sites + 1)
-            if len(rows) <= max_array_sites:
-                return _nearest_by_array(points, _site_arrays(rows), lat, lon, digits)
+        # when repeated locations push the plain one over the bound.  That
+        # list is materialised in the shared folder, so if it is still over
+        # the bound the grid plan reuses it instead of aggregating again.
+        rows = site_columns(sites, site_lat, site_lon, division, order).take(max_array_sites + 1)
+        if len(rows) > max_array_sites:
+            prepared = prepare_sites(sites, site_lat, site_lon, division, order).checkpoint(eager=True)
+            rows = prepared.select("lat", "lon", "ord", "division").take(max_array_sites + 1)
+        if len(rows) <= max_array_sites:
+            return _nearest_by_array(points, _site_arrays(rows), lat, lon, digits)
         if strategy == "array":
             raise ValueError(f"more than {max_array_sites} site locations; use the grid plan")
         strategy = "grid"
     if strategy == "grid":
         if point_id is None:
             raise ValueError("the grid plan needs a unique point_id column")
-        prepared = prepare_sites(sites, site_lat, site_lon, division, order)
+        if prepared is None:
+            # Sites are read once per level; keep them materialised in the shared folder.
+            prepared = prepare_sites(sites, site_lat, site_lon, division, order).checkpoint(eager=True)
         return _nearest_by_grid(points, prepared, lat, lon, point_id, base_cell_km, digits)
     raise ValueError(f"unknown strategy {strategy!r}")
 
@@ -266,8 +274,7 @@ def _nearest_by_grid(points, prepared, lat, lon, point_id, base_cell_km, digits)
         lat_r.alias("lat_r"), lon_r.alias("lon_r"), F.cos(lat_r).alias("cos_lat"),
         x.alias("x"), y.alias("y"), z.alias("z"),
     ))
-    # Sites are read once per level; keep them materialised in the shared folder.
-    prepared = prepared.checkpoint(eager=True)
+    # ``prepared`` is already materialised (see ``nearest_site``).
     ext = prepared.agg(
         F.count(F.lit(1)).alias("n"), F.min("lat_r").alias("a"), F.max("lat_r").alias("b"),
         F.min("lon_r").alias("c"), F.max("lon_r").alias("d"),
