@@ -54,9 +54,9 @@ def test_replicated_nested_loop_request_never_plans_a_cartesian_product(spark, t
     assert _rows(df) == Q3_LOOSE
 
 
-def test_broadcast_falls_back_over_the_row_bound(spark, tmp_dir, monkeypatch):
+def test_broadcast_falls_back_over_the_size_bound(spark, tmp_dir, monkeypatch):
     import urbanlens.operators.areas as areas
-    monkeypatch.setattr(areas, "MAX_BROADCAST_ROWS", 2)
+    monkeypatch.setattr(areas, "MAX_BROADCAST_BYTES", 100)
     blocks, income = _inputs(spark, tmp_dir, strict=False)
     df = area_ratio(blocks, income, join_strategy="broadcast")
     assert "SortMergeJoin" in physical_plan(df)

@@ -24,8 +24,10 @@ log = logging.getLogger(__name__)
 
 JOIN_STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl")
 
-# Size bound behind a forced broadcast.
-MAX_BROADCAST_ROWS = 2_000_000
+# Size bound behind a forced broadcast, in bytes of the built hash relation
+# (estimated as a fixed cost per row plus the key text).
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+_ROW_BYTES = 48
 
 
 def aggregate_blocks(
@@ -78,8 +80,11 @@ def _hinted_join(agg: DataFrame, lookup: DataFrame, strategy: str) -> DataFrame:
         # The aggregate is materialised once in the shared checkpoint folder,
         # which makes its size check cheap and the rest of the job reuse it.
         agg = agg.checkpoint(eager=True)
-        if agg.count() > MAX_BROADCAST_ROWS:
-            log.warning("aggregate too large to broadcast; using a sort-merge join")
+        size = agg.agg(
+            (F.count(F.lit(1)) * _ROW_BYTES + F.coalesce(F.sum(F.octet_length("zip")), F.lit(0)))
+            .alias("bytes")).first()["bytes"]
+        if size > MAX_BROADCAST_BYTES:
+            log.warning("aggregate too large to broadcast (~%d bytes); using a sort-merge join", size)
             strategy = "merge"
     elif strategy == "shuffle_replicate_nl":
         # Same rows as the equi-join; no cartesian product at any size.
