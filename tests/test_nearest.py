@@ -117,3 +117,34 @@ def test_auto_chooses_the_plan_from_the_site_bound(spark):
         for pid, (dist, _, division) in want.items():
             assert got[pid][1] == division, (bound, pid)
             assert got[pid][0] == pytest.approx(dist, rel=1e-12, abs=1e-9)
+
+
+def test_grid_refines_the_base_cell_around_a_dense_cluster(spark):
+    # 300 distinct sites within ~200 m and 30 spread over a degree: the cell
+    # from the overall extent would hold the whole cluster.
+    import urbanlens.operators.nearest as nearest
+    from urbanlens.operators.nearest import prepare_sites
+
+    rnd = random.Random(7)
+    sites = [(i, f"c{i}", 34.05 + rnd.randint(0, 2000) * 1e-6, -118.25 + rnd.randint(0, 2000) * 1e-6)
+             for i in range(300)]
+    sites += [(300 + i, f"s{i}", 34 + rnd.uniform(0, 1), -118.7 + rnd.uniform(0, 1)) for i in range(30)]
+    sdf = spark.createDataFrame(sites, "ord long, division string, lat double, lon double")
+    prepared = prepare_sites(sdf).checkpoint(eager=True)
+    ext = [r for r in prepared.selectExpr("count(1)", "min(lat_r)", "max(lat_r)", "min(lon_r)",
+                                          "max(lon_r)").first()]
+    base = nearest._base_cell(*ext)
+    s = nearest._refine_for_hot_cells(prepared, base)
+    assert s < base
+    cells = nearest._cell(s, F.col("x"), F.col("y"), F.col("z"))
+    assert prepared.groupBy(*cells).count().agg(F.max("count")).first()[0] <= nearest._MAX_CELL_SITES
+
+    pts = [(j, 34.05 + rnd.uniform(-0.001, 0.003), -118.25 + rnd.uniform(-0.001, 0.003)) for j in range(150)]
+    pts += [(1000 + j, 34 + rnd.uniform(0, 1), -118.7 + rnd.uniform(0, 1)) for j in range(50)]
+    pdf = spark.createDataFrame(pts, "id long, lat double, lon double")
+    want = {pid: min((_haversine(la, lo, t[2], t[3]), t[0], t[1]) for t in sites) for pid, la, lo in pts}
+    got = {r.id: (r.distance, r.division) for r in nearest_site(pdf, sdf, point_id="id", strategy="grid").collect()}
+    assert set(got) == set(want)
+    for pid, (dist, _, division) in want.items():
+        assert got[pid][1] == division, pid
+        assert got[pid][0] == pytest.approx(dist, rel=1e-12, abs=1e-9)

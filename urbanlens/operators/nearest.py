@@ -21,8 +21,9 @@ Two exact plans:
   and the 26 around it; any site outside that block is at least ``s`` away,
   so a best candidate closer than ``s`` is final.  Points that are not yet
   sure go on to the next, coarser level; at ``s >= 2`` the block holds every
-  site.  ``s0`` comes from the sites' own spread, so a point meets a handful
-  of candidates.  The per-point minimum groups by (cell, point), which the
+  site.  ``s0`` comes from the sites' own spread, made finer while any cell
+  holds more than ``_MAX_CELL_SITES`` sites, so a point meets a bounded
+  number of candidates even next to a dense cluster.  The per-point minimum groups by (cell, point), which the
   cell join has already partitioned, so there is no second shuffle.
   Every level is written to the shared checkpoint folder before the next.
 """
@@ -52,6 +53,8 @@ except (ImportError, AttributeError):  # pragma: no cover
 MAX_ARRAY_SITES = 20_000
 _PAIRS_PER_CHUNK = 2_000_000   # points x sites evaluated at once in a task
 _MARGIN = 1e-9
+_MAX_CELL_SITES = 32   # grid: most sites in one base cell before it is made finer
+_MIN_CELL = 1e-9       # grid: smallest cell side (chord units, about 6 mm)
 
 _BEST_TYPE = "struct<distance:double,ord:long,division:string>"
 _LAST = 2**63 - 1  # order of a site whose order value is missing
@@ -263,7 +266,26 @@ def _base_cell(n_sites: int, lat_min: float, lat_max: float, lon_min: float, lon
     height = max((lat_max - lat_min) * EARTH_RADIUS_KM, 1e-3)
     width = max((lon_max - lon_min) * EARTH_RADIUS_KM * math.cos((lat_min + lat_max) / 2), 1e-3)
     spacing_km = math.sqrt(height * width / n_sites)
-    return min(max(2 * spacing_km / EARTH_RADIUS_KM, 1e-9), 2.0)
+    return min(max(2 * spacing_km / EARTH_RADIUS_KM, _MIN_CELL), 2.0)
+
+
+def _refine_for_hot_cells(prepared: DataFrame, s: float) -> float:
+    """Halve the base cell side while one cell holds more than ``_MAX_CELL_SITES`` sites.
+
+    The side from the overall extent fits evenly spread sites.  A dense
+    cluster (say a third of all sites in one small area) would otherwise pair
+    every point near it with the whole cluster; finer cells keep the
+    candidates per point bounded there, and points elsewhere resolve at a
+    later, coarser level.  Each probe is one aggregation over the
+    materialised site list (one row per cell leaves each task).
+    """
+    while s > _MIN_CELL:
+        cells = _cell(s, F.col("x"), F.col("y"), F.col("z"))
+        top = prepared.groupBy(*cells).count().agg(F.max("count").alias("top")).first()["top"]
+        if top is None or top <= _MAX_CELL_SITES:
+            break
+        s = max(s / 2, _MIN_CELL)
+    return s
 
 
 def _nearest_by_grid(points, prepared, lat, lon, point_id, base_cell_km, digits):
@@ -282,7 +304,7 @@ def _nearest_by_grid(points, prepared, lat, lon, point_id, base_cell_km, digits)
     if ext["n"] == 0:
         return _finish(pts.withColumn("_best", F.lit(None).cast(_BEST_TYPE)), digits).drop("_p")
     s = (base_cell_km / EARTH_RADIUS_KM if base_cell_km
-         else _base_cell(ext["n"], ext["a"], ext["b"], ext["c"], ext["d"]))
+         else _refine_for_hot_cells(prepared, _base_cell(ext["n"], ext["a"], ext["b"], ext["c"], ext["d"])))
 
     pending, done = pts, []
     while True:
