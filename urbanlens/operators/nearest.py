@@ -334,18 +334,36 @@ def _grid_level(pending, prepared, point_id, s, final, restrict=True):
     # which is the shape AQE needs to split a hot cell.  (An explicit
     # repartition does not do: AQE never splits a user-requested shuffle.)
     sx, sy, sz = _cell(s, F.col("x"), F.col("y"), F.col("z"))
-    replicas = (
-        prepared.withColumns({"_sx": sx, "_sy": sy, "_sz": sz})
-        .withColumn("_dx", F.explode(_neighbours()))
-        .withColumn("_dy", F.explode(_neighbours()))
-        .withColumn("_dz", F.explode(_neighbours()))
-        .select((F.col("_sx") + F.col("_dx")).alias("_cx"),
-                (F.col("_sy") + F.col("_dy")).alias("_cy"),
-                (F.col("_sz") + F.col("_dz")).alias("_cz"),
-                F.struct("lat_r", "lon_r", "cos_lat", "ord", "division").alias("_site"))
-    )
+    site_struct = F.struct("lat_r", "lon_r", "cos_lat", "ord", "division").alias("_site")
     if restrict:
-        replicas = replicas.join(pts.select(*keys).distinct(), on=keys, how="left_semi")
+        # Later levels: the distinct cells of pending points, each with its
+        # 27 neighbour cells, are few; sites meet them through their own
+        # cell, so the site list is read once rather than expanded 27 times.
+        wanted = (
+            pts.select(*keys).distinct()
+            .withColumn("_dx", F.explode(_neighbours()))
+            .withColumn("_dy", F.explode(_neighbours()))
+            .withColumn("_dz", F.explode(_neighbours()))
+            .select(*keys, (F.col("_cx") + F.col("_dx")).alias("_sx"),
+                    (F.col("_cy") + F.col("_dy")).alias("_sy"),
+                    (F.col("_cz") + F.col("_dz")).alias("_sz"))
+        )
+        replicas = (
+            prepared.select(sx.alias("_sx"), sy.alias("_sy"), sz.alias("_sz"), site_struct)
+            .join(wanted, on=["_sx", "_sy", "_sz"])
+            .select(*keys, "_site")
+        )
+    else:
+        replicas = (
+            prepared.withColumns({"_sx": sx, "_sy": sy, "_sz": sz})
+            .withColumn("_dx", F.explode(_neighbours()))
+            .withColumn("_dy", F.explode(_neighbours()))
+            .withColumn("_dz", F.explode(_neighbours()))
+            .select((F.col("_sx") + F.col("_dx")).alias("_cx"),
+                    (F.col("_sy") + F.col("_dy")).alias("_cy"),
+                    (F.col("_sz") + F.col("_dz")).alias("_cz"),
+                    site_struct)
+        )
     replicas = replicas.checkpoint(eager=True)
     site = F.col("_site")
     p = F.col("_p")
