@@ -23,8 +23,10 @@ Two exact plans:
   sure go on to the next, coarser level; at ``s >= 2`` the block holds every
   site.  ``s0`` comes from the sites' own spread, made finer while any cell
   holds more than ``_MAX_CELL_SITES`` sites, so a point meets a bounded
-  number of candidates even next to a dense cluster.  The per-point minimum groups by (cell, point), which the
-  cell join has already partitioned, so there is no second shuffle.
+  number of candidates even next to a dense cluster.  The per-point minimum
+  groups by (cell, point), which the cell join has already partitioned, so
+  there is no second shuffle.  Levels after the first expand only the cells
+  of pending points to their neighbours, never the site list.
   Every level is written to the shared checkpoint folder before the next.
 """
 
