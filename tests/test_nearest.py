@@ -134,7 +134,7 @@ def test_grid_refines_the_base_cell_around_a_dense_cluster(spark):
     ext = [r for r in prepared.selectExpr("count(1)", "min(lat_r)", "max(lat_r)", "min(lon_r)",
                                           "max(lon_r)").first()]
     base = nearest._base_cell(*ext)
-    s = nearest._refine_for_hot_cells(prepared, base)
+    s = nearest._refine_for_hot_cells(prepared, base, ext[0])
     assert s < base
     cells = nearest._cell(s, F.col("x"), F.col("y"), F.col("z"))
     assert prepared.groupBy(*cells).count().agg(F.max("count")).first()[0] <= nearest._MAX_CELL_SITES
@@ -148,3 +148,17 @@ def test_grid_refines_the_base_cell_around_a_dense_cluster(spark):
     for pid, (dist, _, division) in want.items():
         assert got[pid][1] == division, pid
         assert got[pid][0] == pytest.approx(dist, rel=1e-12, abs=1e-9)
+
+
+def test_grid_refinement_is_bounded(spark):
+    # 40 distinct sites within a fraction of a millimetre cannot be split
+    # into cells of at most 32; the refinement stops after _MAX_REFINE halvings.
+    import urbanlens.operators.nearest as nearest
+    from urbanlens.operators.nearest import prepare_sites
+
+    sites = [(i, f"p{i}", 34.05 + i * 1e-12, -118.25) for i in range(40)]
+    sites += [(100 + i, f"s{i}", 34 + 0.1 * i, -118.7 + 0.1 * i) for i in range(10)]
+    sdf = spark.createDataFrame(sites, "ord long, division string, lat double, lon double")
+    prepared = prepare_sites(sdf).checkpoint(eager=True)
+    assert nearest._refine_for_hot_cells(prepared, 1e-3, 50) == 1e-3 / 2**nearest._MAX_REFINE
+    assert nearest._refine_for_hot_cells(prepared, 1e-3, 20) == 1e-3  # too few sites to probe

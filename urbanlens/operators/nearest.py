@@ -57,6 +57,7 @@ _PAIRS_PER_CHUNK = 2_000_000   # points x sites evaluated at once in a task
 _MARGIN = 1e-9
 _MAX_CELL_SITES = 32   # grid: most sites in one base cell before it is made finer
 _MIN_CELL = 1e-9       # grid: smallest cell side (chord units, about 6 mm)
+_MAX_REFINE = 8        # grid: most halvings of the base cell (each adds a level)
 
 _BEST_TYPE = "struct<distance:double,ord:long,division:string>"
 _LAST = 2**63 - 1  # order of a site whose order value is missing
@@ -271,7 +272,7 @@ def _base_cell(n_sites: int, lat_min: float, lat_max: float, lon_min: float, lon
     return min(max(2 * spacing_km / EARTH_RADIUS_KM, _MIN_CELL), 2.0)
 
 
-def _refine_for_hot_cells(prepared: DataFrame, s: float) -> float:
+def _refine_for_hot_cells(prepared: DataFrame, s: float, n_sites: int) -> float:
     """Halve the base cell side while one cell holds more than ``_MAX_CELL_SITES`` sites.
 
     The side from the overall extent fits evenly spread sites.  A dense
@@ -279,14 +280,19 @@ def _refine_for_hot_cells(prepared: DataFrame, s: float) -> float:
     every point near it with the whole cluster; finer cells keep the
     candidates per point bounded there, and points elsewhere resolve at a
     later, coarser level.  Each probe is one aggregation over the
-    materialised site list (one row per cell leaves each task).
+    materialised site list (one row per cell leaves each task).  At most
+    ``_MAX_REFINE`` halvings, since every halving adds a level for the
+    points far from all sites.
     """
-    while s > _MIN_CELL:
+    if n_sites <= _MAX_CELL_SITES:
+        return s
+    floor = max(_MIN_CELL, s / 2**_MAX_REFINE)
+    while s > floor:
         cells = _cell(s, F.col("x"), F.col("y"), F.col("z"))
         top = prepared.groupBy(*cells).count().agg(F.max("count").alias("top")).first()["top"]
         if top is None or top <= _MAX_CELL_SITES:
             break
-        s = max(s / 2, _MIN_CELL)
+        s = max(s / 2, floor)
     return s
 
 
@@ -306,7 +312,8 @@ def _nearest_by_grid(points, prepared, lat, lon, point_id, base_cell_km, digits)
     if ext["n"] == 0:
         return _finish(pts.withColumn("_best", F.lit(None).cast(_BEST_TYPE)), digits).drop("_p")
     s = (base_cell_km / EARTH_RADIUS_KM if base_cell_km
-         else _refine_for_hot_cells(prepared, _base_cell(ext["n"], ext["a"], ext["b"], ext["c"], ext["d"])))
+         else _refine_for_hot_cells(prepared, _base_cell(ext["n"], ext["a"], ext["b"], ext["c"], ext["d"]),
+                                    ext["n"]))
 
     pending, done = pts, []
     while True:
