@@ -34,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from urbanlens.llm.common import cut, join_unique, packed, text_of, unpacked
 
@@ -203,7 +204,7 @@ def lost_keys(documents: DataFrame, min_chars: int = MIN_CHARS,
     return lost.groupBy("id").agg(F.collect_set("key").alias("keys"))
 
 
-@F.pandas_udf("struct<kept: string, dropped: long>")
+@F.pandas_udf(T.StructType([T.StructField("kept", T.StringType()), T.StructField("dropped", T.LongType())]))
 def _drop(text: pd.Series, keys: pd.Series) -> pd.DataFrame:
     kept, dropped = [], []
     for t, lose in zip(text, keys):

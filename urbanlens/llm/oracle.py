@@ -7,17 +7,17 @@ _SPACES = " || ".join(f"chr({n})" for n in (32, 9, 10, 11, 12, 13))
 OP3 = f"""
 WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 lines AS (
-  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS at FROM docs),
+  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM docs),
 keyed AS (
-  SELECT doc_id, at, line, translate(trim(line, {_SPACES}), '{UPPER}', '{LOWER}') AS k FROM lines),
+  SELECT doc_id, pos, line, translate(rtrim(ltrim(line, {_SPACES}), {_SPACES}), '{UPPER}', '{LOWER}') AS k FROM lines),
 repeated AS (
   SELECT k, min(doc_id) AS keeper FROM keyed WHERE length(k) >= 10
   GROUP BY k HAVING count(DISTINCT doc_id) >= 2),
 marked AS (
-  SELECT y.doc_id, y.at, y.line, (r.k IS NOT NULL AND y.doc_id <> r.keeper) AS lost
+  SELECT y.doc_id, y.pos, y.line, (r.k IS NOT NULL AND y.doc_id <> r.keeper) AS lost
   FROM keyed y LEFT JOIN repeated r ON y.k = r.k)
 SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN lost THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
-  sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT lost), '')) AS kept_sha256
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT lost), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
 
