@@ -54,3 +54,30 @@ FROM doc_words d LEFT JOIN hits h ON d.doc_id = h.doc_id LEFT JOIN items i ON d.
 """
 
 ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3, "op6_decontamination": OP6}
+
+OP5 = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+'), []) AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s : s + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, least(len(w), 4) AS n, unnest(range(1, len(w) - least(len(w), 4) + 2)) AS s
+        FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * c >= 85 * (x.n + y.n - c)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, r) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT ways.b, reach.r FROM reach JOIN ways ON reach.doc_id = ways.a)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, m.component_id
+FROM documents d LEFT JOIN sizes s ON d.doc_id = s.doc_id
+JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) m ON d.doc_id = m.doc_id
+"""
+
+ORACLE_SQL["op5_jaccard"] = OP5

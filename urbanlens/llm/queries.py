@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlens.llm import factorisation, kneser_ney, line_dedup, suffix_automaton
+from urbanlens.llm import factorisation, kneser_ney, line_dedup, partenum, suffix_automaton
 from urbanlens.llm.common import in_bucket, table
 from urbanlens.llm.oracle import ORACLE_SQL
 from urbanlens.session import checkpoint_dir
@@ -40,6 +40,12 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("score") >= factorisation.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checkpoint_dir(spark)
+    out = partenum.similar_groups(table(spark, sf_dir, "documents"), size=4, part=85, of=100)
+    return out.select(*_row("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint_dir(spark)
     out = suffix_automaton.scan_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
@@ -60,6 +66,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_quality": op4_quality,
+    "op5_jaccard": op5_jaccard,
     "op6_decontamination": op6_decontamination,
     "op9_language": op9_language,
 }
