@@ -10,26 +10,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from urbanlens.llm import factorisation, line_dedup, suffix_automaton
-from urbanlens.llm.common import cut, table
+from urbanlens.llm.common import cut, prepare, table
 from urbanlens.llm.queries import quality_machine
-from urbanlens.session import checkpoint_dir
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects (score below its threshold) go."""
-    checkpoint_dir(spark)
+    prepare(spark)
     return factorisation.keep_good(docs, quality_machine(spark, docs, sf_dir))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, except where they stand first; every document stays."""
-    checkpoint_dir(spark)
+    prepare(spark)
     return line_dedup.dedup_lines_in_place(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go; all others stay as they are."""
-    checkpoint_dir(spark)
+    prepare(spark)
     return suffix_automaton.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -45,7 +44,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result of all stages over ``documents``."""
-    checkpoint_dir(spark)
+    prepare(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from urbanlens.session import scratch_path
+from urbanlens.session import checkpoint_dir, scratch_path
 
 # The white space and the letters that the contracts name.
 SPACES = "\t\n\x0b\x0c\r "
@@ -20,6 +20,9 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
+ARROW_ROWS = 2_000
+ARROW_BYTES = 8 << 20
+
 #: At most this many keys can each hold more than 1/HOT_KEYS of the rows, so a
 #: table of such keys is small whatever the data.
 HOT_KEYS = 500
@@ -27,6 +30,13 @@ HOT_KEYS = 500
 HOT_KEY_CHARS = 2_000
 
 
+def prepare(spark: SparkSession) -> None:
+    """The shared folder, and a bound on the bytes a task hands to Python at once."""
+    checkpoint_dir(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -29,7 +29,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -114,22 +113,21 @@ def _suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per segment: hashes that the once-seen filter has met before, each once."""
     filters: dict[int, tuple[Bloom, Bloom]] = {}
     for batch in batches:
-        frame = batch.to_pandas()
+        segments, hashes, marks = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("segment", "h", "again"))
         out = []
-        for segment, part in frame.groupby("segment", sort=False):
-            once, twice = filters.setdefault(segment, (Bloom(SEGMENT_BITS), Bloom(SEGMENT_BITS)))
-            hashes, first, counts = np.unique(part["h"].to_numpy().view(np.uint64),
-                                              return_index=True, return_counts=True)
-            marked = pd.Series(part["again"].to_numpy()).groupby(part["h"].to_numpy().view(np.uint64)).any()
-            again = (counts > 1) | marked.loc[hashes].to_numpy() | once.has(hashes)
-            once.add(hashes)
-            new = hashes[again]
+        for segment in np.unique(segments):
+            once, twice = filters.setdefault(int(segment), (Bloom(SEGMENT_BITS), Bloom(SEGMENT_BITS)))
+            here = segments == segment
+            found, where, counts = np.unique(hashes[here].view(np.uint64), return_inverse=True, return_counts=True)
+            again = (counts > 1) | (np.bincount(where, marks[here]) > 0) | once.has(found)
+            once.add(found)
+            new = found[again]
             new = new[~twice.has(new)]
             twice.add(new)
             out.append(new)
-        found = np.concatenate(out) if out else np.empty(0, np.uint64)
-        if len(found):
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["h"])
+        passed = np.concatenate(out) if out else np.empty(0, np.uint64)
+        if len(passed):
+            yield pa.RecordBatch.from_arrays([pa.array(passed.view(np.int64))], names=["h"])
 
 
 def _filter_parts(bits: int, part_bits: int):
@@ -204,20 +202,21 @@ def lost_keys(documents: DataFrame, min_chars: int = MIN_CHARS,
     return lost.groupBy("id").agg(F.collect_set("key").alias("keys"))
 
 
-@F.pandas_udf(T.StructType([T.StructField("kept", T.StringType()), T.StructField("dropped", T.LongType())]))
-def _drop(text: pd.Series, keys: pd.Series) -> pd.DataFrame:
+@F.arrow_udf(T.StructType([T.StructField("kept", T.StringType()), T.StructField("dropped", T.LongType())]))
+def _drop(text: pa.Array, keys: pa.Array) -> pa.Array:
     kept, dropped = [], []
-    for t, lose in zip(text, keys):
-        if t is None or lose is None:
+    for t, lose in zip(text.cast(pa.binary()).to_pylist(), keys):
+        if t is None:
             kept.append(None)
             dropped.append(0)
             continue
-        lose = {k.encode("utf-8", "surrogatepass") for k in lose}
-        lines = t.encode("utf-8", "surrogatepass").split(b"\n")
+        lose = set(lose.values.cast(pa.binary()).to_pylist())
+        lines = t.split(b"\n")
         stay = [x for x in lines if line_key(x) not in lose]
-        kept.append(b"\n".join(stay).decode("utf-8", "surrogatepass"))
+        kept.append(b"\n".join(stay))
         dropped.append(len(lines) - len(stay))
-    return pd.DataFrame({"kept": kept, "dropped": dropped})
+    return pa.StructArray.from_arrays([pa.array(kept, pa.binary()).cast(pa.string()), pa.array(dropped, pa.int64())],
+                                      names=["kept", "dropped"])
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",

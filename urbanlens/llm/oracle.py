@@ -81,3 +81,50 @@ JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) m ON d.d
 """
 
 ORACLE_SQL["op5_jaccard"] = OP5
+
+OP7 = """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -1, n, r, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(n, r))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+  CAST(sum(length('<|im_start|>') + length('<|im_end|>') + 2
+    + length(replace(replace(replace(role, '&', '&amp;'), '<|', '&lt;|'), chr(10), '&#10;'))
+    + length(replace(replace(text, '&', '&amp;'), '<|', '&lt;|'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+OP8 = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, coalesce(html, '') AS html FROM pages),
+last AS (SELECT html, max(page_id) AS keeper FROM p WHERE n >= 1000 GROUP BY html)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, sha1(p.html) AS payload_digest,
+  CASE WHEN l.keeper <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN l.keeper <> p.page_id THEN l.keeper END AS refers_to
+FROM p LEFT JOIN last l ON p.n >= 1000 AND p.html = l.html
+"""
+
+OP10 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+usable AS (
+  SELECT vec_id, label, e FROM v
+  WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM usable a JOIN usable b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(vec_id, r) AS (
+  SELECT vec_id, vec_id FROM v
+  UNION
+  SELECT links.b, reach.r FROM reach JOIN links ON reach.vec_id = links.a)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, m.component_id, v.vec_id = m.component_id AS kept
+FROM v LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON v.vec_id = n.a
+JOIN (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id) m ON v.vec_id = m.vec_id
+"""
+
+ORACLE_SQL |= {"op7_chat": OP7, "op8_warc": OP8, "op10_embeddings": OP10}
