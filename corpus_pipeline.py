@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from urbanlens.llm import factorisation, line_dedup, suffix_automaton
+from urbanlens.llm import factorisation, line_dedup, mixing, partenum, suffix_automaton
 from urbanlens.llm.common import cut, prepare, table
 from urbanlens.llm.queries import quality_machine
 
@@ -26,16 +26,30 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines_in_place(docs)
 
 
+def similar_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by similar five-word shingle sets (0.8 or more) the one with the smallest id stays."""
+    prepare(spark)
+    return partenum.keep_first(docs, size=5, part=80, of=100)
+
+
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go; all others stay as they are."""
     prepare(spark)
     return suffix_automaton.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents drawn by the temperature mix: doc_id, source, n_tokens, epoch, block_rank, draw."""
+    prepare(spark)
+    return mixing.mix(docs).withColumnRenamed("id", "doc_id")
+
+
 STAGES = [
     ("quality", quality_stage),
     ("line_dedup", line_stage),
+    ("jaccard", similar_stage),
     ("decontamination", benchmark_stage),
+    ("mixing", mixing_stage),
 ]
 
 #: The classifier is not expressible in SQL; tests/llm hold the stages against brute force.

@@ -128,3 +128,54 @@ JOIN (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id) m ON v.v
 """
 
 ORACLE_SQL |= {"op7_chat": OP7, "op8_warc": OP8, "op10_embeddings": OP10}
+
+
+def _draw(text: str) -> str:
+    return f"('0x' || substr(md5({text}), 1, 12))::BIGINT"
+
+
+OP1 = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source, coalesce('=' || source, '-') AS key,
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS n_tokens FROM documents),
+counts AS (
+  SELECT key, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM docs GROUP BY key HAVING sum(n_tokens) > 0),
+total AS (SELECT CAST(sum(tokens) AS BIGINT) AS t, list(tokens / (SELECT sum(tokens) FROM counts)::DOUBLE) AS shares FROM counts),
+bisect(step, low, high) AS (
+  SELECT 0, 0.0::DOUBLE, 2.0::DOUBLE
+  UNION ALL
+  SELECT step + 1, CASE WHEN flat THEN mid ELSE low END, CASE WHEN flat THEN high ELSE mid END
+  FROM (
+    SELECT step, low, high, mid,
+      ln(list_sum(m)) - list_sum(list_transform(m, lambda x: x * ln(x))) / list_sum(m) >= 0.97 * ln(len(m)) AS flat
+    FROM (SELECT step, low, high, (low + high) / 2 AS mid,
+            list_transform(shares, lambda s: pow(s, (low + high) / 2)) AS m
+          FROM bisect, total WHERE step < 54))),
+chosen AS (SELECT least(low, 1.0) AS t FROM bisect WHERE step = 54),
+mass AS (SELECT key, tokens, pow(tokens / total.t::DOUBLE, chosen.t) AS m, total.t AS total FROM counts, total, chosen),
+quotas AS (
+  SELECT key, tokens, CAST(floor(round(m / (SELECT sum(m) FROM mass), 9) * total) AS BIGINT) AS quota,
+    least(CAST(ceil(tokens / 50000.0) AS BIGINT), 10000) AS blocks FROM mass),
+sources AS (SELECT key, blocks, quota // tokens AS whole, quota % tokens AS rest FROM quotas),
+dealt AS (
+  SELECT d.*, {_draw("concat_ws('|', 'block', d.key, coalesce(d.doc_id::VARCHAR, '-'))")} % s.blocks AS block,
+    s.whole, s.rest FROM docs d JOIN sources s ON d.key = s.key),
+sizes AS (SELECT key, block, whole, rest, sum(n_tokens) AS size FROM dealt GROUP BY ALL),
+epochs AS (SELECT *, unnest(range(0, whole + 1)) AS epoch FROM sizes),
+placed AS (SELECT *, {_draw("concat_ws('|', 'order', epoch::VARCHAR, key, block::VARCHAR)")} AS place FROM epochs),
+plan AS (
+  SELECT key, block, epoch, row_number() OVER o AS block_rank,
+    CASE WHEN epoch = whole THEN rest - (sum(size) OVER o - size) END AS left_
+  FROM placed WINDOW o AS (PARTITION BY key, epoch ORDER BY place, block ROWS UNBOUNDED PRECEDING)),
+drawn AS (
+  SELECT d.doc_id, d.source, d.key, d.block, d.n_tokens, p.epoch, p.block_rank, p.left_,
+    {_draw("concat_ws('|', 'doc', p.epoch::VARCHAR, d.key, coalesce(d.doc_id::VARCHAR, '-'))")} AS draw
+  FROM dealt d JOIN plan p ON d.key = p.key AND d.block = p.block WHERE p.left_ IS NULL OR p.left_ > 0),
+taken AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY key, block, epoch ORDER BY draw, doc_id, n_tokens
+    ROWS UNBOUNDED PRECEDING) - n_tokens AS taken FROM drawn)
+SELECT doc_id, source, CAST(n_tokens AS BIGINT) AS n_tokens, epoch, block_rank, draw
+FROM taken WHERE left_ IS NULL OR taken < left_
+"""
+
+ORACLE_SQL["op1_mixing"] = OP1

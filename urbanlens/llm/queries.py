@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlens.llm import chat, factorisation, hyperplanes, kneser_ney, line_dedup, partenum, suffix_automaton, warc
+from urbanlens.llm import chat, factorisation, hyperplanes, kneser_ney, line_dedup, mixing, partenum, suffix_automaton, warc
 from urbanlens.llm.common import in_bucket, prepare, table
 from urbanlens.llm.oracle import ORACLE_SQL
 
@@ -19,6 +19,11 @@ def _row(*names: str) -> list:
     return [F.col("row").getField(n).alias(n) for n in names]
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return mixing.mix(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
@@ -94,6 +99,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op3_line_dedup": op3_line_dedup,
     "op4_quality": op4_quality,
     "op5_jaccard": op5_jaccard,
