@@ -126,7 +126,7 @@ class Signatures:
 
     def of_set(self, features: np.ndarray) -> np.ndarray:
         out = []
-        for band in self.bands_of(len(features)):
+        for band in self.bands_of(len(features)) if len(features) else ():
             k = self.bands[band][2]
             if k == 0:
                 continue       # only equal sets link
