@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlens.llm import chat, factorisation, hyperplanes, kneser_ney, line_dedup, mixing, partenum, suffix_automaton, warc
+from urbanlens.llm import chat, factorisation, hyperplanes, kneser_ney, lattice, line_dedup, mixing, partenum, suffix_automaton, warc
 from urbanlens.llm.common import in_bucket, prepare, table
 from urbanlens.llm.oracle import ORACLE_SQL
 
 LABEL_FOLDS, LABEL_HELD = 4, 2
+SCORE_FOLDS, SCORE_HELD = 5, 1
 LANG_FOLDS, LANG_HELD = 5, 0
 
 
@@ -24,6 +25,14 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op2_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    held = in_bucket("doc_id", SCORE_FOLDS, SCORE_HELD)
+    out = lattice.score_documents(table(spark, sf_dir, "documents"), ~held, keep=["doc_id"])
+    return out.select(*_row("doc_id"), in_bucket("row.doc_id", SCORE_FOLDS, SCORE_HELD).alias("held_out"),
+                      "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
@@ -100,6 +109,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_lattice": op2_lattice,
     "op3_line_dedup": op3_line_dedup,
     "op4_quality": op4_quality,
     "op5_jaccard": op5_jaccard,
