@@ -38,7 +38,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanlens.llm.common import cut, packed, ranges, row_schema, text_of
@@ -48,7 +48,7 @@ SLACK = 1
 BAND_RATIO = 1.4
 BLOCK_SETS = 1024              # sets in a block of a cluster
 BLOCK_FEATURES = 1 << 20       # shingles in a block of a cluster
-_CACHE = 1 << 19
+MAX_SENT_IDS = 500_000         # ids of cluster members that are broadcast
 _BUFFER = 1 << 21              # signatures held by a task before they are reduced
 
 _U = np.uint64
@@ -61,36 +61,96 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LONG_WORD = 1 << 12           # bytes; longer words are hashed one by one
+_PIECE = 1 << 20               # bytes hashed at once
+_rng = np.random.default_rng(0x5EED)
+_LETTER = _rng.integers(0, 1 << 63, (2, 256)).astype(np.uint64) * _U(2) + _U(1)
+_POWER = np.cumprod(np.concatenate([np.ones((2, 1), np.uint64), np.repeat(np.array(
+    [[0x9E3779B97F4A7C15], [0xD6E8FEB86659FD93]], np.uint64), _LONG_WORD - 1, axis=1)], axis=1), axis=1)
+
+
+def word_hashes(buffer: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of every word of a lower-cased buffer."""
+    data = np.frombuffer(buffer, np.uint8)
+    inside = ~_SPACE[data]
+    edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
+    start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    if not len(start):
+        return np.empty(0, np.uint64), start
+    size = stop - start
+    letters = data[inside]
+    first = np.concatenate([[0], np.cumsum(size)[:-1]])
+    place = np.minimum(np.arange(len(letters)) - np.repeat(first, size), _LONG_WORD - 1)
+    sums = [np.add.reduceat(_LETTER[k][letters] * _POWER[k][place], first) for k in (0, 1)]
+    out = _mix(sums[0]) + _mix(sums[1] ^ _U(0x2545F4914F6CDD1D)) * _ODD[2]
+    for k in np.flatnonzero(size >= _LONG_WORD):
+        out[k] = xxhash.xxh3_64_intdigest(buffer[start[k]:stop[k]])
+    return out, start
+
+
 class Shingles:
     """Sorted distinct shingle hashes of texts."""
 
     def __init__(self, size: int):
         self.size = size
-        self.known: dict[bytes, int] = {}
+
+    def _words(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The word hashes of each text."""
+        out: list[np.ndarray] = []
+        held: list[bytes] = []
+        room = 0
+
+        def flush() -> None:
+            nonlocal room
+            if held:
+                hashes, start = word_hashes(b"\n".join(held).lower())
+                ends = np.cumsum([len(t) + 1 for t in held])
+                out.extend(np.split(hashes, np.searchsorted(start, ends[:-1])))
+                held.clear()
+                room = 0
+
+        for text in texts:
+            if len(text) <= _PIECE:
+                held.append(text)
+                room += len(text)
+                if room >= _PIECE:
+                    flush()
+                continue
+            flush()
+            parts, at = [], 0
+            while at < len(text):     # a long text in parts that end between words
+                end = min(at + _PIECE, len(text))
+                while end < len(text) and not _SPACE[text[end]]:
+                    end += 1
+                parts.append(word_hashes(text[at:end].lower())[0])
+                at = end
+            out.append(np.concatenate(parts))
+        flush()
+        return out
+
+    def of_all(self, texts: list[bytes]) -> list[np.ndarray]:
+        out = []
+        for h in self._words(texts):
+            n = min(self.size, len(h))
+            if not n:
+                out.append(h)
+                continue
+            got = np.zeros(len(h) - n + 1, np.uint64)
+            for i in range(n):
+                got = (got ^ h[i:len(h) - n + 1 + i]) * _ODD[1]
+                got ^= got >> _U(31)
+            if n < self.size:
+                got = _mix(got + _U(n))
+            got.sort()
+            if len(got) > 1:
+                got = got[np.concatenate([[True], got[1:] != got[:-1]])]
+            out.append(got)
+        return out
 
     def of(self, text: bytes) -> np.ndarray:
-        words = text.lower().split()
-        if not words:
-            return np.empty(0, np.uint64)
-        known = self.known
-        if len(known) > _CACHE:
-            known.clear()
-        try:
-            hashes = [known[w] for w in words]
-        except KeyError:
-            for w in words:
-                if w not in known:
-                    known[w] = xxhash.xxh3_64_intdigest(w)
-            hashes = [known[w] for w in words]
-        h = np.array(hashes, np.uint64)
-        n = min(self.size, len(h))
-        out = np.zeros(len(h) - n + 1, np.uint64)
-        for i in range(n):
-            out = (out ^ h[i:len(h) - n + 1 + i]) * _ODD[1]
-            out ^= out >> _U(31)
-        if n < self.size:
-            out = _mix(out + _U(n))
-        return np.unique(out)
+        return self.of_all([text])[0]
 
 
 class Signatures:
@@ -124,36 +184,45 @@ class Signatures:
             return 1, k, k + 2
         return k // 2 + 1 + SLACK, 1, 3
 
-    def of_set(self, features: np.ndarray) -> np.ndarray:
-        out = []
-        for band in self.bands_of(len(features)) if len(features) else ():
+    def of_sets(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """All signatures of the sets, and the number of the set each belongs to."""
+        sizes = np.array([len(f) for f in sets], np.int64)
+        members: dict[int, list[int]] = {}
+        for i, n in enumerate(sizes):
+            for band in self.bands_of(int(n)) if n else ():
+                members.setdefault(band, []).append(i)
+        out, who = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for band, those in members.items():
             k = self.bands[band][2]
             if k == 0:
                 continue       # only equal sets link
             g, k2, n2 = self.plan(k)
+            m, at_once = len(those), np.array(those)
             salt = _U((band + 1) * 0x2545F4914F6CDD1D & 0xFFFFFFFFFFFFFFFF)
-            mixed = _mix(features ^ salt)
-            at = ((mixed >> _U(33)) % _U(g * n2)).astype(np.int64)
-            sums = np.zeros(g * n2, np.uint64)
+            mixed = _mix(np.concatenate([sets[i] for i in those]) ^ salt)
+            owner = np.repeat(np.arange(m), sizes[at_once])
+            at = owner * (g * n2) + ((mixed >> _U(33)) % _U(g * n2)).astype(np.int64)
+            sums = np.zeros(m * g * n2, np.uint64)
             np.add.at(sums, at, mixed)
-            counts = np.bincount(at, minlength=g * n2).reshape(g, n2)
-            sums = sums.reshape(g, n2)
+            counts = np.bincount(at, minlength=m * g * n2).reshape(m, g, n2)
+            sums = sums.reshape(m, g, n2)
             groups = np.arange(g, dtype=np.uint64)
-            found, empty = [], []
-            for number, subset in enumerate(combinations(range(n2), n2 - k2)):
-                # Partitions keep their places in the hash.
-                value = np.zeros(g, np.uint64)
-                for place in subset:
-                    value = (value ^ _mix(sums[:, place] + _U(place + 1))) * _ODD[2]
-                tag = _mix(groups * _U(64) + _U(number)) ^ salt
-                found.append(_mix(value ^ tag))
-                empty.append(counts[:, subset].sum(axis=1) == 0)
-            empty_ = np.stack(empty)
-            if g > 1 and empty_.any(axis=0).sum() <= SLACK:
-                out.append(np.stack(found)[~empty_])
-            else:
-                out.append(np.concatenate(found))
-        return np.concatenate(out) if out else np.empty(0, np.uint64)
+            subsets = list(combinations(range(n2), n2 - k2))
+            empty = np.stack([counts[:, :, s].sum(axis=2) == 0 for s in subsets])
+            # Few groups with an empty subset: those subsets need not be emitted.
+            spared = (empty.any(axis=0).sum(axis=1) <= SLACK) & (g > 1)
+            for number, subset in enumerate(subsets):
+                value = np.zeros((m, g), np.uint64)
+                for place in subset:       # partitions keep their places in the hash
+                    value = (value ^ _mix(sums[:, :, place] + _U(place + 1))) * _ODD[2]
+                found = _mix(value ^ _mix(groups * _U(64) + _U(number)) ^ salt)
+                said = ~(empty[number] & spared[:, None])
+                out.append(found[said])
+                who.append(at_once[np.nonzero(said)[0]])
+        return np.concatenate(out), np.concatenate(who)
+
+    def of_set(self, features: np.ndarray) -> np.ndarray:
+        return self.of_sets([features])[0]
 
 
 class Forest:
@@ -182,8 +251,7 @@ def _set_body(size: int):
         shingles = Shingles(size)
         for batch in batches:
             n, k1, k2 = [], [], []
-            for text in text_of(batch, "text").to_pylist():
-                got = shingles.of(text)
+            for got in shingles.of_all(text_of(batch, "text").to_pylist()):
                 digest = xxhash.xxh3_128_digest(got.tobytes())
                 n.append(len(got))
                 k1.append(int.from_bytes(digest[:8], "little", signed=True))
@@ -195,64 +263,99 @@ def _set_body(size: int):
     return body
 
 
-def _signature_body(size: int, part: int, of: int):
-    """(key, id, hub): a signature with the task's first document, or a document with its task's hub."""
+def chain(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of ``keys``, where each begins in it, and a spanning forest of the ids that share keys (n x 2)."""
+    order = np.argsort(keys, kind="stable")
+    sorted_ = keys[order]
+    first = np.ones(len(keys), bool)
+    first[1:] = sorted_[1:] != sorted_[:-1]
+    again = np.flatnonzero(~first)
+    a, b = ids[order[again]], ids[order[again - 1]]
+    names, where = np.unique(np.concatenate([a, b]), return_inverse=True)
+    forest, edges = Forest(len(names)), []
+    for i, j in zip(where[:len(a)].tolist(), where[len(a):].tolist()):
+        if forest.join(i, j):
+            edges.append((i, j))
+    return order, first, names[np.array(edges, np.int64).reshape(-1, 2)]
+
+
+_TAIL = 5                      # bytes of a signature that are sent; its place tells the rest
+
+
+def _signature_body(size: int, part: int, of: int, places: int):
+    """Packed signatures by place, each once a task, and the edges that join the task's own documents."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, signatures = Shingles(size), Signatures(part, of)
-        held: list[np.ndarray] = []
-        ids: list[int] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         total = 0
 
         def reduced() -> pa.RecordBatch:
-            sig = np.concatenate(held)
-            who = np.repeat(np.arange(len(ids)), [len(h) for h in held])
-            name = np.array(ids, np.int64)
-            order = np.argsort(sig, kind="stable")
-            sig, who = sig[order], who[order]
-            again = np.flatnonzero(sig[1:] == sig[:-1]) + 1
-            first = np.ones(len(sig), bool)
-            first[again] = False
-            forest, edges = Forest(len(ids)), []
-            for i in again:
-                if forest.join(int(who[i - 1]), int(who[i])):
-                    edges.append((who[i], who[i - 1]))
-            a = name[[e[0] for e in edges]] if edges else np.empty(0, np.int64)
-            b = name[[e[1] for e in edges]] if edges else np.empty(0, np.int64)
-            keys = sig[first].view(np.int64)
-            n = len(keys)
+            sig = np.concatenate([h[0] for h in held])
+            ids = np.concatenate([h[1] for h in held])
             held.clear()
-            ids.clear()
-            return pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([keys, _mix(a.view(np.uint64)).view(np.int64)])),
-                pa.array(np.concatenate([name[who[first]], a])),
-                pa.array(np.concatenate([np.zeros(n, np.int64), b]),
-                         mask=np.concatenate([np.ones(n, bool), np.zeros(len(b), bool)])),
-            ], names=["key", "id", "hub"])
+            order, first, edges = chain(sig, ids)
+            sig, ids = sig[order[first]], ids[order[first]]
+            place = ((sig >> _U(8 * _TAIL)) % _U(places)).astype(np.int64)
+            by_place = np.lexsort((ids, place))
+            sig, ids, place = sig[by_place], ids[by_place], place[by_place]
+            cuts = np.flatnonzero(np.diff(place)) + 1
+            tails = sig.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_TAIL]
+            columns = [place[np.concatenate([[0], cuts])].tolist(), [t.tobytes() for t in np.split(tails, cuts)],
+                       [i.tobytes() for i in np.split(ids, cuts)], [b""] * (len(cuts) + 1)]
+            if len(edges):
+                for column, value in zip(columns, (int(edges[0, 0]) % places, b"", b"", edges.tobytes())):
+                    column.append(value)
+            types = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
+                                              names=["place", "tails", "ids", "edges"])
 
         for batch in batches:
-            for doc, text in zip(batch.column("id").to_pylist(), text_of(batch, "text").to_pylist()):
-                found = signatures.of_set(shingles.of(text))
-                if len(found):
-                    held.append(found)
-                    ids.append(doc)
-                    total += len(found)
-                    if total >= _BUFFER:
-                        yield reduced()
-                        total = 0
+            names = batch.column("id").to_numpy()
+            found, who = signatures.of_sets(shingles.of_all(text_of(batch, "text").to_pylist()))
+            if len(found):
+                held.append((found, names[who]))
+                total += len(found)
+                if total >= _BUFFER:
+                    yield reduced()
+                    total = 0
         if held:
             yield reduced()
 
     return body
 
 
+def _meet_body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges between documents of one partition's signatures."""
+    keys, ids = [], []
+
+    def out(edges: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["a", "b"])
+
+    for batch in batches:
+        for place, tails, names, edges in zip(*(batch.column(c).to_pylist()
+                                                for c in ("place", "tails", "ids", "edges"))):
+            if edges:
+                yield out(np.frombuffer(edges, np.int64).reshape(-1, 2))
+            if tails:
+                wide = np.zeros((len(tails) // _TAIL, 8), np.uint8)
+                wide[:, :_TAIL] = np.frombuffer(tails, np.uint8).reshape(-1, _TAIL)
+                keys.append(wide.view("<u8").ravel() | (_U(place) << _U(8 * _TAIL)))
+                ids.append(np.frombuffer(names, np.int64))
+    if keys:
+        yield out(chain(np.concatenate(keys), np.concatenate(ids))[2])
+
+
 def candidate_edges(docs: DataFrame, size: int, part: int, of: int) -> DataFrame:
-    """(a, b) that join all documents with a common signature."""
-    rows = docs.mapInArrow(_signature_body(size, part, of), "key long, id long, hub long")
-    chain = Window.partitionBy("key", F.col("hub").isNull()).orderBy("id")
-    met = rows.select("id", F.coalesce("hub", F.lag("id").over(chain)).alias("b"))
-    return met.where(F.col("b").isNotNull() & (F.col("id") != F.col("b"))).select(
-        F.col("id").alias("a"), "b").distinct()
+    """(a, b) that join all documents with a common signature.
+
+    A partition's signatures (13 bytes each) are held by its task: set the
+    shuffle partitions so that one holds a few million, as for any sort.
+    """
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    places = min(8 * partitions, 1 << 20)
+    rows = docs.mapInArrow(_signature_body(size, part, of, places), "place int, tails binary, ids binary, edges binary")
+    return rows.repartition(partitions, "place").mapInArrow(_meet_body, "a long, b long")
 
 
 def _features_body(size: int):
@@ -261,7 +364,7 @@ def _features_body(size: int):
         for batch in batches:
             column = text_of(batch, "text")
             for start, stop in ranges(column, 4 << 20):
-                sets = [shingles.of(t).tobytes() for t in column[start:stop].to_pylist()]
+                sets = [f.tobytes() for f in shingles.of_all(column[start:stop].to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c)[start:stop] for c in ("cluster", "id", "blocks")] + [pa.array(sets, pa.binary())],
                     names=["cluster", "id", "blocks", "features"])
@@ -339,7 +442,9 @@ def verified_links(docs: DataFrame, members: DataFrame, size: int, part: int, of
     totals = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("features"))
     totals = totals.where(F.col("sets") > 1).select("cluster", F.ceil(F.greatest(
         F.col("sets") / BLOCK_SETS, F.col("features") / BLOCK_FEATURES)).cast("int").alias("blocks"))
-    rows = docs.join(members.join(totals, "cluster").select("id", "cluster", "blocks"), "id")
+    wanted = cut(members.join(totals, "cluster").select("id", "cluster", "blocks"), "jaccard-wanted")
+    # Ids of bounded number go to the texts; more of them meet the texts in a shuffle.
+    rows = docs.join(F.broadcast(wanted) if wanted.count() <= MAX_SENT_IDS else wanted, "id")
     sets = rows.select("cluster", "id", "blocks", "text").mapInArrow(
         _features_body(size), "cluster long, id long, blocks int, features binary")
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
