@@ -17,9 +17,9 @@ def _summary(df):
 
 @pytest.mark.parametrize("strategy", ["array", "grid"])
 def test_fixture_summary(spark, tmp_dir, strategy):
-    crimes = read_crimes(spark, write_crime_files(tmp_dir)).withColumn("id", F.monotonically_increasing_id())
+    crimes = read_crimes(spark, write_crime_files(tmp_dir))
     stations = read_stations(spark, write_stations(tmp_dir), order_col="PREC")
-    out = nearest_site(crimes, stations, point_id="id", strategy=strategy)
+    out = nearest_site(crimes, stations, strategy=strategy)
     assert _summary(out) == Q4_EXPECTED  # TWIN ties CENTRAL and loses on order
     assert point_rejects(crimes).first().bad_coordinates == 1
 
@@ -33,7 +33,7 @@ def test_no_sites_gives_nulls(spark):
     pts = spark.createDataFrame([(1, 34.0, -118.0)], "id long, lat double, lon double")
     empty = spark.createDataFrame([], "ord long, division string, lat double, lon double")
     for strategy in ("array", "grid"):
-        row = nearest_site(pts, empty, point_id="id", strategy=strategy).first()
+        row = nearest_site(pts, empty, strategy=strategy).first()
         assert row.division is None and row.distance is None
 
 
@@ -60,9 +60,9 @@ def test_random_points_against_brute_force(spark, seed):
     want = {}
     for pid, la, lo in pts:
         want[pid] = min((_haversine(la, lo, s[2], s[3]), s[0], s[1]) for s in sites)
-    for strategy, kw in (("array", {}), ("grid", {}), ("grid", {"base_cell_km": 0.5})):
+    for strategy, kw in (("array", {}), ("grid", {}), ("grid", {"tile_sites": 5})):
         got = {r.id: (r.distance, r.division) for r in
-               nearest_site(pdf, sdf, point_id="id", strategy=strategy, **kw).collect()}
+               nearest_site(pdf, sdf, strategy=strategy, **kw).collect()}
         assert set(got) == set(want)
         for pid, (dist, _, division) in want.items():
             assert got[pid][1] == division, (strategy, pid)
@@ -80,12 +80,15 @@ def test_haversine_expression_matches_python(spark):
 @pytest.mark.parametrize("strategy", ["array", "grid"])
 def test_text_coordinates_with_junk_are_rejected_not_fatal(spark, strategy):
     pts = spark.createDataFrame([(1, "34.05", "-118.25"), (2, "n/a", "-118.2"), (3, None, "1"),
-                                 (4, "95.0", "0"), (5, "34.2", "-118.45")], "id long, lat string, lon string")
+                                 (4, "NaN", "0"), (6, "95.0", "-118"), (7, "-Infinity", "3"), (5, "34.2", "-118.45")], "id long, lat string, lon string")
     sites = spark.createDataFrame([("0", "A", "34.05", "-118.25"), ("x", "B", "oops", "1"),
                                    ("2", "C", "34.2", "-118.45")], "ord string, division string, lat string, lon string")
-    got = {r.id: r.division for r in nearest_site(pts, sites, point_id="id", strategy=strategy).collect()}
-    assert got == {1: "A", 5: "C"}
-    assert point_rejects(pts).first().bad_coordinates == 3
+    got = {r.id: r.division for r in nearest_site(pts, sites, strategy=strategy).collect()}
+    assert set(got) == {1, 5, 6} and (got[1], got[5]) == ("A", "C")
+    assert point_rejects(pts).first().bad_coordinates == 4
+    inside = nearest_site(pts, sites, strategy=strategy, box=(33, 35, -119, -117))
+    assert sorted(r.id for r in inside.collect()) == [1, 5]
+    assert point_rejects(pts, box=(33, 35, -119, -117)).first().bad_coordinates == 5
 
 
 @pytest.mark.parametrize("strategy", ["array", "grid"])
@@ -93,7 +96,7 @@ def test_site_without_order_loses_ties(spark, strategy):
     pts = spark.createDataFrame([(1, 34.05, -118.25)], "id long, lat double, lon double")
     sites = spark.createDataFrame([(None, "NO_ORDER", 34.06, -118.25), (9, "NINE", 34.06, -118.25)],
                                   "ord long, division string, lat double, lon double")
-    row = nearest_site(pts, sites, point_id="id", strategy=strategy).first()
+    row = nearest_site(pts, sites, strategy=strategy).first()
     assert row.division == "NINE"  # same place, an exact tie: the ordered site wins
 
 
@@ -110,8 +113,8 @@ def test_auto_chooses_the_plan_from_the_site_bound(spark):
     pdf = spark.createDataFrame(pts, "id long, lat double, lon double")
     want = {pid: min((_haversine(la, lo, s[2], s[3]), s[0], s[1]) for s in sites) for pid, la, lo in pts}
     for bound, array_plan in ((20, True), (5, True), (3, False)):
-        out = nearest_site(pdf, sdf, point_id="id", strategy="auto", max_array_sites=bound)
-        assert ("MapInPandas" in physical_plan(out)) == array_plan, bound
+        out = nearest_site(pdf, sdf, strategy="auto", max_array_sites=bound)
+        assert ("Join" not in physical_plan(out)) == array_plan, bound
         got = {r.id: (r.distance, r.division) for r in out.collect()}
         assert set(got) == set(want)
         for pid, (dist, _, division) in want.items():
@@ -119,46 +122,102 @@ def test_auto_chooses_the_plan_from_the_site_bound(spark):
             assert got[pid][0] == pytest.approx(dist, rel=1e-12, abs=1e-9)
 
 
-def test_grid_refines_the_base_cell_around_a_dense_cluster(spark):
-    # 300 distinct sites within ~200 m and 30 spread over a degree: the cell
-    # from the overall extent would hold the whole cluster.
+@pytest.mark.parametrize("bound", [2, 5, 100])
+def test_plans_agree_on_ids_types_and_ties(spark, bound):
+    """Duplicate and null ids, null and equal orders, text coordinates: same rows and types everywhere."""
+    pts = spark.createDataFrame(
+        [(1, "34.05", "-118.25"), (1, "34.05", "-118.25"), (None, "34.06", "-118.25"), (None, "34.20", "-118.40"),
+         (2, "95", "-118.3"), (3, None, "1"), (4, "34.05", "-118.2499")], "id long, lat string, lon string")
+    sites = spark.createDataFrame(
+        [(5, "B", 34.05, -118.25), (5, "A", 34.05, -118.25), (None, "N", 34.2, -118.4), (None, None, 34.2, -118.4),
+         (7, "D", 34.05, -118.2498), (7, "C", 34.05, -118.2498), (9, "far", 10.0, 10.0)],
+        "ord long, division string, lat double, lon double")
+    want = nearest_site(pts, sites, strategy="array")
+    rows = sorted(map(tuple, want.collect()), key=repr)
+    assert len(rows) == 6 and [r[3] for r in rows if r[0] == 1] == ["A", "A"]
+    assert [r[3] for r in rows if r[1] == "34.20"] == [None]
+    for out in (nearest_site(pts, sites, strategy="grid"), nearest_site(pts, sites, max_array_sites=bound),
+                nearest_site(pts, sites, strategy="grid", tile_sites=1),
+                nearest_site(pts, sites, strategy="array", max_array_sites=bound)):
+        assert out.dtypes == want.dtypes and out.columns == ["id", "lat", "lon", "division", "distance"]
+        assert sorted(map(tuple, out.collect()), key=repr) == rows
+
+
+def test_byte_bound_sends_the_search_to_the_grid(spark, monkeypatch):
+    import urbanlens.operators.nearest as nearest
+    from urbanlens.plans.inspect import physical_plan
+
+    pts = spark.createDataFrame([(1, 34.0, -118.0)], "id long, lat double, lon double")
+    sites = spark.createDataFrame([(0, "d" * 1000, 34.0, -118.0), (1, "e" * 1000, 35.0, -118.0)],
+                                  "ord long, division string, lat double, lon double")
+    assert "Join" not in physical_plan(nearest_site(pts, sites))
+    monkeypatch.setattr(nearest, "MAX_ARRAY_BYTES", 1500)
+    out = nearest_site(pts, sites)
+    assert "Join" in physical_plan(out) and out.first().division == "d" * 1000
+
+
+def test_dense_cluster_and_hot_points(spark, monkeypatch):
+    """Sites 10,000 times denser in one place, and a third of the points on one spot."""
     import urbanlens.operators.nearest as nearest
-    from urbanlens.operators.nearest import prepare_sites
 
+    monkeypatch.setattr(nearest, "PART_POINTS", 100)
     rnd = random.Random(7)
-    sites = [(i, f"c{i}", 34.05 + rnd.randint(0, 2000) * 1e-6, -118.25 + rnd.randint(0, 2000) * 1e-6)
-             for i in range(300)]
-    sites += [(300 + i, f"s{i}", 34 + rnd.uniform(0, 1), -118.7 + rnd.uniform(0, 1)) for i in range(30)]
+    sites = [(i, f"c{i}", 34.05 + rnd.randint(0, 900) * 1e-6, -118.25 + rnd.randint(0, 900) * 1e-6) for i in range(900)]
+    sites += [(1000 + i, f"s{i}", 34 + rnd.uniform(0, 1), -118.7 + rnd.uniform(0, 1)) for i in range(60)]
+    pts = [(j, 34.0501, -118.2499) for j in range(400)]
+    pts += [(1000 + j, 34.05 + rnd.uniform(-0.002, 0.003), -118.25 + rnd.uniform(-0.002, 0.003)) for j in range(150)]
+    pts += [(2000 + j, 34 + rnd.uniform(-2, 2), -118.7 + rnd.uniform(-2, 2)) for j in range(150)]
     sdf = spark.createDataFrame(sites, "ord long, division string, lat double, lon double")
-    prepared = prepare_sites(sdf).checkpoint(eager=True)
-    ext = [r for r in prepared.selectExpr("count(1)", "min(lat_r)", "max(lat_r)", "min(lon_r)",
-                                          "max(lon_r)").first()]
-    base = nearest._base_cell(*ext)
-    s = nearest._refine_for_hot_cells(prepared, base, ext[0])
-    assert s < base
-    cells = nearest._cell(s, F.col("x"), F.col("y"), F.col("z"))
-    assert prepared.groupBy(*cells).count().agg(F.max("count")).first()[0] <= nearest._MAX_CELL_SITES
-
-    pts = [(j, 34.05 + rnd.uniform(-0.001, 0.003), -118.25 + rnd.uniform(-0.001, 0.003)) for j in range(150)]
-    pts += [(1000 + j, 34 + rnd.uniform(0, 1), -118.7 + rnd.uniform(0, 1)) for j in range(50)]
-    pdf = spark.createDataFrame(pts, "id long, lat double, lon double")
+    pdf = spark.createDataFrame(pts, "id long, lat double, lon double").repartition(3)
     want = {pid: min((_haversine(la, lo, t[2], t[3]), t[0], t[1]) for t in sites) for pid, la, lo in pts}
-    got = {r.id: (r.distance, r.division) for r in nearest_site(pdf, sdf, point_id="id", strategy="grid").collect()}
-    assert set(got) == set(want)
-    for pid, (dist, _, division) in want.items():
-        assert got[pid][1] == division, pid
-        assert got[pid][0] == pytest.approx(dist, rel=1e-12, abs=1e-9)
+    for kw in ({"strategy": "array"}, {"strategy": "grid", "tile_sites": 64}):
+        got = {r.id: (r.distance, r.division) for r in nearest_site(pdf, sdf, **kw).collect()}
+        assert set(got) == set(want)
+        for pid, (dist, _, division) in want.items():
+            assert got[pid][1] == division, (kw, pid)
+            assert got[pid][0] == pytest.approx(dist, rel=1e-12, abs=1e-9)
 
 
-def test_grid_refinement_is_bounded(spark):
-    # 40 distinct sites within a fraction of a millimetre cannot be split
-    # into cells of at most 32; the refinement stops after _MAX_REFINE halvings.
-    import urbanlens.operators.nearest as nearest
-    from urbanlens.operators.nearest import prepare_sites
+def test_index_meets_few_sites_per_point():
+    """The work per point hardly grows with the sites: pairs met, over 1,000 and 20,000 sites."""
+    import numpy as np
 
-    sites = [(i, f"p{i}", 34.05 + i * 1e-12, -118.25) for i in range(40)]
-    sites += [(100 + i, f"s{i}", 34 + 0.1 * i, -118.7 + 0.1 * i) for i in range(10)]
-    sdf = spark.createDataFrame(sites, "ord long, division string, lat double, lon double")
-    prepared = prepare_sites(sdf).checkpoint(eager=True)
-    assert nearest._refine_for_hot_cells(prepared, 1e-3, 50) == 1e-3 / 2**nearest._MAX_REFINE
-    assert nearest._refine_for_hot_cells(prepared, 1e-3, 20) == 1e-3  # too few sites to probe
+    from urbanlens.operators.nearest import SiteIndex, _unit
+
+    rng = np.random.default_rng(3)
+    met = {}
+    for n in (1_000, 20_000):
+        index = SiteIndex(rng.uniform(33, 35, n), rng.uniform(-119, -117, n), np.arange(n), np.array(["d"] * n, object))
+        xyz = _unit(np.radians(rng.uniform(33, 35, 2_000)), np.radians(rng.uniform(-119, -117, 2_000)))
+        met[n] = len(index.tree.near(xyz)[0]) * 16 / 2_000
+    assert met[20_000] < 3 * met[1_000] and met[20_000] < 400
+
+
+def test_nearest_summary_reads_two_columns(spark, tmp_dir):
+    from urbanlens.plans.inspect import physical_plan
+
+    crimes = read_crimes(spark, write_crime_files(tmp_dir))
+    stations = read_stations(spark, write_stations(tmp_dir), order_col="PREC")
+    plan = physical_plan(nearest_site_summary(nearest_site(crimes, stations)))
+    schemas = [line for line in plan.split("\n") if "ReadSchema" in line]
+    assert len(schemas) == 2 and all("struct<LAT:string,LON:string>" in x or "struct<LON:string,LAT:string>" in x
+                                     for x in schemas)
+
+
+def test_checkpoint_folder_is_required_on_a_cluster():
+    from urbanlens.session import checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())

@@ -44,7 +44,7 @@ def test_area_ratio_aggregates_before_the_join(spark):
 
 def test_nearest_site_array_plan_never_shuffles_points(spark):
     plan = _plan(spark, "nearest_site_assign")
-    assert "MapInPandas" in plan
+    assert "ArrowEvalPython" in plan
     assert "Exchange" not in plan
     assert "ReadSchema: struct<c_custkey:bigint>" in plan
 

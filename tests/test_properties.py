@@ -2,7 +2,6 @@
 
 import glob
 import json
-import math
 import os
 from decimal import ROUND_HALF_EVEN, ROUND_HALF_UP, Decimal
 
@@ -11,7 +10,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from urbanlens.operators.nearest import nearest_site
 from urbanlens.operators.shares import time_of_day_share
 from urbanlens.sources.readers import read_features
 from urbanlens.sources.writers import as_features, write_feature_collections
@@ -51,60 +49,6 @@ def test_shares_match_python(spark, clocks):
         assert got == _expected(clocks, mode)
 
 
-def _haversine(lat1, lon1, lat2, lon2):
-    p1, l1, p2, l2 = map(math.radians, (lat1, lon1, lat2, lon2))
-    a = math.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin((l2 - l1) / 2) ** 2
-    return 2 * 6371.0 * math.atan2(math.sqrt(a), math.sqrt(max(1 - a, 0.0)))
-
-
-def test_grid_with_a_hot_cell_and_forced_skew_split(spark):
-    sites = [(i, f"d{i}", 34.0 + (i % 7) * 0.05, -118.0 - (i // 7) * 0.05) for i in range(35)]
-    # A third of the points sit in one grid cell.
-    hot = [(j, 34.10001 + (j % 10) * 1e-5, -118.10001 - (j % 13) * 1e-5) for j in range(3000)]
-    rest = [(10_000 + j, 34.0 + (j % 50) * 0.006, -118.3 + (j % 40) * 0.0075) for j in range(6000)]
-    pts = hot + rest
-    sdf = spark.createDataFrame(sites, "ord long, division string, lat double, lon double")
-    pdf = spark.createDataFrame(pts, "id long, lat double, lon double").repartition(6)
-    keys = {
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    }
-    old = {k: spark.conf.get(k, None) for k in keys}
-    # Look at the final adaptive plan of the first point/site join.
-    from pyspark.sql.classic.dataframe import DataFrame as ClassicDataFrame
-    from urbanlens.plans.inspect import physical_plan
-    real_checkpoint = ClassicDataFrame.checkpoint
-    plans = []
-
-    def checkpoint(self, eager=True):
-        if not plans and "LeftOuter" in physical_plan(self):
-            self.collect()
-            plans.append(physical_plan(self))
-        return real_checkpoint(self, eager)
-
-    try:
-        for k, v in keys.items():
-            spark.conf.set(k, v)
-        ClassicDataFrame.checkpoint = checkpoint
-        got = {r.id: r.division for r in
-               nearest_site(pdf, sdf, point_id="id", strategy="grid").collect()}
-    finally:
-        ClassicDataFrame.checkpoint = real_checkpoint
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-    assert plans and "SortMergeJoin(skew=true)" in plans[0]
-    assert len(got) == len(pts)
-    for pid, la, lo in pts:
-        want = min((_haversine(la, lo, s[2], s[3]), s[0], s[1]) for s in sites)[2]
-        assert got[pid] == want, pid
-
-
 def test_feature_collections_are_bounded_documents(spark, tmp_dir):
     df = spark.range(25).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")).coalesce(1)
     path = os.path.join(tmp_dir, "docs")

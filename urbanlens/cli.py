@@ -51,9 +51,9 @@ def _area(spark: SparkSession, a) -> DataFrame:
 
 
 def _nearest(spark: SparkSession, a) -> DataFrame:
-    crimes = read_crimes(spark, a.crimes, fmt=a.format).withColumn("_id", F.monotonically_increasing_id())
+    crimes = read_crimes(spark, a.crimes, fmt=a.format)
     stations = read_stations(spark, a.stations, order_col=a.order_column)
-    return nearest_site_summary(nearest_site(crimes, stations, point_id="_id", strategy=a.strategy))
+    return nearest_site_summary(nearest_site(crimes, stations, strategy=a.strategy))
 
 
 def build_parser() -> argparse.ArgumentParser:

@@ -49,3 +49,15 @@ def unit_vector(lat_rad: Column, lon_rad: Column) -> tuple[Column, Column, Colum
     """
     cl = F.cos(lat_rad)
     return cl * F.cos(lon_rad), cl * F.sin(lon_rad), F.sin(lat_rad)
+
+
+def usable_coordinates(lat: Column | str, lon: Column | str) -> Column:
+    """Whether both coordinates (doubles) are finite numbers; never null.
+
+    The one condition for points and sites: values outside the usual ranges
+    are numbers and stay.
+    """
+    def finite(c: Column) -> Column:
+        return F.coalesce(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), F.lit(False))
+
+    return finite(_col(lat)) & finite(_col(lon))

@@ -1,49 +1,46 @@
 """Nearest site per point by great-circle distance, and a per-site summary.
 
-Ties go to the lower ``ord`` (the sites' given order), so the answer does
-not depend on partitioning.  Points without usable coordinates are dropped
-(see ``point_rejects``).  Sites sharing one location are folded to the
-lowest ``ord`` first, which is what the tie rule picks anyway.
-
-Two exact plans:
-
-* **array** (site count checked against ``max_array_sites``): the sites are
-  shipped once to every executor as a broadcast of a few numeric arrays, and
-  each task streams its points through Arrow batches.  Per batch, NumPy ranks
-  all sites by squared straight-line (chord) distance, which needs no trig,
-  and the haversine distance with the (distance, ord) rule is then taken over
-  the near-minimal candidates only.  Points are never shuffled.
-  Measured at sf0.1 (15k points x 1k sites): built-in higher-order functions
-  (interpreted, not code-generated) took 39 s, explode + min aggregate 19 s.
-* **grid** (any number of sites): a multi-level 3-D grid on the unit sphere.
-  The cells have side ``s`` in chord units, ``s0`` at the first level, then
-  growing x2 (x4 after three levels).  A point
-  meets, through an equi-join on the cell id, only the sites of its own cell
-  and the 26 around it; any site outside that block is at least ``s`` away,
-  so a best candidate closer than ``s`` is final.  Points that are not yet
-  sure go on to the next, coarser level; at ``s >= 2`` the block holds every
-  site.  ``s0`` comes from the sites' own spread, made finer while any cell
-  holds more than ``_MAX_CELL_SITES`` sites, so a point meets a bounded
-  number of candidates even next to a dense cluster.  The per-point minimum
-  groups by (cell, point), which the cell join has already partitioned, so
-  there is no second shuffle.  Levels after the first expand only the cells
-  of pending points to their neighbours, never the site list.
-  Every level is written to the shared checkpoint folder before the next.
+Every point with numeric coordinates comes back once, with all its columns as
+they were, and ``division`` and ``distance`` added.  Only null, non-numeric,
+NaN and infinite coordinates are left out (see ``point_rejects``); a box
+filter is optional.  Ties go to the lower (``ord``, ``division``), missing
+values of ``ord`` last and of ``division`` first, whatever the plan.
+
+Two exact plans with the same rows, types and column order:
+
+* **array**: the sites fit a checked bound of rows and bytes.  They go once
+  to every executor as an indexed set of arrays (``SiteIndex``); a vectorised
+  scalar function maps (lat, lon) to (division, distance).  Points are not
+  shuffled, and a query that needs few columns reads few.
+* **grid**: any number of sites.  They are range-partitioned along a
+  space-filling curve into tiles of bounded size, so a dense cluster is cut
+  into as many tiles as its sites need.  The tiles' boxes (their number is
+  bounded) tell each point the few tiles that can hold its nearest site.
+  Points meet those tiles by (tile, part of the tile's points), so a tile
+  with very many points is many tasks, each with one tile's sites.  A point's
+  best candidates are then joined back by a row number of our own: no point
+  id is needed.  The plan is a fixed number of jobs, run while it is built;
+  intermediate tables are written to the shared folder.
+
+The index is a tree of boxes over sites in curve order.  A point descends it
+with two bounds: a box is left out if its nearest corner is farther than the
+farthest corner of some other.  Straight-line (chord) distance grows with the
+great-circle distance, so there are no special cases at the poles or the
+date line; the exact haversine with the tie rule decides among the closest.
 """
 
 from __future__ import annotations
 
-import math
 import sys
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from urbanlens.functions.clean import round_to
-from urbanlens.functions.geo import EARTH_RADIUS_KM, haversine_from_radians, unit_vector
+from urbanlens.functions.geo import EARTH_RADIUS_KM, unit_vector, usable_coordinates
+from urbanlens.session import written
 
 try:  # ship this module's code with the Python tasks
     from pyspark import cloudpickle
@@ -52,31 +49,36 @@ try:  # ship this module's code with the Python tasks
 except (ImportError, AttributeError):  # pragma: no cover
     pass
 
-# Bounds of the two plans.
+# Bounds of the array plan.
 MAX_ARRAY_SITES = 20_000
-_PAIRS_PER_CHUNK = 2_000_000   # points x sites evaluated at once in a task
+MAX_ARRAY_BYTES = 64 << 20
+# Grid plan: sites of a tile (more where that would make over MAX_TILES), points of one task's part.
+TILE_SITES = 4_096
+MAX_TILES = 50_000
+PART_POINTS = 200_000
+
+_FAN = 16                 # sites in a leaf box, boxes in a parent
+_CHUNK = 4_096            # points that descend together
+_MAX_PAIRS = 2_000_000    # (point, box) pairs held at once before the points are split
 _MARGIN = 1e-9
-_MAX_CELL_SITES = 32   # grid: most sites in one base cell before it is made finer
-_MIN_CELL = 1e-9       # grid: smallest cell side (chord units, about 6 mm)
-_MAX_REFINE = 8        # grid: most halvings of the base cell (each adds a level)
+_LAST = 2**63 - 1         # order of a site whose order value is missing
 
-_BEST_TYPE = "struct<distance:double,ord:long,division:string>"
-_LAST = 2**63 - 1  # order of a site whose order value is missing
+Box = tuple[float, float, float, float]
 
 
-def _valid(lat: Column, lon: Column) -> Column:
-    return (
-        lat.isNotNull() & lon.isNotNull() & ~F.isnan(lat) & ~F.isnan(lon)
-        & lat.between(-90.0, 90.0) & lon.between(-180.0, 180.0)
-    )
+def _valid(lat: Column, lon: Column, box: Box | None = None) -> Column:
+    ok = usable_coordinates(lat, lon)
+    if box is not None:
+        ok = ok & lat.between(box[0], box[1]) & lon.between(box[2], box[3])
+    return ok
 
 
-def point_rejects(points: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """One row: how many points have no usable coordinates."""
+def point_rejects(points: DataFrame, lat: str = "lat", lon: str = "lon", box: Box | None = None) -> DataFrame:
+    """One row: how many points ``nearest_site`` leaves out."""
     la, lo = F.col(lat).try_cast("double"), F.col(lon).try_cast("double")
     return points.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.sum(F.when(_valid(la, lo), 0).otherwise(1)).alias("bad_coordinates"),
+        F.count(F.when(~_valid(la, lo, box), 1)).alias("bad_coordinates"),
     )
 
 
@@ -95,28 +97,10 @@ def site_columns(
     ).where(_valid(F.col("lat"), F.col("lon")))
 
 
-def prepare_sites(
-    sites: DataFrame, lat: str = "lat", lon: str = "lon",
-    division: str = "division", order: str = "ord",
-) -> DataFrame:
-    """Sites as degrees, radians, cosine and unit vector; one row per distinct location."""
-    s = site_columns(sites, lat, lon, division, order)
-    s = s.groupBy("lat", "lon").agg(F.min(F.struct("ord", "division")).alias("w"))
-    lat_r, lon_r = F.radians("lat"), F.radians("lon")
-    x, y, z = unit_vector(lat_r, lon_r)
-    return s.select(
-        "lat", "lon",
-        lat_r.alias("lat_r"), lon_r.alias("lon_r"), F.cos(lat_r).alias("cos_lat"),
-        x.alias("x"), y.alias("y"), z.alias("z"),
-        F.col("w.ord").alias("ord"), F.col("w.division").alias("division"),
-    )
-
-
-def _finish(best: DataFrame, digits: int | None) -> DataFrame:
-    dist = F.col("_best.distance")
-    if digits is not None:
-        dist = round_to(dist, digits)
-    return best.withColumns({"division": F.col("_best.division"), "distance": dist}).drop("_best")
+def prepare_sites(sites: DataFrame) -> DataFrame:
+    """``site_columns`` with one row per distinct location, the winner of its ties."""
+    s = sites.groupBy("lat", "lon").agg(F.min(F.struct("ord", "division")).alias("w"))
+    return s.select("lat", "lon", "w.ord", "w.division")
 
 
 def nearest_site(
@@ -124,7 +108,6 @@ def nearest_site(
     sites: DataFrame,
     lat: str = "lat",
     lon: str = "lon",
-    point_id: str | None = None,
     site_lat: str = "lat",
     site_lon: str = "lon",
     division: str = "division",
@@ -132,277 +115,231 @@ def nearest_site(
     strategy: str = "auto",
     digits: int | None = None,
     max_array_sites: int = MAX_ARRAY_SITES,
-    base_cell_km: float | None = None,
+    tile_sites: int = TILE_SITES,
+    box: Box | None = None,
 ) -> DataFrame:
-    """Every valid point with its nearest ``division`` and ``distance`` (km).
+    """Every usable point with its nearest ``division`` and ``distance`` (km).
 
     ``strategy``: ``"array"``, ``"grid"`` or ``"auto"`` (array when the
-    number of distinct site locations is within ``max_array_sites``).  The
-    grid needs a unique ``point_id``.  With no sites at all, division and
-    distance are null.  ``digits`` rounds the distance (half-up).
+    distinct site locations are within ``max_array_sites`` and
+    MAX_ARRAY_BYTES).  A forced array plan beyond that is answered by the
+    grid.  With no sites at all, division and distance are null.  ``digits``
+    rounds the distance (half-up).  ``box`` (lat from, to, lon from, to)
+    leaves out points outside it; off by default.
     """
-    prepared = None
-    if strategy in ("auto", "array"):
-        # ``take`` scans partitions in growing batches and stops once it holds
-        # max_array_sites + 1 rows, so this fetch is bounded whatever the size
-        # of the site table, and it decides the plan at the same time.  The
-        # plain scan is tried first; the de-duplicated list (a shuffle) only
-        # when repeated locations push the plain one over the bound.  That
-        # list is materialised in the shared folder, so if it is still over
-        # the bound the grid plan reuses it instead of aggregating again.
-        rows = site_columns(sites, site_lat, site_lon, division, order).take(max_array_sites + 1)
-        if len(rows) > max_array_sites:
-            prepared = prepare_sites(sites, site_lat, site_lon, division, order).checkpoint(eager=True)
-            rows = prepared.select("lat", "lon", "ord", "division").take(max_array_sites + 1)
-        if len(rows) <= max_array_sites:
-            return _nearest_by_array(points, _site_arrays(rows), lat, lon, digits)
-        if strategy == "array":
-            raise ValueError(f"more than {max_array_sites} site locations; use the grid plan")
-        strategy = "grid"
-    if strategy == "grid":
-        if point_id is None:
-            raise ValueError("the grid plan needs a unique point_id column")
-        if prepared is None:
-            # Sites are read once per level; keep them materialised in the shared folder.
-            prepared = prepare_sites(sites, site_lat, site_lon, division, order).checkpoint(eager=True)
-        return _nearest_by_grid(points, prepared, lat, lon, point_id, base_cell_km, digits)
-    raise ValueError(f"unknown strategy {strategy!r}")
-
-
-# --- array plan ----------------------------------------------------------------------
+    if strategy not in ("auto", "array", "grid"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    listed = site_columns(sites, site_lat, site_lon, division, order)
+    n, size = _extent(listed)
+    fits = n <= max_array_sites and size <= MAX_ARRAY_BYTES
+    if not fits or (strategy == "grid" and n):
+        # Repeated locations are folded once, in the shared folder.
+        listed = written(prepare_sites(listed), "sites")
+        n, size = _extent(listed)
+        fits = n <= max_array_sites and size <= MAX_ARRAY_BYTES
+    la, lo = F.col(lat).try_cast("double"), F.col(lon).try_cast("double")
+    usable = points.where(_valid(la, lo, box))
+    if fits and (strategy != "grid" or not n):
+        out = _nearest_by_array(usable, SiteIndex.from_rows(listed.collect()), la, lo)
+    else:
+        out = _nearest_by_tiles(usable, listed, n, la, lo, tile_sites)
+    distance = F.col("_best.distance")
+    if digits is not None:
+        distance = round_to(distance, digits)
+    return out.select(*[F.col(f"`{c}`") for c in points.columns if c not in ("division", "distance")],
+                      F.col("_best.division").alias("division"), distance.alias("distance"))
+
+
+def _extent(sites: DataFrame) -> tuple[int, int]:
+    """Rows, and bytes of the arrays they would make."""
+    row = sites.agg(F.count(F.lit(1)).alias("n"),
+                    F.coalesce(F.sum(F.octet_length("division")), F.lit(0)).alias("text")).first()
+    return row["n"], row["n"] * 64 + row["text"]
+
+
+# --- the index -------------------------------------------------------------------------
+
+def _unit(lat_r: np.ndarray, lon_r: np.ndarray) -> np.ndarray:
+    c = np.cos(lat_r)
+    return np.stack([c * np.cos(lon_r), c * np.sin(lon_r), np.sin(lat_r)], axis=1)
+
+
+def curve(xyz: np.ndarray) -> np.ndarray:
+    """Place on a space-filling curve: the bits of the three coordinates in turn."""
+    cells = np.clip((xyz + 1) * (1 << 19), 0, (1 << 20) - 1).astype(np.int64)
+    code = np.zeros(len(cells), np.int64)
+    for bit in range(20):
+        for axis in range(3):
+            code |= ((cells[:, axis] >> bit) & 1) << (3 * bit + axis)
+    return code
+
+
+class BoxTree:
+    """Boxes in curve order, under parents of ``_FAN`` consecutive boxes, and so on."""
+
+    def __init__(self, low: np.ndarray, high: np.ndarray):
+        self.levels = [(low, high)]
+        while len(low) > _FAN:
+            at = np.arange(0, len(low), _FAN)
+            low, high = np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)
+            self.levels.append((low, high))
+
+    def near(self, xyz: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(point, box) pairs, ordered by point, of the boxes that can hold its nearest site."""
+        n = len(xyz)
+        low, high = self.levels[-1]
+        point, node = np.repeat(np.arange(n), len(low)), np.tile(np.arange(len(low)), n)
+        for depth in range(len(self.levels) - 1, -1, -1):
+            low, high = self.levels[depth]
+            p = xyz[point]
+            near = np.maximum(np.maximum(low[node] - p, p - high[node]), 0)
+            far = np.maximum(np.abs(p - low[node]), np.abs(p - high[node]))
+            first = np.flatnonzero(np.diff(point, prepend=-1))
+            bound = np.minimum.reduceat((far * far).sum(axis=1), first)
+            keep = (near * near).sum(axis=1) <= bound[point] * (1 + _MARGIN) + 1e-18
+            point, node = point[keep], node[keep]
+            if depth:
+                size = len(self.levels[depth - 1][0])
+                if len(point) * _FAN > _MAX_PAIRS and n > 1:
+                    half = n // 2
+                    a, b = self.near(xyz[:half]), self.near(xyz[half:])
+                    return np.concatenate([a[0], b[0] + half]), np.concatenate([a[1], b[1]])
+                child = node[:, None] * _FAN + np.arange(_FAN)
+                known = child < size
+                point, node = np.repeat(point, known.sum(axis=1)), child[known]
+        return point, node
+
+
+class SiteIndex:
+    """Sites as arrays in curve order, with the tree of their boxes."""
+
+    def __init__(self, lat: np.ndarray, lon: np.ndarray, ord_: np.ndarray, division: np.ndarray):
+        # The place in (ord, division) order breaks ties; one row per location.
+        rank = sorted(range(len(lat)), key=lambda i: (ord_[i], division[i] is not None, division[i] or ""))
+        seen: set = set()
+        rank = [i for i in rank if (key := (lat[i] + 0.0, lon[i] + 0.0)) not in seen and not seen.add(key)]
+        lat_r, lon_r = np.radians(lat[rank]), np.radians(lon[rank])
+        order = np.argsort(curve(_unit(lat_r, lon_r)), kind="stable") if len(rank) else np.empty(0, np.int64)
+        self.tie = order
+        self.lat, self.lon = lat_r[order], lon_r[order]
+        self.cos, self.xyz = np.cos(self.lat), _unit(self.lat, self.lon)
+        self.ord, self.division = ord_[rank][order], division[rank][order]
+        if len(rank):
+            at = np.arange(0, len(order), _FAN)
+            self.tree = BoxTree(np.minimum.reduceat(self.xyz, at), np.maximum.reduceat(self.xyz, at))
+
+    @classmethod
+    def from_rows(cls, rows) -> SiteIndex:
+        return cls(np.array([r["lat"] for r in rows], np.float64), np.array([r["lon"] for r in rows], np.float64),
+                   np.array([r["ord"] for r in rows], np.int64), np.array([r["division"] for r in rows], object))
+
+    def nearest(self, lat: np.ndarray, lon: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Site number (-1: there is none) and distance of each point, in degrees."""
+        site, distance = np.full(len(lat), -1), np.full(len(lat), np.nan)
+        if len(self.lat):
+            for start in range(0, len(lat), _CHUNK):
+                part = slice(start, start + _CHUNK)
+                site[part], distance[part] = self._chunk(np.radians(lat[part]), np.radians(lon[part]))
+        return site, distance
+
+    def _chunk(self, lat_r, lon_r):
+        xyz = _unit(lat_r, lon_r)
+        point, leaf = self.tree.near(xyz)
+        if len(point) * _FAN > _MAX_PAIRS and len(lat_r) > 1:
+            half = len(lat_r) // 2
+            a, b = self._chunk(lat_r[:half], lon_r[:half]), self._chunk(lat_r[half:], lon_r[half:])
+            return np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
+        site = leaf[:, None] * _FAN + np.arange(_FAN)
+        known = site < len(self.lat)
+        point, site = np.repeat(point, known.sum(axis=1)), site[known]
+        gap = xyz[point] - self.xyz[site]
+        chord = (gap * gap).sum(axis=1)
+        least = np.minimum.reduceat(chord, np.flatnonzero(np.diff(point, prepend=-1)))
+        # Candidates within a hair of the closest by chord; the exact rule chooses among them.
+        close = chord <= least[point] * (1 + _MARGIN) + 1e-18
+        point, site = point[close], site[close]
+        d = _haversine_np(lat_r[point], lon_r[point], np.cos(lat_r)[point], self.lat[site], self.lon[site],
+                          self.cos[site])
+        order = np.lexsort((self.tie[site], d, point))
+        pick = order[np.flatnonzero(np.diff(point[order], prepend=-1))]
+        return site[pick], d[pick]
+
 
 def _haversine_np(lat1, lon1, cos1, lat2, lon2, cos2):
     """Same formula and operation order as ``haversine_from_radians``."""
     hdlat = np.sin((lat2 - lat1) / 2)
     hdlon = np.sin((lon2 - lon1) / 2)
     a = hdlat * hdlat + cos1 * cos2 * (hdlon * hdlon)
-    return 2 * EARTH_RADIUS_KM * np.arctan2(np.sqrt(a), np.sqrt(np.maximum(1 - a, 0.0)))
-
-
-def _assign_batches(batches, site_arrays, lat: str, lon: str):
-    s_lat, s_lon, s_cos, s_x, s_y, s_z, s_ord, s_div = site_arrays
-    n_sites = len(s_lat)
-    step = max(1, _PAIRS_PER_CHUNK // max(n_sites, 1))
-    for pdf in batches:
-        n = len(pdf)
-        division = np.full(n, None, dtype=object)
-        distance = np.full(n, np.nan)
-        if n_sites and n:
-            p_lat = np.radians(pdf[lat].to_numpy(dtype="float64"))
-            p_lon = np.radians(pdf[lon].to_numpy(dtype="float64"))
-            p_cos = np.cos(p_lat)
-            p_x, p_y, p_z = p_cos * np.cos(p_lon), p_cos * np.sin(p_lon), np.sin(p_lat)
-            for lo in range(0, n, step):
-                hi = min(n, lo + step)
-                c2 = ((p_x[lo:hi, None] - s_x) ** 2 + (p_y[lo:hi, None] - s_y) ** 2
-                      + (p_z[lo:hi, None] - s_z) ** 2)
-                # Candidates within a hair of the closest by chord; the exact
-                # (distance, ord) choice is made among them.
-                rows, cols = np.nonzero(c2 <= c2.min(axis=1)[:, None] * (1 + _MARGIN) + 1e-18)
-                rp = rows + lo
-                d = _haversine_np(p_lat[rp], p_lon[rp], p_cos[rp], s_lat[cols], s_lon[cols], s_cos[cols])
-                # Sites are sorted by ord, so the column index breaks ties.
-                order = np.lexsort((cols, d, rows))
-                first = np.ones(len(order), dtype=bool)
-                first[1:] = rows[order][1:] != rows[order][:-1]
-                pick = order[first]
-                division[rp[pick]] = s_div[cols[pick]]
-                distance[rp[pick]] = d[pick]
-        out = pdf.copy()
-        out["_best_division"] = pd.Series(division, index=pdf.index, dtype=object)
-        out["_best_distance"] = pd.Series(distance, index=pdf.index)
-        yield out
-
-
-def _site_arrays(rows) -> tuple:
-    """Size-checked site rows -> arrays sorted by ord, one entry per location."""
-    pdf = pd.DataFrame([(r["lat"], r["lon"], r["ord"], r["division"]) for r in rows],
-                       columns=["lat", "lon", "ord", "division"])
-    pdf = (pdf.sort_values("ord", kind="stable")
-           .drop_duplicates(["lat", "lon"], keep="first").reset_index(drop=True))
-    lat_r = np.radians(pdf["lat"].to_numpy(dtype="float64"))
-    lon_r = np.radians(pdf["lon"].to_numpy(dtype="float64"))
-    cos_lat = np.cos(lat_r)
-    return (lat_r, lon_r, cos_lat, cos_lat * np.cos(lon_r), cos_lat * np.sin(lon_r), np.sin(lat_r),
-            pdf["ord"].to_numpy(), pdf["division"].to_numpy(dtype=object))
-
-
-def _nearest_by_array(points, site_arrays, lat, lon, digits):
-    """``site_arrays``: from ``_site_arrays`` (already size-checked)."""
-    spark = points.sparkSession
-    site_arrays = spark.sparkContext.broadcast(site_arrays)
-    # Coordinates are read as doubles; unusable ones are dropped, never fatal.
-    valid = (points.withColumns({lat: F.col(lat).try_cast("double"), lon: F.col(lon).try_cast("double")})
-             .where(_valid(F.col(lat), F.col(lon))))
-    schema = T.StructType(valid.schema.fields + [
-        T.StructField("_best_division", T.StringType()),
-        T.StructField("_best_distance", T.DoubleType()),
-    ])
-
-    def assign(batches):
-        return _assign_batches(batches, site_arrays.value, lat, lon)
-
-    out = valid.mapInPandas(assign, schema)
-    dist = F.col("_best_distance")
-    if digits is not None:
-        dist = round_to(dist, digits)
-    return (out.withColumns({"division": F.col("_best_division"), "distance": dist})
-            .drop("_best_division", "_best_distance"))
-
-
-# --- grid plan -----------------------------------------------------------------------
-
-def _neighbours() -> Column:
-    return F.array(*[F.lit(d) for d in (-1, 0, 1)])
-
-
-def _cell(s: float, x: Column, y: Column, z: Column) -> list[Column]:
-    return [F.floor(c / F.lit(s)).cast("long") for c in (x, y, z)]
-
-
-def _base_cell(n_sites: int, lat_min: float, lat_max: float, lon_min: float, lon_max: float) -> float:
-    """Cell side (chord units) of about twice the typical site spacing.
-
-    The spacing is taken from the sites' own extent, so clustered sites get
-    small cells.  Twice the spacing resolves nearly every point at the first
-    level while a point still meets only a few dozen candidates.
-    """
-    height = max((lat_max - lat_min) * EARTH_RADIUS_KM, 1e-3)
-    width = max((lon_max - lon_min) * EARTH_RADIUS_KM * math.cos((lat_min + lat_max) / 2), 1e-3)
-    spacing_km = math.sqrt(height * width / n_sites)
-    return min(max(2 * spacing_km / EARTH_RADIUS_KM, _MIN_CELL), 2.0)
-
-
-def _refine_for_hot_cells(prepared: DataFrame, s: float, n_sites: int) -> float:
-    """Halve the base cell side while one cell holds more than ``_MAX_CELL_SITES`` sites.
-
-    The side from the overall extent fits evenly spread sites.  A dense
-    cluster (say a third of all sites in one small area) would otherwise pair
-    every point near it with the whole cluster; finer cells keep the
-    candidates per point bounded there, and points elsewhere resolve at a
-    later, coarser level.  Each probe is one aggregation over the
-    materialised site list (one row per cell leaves each task).  At most
-    ``_MAX_REFINE`` halvings, since every halving adds a level for the
-    points far from all sites.
-    """
-    if n_sites <= _MAX_CELL_SITES:
-        return s
-    floor = max(_MIN_CELL, s / 2**_MAX_REFINE)
-    while s > floor:
-        cells = _cell(s, F.col("x"), F.col("y"), F.col("z"))
-        top = prepared.groupBy(*cells).count().agg(F.max("count").alias("top")).first()["top"]
-        if top is None or top <= _MAX_CELL_SITES:
-            break
-        s = max(s / 2, floor)
-    return s
-
-
-def _nearest_by_grid(points, prepared, lat, lon, point_id, base_cell_km, digits):
-    la, lo = F.col(lat).try_cast("double"), F.col(lon).try_cast("double")
-    lat_r, lon_r = F.radians(la), F.radians(lo)
-    x, y, z = unit_vector(lat_r, lon_r)
-    pts = points.where(_valid(la, lo)).withColumn("_p", F.struct(
-        lat_r.alias("lat_r"), lon_r.alias("lon_r"), F.cos(lat_r).alias("cos_lat"),
-        x.alias("x"), y.alias("y"), z.alias("z"),
-    ))
-    # ``prepared`` is already materialised (see ``nearest_site``).
-    ext = prepared.agg(
-        F.count(F.lit(1)).alias("n"), F.min("lat_r").alias("a"), F.max("lat_r").alias("b"),
-        F.min("lon_r").alias("c"), F.max("lon_r").alias("d"),
-    ).first()
-    if ext["n"] == 0:
-        return _finish(pts.withColumn("_best", F.lit(None).cast(_BEST_TYPE)), digits).drop("_p")
-    s = (base_cell_km / EARTH_RADIUS_KM if base_cell_km
-         else _refine_for_hot_cells(prepared, _base_cell(ext["n"], ext["a"], ext["b"], ext["c"], ext["d"]),
-                                    ext["n"]))
-
-    pending, done = pts, []
-    while True:
-        final = s >= 2.0
-        # At the first level every point is pending, so restricting the site
-        # list to occupied cells would cost a full extra scan of the points.
-        resolved, pending = _grid_level(pending, prepared, point_id, s, final, restrict=bool(done))
-        done.append(resolved)
-        if final or pending.isEmpty():
-            break
-        # Any growing sequence of sides is exact.  After three levels the
-        # side grows x4, which keeps the level count small for points far
-        # from every site.
-        s = min(s * (2 if len(done) < 3 else 4), 2.0)
-    result = done[0]
-    for part in done[1:]:
-        result = result.unionByName(part)
-    return _finish(result.drop("_p"), digits)
-
-
-def _grid_level(pending, prepared, point_id, s, final, restrict=True):
-    """One level: (points resolved here, points still pending), from one checkpoint."""
-    keys = ["_cx", "_cy", "_cz"]
-    cx, cy, cz = _cell(s, F.col("_p.x"), F.col("_p.y"), F.col("_p.z"))
-    pts = pending.withColumns(dict(zip(keys, (cx, cy, cz))))
-
-    # Each site is listed under its own cell and the 26 around it, restricted
-    # (``restrict``) to the cells some pending point sits in.  Materialising
-    # this list makes the point join below a plain shuffle on both sides,
-    # which is the shape AQE needs to split a hot cell.  (An explicit
-    # repartition does not do: AQE never splits a user-requested shuffle.)
-    sx, sy, sz = _cell(s, F.col("x"), F.col("y"), F.col("z"))
-    site_struct = F.struct("lat_r", "lon_r", "cos_lat", "ord", "division").alias("_site")
-    if restrict:
-        # Later levels: the distinct cells of pending points, each with its
-        # 27 neighbour cells, are few; sites meet them through their own
-        # cell, so the site list is read once rather than expanded 27 times.
-        wanted = (
-            pts.select(*keys).distinct()
-            .withColumn("_dx", F.explode(_neighbours()))
-            .withColumn("_dy", F.explode(_neighbours()))
-            .withColumn("_dz", F.explode(_neighbours()))
-            .select(*keys, (F.col("_cx") + F.col("_dx")).alias("_sx"),
-                    (F.col("_cy") + F.col("_dy")).alias("_sy"),
-                    (F.col("_cz") + F.col("_dz")).alias("_sz"))
-        )
-        replicas = (
-            prepared.select(sx.alias("_sx"), sy.alias("_sy"), sz.alias("_sz"), site_struct)
-            .join(wanted, on=["_sx", "_sy", "_sz"])
-            .select(*keys, "_site")
-        )
-    else:
-        replicas = (
-            prepared.withColumns({"_sx": sx, "_sy": sy, "_sz": sz})
-            .withColumn("_dx", F.explode(_neighbours()))
-            .withColumn("_dy", F.explode(_neighbours()))
-            .withColumn("_dz", F.explode(_neighbours()))
-            .select((F.col("_sx") + F.col("_dx")).alias("_cx"),
-                    (F.col("_sy") + F.col("_dy")).alias("_cy"),
-                    (F.col("_sz") + F.col("_dz")).alias("_cz"),
-                    site_struct)
-        )
-    replicas = replicas.checkpoint(eager=True)
-    site = F.col("_site")
-    p = F.col("_p")
-    dist = haversine_from_radians(p["lat_r"], p["lon_r"], p["cos_lat"],
-                                  site["lat_r"], site["lon_r"], site["cos_lat"])
-    candidate = F.when(site.isNotNull(), F.struct(
-        dist.alias("distance"), site["ord"].alias("ord"), site["division"].alias("division")))
-    carried = [c for c in pending.columns if c != point_id]
-    # A point sits in one cell, so grouping by (cell, point) gives the same
-    # groups as by point, and after a sort-merge join on the cell it needs no
-    # second shuffle.  A hot cell is still split by AQE's skew join when
-    # forceOptimizeSkewedJoin is on (session default here), at the price of
-    # that shuffle only then.
-    best = (
-        pts.join(replicas, on=keys, how="left")
-        .groupBy(*keys, point_id)
-        .agg(F.min(candidate).alias("_best"), *[F.first(c).alias(c) for c in carried])
-        .drop(*keys)
-        .checkpoint(eager=True)
-    )
-    if final:
-        return best, best.limit(0).drop("_best")
-    chord = 2 * F.sin(F.col("_best.distance") / (2 * EARTH_RADIUS_KM))
-    sure = F.coalesce(chord < F.lit(s * (1 - _MARGIN)), F.lit(False))
-    # Both parts are filters over the level's checkpoint; nothing is recomputed.
-    return best.where(sure), best.where(~sure).drop("_best")
+    return 2 * EARTH_RADIUS_KM * np.arctan2(np.sqrt(np.maximum(a, 0.0)), np.sqrt(np.maximum(1 - a, 0.0)))
+
+
+# --- array plan ------------------------------------------------------------------------
+
+def _nearest_by_array(usable: DataFrame, index: SiteIndex, la: Column, lo: Column) -> DataFrame:
+    shared = usable.sparkSession.sparkContext.broadcast(cloudpickle.dumps(index))
+
+    def assign(lat: pd.Series, lon: pd.Series) -> pd.DataFrame:
+        held = cloudpickle.loads(shared.value)
+        site, distance = held.nearest(lat.to_numpy("float64"), lon.to_numpy("float64"))
+        division = np.full(len(site), None, dtype=object)
+        division[site >= 0] = held.division[site[site >= 0]]
+        return pd.DataFrame({"division": division, "distance": distance})
+
+    best = F.pandas_udf(assign, "struct<division:string,distance:double>")
+    return usable.withColumn("_best", best(la, lo))
+
+
+# --- grid plan -------------------------------------------------------------------------
+
+def _nearest_by_tiles(usable: DataFrame, sites: DataFrame, n_sites: int, la: Column, lo: Column,
+                      tile_sites: int) -> DataFrame:
+    spark = usable.sparkSession
+    n_tiles = max(1, min(-(-n_sites // tile_sites), MAX_TILES))
+    x, y, z = unit_vector(F.radians("lat"), F.radians("lon"))
+    place = F.pandas_udf(lambda a, b, c: pd.Series(curve(np.stack([a, b, c], axis=1))), "long")
+    placed = sites.withColumns({"x": x, "y": y, "z": z}).withColumn("place", place("x", "y", "z"))
+    # Equal places are cut too: latitude and longitude follow in the range key.
+    tiles = written(placed.repartitionByRange(n_tiles, "place", "lat", "lon")
+                    .withColumn("tile", F.spark_partition_id()), "tiles")
+    boxes = tiles.groupBy("tile").agg(*[f(c).alias(f"{name}_{c}") for c in "xyz"
+                                        for name, f in (("low", F.min), ("high", F.max))]).orderBy("tile").collect()
+    names = np.array([b["tile"] for b in boxes])
+    tree = BoxTree(np.array([[b[f"low_{c}"] for c in "xyz"] for b in boxes], np.float64),
+                   np.array([[b[f"high_{c}"] for c in "xyz"] for b in boxes], np.float64))
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps((names, tree)))
+
+    def tiles_of(lat: pd.Series, lon: pd.Series) -> pd.Series:
+        numbers, held = cloudpickle.loads(shared.value)
+        out: list = []
+        lat_r, lon_r = np.radians(lat.to_numpy("float64")), np.radians(lon.to_numpy("float64"))
+        for start in range(0, len(lat_r), _CHUNK):
+            xyz = _unit(lat_r[start:start + _CHUNK], lon_r[start:start + _CHUNK])
+            point, box = held.near(xyz)
+            out.extend(np.split(numbers[box], np.flatnonzero(np.diff(point)) + 1))
+        return pd.Series(out)
+
+    near = F.pandas_udf(tiles_of, "array<int>")
+    base = written(usable.withColumn("_row", F.monotonically_increasing_id()), "points")
+    pairs = written(base.select("_row", la.alias("lat"), lo.alias("lon"), F.explode(near(la, lo)).alias("tile")),
+                    "point-tiles")
+    # One row per tile: at most MAX_TILES, so it may be broadcast.
+    load = pairs.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / PART_POINTS).cast("int").alias("parts"))
+    load = F.broadcast(written(load, "tile-parts"))
+    left = pairs.join(load, "tile").withColumn("part", F.pmod(F.xxhash64("_row"), F.col("parts")).cast("int"))
+    right = tiles.join(load, "tile").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+
+    def compare(points: pd.DataFrame, here: pd.DataFrame) -> pd.DataFrame:
+        index = SiteIndex(here["lat"].to_numpy(), here["lon"].to_numpy(), here["ord"].to_numpy(),
+                          here["division"].to_numpy(object))
+        site, distance = index.nearest(points["lat"].to_numpy(), points["lon"].to_numpy())
+        return pd.DataFrame({"_row": points["_row"].to_numpy(), "distance": distance, "ord": index.ord[site],
+                             "division": index.division[site]})
+
+    found = (left.select("_row", "lat", "lon", "tile", "part").groupBy("tile", "part")
+             .cogroup(right.select("lat", "lon", "ord", "division", "tile", "part").groupBy("tile", "part"))
+             .applyInPandas(compare, "_row long, distance double, ord long, division string"))
+    best = found.groupBy("_row").agg(F.min(F.struct("distance", "ord", "division")).alias("_best"))
+    return base.join(best, "_row")
 
 
 def nearest_site_summary(

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from urbanlens.functions.clean import clock_of, format_event_time, parse_event_time, parse_money
 from urbanlens.operators.areas import area_ratio, income_lookup
-from urbanlens.operators.nearest import nearest_site, nearest_site_summary
+from urbanlens.operators.nearest import nearest_site, nearest_site_summary, point_rejects
 from urbanlens.operators.ranking import monthly_top_k, monthly_top_k_sql
 from urbanlens.operators.shares import time_of_day_share
 from urbanlens.plans import inputs
@@ -217,7 +217,7 @@ def area_ratio_strict_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _assign(spark: SparkSession, sf_dir: str, strategy: str, digits: int | None) -> DataFrame:
     return nearest_site(inputs.points(spark, sf_dir), inputs.sites(spark, sf_dir),
-                        point_id="c_custkey", strategy=strategy, digits=digits)
+                        strategy=strategy, digits=digits)
 
 
 def nearest_site_assign_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,6 +228,15 @@ def nearest_site_assign_grid_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _assign(spark, sf_dir, "grid", 6).select("c_custkey", "division", "distance")
 
 
+def nearest_site_rejects_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text coordinates, some of them null, words or NaN: what the search keeps and leaves out."""
+    pts = inputs.text_points(spark, sf_dir)
+    counts = point_rejects(pts).select(F.explode(F.create_map(
+        F.lit("rows"), "rows", F.lit("bad_coordinates"), "bad_coordinates")).alias("what", "n"))
+    kept = nearest_site(pts, inputs.sites(spark, sf_dir))
+    return counts.unionByName(kept.agg(F.lit("assigned").alias("what"), F.count("division").alias("n")))
+
+
 def nearest_site_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_site_summary(_assign(spark, sf_dir, "auto", None))
 
@@ -295,7 +304,7 @@ def nearest_site_summary_csv_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     crimes = read_crimes(spark, [_write_csv(pts, f"{base}/crimes")], columns={
         "id": ("ID", "bigint"), "lat": CRIME_COLUMNS["lat"], "lon": CRIME_COLUMNS["lon"]})
     sites = read_stations(spark, _write_csv(stations, f"{base}/stations"), order_col="PREC")
-    return nearest_site_summary(nearest_site(crimes, sites, point_id="id"))
+    return nearest_site_summary(nearest_site(crimes, sites))
 
 
 QUERIES: dict[str, Query] = {
@@ -324,6 +333,7 @@ QUERIES: dict[str, Query] = {
     "area_ratio_geojson": area_ratio_geojson_q,
     "nearest_site_assign": nearest_site_assign_q,
     "nearest_site_assign_grid": nearest_site_assign_grid_q,
+    "nearest_site_rejects": nearest_site_rejects_q,
     "nearest_site_summary": nearest_site_summary_q,
     "nearest_site_summary_csv": nearest_site_summary_csv_q,
 }

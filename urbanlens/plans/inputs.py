@@ -96,3 +96,12 @@ def sites(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> Data
         _coord("s_suppkey", LAT_BASE, SITE_LAT_MULT, LAT_SPAN).alias("lat"),
         _coord("s_suppkey", LON_BASE, SITE_LON_MULT, LON_SPAN).alias("lon"),
     )
+
+
+def text_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``points`` as text; every 7th latitude is null, a word, NaN, infinite or outside the usual range."""
+    pts = points(spark, sf_dir)
+    odd = F.when(F.col("c_custkey") % 7 != 0, F.col("lat").cast("string"))
+    for rest, text in ((0, None), (1, "n/a"), (2, "NaN"), (3, "Infinity"), (4, "95.5")):
+        odd = odd.when(F.col("c_custkey") % 5 == rest, F.lit(text))
+    return pts.select("c_custkey", odd.alias("lat"), F.col("lon").cast("string").alias("lon"))

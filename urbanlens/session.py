@@ -4,7 +4,7 @@ Everything intermediate that has to outlive a task (lineage cuts, round-trip
 files written by the source queries) goes under the cluster's
 ``spark.checkpoint.dir``.  That folder is shared storage on a real cluster, so
 work written there survives the loss of an executor.  A local folder is only
-made when the session names none, which is the case in tests and local runs.
+made for a local master whose session names none.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings every query here relies on.
 DEFAULT_CONF = {
@@ -87,8 +87,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The session's reliable checkpoint folder, set up if needed.
 
     Order: a folder already set on the context, then ``spark.checkpoint.dir``
-    from the configuration, and only when both are missing a fresh local
-    folder (single-machine runs).
+    from the configuration.  With neither, a local master gets a fresh local
+    folder; on a cluster that is an error, since executors don't share it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -96,6 +96,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(
+                "name a folder that all executors share: --conf spark.checkpoint.dir=... "
+                "(a machine-local folder is only made for a local master)")
         configured = tempfile.mkdtemp(prefix="urbanlens-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -108,3 +112,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = checkpoint_dir(spark)
     return os.path.join(base, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet into a new folder of the shared location, and read back.
+
+    Cuts the lineage like a checkpoint.  It cuts Spark's size estimate too: a
+    checkpoint keeps it, and estimates multiplied over many joins grow without
+    bound.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

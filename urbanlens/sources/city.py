@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from urbanlens.functions.clean import parse_event_time
+from urbanlens.functions.geo import usable_coordinates
 from urbanlens.sources.readers import (
     conform,
     flatten_features,
@@ -67,7 +68,8 @@ def crime_rejects(spark: SparkSession, paths: Sequence[str], fmt: str = "csv") -
     ``bad_date``: date text missing or not in the event layout (dropped by the
     month ranking); ``bad_clock``: clock text present but not a number (it
     counts as night, like a missing clock); ``bad_coordinates``: latitude or
-    longitude missing or unreadable (dropped by the nearest-site search).
+    longitude missing or not a finite number (left out by the nearest-site search,
+    which uses the same condition).
     One aggregate scan per file.
     """
     frames = []
@@ -78,8 +80,8 @@ def crime_rejects(spark: SparkSession, paths: Sequence[str], fmt: str = "csv") -
             "bad_date": parse_event_time("date_occ").isNull(),
             "bad_clock": F.col("time_occ").isNotNull()
             & F.trim("time_occ").try_cast("int").isNull(),
-            "bad_coordinates": F.trim("lat").try_cast("double").isNull()
-            | F.trim("lon").try_cast("double").isNull(),
+            "bad_coordinates": ~usable_coordinates(
+                F.trim("lat").try_cast("double"), F.trim("lon").try_cast("double")),
         }).select(F.lit(path).alias("source"), "*"))
     return union_sources(frames)
 
