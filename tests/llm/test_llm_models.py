@@ -41,7 +41,7 @@ def _all_spellings(lat, word):
             ways = []
             if p in lat.by_text and not (start and p[0] == MARK):
                 ways.append(math.exp(lat.log[lat.by_text[p]]))
-            if len(p) == 1 and start:
+            if len(p) == 1 and start and (p == MARK or p not in lat.by_text):
                 ways.append(math.exp(sum(lat.log[n + b] for b in p.encode())))
             options = [o * w for o in options for w in ways]
         total += sum(options)

@@ -43,7 +43,8 @@ from urbanlens.llm.common import cut, packed, ranges, row_schema, ship, shipped,
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-ROUNDS = 4                  # of expectation maximisation
+ROUNDS = 3                  # of expectation maximisation, the last over all words
+WARM_COUNT = 3              # words seen so often make the rounds before
 MAX_SHIPPED = 200_000       # words whose counts are sent to every task
 LONG = 64                   # code points of a word that the batched recursion takes
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -87,11 +88,22 @@ class Lattice:
     def __init__(self, pieces: list[str], scores: np.ndarray):
         self.pieces = pieces
         n = len(pieces)
-        hashes = np.array([_hash(_points(p)) for p in pieces], np.uint64)
-        order = np.argsort(hashes)
-        self.sorted, self.place = hashes[order], order
         self.longest = max(map(len, pieces))
         self.by_text = {p: i for i, p in enumerate(pieces)}
+        # All prefixes of pieces by hash (open addressing): slot, or -1 where only longer pieces begin so.
+        values: dict[int, int] = {}
+        for i, piece in enumerate(pieces):
+            for stop in range(1, len(piece)):
+                values.setdefault(_hash(_points(piece[:stop])), -1)
+            values[_hash(_points(piece))] = i
+        bits = max(8, (4 * len(values)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -2, np.int32)
+        for h, value in values.items():
+            at = h >> (64 - bits)
+            while self.keys[at]:
+                at = (at + 1) & self.mask
+            self.keys[at], self.values[at] = h, value
         # Slots: pieces, 256 bytes, end.  Ranks of the vocabulary's scores give the first weights.
         rank = np.empty(n)
         rank[np.argsort(-scores, kind="stable")] = np.arange(n)
@@ -105,39 +117,60 @@ class Lattice:
     def end(self) -> float:
         return float(self.log[-1])
 
-    def _spelt(self, points: np.ndarray) -> np.ndarray:
-        """Log probability of characters spelt in bytes."""
-        kinds, where = np.unique(points, return_inverse=True)
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """The value of each prefix hash; -2 where there is none."""
+        at = (h >> self.shift).astype(np.int64)
+        out = np.where(self.keys[at] == h, self.values[at], -2)
+        left = np.flatnonzero((self.keys[at] != h) & (self.keys[at] != 0))
+        while len(left):
+            at[left] = (at[left] + 1) & self.mask
+            key = self.keys[at[left]]
+            hit = key == h[left]
+            out[left[hit]] = self.values[at[left[hit]]]
+            left = left[~hit & (key != 0)]
+        return out
+
+    def _bytes_log(self, char: str) -> float:
         n = len(self.pieces)
-        logs = np.array([sum(self.log[n + b] for b in chr(int(k)).encode("utf-8", "surrogatepass")) for k in kinds])
-        return logs[where.reshape(points.shape)]
+        return float(sum(self.log[n + b] for b in char.encode("utf-8", "surrogatepass")))
 
-    def _edges(self, points: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """(start, stop, slot, log) of the pieces in a matrix of words of one length; slot -1: none, -2: bytes."""
+    def _edges(self, points: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(start, stop, words, slots, logs) in a matrix of words of one length; slots are None for bytes.
+
+        Marked pieces open words and stand nowhere else; a character that is
+        no piece of its own is spelt in bytes.
+        """
         n, size = points.shape
-        spelt = self._spelt(points[:, 1:]) if size > 1 else None
         for i in range(size):
-            h = np.zeros(n, np.uint64)
+            alive = np.flatnonzero(points[:, i] != ord(MARK)) if i else np.arange(n)
+            h = np.zeros(len(alive), np.uint64)
+            covered = np.zeros(n, bool)
             for stop in range(i + 1, min(size, i + self.longest) + 1):
-                h = (h + points[:, stop - 1].astype(np.uint64) + np.uint64(1)) * _BASE
+                h = (h + points[alive, stop - 1].astype(np.uint64) + np.uint64(1)) * _BASE
                 h ^= h >> np.uint64(29)
-                at = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
-                known = self.sorted[at] == h
-                # Marked pieces open words and stand nowhere else.
-                if i:
-                    known &= points[:, i] != ord(MARK)
-                slot = np.where(known, self.place[at], -1)
+                value = self._find(h)
+                on = value > -2
+                alive, h, value = alive[on], h[on], value[on]
+                if not len(alive):
+                    break
+                known = value >= 0
                 if known.any():
-                    yield i, stop, slot, np.where(known, self.log[slot], -np.inf)
-                if stop == i + 1 and i:
-                    yield i, stop, np.full(n, -2), spelt[:, i - 1]
-
-    def _forward(self, points: np.ndarray, edges: list) -> np.ndarray:
+                    words, slots = alive[known], value[known]
+                    if stop == i + 1:
+                        covered[words] = True
+                    yield i, stop, words, slots, self.log[slots]
+            if i and not covered.all():
+                words = np.flatnonzero(~covered)
+                kinds, where = np.unique(points[words, i], return_inverse=True)
+                yield i, i + 1, words, None, np.array([self._bytes_log(chr(int(k))) for k in kinds])[where]
+
+    def _forward(self, points: np.ndarray, edges: Iterator) -> np.ndarray:
         n, size = points.shape
         forward = np.full((size + 1, n), -np.inf)
         forward[0] = 0
-        for i, stop, _, log in edges:
-            np.logaddexp(forward[stop], forward[i] + log, out=forward[stop])
+        for i, stop, words, _, log in edges:
+            row = forward[stop]
+            row[words] = np.logaddexp(row[words], forward[i][words] + log)
         return forward
 
     def _matrices(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -152,7 +185,7 @@ class Lattice:
 
     def _long(self, word: str) -> float:
         """The forward recursion of one very long word."""
-        text, log, known, n = MARK + word, self.log, self.by_text, len(self.pieces)
+        text, log, known = MARK + word, self.log, self.by_text
         forward = [-math.inf] * (len(text) + 1)
         forward[0] = 0.0
         for stop in range(1, len(text) + 1):
@@ -163,9 +196,9 @@ class Lattice:
                 slot = known.get(text[i:stop])
                 if slot is not None:
                     terms.append(forward[i] + log[slot])
-            if stop > 1 and forward[stop - 1] > -math.inf:
-                terms.append(forward[stop - 1] + sum(
-                    log[n + b] for b in text[stop - 1].encode("utf-8", "surrogatepass")))
+            last = text[stop - 1]
+            if stop > 1 and forward[stop - 1] > -math.inf and (last == MARK or last not in known):
+                terms.append(forward[stop - 1] + self._bytes_log(last))
             if terms:
                 top = max(terms)
                 forward[stop] = top + math.log(sum(math.exp(t - top) for t in terms))
@@ -176,7 +209,7 @@ class Lattice:
         out = np.empty(len(words))
         short = [k for k, w in enumerate(words) if len(w) <= LONG]
         for part, points in self._matrices([words[k] for k in short]):
-            out[[short[k] for k in part]] = self._forward(points, list(self._edges(points)))[-1]
+            out[[short[k] for k in part]] = self._forward(points, self._edges(points))[-1]
         for k, w in enumerate(words):
             if len(w) > LONG:
                 out[k] = self._long(w)
@@ -196,18 +229,18 @@ class Lattice:
             forward = self._forward(points, edges)
             backward = np.full(forward.shape, -np.inf)
             backward[-1] = 0
-            for i, stop, _, log in reversed(edges):
-                np.logaddexp(backward[i], backward[stop] + log, out=backward[i])
-            for i, stop, slot, log in edges:
-                share = np.exp(forward[i] + log + backward[stop] - forward[-1]) * weights[part]
-                if slot[0] == -2:
-                    for point in np.unique(points[:, i]):
-                        mass = share[points[:, i] == point].sum()
-                        for b in chr(int(point)).encode("utf-8", "surrogatepass"):
-                            total[n + b] += mass
-                else:
-                    known = slot >= 0
-                    total[:n] += np.bincount(slot[known], share[known], n)
+            for i, stop, words, _, log in reversed(edges):
+                row = backward[i]
+                row[words] = np.logaddexp(row[words], backward[stop][words] + log)
+            for i, stop, words, slots, log in edges:
+                share = np.exp(forward[i][words] + log + backward[stop][words] - forward[-1][words]) * weights[part[words]]
+                if slots is not None:
+                    np.add.at(total, slots, share)
+                    continue
+                for point in np.unique(points[words, i]):
+                    mass = share[points[words, i] == point].sum()
+                    for b in chr(int(point)).encode("utf-8", "surrogatepass"):
+                        total[n + b] += mass
         return total
 
 
@@ -260,9 +293,10 @@ def estimate(lattice: Lattice, counts: DataFrame, documents: int, rounds: int =
     spark = counts.sparkSession
     if documents == 0:
         return lattice
-    for _ in range(rounds):
+    for left in range(rounds, 0, -1):
         shared = ship(spark, lattice)
-        rows = counts.mapInArrow(_expect_body(shared), "slot int, mass double").groupBy("slot").agg(
+        words = counts if left == 1 else counts.where(F.col("c") >= WARM_COUNT)
+        rows = words.mapInArrow(_expect_body(shared), "slot int, mass double").groupBy("slot").agg(
             F.sum("mass").alias("mass")).collect()
         weight = np.full(len(lattice.pieces) + 257, _FLOOR)
         for row in rows:
@@ -300,14 +334,17 @@ def _score_body(shared, text_col: str):
                     for w, log in zip(part, (lattice.score([_decode(w) for w in part]) / ten).tolist()):
                         c = known.get(w)
                         cache[w] = log if c is None else _mixed(c, log, discount, n, spare)
-                tokens, seen, base, score, rare = [], [], [], [], []
+                tokens, seen, base, score, ends = [], [], [], [], [0]
+                words, times, logs = [], [], []
                 for d in docs:
-                    total, k, b, s, left = 1, int(documents > 0), end_base, end_score, []
+                    total, k, b, s = 1, int(documents > 0), end_base, end_score
                     for w, c in d.items():
                         total += c
                         log = base_of.get(w)
                         if log is None:
-                            left.append({"word": w, "tf": c, "log": cache[w]})
+                            words.append(w)
+                            times.append(c)
+                            logs.append(cache[w])
                         else:
                             b += c * log
                             k += c
@@ -316,19 +353,19 @@ def _score_body(shared, text_col: str):
                     seen.append(k)
                     base.append(b)
                     score.append(s)
-                    rare.append(left)
+                    ends.append(len(words))
+                rare = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
+                    [pa.array(words, pa.binary()), pa.array(times, pa.int64()), pa.array(logs, pa.float64())],
+                    names=["word", "tf", "log"]))
                 yield pa.RecordBatch.from_arrays(
                     [whole.column("row")[start:stop], whole.column("rid")[start:stop], pa.array(tokens, pa.int64()),
                      pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()),
-                     pa.array(rare, RARE)],
+                     rare],
                     names=["row", "rid", "n_tokens", "seen", "base", "score", "rare"])
 
     return body
 
 
-RARE = pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64()), ("log", pa.float64())]))
-
-
 def score_documents(df: DataFrame, learn: Column, text_col: str = "text", vocabulary: str = VOCABULARY,
                     keep: list[str] | None = None, rounds: int = ROUNDS) -> DataFrame:
     """``row`` (the ``keep`` columns, or all), ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
