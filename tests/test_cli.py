@@ -8,9 +8,11 @@ from urbanlens.cli import main
 
 
 def _read(path):
-    (part,) = glob.glob(os.path.join(path, "part-*"))
-    with open(part) as fh:
-        return [line.split(",") for line in fh.read().splitlines()]
+    rows = []
+    for part in sorted(glob.glob(os.path.join(path, "part-*"))):
+        with open(part) as fh:
+            rows += [line.split(",") for line in fh.read().splitlines()]
+    return rows
 
 
 def test_every_question_from_files(spark, tmp_dir):
@@ -50,3 +52,11 @@ def test_months_per_source_forms(spark, tmp_dir):
     for flags in (["--sql"], ["--per-source", "--ties", "row_number"]):
         df = main(["months", "--crimes", *crimes, *flags], spark)
         assert [tuple(r) for r in df.collect()] == Q2_ROW_NUMBER_PER_SOURCE, flags
+
+
+def test_explain_and_single_file(spark, tmp_dir, capsys):
+    out = os.path.join(tmp_dir, "one")
+    main(["area", "--blocks", write_blocks(tmp_dir), "--income", write_income(tmp_dir), "--explain", "--single-file",
+          "--output", out], spark)
+    assert "Physical Plan" in capsys.readouterr().out
+    assert len(glob.glob(os.path.join(out, "part-*"))) == 1

@@ -7,7 +7,9 @@
     python -m urbanlens to-parquet --crimes A.csv B.csv --out DIR
 
 Common: ``--format csv|parquet`` for crime files, ``--output PATH`` to write
-the result as one headerless CSV file (otherwise up to 50 rows are shown).
+the result as headerless CSV (otherwise up to 50 rows are shown): one file for
+shares and months, several for area and nearest, whose results grow, unless
+``--single-file`` is given.  ``--explain`` prints the plan first.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from urbanlens.operators.areas import JOIN_STRATEGIES, area_ratio, income_lookup
 from urbanlens.operators.nearest import nearest_site, nearest_site_summary
 from urbanlens.operators.ranking import monthly_top_k, monthly_top_k_sql
 from urbanlens.operators.shares import time_of_day_share
+from urbanlens.plans.inspect import physical_plan
 from urbanlens.session import get_session
 from urbanlens.sources.city import read_census_blocks, read_crimes, read_income, read_stations
 from urbanlens.sources.writers import csv_to_parquet, write_result
@@ -66,6 +69,8 @@ def build_parser() -> argparse.ArgumentParser:
             sp.add_argument("--crimes", nargs="+", required=True)
             sp.add_argument("--format", choices=("csv", "parquet"), default="csv")
         sp.add_argument("--output")
+        sp.add_argument("--single-file", action="store_true", help="one output file whatever the question")
+        sp.add_argument("--explain", action="store_true", help="print the physical plan first")
 
     s = sub.add_parser("share", help="share of crimes per part of day")
     common(s)
@@ -112,9 +117,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
             print(f"{name}: {path}")
         return None
     result = QUESTIONS[a.command](spark, a)
+    if a.explain:
+        print(physical_plan(result))
     start = time.perf_counter()
     if a.output:
-        write_result(result, a.output)
+        write_result(result, a.output, single_file=a.single_file or a.command in ("share", "months"))
         print(f"written: {a.output}")
     else:
         result.show(50, truncate=False)

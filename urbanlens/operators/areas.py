@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanlens.functions.clean import parse_money, parse_money_whole, round_to
+from urbanlens.session import written
 
 log = logging.getLogger(__name__)
 
@@ -77,9 +78,9 @@ def _hinted_join(agg: DataFrame, lookup: DataFrame, strategy: str) -> DataFrame:
     if strategy not in JOIN_STRATEGIES:
         raise ValueError(f"unknown join strategy {strategy!r}")
     if strategy == "broadcast":
-        # The aggregate is materialised once in the shared checkpoint folder,
-        # which makes its size check cheap and the rest of the job reuse it.
-        agg = agg.checkpoint(eager=True)
+        # The aggregate is written once to the shared folder, which makes its
+        # size check cheap and the rest of the job reuse it.
+        agg = written(agg, "areas")
         size = agg.agg(
             (F.count(F.lit(1)) * _ROW_BYTES + F.coalesce(F.sum(F.octet_length("zip")), F.lit(0)))
             .alias("bytes")).first()["bytes"]

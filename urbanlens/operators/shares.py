@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanlens.functions.buckets import day_part, day_part_vectorized
@@ -19,14 +19,14 @@ def share_by_bucket(
 ) -> DataFrame:
     """Percentage of rows per bucket, rounded, sorted by share then label.
 
-    One scan: rows are counted per bucket with a partial count in every task,
-    so only (bucket, count) pairs cross the shuffle.  The denominator is the
-    sum of those few counts, taken with a window over the grouped rows instead
-    of a separate counting job.
+    Rows are counted per bucket with a partial count in every task, so only
+    (bucket, count) pairs cross the shuffle.  The denominator is a one-row
+    scalar subquery over the same counts (the shuffle is reused), so the
+    groups are never gathered in one task however many there are.
     """
     b = F.col(bucket) if isinstance(bucket, str) else bucket
     counts = df.groupBy(b.alias(label)).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
+    total = counts.agg(F.sum("n").alias("total")).scalar()
     return (
         counts.select(label, round_to(F.col("n") * 100 / total, digits, rounding).alias(value))
         .orderBy(F.col(value).desc(), F.col(label).asc())

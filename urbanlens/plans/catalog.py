@@ -23,10 +23,14 @@ from urbanlens.plans import inputs
 from urbanlens.session import scratch_path
 from urbanlens.sources.city import (
     CRIME_COLUMNS,
+    block_rejects,
+    crime_rejects,
+    income_rejects,
     read_census_blocks,
     read_crimes,
     read_income,
     read_stations,
+    station_rejects,
 )
 from urbanlens.sources.readers import (
     flatten_features,
@@ -40,6 +44,7 @@ from urbanlens.sources.writers import (
     csv_to_parquet,
     feature_collections,
     write_feature_collections,
+    write_feature_lines,
     write_result,
 )
 
@@ -188,7 +193,7 @@ def money_clean_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _area_ratio(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return area_ratio(inputs.blocks(spark, sf_dir),
-                      income_lookup(inputs.income_text(spark, sf_dir), "zip", "income_text",
+                      income_lookup(inputs.income_rows(spark, sf_dir), "zip", "income_text",
                                     strict=kw.get("strict", False)),
                       **kw)
 
@@ -280,16 +285,92 @@ def monthly_top3_rank_text_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_top_k([crimes.select(parse_event_time("date_occ").alias("t"))], "t", k=3)
 
 
-def area_ratio_geojson_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Blocks as GeoJSON FeatureCollection files, income as a ';' file."""
+def _block_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = inputs.blocks(spark, sf_dir).select(
         F.col("zip").alias("ZCTA20"), F.col("population").alias("POP20"),
         F.col("housing").alias("HOUSING20"))
-    blocks_path = scratch_path(spark, "blocks_geojson")
-    write_feature_collections(as_features(blocks, ["ZCTA20", "POP20", "HOUSING20"]), blocks_path)
-    income = read_income(spark, _income_csv(spark, sf_dir))
-    return area_ratio(read_census_blocks(spark, blocks_path),
-                      income_lookup(income, "zip", "income_text"))
+    return as_features(blocks, ["ZCTA20", "POP20", "HOUSING20"])
+
+
+def _income_file(spark: SparkSession, sf_dir: str) -> str:
+    """All incomes as a ';' file with header."""
+    return _write_csv(inputs.income_rows(spark, sf_dir).select(
+        F.col("zip").alias("Zip Code"), F.col("name").alias("Name"),
+        F.col("income_text").alias("Estimated Median Income")), scratch_path(spark, "income_rows"), sep=";")
+
+
+def area_ratio_geojson_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks as GeoJSON FeatureCollection files, income as a ';' file."""
+    path = write_feature_collections(_block_features(spark, sf_dir), scratch_path(spark, "blocks_geojson"))
+    income = read_income(spark, _income_file(spark, sf_dir))
+    return area_ratio(read_census_blocks(spark, path), income_lookup(income, "zip", "income_text"))
+
+
+def area_ratio_feature_lines_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks as GeoJSON features, one per line (splittable), income as a ';' file."""
+    path = write_feature_lines(_block_features(spark, sf_dir), scratch_path(spark, "blocks_lines"))
+    income = read_income(spark, _income_file(spark, sf_dir))
+    return area_ratio(read_census_blocks(spark, path, lines=True), income_lookup(income, "zip", "income_text"))
+
+
+def _rough_income_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Income text as it comes: blanks around keys, cents (every 7th), words, and short lines (every 9th)."""
+    key = F.col("zip").cast("long")
+    rows = inputs.income_rows(spark, sf_dir)
+    text = F.when(key % 7 == 0, F.concat("income_text", F.lit(".50"))).otherwise(F.col("income_text"))
+    line = F.when(key % 9 == 0, F.col("zip")).otherwise(
+        F.concat_ws(";", F.concat(F.lit("  "), "zip", F.lit(" ")), "name", text))
+    path = scratch_path(spark, "income_lines")
+    rows.select(line.alias("value")).write.text(path)
+    return path
+
+
+def area_ratio_strict_csv_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strict ratio over a rough ';' file: malformed lines dropped, whole incomes only, keys trimmed."""
+    raw = read_delimited(spark, _rough_income_lines(spark, sf_dir), sep=";", header=False,
+                         schema="zip string, name string, income_text string", mode="DROPMALFORMED")
+    return area_ratio(inputs.blocks(spark, sf_dir), income_lookup(raw, "zip", "income_text", strict=True), strict=True)
+
+
+def time_of_day_share_parquet_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The crime files converted to (all-text) Parquet, then the share over the copies."""
+    files = _crime_files(spark, sf_dir)
+    copies = csv_to_parquet(spark, {f"part{i}": f for i, f in enumerate(files)}, scratch_path(spark, "crimes_parquet"))
+    cols = {k: CRIME_COLUMNS[k] for k in ("time_occ", "premis")}
+    crimes = read_crimes(spark, list(copies.values()), fmt="parquet", columns=cols)
+    return time_of_day_share(crimes.where(F.col("premis") == "error"), "time_occ")
+
+
+def source_rejects_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and rejects of every source, each with faults planted in known rows: (source, what, n)."""
+    base = scratch_path(spark, "rough")
+    ev = inputs.table(spark, sf_dir, "events")
+    odd = F.col("event_id") % 5
+    crimes = _write_csv(ev.select(
+        F.when(odd == 0, F.lit("2019 Feb 30 01:00:00 PM")).otherwise(format_event_time("ts")).alias("DATE OCC"),
+        F.when(odd == 1, F.lit("noon")).when(odd == 2, F.lit(None)).otherwise(F.date_format("ts", "HHmm")).alias("TIME OCC"),
+        F.col("event_type").alias("Premis Desc"),
+        F.when(odd == 3, F.lit("NaN")).otherwise(F.lit("34.1")).alias("LAT"),
+        F.when(odd == 4, F.lit("west")).otherwise(F.lit("95")).alias("LON")), f"{base}/crimes")
+    line = F.col("l_linenumber")
+    rough = inputs.table(spark, sf_dir, "lineitem").select(
+        F.when(line != 1, F.col("l_suppkey").cast("string")).alias("ZCTA20"),
+        F.when(line == 2, F.lit("many")).when(line != 3, F.col("l_quantity").cast("string")).alias("POP20"),
+        F.when(line == 4, F.lit("4.0")).when(line == 5, F.lit("-")).otherwise(F.lit("7")).alias("HOUSING20"))
+    blocks = write_feature_lines(as_features(rough, ["ZCTA20", "POP20", "HOUSING20"]), f"{base}/blocks")
+    income = _write_csv(inputs.income_text(spark, sf_dir).select(
+        F.col("zip").alias("Zip Code"), F.col("name").alias("Name"),
+        F.when(F.col("zip").cast("long") % 7 == 0, F.concat("income_text", F.lit(".50")))
+        .otherwise(F.col("income_text")).alias("Estimated Median Income")), f"{base}/income", sep=";")
+    stations = _write_csv(inputs.sites(spark, sf_dir).select(
+        F.when(F.col("ord") % 3 == 0, F.lit("?")).otherwise(F.col("lon").cast("string")).alias("X"),
+        F.col("lat").cast("string").alias("Y"), F.col("division").alias("DIVISION")), f"{base}/stations")
+    counts = {"crimes": crime_rejects(spark, [crimes]), "blocks": block_rejects(spark, [blocks], lines=True),
+              "income": income_rejects(spark, [income]), "stations": station_rejects(spark, [stations])}
+    return union_sources([
+        df.select(F.lit(name).alias("source"), F.explode(F.create_map(*[
+            x for c in df.columns if c != "source" for x in (F.lit(c), F.col(c).cast("long"))])).alias("what", "n"))
+        for name, df in counts.items()])
 
 
 def nearest_site_summary_csv_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,6 +394,7 @@ QUERIES: dict[str, Query] = {
     "time_of_day_share_udf": time_of_day_share_udf_q,
     "time_of_day_share_two_sources": time_of_day_share_two_sources_q,
     "time_of_day_share_csv": time_of_day_share_csv_q,
+    "time_of_day_share_parquet": time_of_day_share_parquet_q,
     "csv_parquet_roundtrip": csv_parquet_roundtrip_q,
     "event_time_parse": event_time_parse_q,
     "semicolon_csv_scan": semicolon_csv_scan_q,
@@ -331,6 +413,9 @@ QUERIES: dict[str, Query] = {
     "area_ratio_shuffle_hash": area_ratio_shuffle_hash_q,
     "area_ratio_strict": area_ratio_strict_q,
     "area_ratio_geojson": area_ratio_geojson_q,
+    "area_ratio_feature_lines": area_ratio_feature_lines_q,
+    "area_ratio_strict_csv": area_ratio_strict_csv_q,
+    "source_rejects": source_rejects_q,
     "nearest_site_assign": nearest_site_assign_q,
     "nearest_site_assign_grid": nearest_site_assign_grid_q,
     "nearest_site_rejects": nearest_site_rejects_q,

@@ -1,17 +1,22 @@
 """Inputs of the catalogue queries, derived from the driver's tables.
 
 The questions were asked of city data (crimes, police stations, census
-blocks, incomes).  Here each input is re-hosted on a table that grows with
-the scale factor, keeping the shape the question needs:
+blocks, incomes).  Here each input is re-hosted on a driver table, keeping
+the shape the question needs:
 
 * crimes with a clock      -> ``events`` (clock = HHMM of ``ts``)
 * crimes with a date       -> ``orders.o_orderdate``
-* census blocks            -> ``events`` (area = ``props.k``, population =
-  ``user_id``, housing = ``floor(value)``)
+* census blocks            -> ``lineitem`` (area = ``l_suppkey``, null for every
+  11th order; population = ``l_quantity``, zero on every 4th line and for
+  every 13th area; housing = ``l_linenumber``)
 * income per area          -> ``supplier`` (area = ``s_suppkey``, income text
   = "$" + thousands-grouped ``floor(s_acctbal)``; a negative balance is the
-  unreadable text "n/a")
-* crimes with coordinates  -> ``customer``; stations -> ``supplier``
+  unreadable text "n/a"; every 10th area has a second row)
+* crimes with coordinates  -> ``customer``; stations -> ``supplier`` (their
+  coordinates repeat with period 83,200, the only input here that does not
+  keep growing)
+
+Areas grow with the supplier table: 100 at sf0.01, 1,000 at sf0.1.
 """
 
 from __future__ import annotations
@@ -64,13 +69,22 @@ def income_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def income_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``income_text`` with a second row, of another income, for every 10th area."""
+    once = income_text(spark, sf_dir)
+    again = once.where(F.col("zip").cast("long") % 10 == 0).select(
+        "zip", F.concat("name", F.lit(" II")).alias("name"), F.lit("$1,234").alias("income_text"))
+    return once.unionByName(again)
+
+
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(zip, population, housing) rows, many per area."""
-    ev = table(spark, sf_dir, "events")
-    return ev.select(
-        F.get_json_object("props", "$.k").alias("zip"),
-        F.col("user_id").alias("population"),
-        F.floor("value").alias("housing"),
+    lines = table(spark, sf_dir, "lineitem")
+    empty = (F.col("l_linenumber") % 4 == 0) | (F.col("l_suppkey") % 13 == 0)
+    return lines.select(
+        F.when(F.col("l_orderkey") % 11 != 0, F.col("l_suppkey").cast("string")).alias("zip"),
+        F.when(empty, 0).otherwise(F.col("l_quantity")).cast("long").alias("population"),
+        F.col("l_linenumber").cast("long").alias("housing"),
     )
 
 

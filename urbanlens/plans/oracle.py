@@ -54,28 +54,50 @@ best AS (SELECT c_custkey, arg_min(division, (distance, ord)) AS division, min(d
          FROM d GROUP BY c_custkey)"""
 
 
-_BLOCKS = """SELECT json_extract_string(props, '$.k') AS zip, user_id AS population,
-                    CAST(floor(value) AS BIGINT) AS housing FROM events"""
+_BLOCKS = """SELECT CASE WHEN l_orderkey % 11 <> 0 THEN CAST(l_suppkey AS VARCHAR) END AS zip,
+                    CASE WHEN l_linenumber % 4 = 0 OR l_suppkey % 13 = 0 THEN 0
+                         ELSE CAST(l_quantity AS BIGINT) END AS population,
+                    CAST(l_linenumber AS BIGINT) AS housing FROM lineitem"""
 
 _AREA_RATIO = f"""
 WITH b AS (SELECT zip, CAST(sum(population) AS BIGINT) AS p, CAST(sum(housing) AS BIGINT) AS h
            FROM ({_BLOCKS}) GROUP BY zip),
-     i AS (SELECT CAST(s_suppkey AS VARCHAR) AS zip, {_INCOME} AS income FROM supplier)
+     i AS (SELECT CAST(s_suppkey AS VARCHAR) AS zip, {_INCOME} AS income FROM supplier
+           UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 1234.0 FROM supplier WHERE s_suppkey % 10 = 0)
 SELECT b.zip, round(CAST(h AS DOUBLE) * income / CAST(NULLIF(p, 0) AS DOUBLE)) AS average_income
 FROM b JOIN i ON b.zip = i.zip"""
 
-_AREA_RATIO_STRICT = f"""
+
+def _area_ratio_strict(where: str) -> str:
+    return f"""
 WITH b AS (SELECT zip, CAST(sum(population) AS BIGINT) AS p, CAST(sum(housing) AS BIGINT) AS h
            FROM ({_BLOCKS})
            WHERE zip IS NOT NULL AND population IS NOT NULL AND housing IS NOT NULL AND population > 0
            GROUP BY zip),
      i AS (SELECT CAST(s_suppkey AS VARCHAR) AS zip, CAST(floor(s_acctbal) AS BIGINT) AS income
-           FROM supplier WHERE s_acctbal >= 0)
+           FROM supplier WHERE s_acctbal >= 0 AND {where}
+           UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 1234 FROM supplier WHERE s_suppkey % 10 = 0 AND {where})
 SELECT b.zip, round_even(CAST(h AS DOUBLE) * CAST(income AS DOUBLE) / CAST(p AS DOUBLE), 2)
        AS average_income
 FROM b JOIN i ON b.zip = i.zip WHERE p <> 0"""
 
 
+def _counted(source: str, table: str, **conditions: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{source}' AS source, '{what}' AS what, count(*) AS n FROM {table} WHERE {where}"
+                              for what, where in {"rows": "TRUE", **conditions}.items())
+
+
+_SOURCE_REJECTS = " UNION ALL ".join((
+    _counted("crimes", "events", bad_date="event_id % 5 = 0 OR (event_id % 5 <> 0 AND ts IS NULL)",
+             bad_clock="event_id % 5 = 1", bad_coordinates="event_id % 5 IN (3, 4)"),
+    _counted("blocks", "lineitem", no_key="l_linenumber = 1", bad_population="l_linenumber = 2",
+             bad_housing="l_linenumber = 5"),
+    _counted("income", "supplier", short_line="FALSE", bad_income="s_acctbal < 0",
+             not_whole="s_acctbal < 0 OR s_suppkey % 7 = 0"),
+    _counted("stations", "supplier", bad_coordinates="s_suppkey % 3 = 0"),
+))
+
+
 def _monthly(rank_fn: str, order_tail: str) -> str:
     return f"""
 WITH c AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
@@ -114,6 +136,7 @@ ORACLE_SQL: dict[str, str] = {
     "time_of_day_share_udf": _share("round"),
     "time_of_day_share_two_sources": _share("round"),
     "time_of_day_share_csv": _share("round"),
+    "time_of_day_share_parquet": _share("round"),
     "csv_parquet_roundtrip": _EVENT_TYPE_COUNTS,
     "event_time_parse": """
 SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
@@ -133,7 +156,10 @@ FROM events WHERE ts IS NOT NULL GROUP BY 1, 2, 3""",
     "area_ratio_broadcast": _AREA_RATIO,
     "area_ratio_merge": _AREA_RATIO,
     "area_ratio_shuffle_hash": _AREA_RATIO,
-    "area_ratio_strict": _AREA_RATIO_STRICT,
+    "area_ratio_strict": _area_ratio_strict("TRUE"),
+    "area_ratio_strict_csv": _area_ratio_strict("s_suppkey % 7 <> 0 AND s_suppkey % 9 <> 0"),
+    "area_ratio_feature_lines": _AREA_RATIO,
+    "source_rejects": _SOURCE_REJECTS,
     "area_ratio_geojson": _AREA_RATIO,
     "nearest_site_assign": f"WITH {_pairs()} SELECT c_custkey, division, round(distance, 6) AS distance FROM best",
     "nearest_site_assign_grid": f"WITH {_pairs()} SELECT c_custkey, division, round(distance, 6) AS distance FROM best",

@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from urbanlens.functions.clean import parse_event_time
+from urbanlens.functions.clean import parse_event_time, parse_money, parse_money_whole
 from urbanlens.functions.geo import usable_coordinates
 from urbanlens.sources.readers import (
     conform,
     flatten_features,
     read_delimited,
+    read_feature_lines,
     read_features,
     read_parquet,
     reject_counts,
@@ -37,11 +38,13 @@ STATION_COLUMNS = {
     "lat": ("Y", "double"),
     "lon": ("X", "double"),
 }
+# Read as text and cast: the same property may be 4, 4.0 or "4".
 BLOCK_PROPERTIES = T.StructType([
     T.StructField("ZCTA20", T.StringType()),
-    T.StructField("POP20", T.LongType()),
-    T.StructField("HOUSING20", T.LongType()),
+    T.StructField("POP20", T.StringType()),
+    T.StructField("HOUSING20", T.StringType()),
 ])
+_COUNT = "decimal(20,4)"
 INCOME_KEY, INCOME_TEXT = "Zip Code", "Estimated Median Income"
 
 
@@ -101,16 +104,59 @@ def read_stations(spark: SparkSession, path: str, order_col: str | None = None)
     return conform(raw, columns).withColumn("ord", F.monotonically_increasing_id())
 
 
-def read_census_blocks(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """GeoJSON census blocks -> (zip, population, housing); polygons are not read."""
-    flat = flatten_features(read_features(spark, paths, BLOCK_PROPERTIES))
+def _blocks(flat: DataFrame) -> DataFrame:
+    number = {c: F.trim(c).try_cast(_COUNT) for c in ("POP20", "HOUSING20")}
     return flat.select(
-        F.col("ZCTA20").alias("zip"), F.col("POP20").alias("population"),
-        F.col("HOUSING20").alias("housing"),
-    )
+        F.col("ZCTA20").alias("zip"), number["POP20"].alias("population"), number["HOUSING20"].alias("housing"))
+
+
+def read_census_blocks(spark: SparkSession, paths: str | Sequence[str], lines: bool = False) -> DataFrame:
+    """GeoJSON census blocks -> (zip, population, housing); polygons are not read.
+
+    ``lines``: one feature per line instead of collections.
+    """
+    read = read_feature_lines if lines else read_features
+    return _blocks(flatten_features(read(spark, paths, BLOCK_PROPERTIES)))
 
 
 def read_income(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """';'-separated income table -> (zip, income_text)."""
+    """';'-separated income table -> (zip, income_text); several files each under its own header."""
     raw = read_delimited(spark, paths, sep=";")
     return raw.select(F.col(f"`{INCOME_KEY}`").alias("zip"), F.col(f"`{INCOME_TEXT}`").alias("income_text"))
+
+
+def block_rejects(spark: SparkSession, paths: Sequence[str], lines: bool = False) -> DataFrame:
+    """Per source: features, those without a key, and counts that are there but are no numbers."""
+    read = read_feature_lines if lines else read_features
+    frames = []
+    for path in paths:
+        text = flatten_features(read(spark, path, BLOCK_PROPERTIES))
+        frames.append(reject_counts(text, {
+            "no_key": F.col("ZCTA20").isNull(),
+            "bad_population": F.col("POP20").isNotNull() & F.trim("POP20").try_cast(_COUNT).isNull(),
+            "bad_housing": F.col("HOUSING20").isNotNull() & F.trim("HOUSING20").try_cast(_COUNT).isNull(),
+        }).select(F.lit(path).alias("source"), "*"))
+    return union_sources(frames)
+
+
+def income_rejects(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Per source: rows, short lines, incomes that are unreadable, and those the strict reading drops."""
+    frames = []
+    for path in paths:
+        raw = read_income(spark, path)
+        frames.append(reject_counts(raw, {
+            "short_line": F.col("income_text").isNull(),
+            "bad_income": F.col("income_text").isNotNull() & parse_money("income_text").isNull(),
+            "not_whole": F.col("income_text").isNotNull() & parse_money_whole("income_text").isNull(),
+        }).select(F.lit(path).alias("source"), "*"))
+    return union_sources(frames)
+
+
+def station_rejects(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Per source: stations, and those without usable coordinates."""
+    frames = []
+    for path in paths:
+        sites = conform(read_delimited(spark, path), STATION_COLUMNS)
+        frames.append(reject_counts(sites, {"bad_coordinates": ~usable_coordinates("lat", "lon")})
+                      .select(F.lit(path).alias("source"), "*"))
+    return union_sources(frames)

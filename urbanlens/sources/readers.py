@@ -27,16 +27,24 @@ def read_delimited(
 ) -> DataFrame:
     """Quote-aware delimited text.
 
-    Without ``schema`` every column is a string named after the header.  With
-    a schema the columns are taken by position, as the text has them.
+    Without ``schema`` every column is a string named after the header.
+    Several paths are read each under its own header and united by name; files
+    inside one path whose headers differ are an error, never mixed columns.
+    With a schema the columns are taken by position, as the text has them.
     ``mode`` is the reader's handling of malformed lines (``PERMISSIVE`` keeps
-    them with nulls, ``DROPMALFORMED`` drops them).
+    them with nulls, ``DROPMALFORMED`` drops them).  Dropping looks at whole
+    lines, so it reads every column whatever the query needs.
     """
+    if header and schema is None and not isinstance(paths, str):
+        frames = [read_delimited(spark, path, sep, mode=mode) for path in paths]
+        return union_sources(frames, allow_missing=True)
     reader = spark.read.option("header", header).option("sep", sep).option("mode", mode)
+    if mode.upper() == "DROPMALFORMED":
+        reader = reader.option("columnPruning", False)
     if schema is not None:
         reader = reader.schema(schema)
     else:
-        reader = reader.option("inferSchema", False)
+        reader = reader.option("inferSchema", False).option("enforceSchema", False)
     return reader.csv(list(paths) if not isinstance(paths, str) else paths)
 
 
@@ -115,28 +123,71 @@ POINT_GEOMETRY = T.StructType([
 ])
 
 
+def _documents(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, mode: str) -> DataFrame:
+    return (
+        spark.read.schema(schema)
+        .option("multiLine", True)
+        .option("recursiveFileLookup", True)
+        .option("mode", mode)
+        .option("columnNameOfCorruptRecord", _CORRUPT)
+        .json(list(paths) if not isinstance(paths, str) else paths)
+    )
+
+
+_CORRUPT = "_unreadable"
+
+
 def read_features(
     spark: SparkSession,
     paths: str | Sequence[str],
-    properties: T.StructType,
+    properties: T.StructType | None,
     geometry: T.DataType | None = None,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """Multi-line GeoJSON FeatureCollection documents -> one row per feature.
 
+    An unreadable document (say a truncated one) fails the query;
+    ``mode="PERMISSIVE"`` leaves it out instead, and ``unreadable_documents``
+    counts such documents.  ``properties=None`` infers the property set from
+    all documents, at the price of one more scan of them.  Declare
+    properties as strings and ``try_cast`` them where their types vary.
+
     Each file is one document and is read by one task, so the parallelism is
-    the number of files.  Large collections should be stored as many
-    documents (see ``write_feature_collections``) or converted to Parquet once.
+    the number of files.  Store large collections one feature per line
+    (``read_feature_lines``), as many documents, or as Parquet.
     """
-    schema = feature_collection_schema(properties, geometry)
-    docs = (
-        spark.read.schema(schema)
-        .option("multiLine", True)
-        .option("recursiveFileLookup", True)
-        .json(list(paths) if not isinstance(paths, str) else paths)
-    )
+    if properties is None:
+        found = (spark.read.option("multiLine", True).option("recursiveFileLookup", True).option("mode", mode)
+                 .json(list(paths) if not isinstance(paths, str) else paths).schema)
+        properties = found["features"].dataType.elementType["properties"].dataType
+    docs = _documents(spark, paths, feature_collection_schema(properties, geometry), mode)
     return docs.selectExpr("explode(features) AS feature").select("feature.*")
 
 
+def unreadable_documents(spark: SparkSession, paths: str | Sequence[str], properties: T.StructType) -> DataFrame:
+    """Per file: 1 if it is no readable FeatureCollection document, else 0."""
+    schema = T.StructType(feature_collection_schema(properties).fields + [T.StructField(_CORRUPT, T.StringType())])
+    docs = _documents(spark, paths, schema, "PERMISSIVE")
+    bad = F.col(_CORRUPT).isNotNull() | F.col("features").isNull()
+    return docs.groupBy(F.input_file_name().alias("source")).agg(F.max(bad.cast("int")).alias("unreadable"))
+
+
+def read_feature_lines(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    properties: T.StructType,
+    geometry: T.DataType | None = None,
+    mode: str = "FAILFAST",
+) -> DataFrame:
+    """GeoJSON features, one per line -> one row per feature.
+
+    The splittable form of ``read_features``: one file is read by many tasks.
+    """
+    feature = feature_collection_schema(properties, geometry)["features"].dataType.elementType
+    reader = spark.read.schema(feature).option("mode", mode).option("recursiveFileLookup", True)
+    return reader.json(list(paths) if not isinstance(paths, str) else paths)
+
+
 def flatten_features(features: DataFrame) -> DataFrame:
     """``properties.*`` become top-level columns; ``geometry`` is kept if present.
 

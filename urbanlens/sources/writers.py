@@ -65,11 +65,12 @@ def write_result(
 ) -> str:
     """Write a query result as delimited text.
 
-    ``single_file`` coalesces to one part file, which is meant for results
-    (a few rows per group); a large frame should be written with
-    ``single_file=False`` so every task writes its own part.
+    ``single_file`` sends the finished rows to one task that only writes, which
+    is meant for results of a few rows; the query itself keeps its tasks.
+    Results that grow with the data should be written with
+    ``single_file=False``, so every task writes its own part.
     """
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df
     out.write.mode(mode).option("header", header).csv(path)
     return path
 
@@ -124,3 +125,9 @@ def write_feature_collections(
     )
     docs.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
     return path
+
+
+def write_feature_lines(features: DataFrame, path: str) -> str:
+    """Write ``feature`` rows one per line: splittable, no shuffle, as many files as tasks."""
+    features.select(F.to_json("feature").alias("value")).write.mode("overwrite").text(path)
+    return path
