@@ -49,6 +49,8 @@ def test_jaccard_groups_match_brute_force(ready, size, part, of):
 
 def test_large_clusters_are_compared_in_blocks(ready, monkeypatch):
     monkeypatch.setattr(partenum, "BLOCK_SETS", 7)
+    monkeypatch.setattr(partenum, "GROUP_BLOCK", 5)
+    monkeypatch.setattr(partenum, "MAX_SENT_IDS", 3)
     docs = _near_copies(random.Random(9), 40, 4)
     df = ready.createDataFrame(docs, "doc_id long, text string").repartition(3)
     got = {r["id"]: r["component"] for r in partenum.similar_groups(df).collect()}
@@ -149,3 +151,21 @@ def test_vector_edges(ready):
     rows = [(None, [1.0, 0.0], 1, "r", "s", 1), (5, [1.0, 0.0], 1, "r", "s", 1), (5, [1.0, 0.0], 1, "r", "s", 1)]
     got = hyperplanes.near_duplicates(ready.createDataFrame(rows, schema), keep=["vec_id", "row"]).collect()
     assert sorted((r["id"] or -1, r["n_links"], r["component"]) for r in got) == [(-1, 0, None), (5, 1, 5), (5, 1, 5)]
+
+
+def test_bitmaps_never_rule_out_a_link():
+    """The filter joins all sets that link, whatever their sizes and bitmap lengths."""
+    rng = np.random.default_rng(6)
+    for n in (8, 40, 90, 171, 400):
+        whole = rng.integers(0, 1 << 63, 3 * n).astype(np.uint64)
+        sets = [np.unique(np.concatenate([whole[int(rng.integers(0, n // 8)):n], whole[n:n + int(rng.integers(0, n // 8))]]))
+                for _ in range(30)] + [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for _ in range(30)]
+        edges = partenum.near_edges(list(range(60)), [len(s) for s in sets], [partenum.bitmap(s) for s in sets],
+                                    [0] * 60, 85, 100, False)
+        group = components(range(60), edges)
+        for i in range(60):
+            for j in range(i):
+                common = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * common >= 85 * (len(sets[i]) + len(sets[j]) - common):
+                    assert group[i] == group[j]
+        assert len({group[i] for i in range(30, 60)}) == 30 or n < 40     # unrelated sets are ruled out

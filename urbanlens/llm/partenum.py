@@ -4,19 +4,22 @@ A document's set: the hashes of its distinct ``size``-word shingles (A-Z
 lower-cased; fewer words: the whole sequence is one).  Two documents link when
 ``of`` * intersection >= ``part`` * union, for a similarity ``part/of``.
 
-1. Equal sets are one class (128-bit key of the sorted set).
+1. Equal sets are one class (128-bit key of the sorted set); the smallest id
+   of a class stands for it from here on.
 2. Sets are banded by size.  Every two sets that may link meet in one band,
    where their symmetric difference is at most ``k``.  A band's feature domain
    is dealt into ``g`` groups of ``n2`` partitions; with ``k2`` differences
-   allowed in a group there must be a group (in fact ``SLACK`` + 1 of them)
+   allowed in a group there must be a group (in fact ``slack`` + 1 of them)
    that has no more, so one of its subsets of ``n2 - k2`` partitions is the
    same in both sets: its hash is a signature that both emit.
-   Partitions without features say nothing: as SLACK + 1 groups agree, a set
-   with at most SLACK groups that hold an empty subset leaves those out; other
+   Partitions without features say nothing: as slack + 1 groups agree, a set
+   with at most slack groups that hold an empty subset leaves those out; other
    sets (exact, and rare) emit them.
-3. Sets with a common signature form candidate clusters (connected
-   components of one chain per signature, never all its pairs).  A task first
-   joins its own documents, so a frequent signature leaves it once.
+3. The documents of a signature are a group; equal groups are one.  Inside a
+   group an exact lower bound of the symmetric difference, the distance of
+   two XOR bitmaps of the sets, rules out pairs that can't link.  What is left
+   joins documents into candidate clusters, passed on as a spanning forest.
+   Large groups are handled in blocks, every pair of blocks a task's work.
 4. Clusters are compared exactly, in blocks of bounded size; every pair of
    blocks is a task of its own.  Inside, an inverted index over the
    shingles counts the intersections of one set with all others, and only
@@ -24,6 +27,10 @@ lower-cased; fewer words: the whole sequence is one).  Two documents link when
    all pairs of a cluster.
 5. Connected components of the links and classes.
 
+No step emits the pairs of a group.  A signature's documents (12 bytes each)
+are sorted by one task; set the shuffle partitions so that one holds a few
+million of them, as for any sort.
+
 Defined results: null or empty text, or text without words, is the empty set
 and linked with nothing; rows with a null id are returned unlinked
 (component null); rows with the same id are one node of the graph; an empty
@@ -41,11 +48,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanlens.llm.common import cut, packed, ranges, row_schema, text_of
+from urbanlens.llm.common import cut, join_unique, packed, ranges, row_schema, text_of
 from urbanlens.llm.components import connected_components
 
-SLACK = 1
-BAND_RATIO = 1.4
+SLACK, SLACK_SHARE = 2, 0.1    # groups more than needed, at least and as a share
+BAND_RATIO = 1.25
+GROUP_BLOCK = 4096             # documents of a signature group compared at once
 BLOCK_SETS = 1024              # sets in a block of a cluster
 BLOCK_FEATURES = 1 << 20       # shingles in a block of a cluster
 MAX_SENT_IDS = 500_000         # ids of cluster members that are broadcast
@@ -178,11 +186,12 @@ class Signatures:
         return out
 
     @staticmethod
-    def plan(k: int) -> tuple[int, int, int]:
-        """Groups, differences allowed in one, partitions of one."""
+    def plan(k: int) -> tuple[int, int, int, int]:
+        """Groups, differences allowed in one, partitions of one, groups that may be left out."""
         if k <= 3:
-            return 1, k, k + 2
-        return k // 2 + 1 + SLACK, 1, 3
+            return 1, k, k + 2, 0
+        slack = SLACK + int(SLACK_SHARE * k / 2)
+        return k // 2 + 1 + slack, 1, 3, slack
 
     def of_sets(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """All signatures of the sets, and the number of the set each belongs to."""
@@ -196,7 +205,7 @@ class Signatures:
             k = self.bands[band][2]
             if k == 0:
                 continue       # only equal sets link
-            g, k2, n2 = self.plan(k)
+            g, k2, n2, slack = self.plan(k)
             m, at_once = len(those), np.array(those)
             salt = _U((band + 1) * 0x2545F4914F6CDD1D & 0xFFFFFFFFFFFFFFFF)
             mixed = _mix(np.concatenate([sets[i] for i in those]) ^ salt)
@@ -210,7 +219,7 @@ class Signatures:
             subsets = list(combinations(range(n2), n2 - k2))
             empty = np.stack([counts[:, :, s].sum(axis=2) == 0 for s in subsets])
             # Few groups with an empty subset: those subsets need not be emitted.
-            spared = (empty.any(axis=0).sum(axis=1) <= SLACK) & (g > 1)
+            spared = empty.any(axis=0).sum(axis=1) <= (slack if slack else -1)
             for number, subset in enumerate(subsets):
                 value = np.zeros((m, g), np.uint64)
                 for place in subset:       # partitions keep their places in the hash
@@ -246,69 +255,56 @@ class Forest:
         return True
 
 
+def bitmap(features: np.ndarray) -> bytes:
+    """Parity of the features by place; a power of two of places, about as many as features."""
+    places = 64 << max(0, (len(features) * 3 // 4 - 1) // 64).bit_length()
+    odd = np.bincount((features >> _U(20)).astype(np.int64) & (places - 1), minlength=places) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
 def _set_body(size: int):
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(size)
         for batch in batches:
-            n, k1, k2 = [], [], []
+            n, k1, k2, bits = [], [], [], []
             for got in shingles.of_all(text_of(batch, "text").to_pylist()):
                 digest = xxhash.xxh3_128_digest(got.tobytes())
                 n.append(len(got))
                 k1.append(int.from_bytes(digest[:8], "little", signed=True))
                 k2.append(int.from_bytes(digest[8:], "little", signed=True))
+                bits.append(bitmap(got))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("id"), pa.array(n, pa.int64()), pa.array(k1, pa.int64()),
-                 pa.array(k2, pa.int64())], names=["row", "id", "n", "k1", "k2"])
+                 pa.array(k2, pa.int64()), pa.array(bits, pa.binary())], names=["row", "id", "n", "k1", "k2", "bits"])
 
     return body
 
 
-def chain(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order of ``keys``, where each begins in it, and a spanning forest of the ids that share keys (n x 2)."""
-    order = np.argsort(keys, kind="stable")
-    sorted_ = keys[order]
-    first = np.ones(len(keys), bool)
-    first[1:] = sorted_[1:] != sorted_[:-1]
-    again = np.flatnonzero(~first)
-    a, b = ids[order[again]], ids[order[again - 1]]
-    names, where = np.unique(np.concatenate([a, b]), return_inverse=True)
-    forest, edges = Forest(len(names)), []
-    for i, j in zip(where[:len(a)].tolist(), where[len(a):].tolist()):
-        if forest.join(i, j):
-            edges.append((i, j))
-    return order, first, names[np.array(edges, np.int64).reshape(-1, 2)]
-
-
-_TAIL = 5                      # bytes of a signature that are sent; its place tells the rest
+_TAIL = 4                      # bytes of a signature that are sent; its place tells more of it
 
 
 def _signature_body(size: int, part: int, of: int, places: int):
-    """Packed signatures by place, each once a task, and the edges that join the task's own documents."""
+    """Signatures packed by place: their tails, and the steps between the sorted document ids."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, signatures = Shingles(size), Signatures(part, of)
         held: list[tuple[np.ndarray, np.ndarray]] = []
         total = 0
 
-        def reduced() -> pa.RecordBatch:
+        def packed_up() -> pa.RecordBatch:
             sig = np.concatenate([h[0] for h in held])
             ids = np.concatenate([h[1] for h in held])
             held.clear()
-            order, first, edges = chain(sig, ids)
-            sig, ids = sig[order[first]], ids[order[first]]
-            place = ((sig >> _U(8 * _TAIL)) % _U(places)).astype(np.int64)
-            by_place = np.lexsort((ids, place))
-            sig, ids, place = sig[by_place], ids[by_place], place[by_place]
+            place = ((sig >> _U(40)) % _U(places)).astype(np.int64)
+            order = np.lexsort((ids, place))
+            sig, ids, place = sig[order], ids[order], place[order]
             cuts = np.flatnonzero(np.diff(place)) + 1
             tails = sig.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_TAIL]
-            columns = [place[np.concatenate([[0], cuts])].tolist(), [t.tobytes() for t in np.split(tails, cuts)],
-                       [i.tobytes() for i in np.split(ids, cuts)], [b""] * (len(cuts) + 1)]
-            if len(edges):
-                for column, value in zip(columns, (int(edges[0, 0]) % places, b"", b"", edges.tobytes())):
-                    column.append(value)
-            types = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
-                                              names=["place", "tails", "ids", "edges"])
+            return pa.RecordBatch.from_arrays([
+                pa.array(place[np.concatenate([[0], cuts])], pa.int64()).cast(pa.int32()),
+                pa.array([t.tobytes() for t in np.split(tails, cuts)], pa.binary()),
+                pa.array([np.diff(i, prepend=0).tobytes() for i in np.split(ids, cuts)], pa.binary()),
+            ], names=["place", "tails", "steps"])
 
         for batch in batches:
             names = batch.column("id").to_numpy()
@@ -317,45 +313,137 @@ def _signature_body(size: int, part: int, of: int, places: int):
                 held.append((found, names[who]))
                 total += len(found)
                 if total >= _BUFFER:
-                    yield reduced()
+                    yield packed_up()
                     total = 0
         if held:
-            yield reduced()
+            yield packed_up()
 
     return body
 
 
+def groups_of(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(group, id) of the ids that share a key; a group is named by its members' hash and said once."""
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
+    keys, ids = keys[new], ids[new]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    size = np.diff(np.append(first, len(keys)))
+    name = _mix(np.add.reduceat(_mix(ids.view(np.uint64)), first) + size.astype(np.uint64))
+    several = np.flatnonzero(size > 1)
+    _, once = np.unique(name[several], return_index=True)
+    chosen = several[once]
+    at = np.repeat(first[chosen], size[chosen]) + (
+        np.arange(size[chosen].sum()) - np.repeat(np.cumsum(size[chosen]) - size[chosen], size[chosen]))
+    return np.repeat(name[chosen], size[chosen]).view(np.int64), ids[at]
+
+
 def _meet_body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The edges between documents of one partition's signatures."""
+    """The groups of one partition's signatures."""
     keys, ids = [], []
+    for batch in batches:
+        for place, tails, steps in zip(*(batch.column(c).to_pylist() for c in ("place", "tails", "steps"))):
+            wide = np.zeros((len(tails) // _TAIL, 8), np.uint8)
+            wide[:, :_TAIL] = np.frombuffer(tails, np.uint8).reshape(-1, _TAIL)
+            keys.append(wide.view("<u8").ravel() | (_U(place) << _U(8 * _TAIL)))
+            ids.append(np.cumsum(np.frombuffer(steps, np.int64)))
+    if keys:
+        group, member = groups_of(np.concatenate(keys), np.concatenate(ids))
+        for at in range(0, len(group), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(group[at:at + (1 << 16)]), pa.array(member[at:at + (1 << 16)])],
+                                             names=["grp", "id"])
+
+
+def near_edges(names: list[int], sizes: list[int], bits: list[bytes], side: list[int], part: int, of: int,
+               cross: bool) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that sizes and bitmaps do not rule out."""
+    least = min(map(len, bits))
+    maps = np.empty((len(bits), least), np.uint8)
+    for i, b in enumerate(bits):      # larger bitmaps fold to the smallest
+        maps[i] = np.bitwise_xor.reduce(np.frombuffer(b, np.uint8).reshape(-1, least), axis=0)
+    words = maps.view(np.uint64)
+    n, where = np.array(sizes, np.int64), np.array(side)
+    left, edges = np.arange(len(names)), []
+
+    def reached(i: int, others: np.ndarray) -> np.ndarray:
+        apart = np.bitwise_count(words[others] ^ words[i]).sum(axis=1, dtype=np.int64)
+        near = (apart * (of + part) <= (n[others] + n[i]) * (of - part)) & (
+            np.minimum(n[others], n[i]) * of >= np.maximum(n[others], n[i]) * part)
+        return near & (where[others] != where[i]) if cross else near
+
+    while len(left):
+        waiting, left = [left[0]], left[1:]
+        while waiting and len(left):
+            i = waiting.pop()
+            near = reached(i, left)
+            found = left[near]
+            left = left[~near]
+            edges.extend((names[i], names[j]) for j in found)
+            waiting.extend(found)
+    return edges
+
+
+def _filter_body(part: int, of: int):
+    """Rows sorted by (grp, low, high): the candidate edges of each."""
+
+    def edges_of(key, rows) -> list[tuple[int, int]]:
+        if len(rows) < 2:
+            return []
+        names, sizes, bits, side = zip(*rows)
+        return near_edges(names, sizes, bits, side, part, of, key[1] != key[2])
+
+    return _by_key(("grp", "low", "high"), ("id", "n", "bits", "block"), edges_of)
+
+
+def _by_key(keys: tuple, values: tuple, edges_of):
+    """A body over rows sorted by ``keys``: (a, b) edges of each run of equal keys."""
 
-    def out(edges: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["a", "b"])
+    def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
 
-    for batch in batches:
-        for place, tails, names, edges in zip(*(batch.column(c).to_pylist()
-                                                for c in ("place", "tails", "ids", "edges"))):
+        def out(edges) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([e[0] for e in edges], pa.int64()),
+                                               pa.array([e[1] for e in edges], pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            edges: list[tuple[int, int]] = []
+            marks = zip(*(batch.column(c).to_pylist() for c in keys))
+            for mark, row in zip(marks, zip(*(batch.column(c).to_pylist() for c in values))):
+                if mark != key:
+                    edges += edges_of(key, rows)
+                    key, rows = mark, []
+                rows.append(row)
             if edges:
-                yield out(np.frombuffer(edges, np.int64).reshape(-1, 2))
-            if tails:
-                wide = np.zeros((len(tails) // _TAIL, 8), np.uint8)
-                wide[:, :_TAIL] = np.frombuffer(tails, np.uint8).reshape(-1, _TAIL)
-                keys.append(wide.view("<u8").ravel() | (_U(place) << _U(8 * _TAIL)))
-                ids.append(np.frombuffer(names, np.int64))
-    if keys:
-        yield out(chain(np.concatenate(keys), np.concatenate(ids))[2])
+                yield out(edges)
+        edges = edges_of(key, rows)
+        if edges:
+            yield out(edges)
+
+    return body
 
 
-def candidate_edges(docs: DataFrame, size: int, part: int, of: int) -> DataFrame:
-    """(a, b) that join all documents with a common signature.
+def _in_blocks(rows: DataFrame, key: str, values: list[str]) -> DataFrame:
+    """Rows of ``key`` dealt into ``blocks`` (a column), once for every pair of blocks they are in."""
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select(key, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                       "block", *values)
+    return rows.repartition(key, "low", "high").sortWithinPartitions(key, "low", "high", "id")
 
-    A partition's signatures (13 bytes each) are held by its task: set the
-    shuffle partitions so that one holds a few million, as for any sort.
-    """
+
+def candidate_edges(docs: DataFrame, maps: DataFrame, size: int, part: int, of: int) -> DataFrame:
+    """(a, b) that join all documents that may link; ``maps``: (id, n, bits)."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     places = min(8 * partitions, 1 << 20)
-    rows = docs.mapInArrow(_signature_body(size, part, of, places), "place int, tails binary, ids binary, edges binary")
-    return rows.repartition(partitions, "place").mapInArrow(_meet_body, "a long, b long")
+    rows = docs.mapInArrow(_signature_body(size, part, of, places), "place int, tails binary, steps binary")
+    members = rows.repartition(partitions, "place").mapInArrow(_meet_body, "grp long, id long")
+    members = cut(members.distinct(), "jaccard-groups")
+    large = members.groupBy("grp").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > GROUP_BLOCK)
+    large = large.select("grp", F.ceil(F.col("m") / GROUP_BLOCK).cast("int").alias("parts"))
+    met = members.join(large, "grp", "left").withColumn("blocks", F.coalesce("parts", F.lit(1)))
+    return _in_blocks(met.join(maps, "id"), "grp", ["id", "n", "bits"]).mapInArrow(
+        _filter_body(part, of), "a long, b long")
 
 
 def _features_body(size: int):
@@ -404,37 +492,21 @@ def block_links(names: np.ndarray, side: np.ndarray, sets: list[np.ndarray], par
 
 
 def _compare_body(part: int, of: int):
-    """Reads rows sorted by (cluster, low, high); compares each block pair's sets."""
-
-    def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, names, side, sets = None, [], [], []
+    """Rows sorted by (cluster, low, high): the links of each block pair's sets."""
 
-        def compared() -> list[tuple[int, int]]:
-            if len(names) < 2:
-                return []
-            return block_links(np.array(names), np.array(side), sets, part, of, cross=key[1] != key[2])
+    def links_of(key, rows) -> list[tuple[int, int]]:
+        if len(rows) < 2:
+            return []
+        names, side, sets = zip(*rows)
+        return block_links(np.array(names), np.array(side), [np.frombuffer(f, np.uint64) for f in sets], part, of,
+                           cross=key[1] != key[2])
 
-        def out(links) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()),
-                                               pa.array([b for _, b in links], pa.int64())], names=["a", "b"])
+    return _by_key(("cluster", "low", "high"), ("id", "block", "features"), links_of)
 
-        for batch in batches:
-            links: list[tuple[int, int]] = []
-            columns = [batch.column(c).to_pylist() for c in ("cluster", "low", "high", "id", "block", "features")]
-            for cluster, low, high, name, block, features in zip(*columns):
-                if (cluster, low, high) != key:
-                    links += compared()
-                    key, names, side, sets = (cluster, low, high), [], [], []
-                names.append(name)
-                side.append(block)
-                sets.append(np.frombuffer(features, np.uint64))
-            if links:
-                yield out(links)
-        links = compared()
-        if links:
-            yield out(links)
 
-    return body
+def _sent(ids: DataFrame) -> DataFrame:
+    """Ids of bounded number go to the texts; more of them meet the texts in a shuffle."""
+    return F.broadcast(ids) if ids.count() <= MAX_SENT_IDS else ids
 
 
 def verified_links(docs: DataFrame, members: DataFrame, size: int, part: int, of: int) -> DataFrame:
@@ -443,16 +515,10 @@ def verified_links(docs: DataFrame, members: DataFrame, size: int, part: int, of
     totals = totals.where(F.col("sets") > 1).select("cluster", F.ceil(F.greatest(
         F.col("sets") / BLOCK_SETS, F.col("features") / BLOCK_FEATURES)).cast("int").alias("blocks"))
     wanted = cut(members.join(totals, "cluster").select("id", "cluster", "blocks"), "jaccard-wanted")
-    # Ids of bounded number go to the texts; more of them meet the texts in a shuffle.
-    rows = docs.join(F.broadcast(wanted) if wanted.count() <= MAX_SENT_IDS else wanted, "id")
+    rows = docs.join(_sent(wanted), "id")
     sets = rows.select("cluster", "id", "blocks", "text").mapInArrow(
         _features_body(size), "cluster long, id long, blocks int, features binary")
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    sets = sets.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    sets = sets.select("cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                       "id", "block", "features")
-    return (sets.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high", "id")
-            .mapInArrow(_compare_body(part, of), "a long, b long"))
+    return _in_blocks(sets, "cluster", ["id", "features"]).mapInArrow(_compare_body(part, of), "a long, b long")
 
 
 def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
@@ -463,19 +529,25 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     has none (null for a null id).
     """
     rows = packed(df, keep or [id_col], id=F.col(id_col).cast("long"), text=F.col(text_col))
-    slim = rows.mapInArrow(_set_body(size), row_schema(rows, "id long, n long, k1 long, k2 long"))
-    slim = cut(slim, "jaccard-sets")
+    slim = cut(rows.mapInArrow(_set_body(size), row_schema(
+        rows, "id long, n long, k1 long, k2 long, bits binary")), "jaccard-sets")
     nodes = slim.where(F.col("id").isNotNull() & (F.col("n") > 0))
-    classes = cut(nodes.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep"), F.max("id").alias("last")),
-                  "jaccard-classes")
-    copied = classes.where(F.col("rep") < F.col("last")).select("k1", "k2", "rep")
-    # A class may hold a third of all rows: its rows meet it in split partitions (AQE) or by broadcast.
-    copies = nodes.join(copied, ["k1", "k2"]).where(F.col("id") != F.col("rep")).select(
-        F.col("id").alias("a"), F.col("rep").alias("b"))
+    classes = cut(nodes.groupBy("k1", "k2", "n").agg(
+        F.min("id").alias("rep"), F.max("id").alias("last"), F.first("bits").alias("bits"),
+        F.count(F.lit(1)).alias("w")), "jaccard-classes")
+    # The rows of a class that holds very many are joined by broadcast.
+    several = classes.where(F.col("rep") < F.col("last")).select(
+        F.xxhash64("k1", "k2", "n").alias("key"), F.col("k1").alias("c1"), F.col("k2").alias("c2"), "rep", "w")
+    keyed = nodes.select("id", "k1", "k2", F.xxhash64("k1", "k2", "n").alias("key"))
+    copies = join_unique(keyed, several, "key", "w").where(
+        (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")) & (F.col("id") != F.col("rep")))
+    copies = cut(copies.select(F.col("id").alias("a"), F.col("rep").alias("b")), "jaccard-copies")
+    reps = classes.select(F.col("rep").alias("id"), "n", "bits")
+    spare = cut(copies.select(F.col("a").alias("id")).distinct().join(reps, "id", "left_anti"), "jaccard-spare")
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
-    edges = cut(candidate_edges(docs, size, part, of), "jaccard-candidates")
-    clusters = connected_components(edges)
-    members = clusters.join(classes.select(F.col("rep").alias("id"), "n"), "id").select(
+    docs = docs.join(_sent(spare), "id", "left_anti")
+    edges = cut(candidate_edges(docs, reps, size, part, of), "jaccard-candidates")
+    members = connected_components(edges).join(reps.select("id", "n"), "id").select(
         "id", F.col("component").alias("cluster"), "n")
     links = verified_links(docs, cut(members, "jaccard-members"), size, part, of)
     groups = connected_components(links.unionByName(copies))
