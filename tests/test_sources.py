@@ -73,8 +73,9 @@ def test_single_file_write_keeps_the_query_parallel(spark):
     out = QUERIES["area_ratio_merge"](spark, "/root/testdata/sf0.001").repartition(1)
     plan = physical_plan(out)
     assert plan.index("Exchange") < plan.index("SortMergeJoin") and "SinglePartition" in plan
-    with open("urbanlens/sources/writers.py") as fh:
-        assert "coalesce(1)" not in fh.read()
+    import inspect
+
+    assert "repartition(1)" in inspect.getsource(write_result)
 
 
 def test_semicolon_scan_is_quote_aware(spark, tmp_dir):
