@@ -31,11 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from urbanlens.llm.common import ranges, row_schema, ship, shipped, text_of, with_text
+from urbanlens.llm.common import join_unique, ranges, row_schema, ship, shipped, text_of, with_text
 
 ORDER = 4
 CODE_BITS = 16
 PER_LANGUAGE = 1_000
+_PLACES = 1 << 30
 MAX_TRAIN_CHARS = 1 << 26       # all languages together; see sample()
 UNKNOWN = "und"
 REJECT_QUANTILE = 0.999
@@ -191,8 +192,13 @@ def sample(df: DataFrame, text_col: str, lang_col: str, id_col: str, per_languag
     rows = df.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"),
                      F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"))
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    first = Window.partitionBy("lang").orderBy("h", "text")
-    rows = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
+    # Of a large language only about twice as many as wanted, those with the smallest hashes, are shuffled.
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    place = F.pmod("h", F.lit(_PLACES))
+    few = join_unique(rows, sizes.withColumn("most", F.lit(2.0 * per_language + 200) / F.col("n") * _PLACES), "lang", "n")
+    few = few.where(place < F.col("most"))
+    first = Window.partitionBy("lang").orderBy(place, "h", "text")
+    rows = few.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
     out: dict[str, list[str]] = {}
     total = 0
     for row in rows.orderBy("n", "lang").select("lang", "text").toLocalIterator():
