@@ -130,9 +130,11 @@ def nearest_site(
     if strategy not in ("auto", "array", "grid"):
         raise ValueError(f"unknown strategy {strategy!r}")
     listed = site_columns(sites, site_lat, site_lon, division, order)
-    n, size = _extent(listed)
-    fits = n <= max_array_sites and size <= MAX_ARRAY_BYTES
-    if not fits or (strategy == "grid" and n):
+    fits = False
+    if strategy != "grid":
+        n, size = _extent(listed)
+        fits = n <= max_array_sites and size <= MAX_ARRAY_BYTES
+    if not fits:
         # Repeated locations are folded once, in the shared folder.
         listed = written(prepare_sites(listed), "sites")
         n, size = _extent(listed)
@@ -324,7 +326,7 @@ def _nearest_by_tiles(usable: DataFrame, sites: DataFrame, n_sites: int, la: Col
                     "point-tiles")
     # One row per tile: at most MAX_TILES, so it may be broadcast.
     load = pairs.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / PART_POINTS).cast("int").alias("parts"))
-    load = F.broadcast(written(load, "tile-parts"))
+    load = F.broadcast(load)
     left = pairs.join(load, "tile").withColumn("part", F.pmod(F.xxhash64("_row"), F.col("parts")).cast("int"))
     right = tiles.join(load, "tile").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
