@@ -35,11 +35,13 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanlens.llm.common import cut, packed, ranges, row_schema, ship, shipped, text_of
+from urbanlens.llm.partenum import hashed_words
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -315,52 +317,65 @@ def _mixed(c: float, lattice: float, discount: float, n: int, spare: float) -> f
 
 
 def _score_body(shared, text_col: str):
+    """Words are told apart by 64-bit hashes inside a batch; each distinct one is looked up once."""
+
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, known, documents, n, below, discount, spare = shipped(shared)
         ten = math.log(10)
-        base_of = {w: math.log10(c + 0.5) - below for w, c in known.items()}
         end_base = math.log10(documents + 0.5) - below
         end_score = _mixed(documents, lattice.end / ten, discount, n, spare)
-        cache: dict[bytes, float] = {}       # frequent words: their score; others: the lattice's alone
+        cache: dict[bytes, tuple[float, float, bool]] = {}    # base, score (others: the lattice's alone), frequent
+
+        def looked_up(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            if len(cache) > _CACHE:
+                cache.clear()
+            new = [w for w in words if w not in cache]
+            for at in range(0, len(new), 50_000):
+                part = new[at:at + 50_000]
+                for w, log in zip(part, (lattice.score([_decode(w) for w in part]) / ten).tolist()):
+                    c = known.get(w)
+                    cache[w] = (0.0, log, False) if c is None else (
+                        math.log10(c + 0.5) - below, _mixed(c, log, discount, n, spare), True)
+            got = [cache[w] for w in words]
+            base, score, frequent = zip(*got) if got else ((), (), ())
+            return np.array(base), np.array(score), np.array(frequent, bool)
+
         for whole in batches:
             column = text_of(whole, text_col)
             for start, stop in ranges(column, 8 << 20):
-                docs = [Counter(t.lower().split()) for t in column[start:stop].to_pylist()]
-                if len(cache) > _CACHE:
-                    cache.clear()
-                new = list({w for d in docs for w in d if w not in cache})
-                for at in range(0, len(new), 50_000):
-                    part = new[at:at + 50_000]
-                    for w, log in zip(part, (lattice.score([_decode(w) for w in part]) / ten).tolist()):
-                        c = known.get(w)
-                        cache[w] = log if c is None else _mixed(c, log, discount, n, spare)
-                tokens, seen, base, score, ends = [], [], [], [], [0]
-                words, times, logs = [], [], []
-                for d in docs:
-                    total, k, b, s = 1, int(documents > 0), end_base, end_score
-                    for w, c in d.items():
-                        total += c
-                        log = base_of.get(w)
-                        if log is None:
-                            words.append(w)
-                            times.append(c)
-                            logs.append(cache[w])
-                        else:
-                            b += c * log
-                            k += c
-                            s += c * cache[w]
-                    tokens.append(total)
-                    seen.append(k)
-                    base.append(b)
-                    score.append(s)
-                    ends.append(len(words))
+                texts = column[start:stop].to_pylist()
+                buffer = b"\n".join(texts).lower()
+                hashes, at, size = hashed_words(buffer)
+                begin = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+                bound = np.searchsorted(at, begin)
+                count = np.diff(bound)
+                code, kinds = pd.factorize(hashes)
+                first = np.empty(len(kinds), np.int64)
+                first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
+                words = [buffer[a:a + s] for a, s in zip(at[first].tolist(), size[first].tolist())]
+                base, score, frequent = looked_up(words)
+                some = np.flatnonzero(count)
+
+                def sums(of_word: np.ndarray) -> np.ndarray:
+                    out = np.zeros(len(texts))
+                    if len(some):
+                        out[some] = np.add.reduceat(of_word[code], bound[some])
+                    return out
+
+                # The other words of each document, with how often they stand there.
+                doc = np.repeat(np.arange(len(texts)), count)
+                left = np.flatnonzero(~frequent[code]) if len(code) else np.empty(0, np.int64)
+                pair, times = np.unique(doc[left] * max(len(kinds), 1) + code[left], return_counts=True)
+                word = pair % max(len(kinds), 1)
+                ends = np.searchsorted(pair, np.arange(len(texts) + 1) * max(len(kinds), 1))
                 rare = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
-                    [pa.array(words, pa.binary()), pa.array(times, pa.int64()), pa.array(logs, pa.float64())],
-                    names=["word", "tf", "log"]))
+                    [pa.array(words, pa.binary()).take(pa.array(word, pa.int64())), pa.array(times, pa.int64()),
+                     pa.array(score[word] if len(word) else np.empty(0))], names=["word", "tf", "log"]))
+                seen = sums(frequent.astype(np.float64)).astype(np.int64) + int(documents > 0)
                 yield pa.RecordBatch.from_arrays(
-                    [whole.column("row")[start:stop], whole.column("rid")[start:stop], pa.array(tokens, pa.int64()),
-                     pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()),
-                     rare],
+                    [whole.column("row")[start:stop], whole.column("rid")[start:stop], pa.array(count + 1, pa.int64()),
+                     pa.array(seen), pa.array(sums(base) + end_base),
+                     pa.array(sums(np.where(frequent, score, 0.0)) + end_score), rare],
                     names=["row", "rid", "n_tokens", "seen", "base", "score", "rare"])
 
     return body

@@ -79,14 +79,14 @@ _POWER = np.cumprod(np.concatenate([np.ones((2, 1), np.uint64), np.repeat(np.arr
     [[0x9E3779B97F4A7C15], [0xD6E8FEB86659FD93]], np.uint64), _LONG_WORD - 1, axis=1)], axis=1), axis=1)
 
 
-def word_hashes(buffer: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first byte of every word of a lower-cased buffer."""
+def word_hashes(buffer: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first byte and length of every word of a lower-cased buffer."""
     data = np.frombuffer(buffer, np.uint8)
     inside = ~_SPACE[data]
     edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
     start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(start):
-        return np.empty(0, np.uint64), start
+        return np.empty(0, np.uint64), start, start
     size = stop - start
     letters = data[inside]
     first = np.concatenate([[0], np.cumsum(size)[:-1]])
@@ -95,7 +95,22 @@ def word_hashes(buffer: bytes) -> tuple[np.ndarray, np.ndarray]:
     out = _mix(sums[0]) + _mix(sums[1] ^ _U(0x2545F4914F6CDD1D)) * _ODD[2]
     for k in np.flatnonzero(size >= _LONG_WORD):
         out[k] = xxhash.xxh3_64_intdigest(buffer[start[k]:stop[k]])
-    return out, start
+    return out, start, size
+
+
+def hashed_words(buffer: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`word_hashes` of a buffer of any size, in parts that end between words."""
+    parts, at = [], 0
+    while at < len(buffer):
+        end = min(at + _PIECE, len(buffer))
+        while end < len(buffer) and not _SPACE[buffer[end]]:
+            end += 1
+        hashes, start, size = word_hashes(buffer[at:end])
+        parts.append((hashes, start + at, size))
+        at = end
+    if not parts:
+        return word_hashes(b"")
+    return tuple(np.concatenate(p) for p in zip(*parts))
 
 
 class Shingles:
@@ -104,39 +119,18 @@ class Shingles:
     def __init__(self, size: int):
         self.size = size
 
-    def _words(self, texts: list[bytes]) -> list[np.ndarray]:
+    def _words(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """The word hashes of each text."""
-        out: list[np.ndarray] = []
         held: list[bytes] = []
         room = 0
-
-        def flush() -> None:
-            nonlocal room
-            if held:
-                hashes, start = word_hashes(b"\n".join(held).lower())
+        for i, text in enumerate(texts):
+            held.append(text)
+            room += len(text)
+            if room >= _PIECE or i == len(texts) - 1:
+                hashes, start, _ = hashed_words(b"\n".join(held).lower())
                 ends = np.cumsum([len(t) + 1 for t in held])
-                out.extend(np.split(hashes, np.searchsorted(start, ends[:-1])))
-                held.clear()
-                room = 0
-
-        for text in texts:
-            if len(text) <= _PIECE:
-                held.append(text)
-                room += len(text)
-                if room >= _PIECE:
-                    flush()
-                continue
-            flush()
-            parts, at = [], 0
-            while at < len(text):     # a long text in parts that end between words
-                end = min(at + _PIECE, len(text))
-                while end < len(text) and not _SPACE[text[end]]:
-                    end += 1
-                parts.append(word_hashes(text[at:end].lower())[0])
-                at = end
-            out.append(np.concatenate(parts))
-        flush()
-        return out
+                yield from np.split(hashes, np.searchsorted(start, ends[:-1]))
+                held, room = [], 0
 
     def of_all(self, texts: list[bytes]) -> list[np.ndarray]:
         out = []
