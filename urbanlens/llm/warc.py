@@ -8,8 +8,8 @@
                     type) beside it.  Members can then be read alone.
 ``read_records``    tasks open the normalised files at the indexed offsets.
 
-Files lie in the shared folder (any file system that pyarrow or Hadoop
-names by its address).  Every attempt of a task writes files with names of its own, and
+Files lie in the shared folder (any file system that pyarrow opens by its
+address: file, hdfs, s3, gs, abfs).  Every attempt of a task writes files with names of its own, and
 only names that finished tasks have reported are read, so lost executors and
 repeated attempts leave no double record.  A task holds one record at a time.
 A gzip stream can't be split, so one file is one task; ``max_bytes`` bounds it.
