@@ -212,8 +212,9 @@ def fit(df: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str =
     chosen = known.orderBy(F.xxhash64("id"), "id").limit(max_rows)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
                      _length(df, length_col).alias("length"))
-    rows = rows.join(F.broadcast(chosen), "id").dropDuplicates(["id"])     # max_rows rows at most
-    got = rows.select("label", "length", "text").mapInArrow(
+    # Of several rows with one id the least text teaches: max_rows rows at most.
+    rows = rows.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min(F.struct("text", "length", "label")).alias("r"))
+    got = rows.select("r.label", "r.length", "r.text").mapInArrow(
         _input_body, "label int, size long, slots binary, values binary, stats binary").collect()
     if not got:
         return None
