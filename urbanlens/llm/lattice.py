@@ -409,7 +409,7 @@ def score_documents(df: DataFrame, learn: Column, text_col: str = "text", vocabu
             break
         least = row["k"]
     frequent = F.col("c") >= F.lit(1 << least)
-    known = {bytes(r["word"]): r["c"] for r in counts.where(frequent).toLocalIterator()}
+    known = {bytes(r["word"]): r["c"] for r in counts.where(frequent).collect()}     # MAX_SHIPPED at most
     shared = ship(df.sparkSession, (lattice, known, documents, n, below, discount, spare))
 
     rows = packed(df, keep, text=F.col(f"`{text_col}`"), rid=F.monotonically_increasing_id())
