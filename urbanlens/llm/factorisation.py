@@ -128,8 +128,10 @@ class Machine:
         n, m = len(sizes), len(STATISTICS)
         scaled = np.clip((stats - self.mean) / self.spread, -5, 5) * 0.3
         rows = np.arange(n)
-        slot = np.concatenate([slots, np.tile(np.arange(m) + WORD_SLOTS, n), WORD_SLOTS + m + size_class])
-        value = np.concatenate([values, scaled.ravel(), np.full(n, 0.3)])
+        slot = np.concatenate([slots, np.tile(np.arange(m, dtype=np.int32) + np.int32(WORD_SLOTS), n),
+                               (WORD_SLOTS + m + size_class).astype(np.int32)])
+        value = np.concatenate([values, scaled.astype(np.float32).ravel(), np.full(n, 0.3, np.float32)])
+        rows = rows.astype(np.int32)
         row = np.concatenate([np.repeat(rows, sizes), np.repeat(rows, m), rows])
         return slot, value, row
 
@@ -141,11 +143,8 @@ class Machine:
         linear = np.bincount(row, self.weight[slot] * value, n)
         return self.bias[0] + linear + 0.5 * ((sums * sums).sum(axis=1) - squares), sums, v
 
-    def fit(self, matrix, label: np.ndarray, epochs: int) -> None:
-        slot, value, row = matrix
-        order = np.argsort(row, kind="stable")
-        slot, value, row = slot[order], value[order], row[order]
-        start = np.searchsorted(row, np.arange(len(label) + 1))
+    def fit(self, slot, value, start, label: np.ndarray, epochs: int) -> None:
+        """``slot`` and ``value`` by row; row i is ``start[i]:start[i + 1]``."""
         rng = np.random.default_rng(11)
         params = [self.bias, self.weight, self.factor]
         first, second, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
@@ -225,8 +224,15 @@ def fit(df: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str =
     values = np.concatenate([np.frombuffer(r["values"], np.float32) for r in got])
     sizes = np.array([len(r["slots"]) // 4 for r in got])
     label = np.array([r["label"] for r in got], np.float64)
-    matrix = machine.assemble(slots, values, sizes, stats, np.array([r["size"] for r in got]))
-    machine.fit(matrix, label, epochs)
+    classes = np.array([r["size"] for r in got])
+    del got
+    slots, values, rows = machine.assemble(slots, values, sizes, stats, classes)
+    order = np.argsort(rows, kind="stable").astype(np.int32)
+    start = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(label)))])
+    del rows
+    slots, values = slots[order], values[order]
+    del order
+    machine.fit(slots, values, start, label, epochs)
     return machine
 
 
