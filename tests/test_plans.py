@@ -18,6 +18,15 @@ def test_share_filter_and_columns_reach_the_scan(spark):
     assert "partial_count" in plan  # counted in every task before the shuffle
 
 
+def test_total_reuses_the_counts_shuffle(spark):
+    """The denominator's subquery scans nothing of its own and gathers no groups in one task."""
+    for name in ("time_of_day_share", "time_of_day_share_two_sources"):
+        df = QUERIES[name](spark, SF)
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "ReusedExchange" in final and "Window" not in final
+
+
 def test_udf_variant_runs_vectorized(spark):
     plan = _plan(spark, "time_of_day_share_udf")
     assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan
@@ -25,7 +34,8 @@ def test_udf_variant_runs_vectorized(spark):
 
 def test_two_sources_push_the_filter_into_both_scans(spark):
     plan = _plan(spark, "time_of_day_share_two_sources")
-    assert plan.count("EqualTo(event_type,error)") == 2
+    # Once for the groups and once, in the plan before it runs, for their total.
+    assert plan.count("EqualTo(event_type,error)") == 4
     # The split of one table into two sources is pushed too (row-group pruning).
     assert "LessThan(ts,2024-01-16T00:00)" in plan
     assert "Or(GreaterThanOrEqual(ts,2024-01-16T00:00),IsNull(ts))" in plan
