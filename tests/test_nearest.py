@@ -4,7 +4,6 @@ import random
 import pytest
 from fixtures import Q4_EXPECTED
 from files import write_crime_files, write_stations
-from pyspark.sql import functions as F
 
 from urbanlens.functions.geo import haversine_km
 from urbanlens.operators.nearest import nearest_site, nearest_site_summary, point_rejects
