@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from brute import components, jaccard_components, shingles
-from conftest import ODD_ROWS
+from odd_rows import ODD_ROWS
 from urbanlens.llm import hyperplanes, partenum
 from urbanlens.llm.components import connected_components
 from urbanlens.llm.partenum import Shingles, Signatures

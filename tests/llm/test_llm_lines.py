@@ -3,7 +3,7 @@ import random
 import numpy as np
 
 from brute import dedup_lines, sha
-from conftest import ODD_ROWS
+from odd_rows import ODD_ROWS
 from urbanlens.llm import line_dedup
 from urbanlens.llm.line_dedup import Bloom
 

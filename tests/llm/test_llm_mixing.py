@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from brute import contamination, dedup_lines, jaccard_components
-from conftest import ODD_ROWS
+from odd_rows import ODD_ROWS
 from urbanlens.llm import factorisation, mixing
 from urbanlens.llm.common import table
 from urbanlens.llm.queries import quality_machine

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import ODD_ROWS, ODD_TEXTS
+from odd_rows import ODD_ROWS, ODD_TEXTS
 from urbanlens.llm import factorisation, kneser_ney, lattice
 from urbanlens.llm.factorisation import Machine
 from urbanlens.llm.kneser_ney import Model, Models, symbol_table, symbols

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brute import contamination, item_words
-from conftest import ODD_ROWS
+from odd_rows import ODD_ROWS
 from urbanlens.llm import chat, suffix_automaton, warc
 from urbanlens.llm.suffix_automaton import SuffixAutomaton, words
 
