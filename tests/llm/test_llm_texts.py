@@ -145,6 +145,36 @@ def test_conversations_with_nulls(ready):
     assert chat.format_records(chat.records_of(df.where("false"))).count() == 0
 
 
+@pytest.mark.parametrize("sizes", [[20_000_100], [19_000_000] * 8], ids=["long_turn", "long_conversation"])
+def test_conversation_beyond_the_limits_of_variants(ready, sizes):
+    """A text of over 20,000,000 characters; a record of over 128 MiB."""
+    turns = ready.createDataFrame([(1, i, n) for i, n in enumerate(sizes)], "conv_id long, turn long, n int")
+    df = turns.select("conv_id", "turn", F.lit("assistant").alias("role"), F.expr("repeat('x', n)").alias("text"))
+    out = chat.format_records(chat.records_of(df)).select("mapping", "formatted", "segments").select(
+        "mapping", F.length("formatted").alias("n"), F.size("segments").alias("pieces"),
+        F.sha2(chat.loss_text(F.col("segments")), 256).alias("loss")).collect()
+    template = len("<|im_start|>assistant\n<|im_end|>\n")
+    assert [tuple(r) for r in out] == [("messages", sum(sizes) + template * len(sizes), 3 * len(sizes),
+                                        hashlib.sha256(b"x" * sum(sizes)).hexdigest())]
+
+
+def test_json_beyond_the_limits_is_an_error(ready):
+    long = F.expr("repeat('x', 20000100)")
+    df = ready.range(1).select(F.to_json(F.struct(long.alias("prompt"), F.lit("r").alias("response"))).alias("record"))
+    with pytest.raises(Exception, match="beyond the limits of a variant"):
+        chat.format_records(df).select(F.length("formatted")).collect()
+    got = chat.format_records(ready.range(1).select(long.alias("record"))).select("fingerprint", "formatted").first()
+    assert tuple(got) == (None, "")
+
+
+def test_struct_records_have_the_fingerprint_of_their_json(ready):
+    df = ready.createDataFrame([(1, 0, "human", "a")], "conv_id long, turn long, role string, text string")
+    records = chat.records_of(df)
+    both = [chat.format_records(r).select("fingerprint", "mapping", "formatted").first()
+            for r in (records, records.withColumn("record", F.to_json("record")))]
+    assert both[0] == both[1] and both[0]["mapping"] == "messages"
+
+
 def test_chat_plan_is_native(ready):
     df = ready.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, text string")
     plan = chat.format_records(chat.records_of(df))._jdf.queryExecution().executedPlan().toString()

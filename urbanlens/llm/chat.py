@@ -1,7 +1,11 @@
 """Chat formatting: records of any known layout into one template, natively.
 
-A record is JSON text.  Its *layout* is the nested field paths it has, in
-order, without the values; the hash of that is its fingerprint.  ``MAPPINGS``
+A record is JSON text, or a struct (the rows of a turn table, see
+``records_of``).  Its *layout* is the nested field paths it has, in
+order, without the values; the hash of that is its fingerprint.  A struct has
+the layout of its type and is never written as JSON, so neither limit of
+Spark's JSON variants (20,000,000 characters a text, 128 MiB a record) holds
+for it.  ``MAPPINGS``
 declares, by an example record each, how a layout becomes canonical turns
 (role, text): an array of messages, or fields in a fixed order.  The
 fingerprint of a row selects its mapping; rows of other layouts come back
@@ -20,20 +24,26 @@ the escaped assistant texts.
 Only DataFrame functions are used: no Python runs in the tasks.
 
 Defined results: null text is empty, null role is empty; a record that isn't
-JSON, or null, has no layout (fingerprint null) and no turns; a record
+JSON, or null, has no layout (fingerprint null) and no turns; JSON text beyond
+those limits is an error, not a record without turns; a record
 without turns gives the empty output; equal turn numbers are ordered by role,
 then text; repeated rows are repeated turns.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 START, END = "<|im_start|>", "<|im_end|>"
 TURNS = "array<struct<role:string,text:string>>"
+#: Shorter JSON texts are within the limits of variants.
+SAFE_BYTES = 16_000_000
 
 
 @dataclass(frozen=True)
@@ -55,20 +65,22 @@ class Mapping:
     fields: tuple = ()
     skip_empty: tuple = ("system",)
 
-    def turns(self, v: Column) -> Column:
+    def turns(self, get: Callable[[str, str], Column]) -> Column:
+        """``get`` (JSON path, type) gives a record's value; structs inside an array keep their own type."""
         if self.messages:
-            got = F.try_variant_get(v, self.messages, f"array<struct<`{self.role}`:string,`{self.text}`:string>>")
+            got = get(self.messages, f"array<struct<`{self.role}`:string,`{self.text}`:string>>")
 
             def one(m: Column) -> Column:
-                role = F.coalesce(m[self.role], F.lit(""))
+                said = m[self.role].cast("string")
+                role = F.coalesce(said, F.lit(""))
                 for known, canonical in self.roles.items():
-                    role = F.when(m[self.role] == known, F.lit(canonical)).otherwise(role)
-                return F.struct(role.alias("role"), F.coalesce(m[self.text], F.lit("")).alias("text"))
+                    role = F.when(said == known, F.lit(canonical)).otherwise(role)
+                return F.struct(role.alias("role"), F.coalesce(m[self.text].cast("string"), F.lit("")).alias("text"))
 
             return F.transform(got, one)
         parts = []
         for role, paths in self.fields:
-            texts = [F.coalesce(F.try_variant_get(v, p, "string"), F.lit("")) for p in paths]
+            texts = [F.coalesce(get(p, "string"), F.lit("")) for p in paths]
             text = texts[0] if len(texts) == 1 else F.array_join(
                 F.filter(F.array(*texts), lambda t: t != ""), "\n\n")
             parts.append(F.struct(F.lit(role).alias("role"), text.alias("text")))
@@ -109,16 +121,66 @@ def fingerprint(v: Column) -> Column:
     return F.substring(F.sha2(layout(v), 256), 1, 16)
 
 
-def canonical_turns(record: Column, mappings: tuple[Mapping, ...] = MAPPINGS) -> tuple[Column, Column, Column]:
-    """(fingerprint, mapping name, turns) of a JSON text column."""
+def _beyond_limits(record: Column, v: Column) -> Column:
+    """Whether JSON text failed to parse for its size alone."""
+    whole = F.from_json(record, "wrong string", {"columnNameOfCorruptRecord": "wrong", "maxStringLen": str(2**31 - 1)})
+    return v.isNull() & (F.octet_length(record) > SAFE_BYTES) & whole["wrong"].isNull()
+
+
+def _json_turns(record: Column, mappings: tuple[Mapping, ...]) -> tuple[Column, Column, Column]:
     v = F.try_parse_json(record)
     mark = fingerprint(v)
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for m in reversed(mappings):
         known = mark == fingerprint(F.parse_json(F.lit(m.example)))
         name = F.when(known, F.lit(m.name)).otherwise(name)
-        turns = F.when(known, m.turns(v)).otherwise(turns)
-    return mark, name, F.coalesce(turns, F.array().cast(TURNS))
+        turns = F.when(known, m.turns(lambda path, kind: F.try_variant_get(v, path, kind))).otherwise(turns)
+    error = F.raise_error(F.lit("JSON record beyond the limits of a variant (20,000,000 characters a text, 128 MiB)"))
+    return mark, name, F.when(_beyond_limits(record, v), error.cast(TURNS)).otherwise(turns)
+
+
+def _sample(kind: T.DataType):
+    """A value of the type, as :func:`json.dumps` takes it."""
+    if isinstance(kind, T.StructType):
+        return {f.name: _sample(f.dataType) for f in kind.fields}
+    return [_sample(kind.elementType)] if isinstance(kind, T.ArrayType) else ""
+
+
+def _alike(a, b) -> bool:
+    """Whether two parsed JSON values have one layout."""
+    if isinstance(a, dict):
+        return isinstance(b, dict) and a.keys() == b.keys() and all(_alike(a[k], b[k]) for k in a)
+    if isinstance(a, list):
+        return isinstance(b, list) and all(_alike(x, y) for x, y in zip(a, b))
+    return not isinstance(b, (dict, list))
+
+
+def _struct_turns(record: Column, kind: T.StructType,
+                  mappings: tuple[Mapping, ...]) -> tuple[Column, Column, Column]:
+    def get(path: str, wanted: str) -> Column:
+        out = record
+        for name in path.removeprefix("$.").split("."):
+            out = out.getField(name)
+        return out.cast(wanted) if wanted == "string" else out
+
+    sample = _sample(kind)
+    there = record.isNotNull()
+    mark = F.when(there, fingerprint(F.parse_json(F.lit(json.dumps(sample)))))
+    for m in mappings:
+        if _alike(json.loads(m.example), sample):
+            return mark, F.when(there, F.lit(m.name)), m.turns(get)
+    return mark, F.lit(None).cast("string"), F.lit(None).cast(TURNS)
+
+
+def canonical_turns(record: Column, mappings: tuple[Mapping, ...] = MAPPINGS,
+                    kind: T.DataType | None = None) -> tuple[Column, Column, Column]:
+    """(fingerprint, mapping name, turns) of a column of JSON texts, or of structs of type ``kind``."""
+    if isinstance(kind, T.StructType):
+        mark, name, turns = _struct_turns(record, kind, mappings)
+    else:
+        mark, name, turns = _json_turns(record, mappings)
+    return mark, name, F.when(record.isNotNull(), F.coalesce(turns, F.array().cast(TURNS))).otherwise(
+        F.array().cast(TURNS))
 
 
 def escape(text: Column) -> Column:
@@ -142,8 +204,8 @@ def segments(turns: Column) -> Column:
 
 
 def format_records(df: DataFrame, record_col: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
-    """``row`` (all columns), ``fingerprint``, ``mapping``, ``segments`` and ``formatted`` of each JSON record."""
-    mark, name, turns = canonical_turns(F.col("record"), mappings)
+    """``row`` (all columns), ``fingerprint``, ``mapping``, ``segments`` and ``formatted`` of each record."""
+    mark, name, turns = canonical_turns(F.col("record"), mappings, df.schema[record_col].dataType)
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
                      F.col(f"`{record_col}`").alias("record"))
     rows = rows.select("row", mark.alias("fingerprint"), name.alias("mapping"), turns.alias("turns"))
@@ -173,14 +235,14 @@ def loss_text(segments_: Column) -> Column:
 
 def records_of(df: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role",
                text: str = "text") -> DataFrame:
-    """(key, record): the rows of a turn table as one messages record per conversation.
+    """(key, record): the rows of a turn table as one messages record (a struct) per conversation.
 
     One conversation is one output text, so its rows meet in one task; a
-    conversation has to fit a string.
+    conversation, with its template, has to fit a string (2 GB).
     """
     turn = F.struct(F.col(order).alias("n"), F.coalesce(F.col(role), F.lit("")).alias("role"),
                     F.coalesce(F.col(text), F.lit("")).alias("content"))
     turns = F.transform(F.array_sort(F.collect_list(turn)), lambda t: F.struct(
         t["role"].alias("role"), t["content"].alias("content")))
     return df.groupBy(F.col(key).alias("key")).agg(turns.alias("messages")).select(
-        "key", F.to_json(F.struct("messages")).alias("record"))
+        "key", F.struct("messages").alias("record"))

@@ -74,9 +74,10 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One more conversation, in another layout, whose texts hold control strings.
     more = spark.range(1).select(F.lit(-1).cast(records.schema["key"].dataType).alias("key"), F.to_json(F.struct(
         F.lit(control).alias("prompt"), F.lit(control).alias("response"))).alias("record"))
-    out = chat.format_records(records.unionByName(more))
-    turns = chat.read_back(F.col("formatted"))
-    out = out.select(F.col("row.key").alias("conv_id"), "mapping", "formatted", turns.alias("turns"),
+    out, other = (chat.format_records(r).select(F.col("row.key").alias("conv_id"), "mapping", "segments", "formatted")
+                  for r in (records, more))
+    out = out.unionByName(other)
+    out = out.select("conv_id", "mapping", "formatted", chat.read_back(F.col("formatted")).alias("turns"),
                      chat.loss_text(F.col("segments")).alias("loss"))
     written = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(written, 256).alias("turns_sha256"),
