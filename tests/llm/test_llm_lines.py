@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from brute import dedup_lines, sha
 from odd_rows import ODD_ROWS
@@ -27,6 +28,26 @@ def test_random_lines(ready):
     assert _got(df, max_filter_bits=1 << 12) == sorted(dedup_lines(docs), key=repr)
 
 
+def test_every_repeated_line_goes_beyond_one_segment(ready):
+    """Over 262,144 repeated lines (the global filter is larger than a segment's), two copies of each."""
+    docs, lines = 1040, 1000
+    df = ready.range(docs, numPartitions=4).selectExpr(
+        "id AS doc_id", f"array_join(transform(sequence(0, {lines - 1}), i -> concat('repeated line ', "
+                        f"id div 2 * {lines} + i)), '\n') AS text")
+    got = line_dedup.dedup_lines(df, keep=["doc_id"]).selectExpr("id % 2 AS second", "n_dropped").groupBy("second").sum()
+    assert {r["second"]: r["sum(n_dropped)"] for r in got.collect()} == {0: 0, 1: docs // 2 * lines}
+
+
+def test_no_suspect_is_withheld():
+    """A segment with more keys than its filter has room for passes them all on."""
+    rng = np.random.default_rng(2)
+    hashes = np.unique(rng.integers(-1 << 63, (1 << 63) - 1, 300_000))
+    batches = [pa.RecordBatch.from_arrays([pa.array(np.zeros(len(h), np.int64)), pa.array(h), pa.array([True] * len(h))],
+                                          names=["segment", "h", "again"]) for h in np.array_split(hashes, 30)]
+    passed = np.concatenate([b.column("h").to_numpy() for b in line_dedup._suspects(iter(batches))])
+    assert np.array_equal(np.unique(passed), hashes)
+
+
 def test_empty_table_and_one_document(ready):
     empty = ready.createDataFrame([], "doc_id long, text string")
     assert _got(empty) == []

@@ -7,9 +7,9 @@ documents loses all its lines, except in the document with the smallest id.
 1. Each task reduces its documents to distinct 64-bit key hashes with a mark
    for those it met in two documents.
 2. The hashes (8 bytes each) go to the task that owns their segment of the
-   *once-seen* filter.  A hash already there (or marked) enters the segment's
-   *twice-seen* filter and is passed on, once: it is suspected.
-3. The suspected hashes build the global twice-seen filter.  Its size follows
+   *once-seen* filter.  A hash already there (or marked) is suspected and
+   passed on, whatever was passed on before it; Spark makes these distinct.
+3. The suspected hashes build the global *twice-seen* filter.  Its size follows
    their number up to ``max_filter_bits``, a fixed bound, so it can be sent to
    every task.  Beyond that it only lets more lines through to step 4.
 4. Only lines that pass the filter shuffle, as (document, key): exact smallest
@@ -110,21 +110,18 @@ def _task_hashes(min_chars: int):
 
 
 def _suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per segment: hashes that the once-seen filter has met before, each once."""
-    filters: dict[int, tuple[Bloom, Bloom]] = {}
+    """Per segment: hashes that the once-seen filter has met before, once a batch."""
+    filters: dict[int, Bloom] = {}
     for batch in batches:
         segments, hashes, marks = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("segment", "h", "again"))
         out = []
         for segment in np.unique(segments):
-            once, twice = filters.setdefault(int(segment), (Bloom(SEGMENT_BITS), Bloom(SEGMENT_BITS)))
+            once = filters.setdefault(int(segment), Bloom(SEGMENT_BITS))
             here = segments == segment
             found, where, counts = np.unique(hashes[here].view(np.uint64), return_inverse=True, return_counts=True)
             again = (counts > 1) | (np.bincount(where, marks[here]) > 0) | once.has(found)
             once.add(found)
-            new = found[again]
-            new = new[~twice.has(new)]
-            twice.add(new)
-            out.append(new)
+            out.append(found[again])
         passed = np.concatenate(out) if out else np.empty(0, np.uint64)
         if len(passed):
             yield pa.RecordBatch.from_arrays([pa.array(passed.view(np.int64))], names=["h"])
@@ -154,7 +151,7 @@ def twice_filter(documents: DataFrame, min_chars: int, max_filter_bits: int) ->
     segments = max(1, -(-hashes.count() * BITS_PER_KEY // SEGMENT_BITS))
     # Half of a filter's bits stay clear at two keys in three of its room.
     owned = hashes.withColumn("segment", F.pmod(F.shiftright("h", 40), F.lit(2 * segments)))
-    suspects = cut(owned.repartition("segment").mapInArrow(_suspects, "h long"), "line-suspects")
+    suspects = cut(owned.repartition("segment").mapInArrow(_suspects, "h long").distinct(), "line-suspects")
     bits = _power_of_two(suspects.count() * BITS_PER_KEY, 1 << 12, max_filter_bits)
     # Eight builders whatever the input: what they send is bounded by the filter.
     built = bytearray(bits >> 3)
