@@ -72,6 +72,19 @@ def test_scan_documents(ready, item_bytes):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("item_bytes", [1 << 20, 10])
+def test_items_without_an_id_hit(ready, item_bytes):
+    bench = ready.createDataFrame([(None, "never a name"), (None, "no name either"), (7, "a name")],
+                                  "item_id int, text string")
+    docs = ready.createDataFrame([(1, "this is never a name no name either"), (2, "clean text"), (3, "no name either")],
+                                 "doc_id long, text string")
+    out = suffix_automaton.scan_documents(docs, bench, max_item_bytes=item_bytes).collect()
+    assert sorted((r["row"]["doc_id"], r["n_hit"], r["items"], r["contaminated"]) for r in out) == [
+        (1, 6, ["7", None], True), (2, 0, [], False), (3, 3, [None], True)]
+    kept = suffix_automaton.decontaminate(docs, bench, max_item_bytes=item_bytes).collect()
+    assert [r["doc_id"] for r in kept] == [2]
+
+
 def test_decontaminate(ready, odd):
     bench = ready.createDataFrame(ITEMS, "item_id int, text string")
     docs = ready.createDataFrame(_documents(), "doc_id long, text string").withColumn(

@@ -14,7 +14,9 @@ group for usual benchmarks), and every group adds to
 what the groups before it have found, so what is sent has a fixed bound.
 
 Defined results: null or empty text has no words and no hits; items without
-words are ignored; equal items each count; an empty benchmark hits nothing;
+words are ignored; equal items each count; items whose id is null hit like
+any other and stand together as one null, last, in the list of items; an
+empty benchmark hits nothing;
 rows with equal ids are judged one by one.
 """
 
@@ -44,7 +46,7 @@ def words(text: bytes) -> list[bytes]:
 class SuffixAutomaton:
     """Of word sequences; states know which item windows end in them."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int):
         self.window = window
         self.next: list[dict[bytes, int]] = [{}]
         self.link = [-1]
@@ -224,11 +226,11 @@ def _scan_body(shared, window: int, text_col: str, clean: bool):
 
 
 def item_groups(benchmark: DataFrame, item_col: str, text_col: str,
-                max_item_bytes: int) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """The items as (name, words), in groups of bounded size; one empty group at least."""
+                max_item_bytes: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
+    """The items as (name or null, words), in groups of bounded size; one empty group at least."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
-    items = items.where(F.col("text").isNotNull() & F.col("item").isNotNull())
-    group: list[tuple[str, list[bytes]]] = []
+    items = items.where(F.col("text").isNotNull())
+    group: list[tuple[str | None, list[bytes]]] = []
     size = 0
     for row in items.toLocalIterator():
         sequence = words(row["text"].encode("utf-8", "surrogatepass"))
