@@ -174,6 +174,21 @@ def test_sample_is_bounded(odd):
     assert {k: len(v) for k, v in got.items()} == {"en": 4}
 
 
+def test_an_over_long_text_is_skipped_alone(ready):
+    """Of 30 texts, the one longer than the bound leaves no other out, whatever its place in the sample."""
+    texts = [f"{lang} text number {i}" for i in range(15) for lang in ("de", "en")]
+    for long in range(0, 30, 7):
+        rows = [(i, "en" if i % 2 else "de", t * 200 if i == long else t) for i, t in enumerate(texts)]
+        df = ready.createDataFrame(rows, "doc_id long, lang string, text string")
+        got = kneser_ney.sample(df, "text", "lang", "doc_id", 100, max_chars=1000)
+        assert sorted(t for v in got.values() for t in v) == sorted(t for i, t in enumerate(texts) if i != long)
+    # The bound holds, and a language whose only text is over-long learns from it.
+    rows = [(i, "en", "x" * 10) for i in range(30)] + [(50, "de", "y" * 500)]
+    got = kneser_ney.sample(ready.createDataFrame(rows, "doc_id long, lang string, text string"), "text", "lang",
+                            "doc_id", 100, max_chars=105)
+    assert {k: len(v) for k, v in got.items()} == {"en": 10, "de": 1}
+
+
 # --- factorisation machine ---------------------------------------------------
 
 def test_square_identity_equals_all_pairs():

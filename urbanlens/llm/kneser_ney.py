@@ -13,8 +13,9 @@ the ``rejection`` limit of the winning language (a high quantile over the
 training texts themselves) are marked ``rejected``.
 
 The models are fitted on at most ``per_language`` documents of a language,
-those with the smallest hash of their id and text (a bounded, documented
-sample); scoring reads every text whole.
+those with the smallest hash of their id and text, and on at most
+``max_chars`` characters of all languages together (a bounded, documented
+sample, see :func:`sample`); scoring reads every text whole.
 
 Defined results: null text or text without a letter gives ``und``, score 0;
 with nothing to learn from, every text gives ``und``; ties go to the
@@ -37,7 +38,7 @@ ORDER = 4
 CODE_BITS = 16
 PER_LANGUAGE = 1_000
 _PLACES = 1 << 30
-MAX_TRAIN_CHARS = 1 << 26       # all languages together; see sample()
+MAX_TRAIN_CHARS = 1 << 26       # all languages together
 UNKNOWN = "und"
 REJECT_QUANTILE = 0.999
 SCALE = 0.25                    # softening of per-document posteriors, see Models.score
@@ -183,11 +184,14 @@ class Models:
                 none | (low > self.limit[best]))
 
 
-def sample(df: DataFrame, text_col: str, lang_col: str, id_col: str, per_language: int) -> dict[str, list[str]]:
+def sample(df: DataFrame, text_col: str, lang_col: str, id_col: str, per_language: int,
+           max_chars: int = MAX_TRAIN_CHARS) -> dict[str, list[str]]:
     """At most ``per_language`` texts of each language, smallest hash of id and text first.
 
-    What reaches the driver is bounded: ``per_language`` texts a language, and
-    MAX_TRAIN_CHARS characters together (texts past it are left out of the fit).
+    What reaches the driver is bounded: ``per_language`` texts a language, of
+    which ``max_chars`` characters together are kept.  A text that doesn't fit
+    any more is left out by itself; the first text of a language always
+    stays, and one longer than ``max_chars`` only if its language has no other.
     """
     rows = df.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"),
                      F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"))
@@ -200,18 +204,24 @@ def sample(df: DataFrame, text_col: str, lang_col: str, id_col: str, per_languag
     first = Window.partitionBy("lang").orderBy(place, "h", "text")
     rows = few.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
     out: dict[str, list[str]] = {}
+    long: dict[str, str] = {}
     total = 0
     for row in rows.orderBy("n", "lang").select("lang", "text").toLocalIterator():
-        total += len(row["text"])
-        if total > MAX_TRAIN_CHARS and row["lang"] in out:
-            continue
-        out.setdefault(row["lang"], []).append(row["text"])
-    return out
+        lang, text = row["lang"], row["text"]
+        if len(text) > max_chars:
+            if lang not in out:
+                long.setdefault(lang, text)
+        elif lang not in out or total + len(text) <= max_chars:
+            total += len(text)
+            out.setdefault(lang, []).append(text)
+            long.pop(lang, None)
+    return out | {lang: [text] for lang, text in long.items()}
 
 
 def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-        per_language: int = PER_LANGUAGE, order: int = ORDER) -> Models:
-    return Models(sample(df, text_col, lang_col, id_col, per_language), order)
+        per_language: int = PER_LANGUAGE, order: int = ORDER, max_chars: int = MAX_TRAIN_CHARS) -> Models:
+    """The models of :func:`sample`'s texts: ``per_language`` of each, ``max_chars`` characters of all together."""
+    return Models(sample(df, text_col, lang_col, id_col, per_language, max_chars), order)
 
 
 def _score_body(shared, text_col: str):
