@@ -35,7 +35,8 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return (0, "")
-        return (1, repr(float(v)))
+        # A nullable whole-number column comes as floats on one side.
+        return (1, str(int(v)) if v.is_integer() else repr(float(v)))
     if hasattr(v, "item"):
         return _norm(v.item())
     return (1, str(v))
