@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 def test_names_are_registered():
     names = set(entry_module.queries())
     assert names >= set(QUERIES) | {"pipeline"}
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 

@@ -179,3 +179,112 @@ FROM taken WHERE left_ IS NULL OR taken < left_
 """
 
 ORACLE_SQL["op1_mixing"] = OP1
+
+OP11 = f"""
+WITH docs AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+kept AS (
+  SELECT lang, term FROM (SELECT lang, unnest(list_distinct(w)) AS term FROM docs)
+  GROUP BY lang, term HAVING count(*) >= 10),
+occurring AS (
+  SELECT t.lang, t.source, t.term, count(*) AS n
+  FROM (SELECT lang, source, unnest(w) AS term FROM docs) t JOIN kept k ON t.lang = k.lang AND t.term = k.term
+  GROUP BY t.lang, t.source, t.term),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (
+  SELECT g.lang, g.source, coalesce(s.v, 0) AS v, coalesce(o.n, 0) AS n_all
+  FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN sizes s ON g.lang = s.lang
+  LEFT JOIN (SELECT lang, source, sum(n) AS n FROM occurring GROUP BY lang, source) o
+    ON g.lang = o.lang AND g.source = o.source),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS n,
+    CAST(1 + (1000000000 * (CAST(coalesce(o.n, 0) AS HUGEINT) + 2)) // (g.n_all + 2 * g.v) AS HUGEINT) AS p
+  FROM groups g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN occurring o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term),
+in_lang AS (
+  SELECT lang, term, CAST(1 + (1000000000 * (CAST(sum(n) AS HUGEINT) + 2))
+    // (sum(sum(n)) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang)) AS HUGEINT) AS q
+  FROM occurring GROUP BY lang, term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source),
+terms AS (
+  SELECT s.lang, s.source, s.term AS item, ((s.p - i.q) * (s.p - i.q)) // (s.p + i.q) AS value
+  FROM shares s JOIN in_lang i ON s.lang = i.lang AND s.term = i.term WHERE s.n > 0 AND s.p > i.q),
+found AS (
+  SELECT 'pair' AS part, g.lang, g.source, h.source AS item, coalesce(p.value, 0) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN pairs p ON p.lang = g.lang AND p.source = g.source AND p.item = h.source
+  UNION ALL SELECT 'term', lang, source, item, value FROM terms),
+ranked AS (
+  SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+    CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+OP12 = f"""
+WITH RECURSIVE crc_table(i, c, step) AS (
+  SELECT CAST(range AS BIGINT), CAST(range AS BIGINT), 0 FROM range(256)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM crc_table WHERE step < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM crc_table WHERE step = 8),
+docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{_WORDS}') AS w FROM documents),
+items AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{_WORDS}') AS w FROM benchmark),
+words AS (SELECT unnest(w) AS word FROM docs UNION SELECT unnest(w) FROM items),
+hashed AS (
+  SELECT word, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+      string_split(regexp_replace(hex(encode(word)), '(..)', '\\1 ', 'g').rtrim(), ' '),
+      lambda x: CAST(('0x' || x) AS BIGINT))),
+    lambda a, b: xor(a >> 8, crc.t[CAST(xor(a & 255, b) AS INTEGER) + 1])), 4294967295) % 10000 AS bucket
+  FROM words, crc),
+doc_words AS (SELECT d.doc_id, h.bucket FROM (SELECT doc_id, unnest(w) AS word FROM docs) d JOIN hashed h ON d.word = h.word),
+item_words AS (SELECT h.bucket FROM (SELECT unnest(w) AS word FROM items) d JOIN hashed h ON d.word = h.word),
+gains AS (
+  SELECT b.bucket, CAST(floor(1000 * ln(((CAST(coalesce(t.n, 0) AS DOUBLE) + 1) * (CAST(a.s AS DOUBLE) + 10000))
+    / ((CAST(coalesce(s.n, 0) AS DOUBLE) + 1) * (CAST(a.t AS DOUBLE) + 10000)))) AS BIGINT) AS gain
+  FROM (SELECT range AS bucket FROM range(10000)) b
+  LEFT JOIN (SELECT bucket, count(*) AS n FROM doc_words GROUP BY bucket) s ON s.bucket = b.bucket
+  LEFT JOIN (SELECT bucket, count(*) AS n FROM item_words GROUP BY bucket) t ON t.bucket = b.bucket,
+  (SELECT (SELECT count(*) FROM doc_words) AS s, (SELECT count(*) FROM item_words) AS t) a),
+weights AS (
+  SELECT w.doc_id, CAST(sum(g.gain) AS BIGINT) AS weight FROM doc_words w JOIN gains g ON w.bucket = g.bucket GROUP BY w.doc_id),
+scored AS (
+  SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_features, coalesce(w.weight, 0) AS weight,
+    coalesce(w.weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(('0x' || substr(sha256('2024:' || CAST(d.doc_id AS VARCHAR)), 1, 8)) AS BIGINT)
+      + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM docs d LEFT JOIN weights w ON d.doc_id = w.doc_id),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, 10 * count(*) OVER () // 100 AS draws
+  FROM scored WHERE n_features >= 20)
+SELECT s.doc_id, s.n_features, s.weight, s.score, CASE WHEN r.r <= r.draws THEN r.r END AS rank
+FROM scored s LEFT JOIN ranked r ON s.doc_id = r.doc_id
+"""
+
+OP13 = """
+WITH docs AS (SELECT doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS x FROM documents),
+windows AS (
+  SELECT doc_id, p, md5_number(b[CAST(p + 1 AS BIGINT) : CAST(p + 200 AS BIGINT)]) AS m
+  FROM (SELECT doc_id, b, unnest(range(0, octet_length(b) - 199)) AS p FROM docs)),
+found AS (
+  SELECT w.doc_id, w.p FROM windows w JOIN (SELECT m FROM windows GROUP BY m HAVING count(*) > 1) r ON w.m = r.m),
+edges AS (
+  SELECT doc_id, p, coalesce(p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) > 200, true) AS opens FROM found),
+numbered AS (
+  SELECT doc_id, p, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS s FROM edges),
+spans AS (SELECT doc_id, s, min(p) AS lo, max(p) + 200 AS hi FROM numbered GROUP BY doc_id, s),
+bounds AS (
+  SELECT doc_id, count(*) AS n, sum(hi - lo) AS removed,
+    list_concat([0], list(hi ORDER BY lo)) AS begins, list(lo ORDER BY lo) AS ends FROM spans GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(d.x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(b.removed, 0) AS BIGINT) AS n_removed,
+  coalesce(b.n, 0) AS n_spans,
+  sha256(unhex(CASE WHEN b.doc_id IS NULL THEN d.x ELSE array_to_string(list_transform(
+    list_zip(b.begins, list_append(b.ends, length(d.x) // 2)),
+    lambda z: substr(d.x, CAST(2 * z[1] + 1 AS BIGINT), CAST(2 * (z[2] - z[1]) AS BIGINT))), '') END)) AS kept_sha256
+FROM docs d LEFT JOIN bounds b ON d.doc_id = b.doc_id
+"""
+
+ORACLE_SQL |= {"op11_divergence": OP11, "op12_resampling": OP12, "op13_suffix_dedup": OP13}

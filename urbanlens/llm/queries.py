@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlens.llm import chat, factorisation, hyperplanes, kneser_ney, lattice, line_dedup, mixing, partenum, suffix_automaton, warc
+from urbanlens.llm import (chat, divergence, factorisation, hyperplanes, kneser_ney, lattice, line_dedup, mixing, partenum,
+                           resampling, suffix_automaton, suffix_dedup, warc)
 from urbanlens.llm.common import in_bucket, prepare, table
 from urbanlens.llm.oracle import ORACLE_SQL
 
@@ -108,6 +109,24 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    out = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return out.select(*_row("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    out = suffix_dedup.dedup_passages(table(spark, sf_dir, "documents"), keep="none", columns=["doc_id"])
+    return out.select(*_row("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_lattice": op2_lattice,
@@ -119,6 +138,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op10_embeddings": op10_embeddings,
     "op9_language": op9_language,
+    "op11_divergence": op11_divergence,
+    "op12_resampling": op12_resampling,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
