@@ -76,7 +76,7 @@ def build_parser() -> argparse.ArgumentParser:
     common(s)
     s.add_argument("--premise", default="STREET")
     s.add_argument("--method", choices=("expr", "udf"), default="expr")
-    s.add_argument("--rounding", choices=("half_up", "half_even"), default="half_up")
+    s.add_argument("--rounding", choices=("half_up", "half_even", "binary"), default="half_up")
 
     m = sub.add_parser("months", help="busiest months of every year")
     common(m)

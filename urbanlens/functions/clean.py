@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from urbanlens.functions.exact import round_binary
+
 # Fixed values taken over from the input data they describe.
 # Text layout of the event date column, e.g. "2019 Jan 05 12:00:00 AM".
 EVENT_TIME_FORMAT = "yyyy MMM dd hh:mm:ss a"
@@ -69,9 +71,13 @@ def round_to(c: Column | str, digits: int, rounding: str = "half_up") -> Column:
 
     ``half_up`` rounds ties away from zero, ``half_even`` to the even digit;
     both act on the shortest decimal form of the double, so 2.675 is a tie.
+    ``binary`` acts on the double's exact value, ties to the even digit, so
+    2.675 is no tie and becomes 2.67 (``exact.round_binary``).
     """
     if rounding == "half_up":
         return F.round(_col(c), digits)
     if rounding == "half_even":
         return F.bround(_col(c), digits)
+    if rounding == "binary":
+        return round_binary(_col(c), digits)
     raise ValueError(f"unknown rounding {rounding!r}")
