@@ -14,24 +14,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from urbanlens.functions.clean import clock_of, format_event_time, parse_event_time, parse_money
+from urbanlens.functions.clean import clock_of, format_event_time, parse_event_time, parse_money, round_to
 from urbanlens.operators.areas import area_ratio, income_lookup
 from urbanlens.operators.nearest import nearest_site, nearest_site_summary, point_rejects
 from urbanlens.operators.ranking import monthly_top_k, monthly_top_k_sql
 from urbanlens.operators.shares import time_of_day_share
 from urbanlens.plans import inputs
-from urbanlens.session import scratch_path
+from urbanlens.session import scratch_path, written
 from urbanlens.sources.city import (
     CRIME_COLUMNS,
     block_rejects,
     crime_rejects,
     income_rejects,
+    observed_counts,
     read_census_blocks,
     read_crimes,
+    read_crimes_observed,
     read_income,
     read_stations,
     station_rejects,
 )
+from urbanlens.sources.feature_scan import read_features_split
+from urbanlens.sources.lines import quarantined, read_mixed_headers, with_file_order
 from urbanlens.sources.readers import (
     flatten_features,
     read_delimited,
@@ -45,6 +49,8 @@ from urbanlens.sources.writers import (
     feature_collections,
     write_feature_collections,
     write_feature_lines,
+    write_one_collection,
+    write_one_file,
     write_result,
 )
 
@@ -341,17 +347,38 @@ def time_of_day_share_parquet_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return time_of_day_share(crimes.where(F.col("premis") == "error"), "time_occ")
 
 
-def source_rejects_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and rejects of every source, each with faults planted in known rows: (source, what, n)."""
-    base = scratch_path(spark, "rough")
+def _rough_crimes(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Events as a crime file with a fault in each row, by its number."""
     ev = inputs.table(spark, sf_dir, "events")
     odd = F.col("event_id") % 5
-    crimes = _write_csv(ev.select(
+    return _write_csv(ev.select(
         F.when(odd == 0, F.lit("2019 Feb 30 01:00:00 PM")).otherwise(format_event_time("ts")).alias("DATE OCC"),
         F.when(odd == 1, F.lit("noon")).when(odd == 2, F.lit(None)).otherwise(F.date_format("ts", "HHmm")).alias("TIME OCC"),
         F.col("event_type").alias("Premis Desc"),
         F.when(odd == 3, F.lit("NaN")).otherwise(F.lit("34.1")).alias("LAT"),
-        F.when(odd == 4, F.lit("west")).otherwise(F.lit("95")).alias("LON")), f"{base}/crimes")
+        F.when(odd == 4, F.lit("west")).otherwise(F.lit("95")).alias("LON")), path)
+
+
+def _by_name(counts: DataFrame, source: str) -> DataFrame:
+    """One row of counts as (source, what, n) rows."""
+    return counts.select(F.lit(source).alias("source"), F.explode(F.create_map(*[
+        x for c in counts.columns if c != "source" for x in (F.lit(c), F.col(c).cast("long"))])).alias("what", "n"))
+
+
+def observed_rejects_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of the day over the rough crime file, and the file's rejects counted by that query's own scan."""
+    path = _rough_crimes(spark, sf_dir, scratch_path(spark, "rough_crimes"))
+    crimes, seen = read_crimes_observed(spark, [path])
+    shares = written(time_of_day_share(crimes.where(F.col("premis") == "error"), "time_occ"), "observed-shares")
+    share = shares.select(F.lit("share").alias("source"), F.col("period").alias("what"),
+                          F.round(F.col("percentage") * 100).cast("long").alias("n"))
+    return _by_name(observed_counts(spark, seen), "crimes").unionByName(share)
+
+
+def source_rejects_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and rejects of every source, each with faults planted in known rows: (source, what, n)."""
+    base = scratch_path(spark, "rough")
+    crimes = _rough_crimes(spark, sf_dir, f"{base}/crimes")
     line = F.col("l_linenumber")
     rough = inputs.table(spark, sf_dir, "lineitem").select(
         F.when(line != 1, F.col("l_suppkey").cast("string")).alias("ZCTA20"),
@@ -367,10 +394,83 @@ def source_rejects_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("lat").cast("string").alias("Y"), F.col("division").alias("DIVISION")), f"{base}/stations")
     counts = {"crimes": crime_rejects(spark, [crimes]), "blocks": block_rejects(spark, [blocks], lines=True),
               "income": income_rejects(spark, [income]), "stations": station_rejects(spark, [stations])}
-    return union_sources([
-        df.select(F.lit(name).alias("source"), F.explode(F.create_map(*[
-            x for c in df.columns if c != "source" for x in (F.lit(c), F.col(c).cast("long"))])).alias("what", "n"))
-        for name, df in counts.items()])
+    return union_sources([_by_name(df, name) for name, df in counts.items()])
+
+
+def geojson_split_scan_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers as one GeoJSON document, written by all tasks and read by several."""
+    pts = inputs.points(spark, sf_dir, extra=("c_name", "c_nationkey"))
+    # Names with the characters that a scan of JSON text can stumble over.
+    named = pts.withColumn("c_name", F.concat("c_name", F.lit('}"{[\\')))
+    features = as_features(named, ["c_custkey", "c_name", "c_nationkey"], lon="lon", lat="lat")
+    keyed = features.select(F.col("feature.properties.c_custkey").alias("key"), "feature")
+    path = write_one_collection(keyed, "key", scratch_path(spark, "collection") + ".geojson")
+    return flatten_features(read_features_split(spark, path, CUSTOMER_PROPERTIES, split_bytes=128 << 10))
+
+
+def mixed_headers_scan_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder of income files whose headers differ in order and lack columns."""
+    rows = inputs.income_text(spark, sf_dir).select(
+        F.col("zip").alias("Zip Code"), F.col("name").alias("Name"), F.col("income_text").alias("Estimated Median Income"))
+    path = scratch_path(spark, "mixed_headers")
+    third = F.col("Zip Code").cast("long") % 3
+    for i, columns in enumerate((["Zip Code", "Name", "Estimated Median Income"],
+                                 ["Estimated Median Income", "Zip Code", "Name"], ["Name", "Zip Code"])):
+        rows.where(third == i).select(*columns).write.mode("append").option("header", True).option("sep", ";").csv(path)
+    raw = read_mixed_headers(spark, path, sep=";")
+    return raw.select(F.col("Zip Code").cast("long").alias("s_suppkey"), F.col("Name").alias("s_name"),
+                      parse_money("Estimated Median Income").alias("income"))
+
+
+def _quarantine(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return quarantined(spark, _rough_income_lines(spark, sf_dir), "zip string, name string, income_text string", sep=";")
+
+
+def quarantine_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strict ratio over the rough ';' file, its malformed lines put aside."""
+    rows, _ = _quarantine(spark, sf_dir)
+    return area_ratio(inputs.blocks(spark, sf_dir), income_lookup(rows, "zip", "income_text", strict=True), strict=True)
+
+
+def quarantine_lines_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The malformed lines of the rough ';' file, with the reason."""
+    return _quarantine(spark, sf_dir)[1].select("line", "reason")
+
+
+def nearest_site_file_order_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations with equal places, in a file of descending keys split over several parts: the first in the file wins."""
+    places = inputs.sites(spark, sf_dir)
+    stations = places.orderBy(F.col("ord").desc()).select(
+        (F.floor(F.col("lon") * 10) / 10).cast("string").alias("X"),
+        (F.floor(F.col("lat") * 10) / 10).cast("string").alias("Y"), F.col("division").alias("DIVISION"))
+    path = _write_csv(stations, scratch_path(spark, "stations_in_order"))
+    found = nearest_site(inputs.points(spark, sf_dir), read_stations(spark, path), digits=6)
+    return found.select("c_custkey", "division", "distance")
+
+
+def binary_rounding_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near ties of every line (three decimals, the last one 5), rounded by their binary value."""
+    lines = inputs.table(spark, sf_dir, "lineitem")
+    x = F.col("l_partkey").cast("double") + (F.col("l_orderkey") % 100).cast("double") / 100.0 + 0.005
+    return lines.select("l_orderkey", "l_linenumber", round_to(x, 2, "binary").alias("cents"),
+                        round_to(x * 1.1, 1, "binary").alias("tenths"))
+
+
+def area_ratio_binary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _area_ratio(spark, sf_dir, strict=True, rounding="binary")
+
+
+def nearest_site_exact_mean_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean distances by exact sums, to the millimetre."""
+    return nearest_site_summary(_assign(spark, sf_dir, "auto", None), digits=6)
+
+
+def ordered_single_file_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in descending order as one file written by all tasks; each with its line number."""
+    rows = inputs.table(spark, sf_dir, "customer").select((-F.col("c_custkey")).alias("key"), "c_name")
+    path = write_one_file(rows, scratch_path(spark, "one_file") + ".csv", order_by=["key"])
+    back = with_file_order(read_delimited(spark, path, header=False, schema="key BIGINT, c_name STRING"), "line")
+    return back.select((-F.col("key")).alias("c_custkey"), "c_name", "line")
 
 
 def nearest_site_summary_csv_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -421,4 +521,14 @@ QUERIES: dict[str, Query] = {
     "nearest_site_rejects": nearest_site_rejects_q,
     "nearest_site_summary": nearest_site_summary_q,
     "nearest_site_summary_csv": nearest_site_summary_csv_q,
+    "geojson_split_scan": geojson_split_scan_q,
+    "mixed_headers_scan": mixed_headers_scan_q,
+    "quarantine_rows": quarantine_rows_q,
+    "quarantine_lines": quarantine_lines_q,
+    "nearest_site_file_order": nearest_site_file_order_q,
+    "binary_rounding": binary_rounding_q,
+    "area_ratio_binary": area_ratio_binary_q,
+    "nearest_site_exact_mean": nearest_site_exact_mean_q,
+    "observed_rejects": observed_rejects_q,
+    "ordered_single_file": ordered_single_file_q,
 }

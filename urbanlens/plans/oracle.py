@@ -35,14 +35,14 @@ def _coord(key: str, base: float, mult: int, span: int) -> str:
     return f"({base}::DOUBLE + (({key} * {mult}) % {span}) / {I.COORD_SCALE}::DOUBLE)"
 
 
-def _pairs() -> str:
+def _pairs(site: str = "{0}", tie: str = "ord") -> str:
     plat = _coord("c_custkey", I.LAT_BASE, I.POINT_LAT_MULT, I.LAT_SPAN)
     plon = _coord("c_custkey", I.LON_BASE, I.POINT_LON_MULT, I.LON_SPAN)
     slat = _coord("s_suppkey", I.LAT_BASE, I.SITE_LAT_MULT, I.LAT_SPAN)
     slon = _coord("s_suppkey", I.LON_BASE, I.SITE_LON_MULT, I.LON_SPAN)
     return f"""
 p AS (SELECT c_custkey, {plat} * {_DEG} AS la, {plon} * {_DEG} AS lo FROM customer),
-s AS (SELECT s_suppkey AS ord, s_name AS division, {slat} * {_DEG} AS la, {slon} * {_DEG} AS lo
+s AS (SELECT s_suppkey AS ord, s_name AS division, {site.format(slat)} * {_DEG} AS la, {site.format(slon)} * {_DEG} AS lo
       FROM supplier),
 h AS (SELECT p.c_custkey, s.ord, s.division,
              sin((s.la - p.la) / 2) * sin((s.la - p.la) / 2)
@@ -50,7 +50,7 @@ h AS (SELECT p.c_custkey, s.ord, s.division,
       FROM p CROSS JOIN s),
 d AS (SELECT c_custkey, ord, division,
              2 * 6371.0::DOUBLE * atan2(sqrt(a), sqrt(greatest(1 - a, 0.0))) AS distance FROM h),
-best AS (SELECT c_custkey, arg_min(division, (distance, ord)) AS division, min(distance) AS distance
+best AS (SELECT c_custkey, arg_min(division, (distance, {tie})) AS division, min(distance) AS distance
          FROM d GROUP BY c_custkey)"""
 
 
@@ -68,7 +68,7 @@ SELECT b.zip, round(CAST(h AS DOUBLE) * income / CAST(NULLIF(p, 0) AS DOUBLE)) A
 FROM b JOIN i ON b.zip = i.zip"""
 
 
-def _area_ratio_strict(where: str) -> str:
+def _area_ratio_strict(where: str, rounded: str = "round_even({0}, 2)") -> str:
     return f"""
 WITH b AS (SELECT zip, CAST(sum(population) AS BIGINT) AS p, CAST(sum(housing) AS BIGINT) AS h
            FROM ({_BLOCKS})
@@ -77,8 +77,7 @@ WITH b AS (SELECT zip, CAST(sum(population) AS BIGINT) AS p, CAST(sum(housing) A
      i AS (SELECT CAST(s_suppkey AS VARCHAR) AS zip, CAST(floor(s_acctbal) AS BIGINT) AS income
            FROM supplier WHERE s_acctbal >= 0 AND {where}
            UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 1234 FROM supplier WHERE s_suppkey % 10 = 0 AND {where})
-SELECT b.zip, round_even(CAST(h AS DOUBLE) * CAST(income AS DOUBLE) / CAST(p AS DOUBLE), 2)
-       AS average_income
+SELECT b.zip, {rounded.format("CAST(h AS DOUBLE) * CAST(income AS DOUBLE) / CAST(p AS DOUBLE)")} AS average_income
 FROM b JOIN i ON b.zip = i.zip WHERE p <> 0"""
 
 
@@ -98,6 +97,23 @@ _SOURCE_REJECTS = " UNION ALL ".join((
 ))
 
 
+# Digits of a double's exact value, as text: no rounding of its shortest decimal form.
+_BINARY = "CAST(printf('%.{1}f', {0}) AS DOUBLE)"
+
+_CRIME_REJECTS = _counted("crimes", "events", bad_date="event_id % 5 = 0 OR (event_id % 5 <> 0 AND ts IS NULL)",
+                          bad_clock="event_id % 5 = 1", bad_coordinates="event_id % 5 IN (3, 4)")
+
+_ROUGH_SHARE = f"""
+SELECT 'share' AS source, period AS what, CAST(round(round(n * 100 / sum(n) OVER (), 2) * 100) AS BIGINT) AS n
+FROM (SELECT period, count(*) AS n FROM (
+  SELECT {_PERIOD} AS period FROM (SELECT CASE WHEN event_id % 5 IN (1, 2) THEN NULL ELSE hour(ts) * 100 + minute(ts) END AS c
+                                   FROM events WHERE event_type = 'error')) GROUP BY period)"""
+
+_ROUGH_LINES = """
+SELECT CAST(s_suppkey AS VARCHAR) AS line, 'too few fields' AS reason FROM supplier WHERE s_suppkey % 9 = 0
+UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 'too few fields' FROM supplier WHERE s_suppkey % 9 = 0 AND s_suppkey % 10 = 0"""
+
+
 def _monthly(rank_fn: str, order_tail: str) -> str:
     return f"""
 WITH c AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
@@ -170,4 +186,20 @@ UNION ALL SELECT 'bad_coordinates', count(*) FROM customer WHERE c_custkey % 7 =
 UNION ALL SELECT 'assigned', count(*) FROM customer WHERE NOT (c_custkey % 7 = 0 AND c_custkey % 5 <> 4)""",
     "nearest_site_summary": _NEAREST_SUMMARY,
     "nearest_site_summary_csv": _NEAREST_SUMMARY,
+    "geojson_split_scan": "SELECT c_custkey, c_name || '}\"{[\\' AS c_name, c_nationkey FROM customer",
+    "mixed_headers_scan": f"SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 3 <> 2 THEN {_INCOME} END AS income FROM supplier",
+    "quarantine_rows": _area_ratio_strict("s_suppkey % 7 <> 0 AND s_suppkey % 9 <> 0"),
+    "quarantine_lines": _ROUGH_LINES,
+    "nearest_site_file_order": f"""WITH {_pairs("(floor({0} * 10) / 10)", "-ord")}
+SELECT c_custkey, division, round(distance, 6) AS distance FROM best""",
+    "binary_rounding": f"""
+SELECT l_orderkey, l_linenumber, {_BINARY.format("x", 2)} AS cents, {_BINARY.format("x * 1.1::DOUBLE", 1)} AS tenths
+FROM (SELECT l_orderkey, l_linenumber, CAST(l_partkey AS DOUBLE) + CAST(l_orderkey % 100 AS DOUBLE) / 100.0::DOUBLE
+             + 0.005::DOUBLE AS x FROM lineitem)""",
+    "area_ratio_binary": _area_ratio_strict("TRUE", _BINARY.replace("{1}", "2")),
+    "nearest_site_exact_mean": f"""WITH {_pairs()}
+SELECT division, round(CAST(sum(CAST(round(distance * 1099511627776) AS HUGEINT)) AS DOUBLE) / count(*) / 1099511627776, 6)
+  AS avg_distance, count(*) AS crime_total FROM best GROUP BY division""",
+    "observed_rejects": f"{_CRIME_REJECTS} UNION ALL {_ROUGH_SHARE}",
+    "ordered_single_file": "SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_custkey DESC) - 1 AS line FROM customer",
 }

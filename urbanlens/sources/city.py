@@ -8,15 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from urbanlens.functions.clean import parse_event_time, parse_money, parse_money_whole
 from urbanlens.functions.geo import usable_coordinates
+from urbanlens.sources.lines import with_file_order
 from urbanlens.sources.readers import (
     conform,
     flatten_features,
+    observe_rejects,
     read_delimited,
     read_feature_lines,
     read_features,
@@ -79,35 +81,65 @@ def crime_rejects(spark: SparkSession, paths: Sequence[str], fmt: str = "csv") -
     counts as night, like a missing clock); ``bad_coordinates``: latitude or
     longitude missing or not a finite number (left out by the nearest-site search,
     which uses the same condition).
-    One aggregate scan per file.
+    One aggregate scan per file; :func:`read_crimes_observed` counts in a query's own scan.
     """
     frames = []
     for path in paths:
         raw = read_delimited(spark, path) if fmt == "csv" else read_parquet(spark, path)
-        text = raw.select(*[F.col(f"`{src}`").alias(name) for name, (src, _) in CRIME_COLUMNS.items()])
-        frames.append(reject_counts(text, {
-            "bad_date": parse_event_time("date_occ").isNull(),
-            "bad_clock": F.col("time_occ").isNotNull()
-            & F.trim("time_occ").try_cast("int").isNull(),
-            "bad_coordinates": ~usable_coordinates(
-                F.trim("lat").try_cast("double"), F.trim("lon").try_cast("double")),
-        }).select(F.lit(path).alias("source"), "*"))
+        frames.append(reject_counts(_crime_text(raw), _crime_checks()).select(F.lit(path).alias("source"), "*"))
     return union_sources(frames)
 
 
+def _crime_text(raw: DataFrame) -> DataFrame:
+    return raw.select(*[F.col(f"`{src}`").alias(name) for name, (src, _) in CRIME_COLUMNS.items()])
+
+
+def _crime_checks() -> dict[str, Column]:
+    return {
+        "bad_date": parse_event_time("date_occ").isNull(),
+        "bad_clock": F.col("time_occ").isNotNull() & F.trim("time_occ").try_cast("int").isNull(),
+        "bad_coordinates": ~usable_coordinates(F.trim("lat").try_cast("double"), F.trim("lon").try_cast("double")),
+    }
+
+
+def read_crimes_observed(
+    spark: SparkSession, paths: Sequence[str], fmt: str = "csv",
+) -> tuple[DataFrame, dict[str, Observation]]:
+    """``read_crimes``, and per path an observation of what ``crime_rejects`` counts.
+
+    The counts are made by the scan of the first action on the result and are
+    there (``Observation.get``) when it is done: no scan of their own.  Read
+    each frame once in that action; a plan that scans twice would count twice.
+    """
+    frames, seen = [], {}
+    for path in paths:
+        raw = read_delimited(spark, path) if fmt == "csv" else read_parquet(spark, path)
+        text, seen[path] = observe_rejects(_crime_text(raw), _crime_checks())
+        frames.append(conform(text, {name: (name, dtype) for name, (_, dtype) in CRIME_COLUMNS.items()}))
+    return union_sources(frames), seen
+
+
+def observed_counts(spark: SparkSession, seen: dict[str, Observation]) -> DataFrame:
+    """The counts of observations as ``crime_rejects`` gives them: one row a source.  Waits for the action."""
+    rows = [{"source": path, **observation.get} for path, observation in seen.items()]
+    return spark.createDataFrame(rows, ", ".join(["source string", *[f"{c} long" for c in rows[0] if c != "source"]]))
+
+
 def read_stations(spark: SparkSession, path: str, order_col: str | None = None) -> DataFrame:
     """Stations as (ord, division, lat, lon).
 
     ``ord`` breaks distance ties.  Give ``order_col`` when the file has an
-    explicit order; otherwise it is the row position, which equals the file
-    order for a single unsplit file (a station list is a few rows).
+    explicit order; otherwise it is the row's number in file order, files by
+    their path, however many files there are and however they are split
+    (``with_file_order``).
     """
     raw = read_delimited(spark, path)
     columns = dict(STATION_COLUMNS)
     if order_col:
         columns["ord"] = (order_col, "long")
         return conform(raw, columns)
-    return conform(raw, columns).withColumn("ord", F.monotonically_increasing_id())
+    needed = raw.select(*[F.col(f"`{source}`") for source, _ in STATION_COLUMNS.values()])
+    return conform(with_file_order(needed), {**columns, "ord": ("ord", "long")})
 
 
 def _count_text(name: str) -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,8 @@ def read_delimited(
 
     Without ``schema`` every column is a string named after the header.
     Several paths are read each under its own header and united by name; files
-    inside one path whose headers differ are an error, never mixed columns.
+    inside one path whose headers differ are an error, never mixed columns
+    (``lines.read_mixed_headers`` takes them each under its own header).
     With a schema the columns are taken by position, as the text has them.
     ``mode`` is the reader's handling of malformed lines (``PERMISSIVE`` keeps
     them with nulls, ``DROPMALFORMED`` drops them).  Dropping looks at whole
@@ -89,10 +90,18 @@ def reject_counts(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     row.  This is an ordinary aggregate, so it runs as one scan with a
     partial count per task.
     """
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.sum(F.when(cond, 1).otherwise(0)).alias(name) for name, cond in checks.items()],
-    )
+    return df.agg(*_reject_metrics(checks))
+
+
+def _reject_metrics(checks: Mapping[str, Column]) -> list[Column]:
+    return [F.count(F.lit(1)).alias("rows"),
+            *[F.sum(F.when(cond, 1).otherwise(0)).alias(name) for name, cond in checks.items()]]
+
+
+def observe_rejects(df: DataFrame, checks: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """``df``, and an observation of its ``reject_counts`` made while the next action runs."""
+    counts = Observation()
+    return df.observe(counts, *_reject_metrics(checks)), counts
 
 
 # --- GeoJSON feature collections ---------------------------------------------------
@@ -153,8 +162,8 @@ def read_features(
     properties as strings and ``try_cast`` them where their types vary.
 
     Each file is one document and is read by one task, so the parallelism is
-    the number of files.  Store large collections one feature per line
-    (``read_feature_lines``), as many documents, or as Parquet.
+    the number of files.  ``feature_scan.read_features_split`` reads one large
+    document by many tasks; ``read_feature_lines`` features one per line.
     """
     if properties is None:
         found = (spark.read.option("multiLine", True).option("recursiveFileLookup", True).option("mode", mode)

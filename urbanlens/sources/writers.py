@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
 
 from urbanlens.sources.readers import flatten_features, read_delimited, read_features
@@ -68,13 +69,96 @@ def write_result(
     ``single_file`` sends the finished rows to one task that only writes, which
     is meant for results of a few rows; the query itself keeps its tasks.
     Results that grow with the data should be written with
-    ``single_file=False``, so every task writes its own part.
+    ``single_file=False``, so every task writes its own part, or with
+    ``write_one_file``.
     """
     out = df.repartition(1) if single_file else df
     out.write.mode(mode).option("header", header).csv(path)
     return path
 
 
+def _join_parts(spark: SparkSession, parts: str, target: str) -> None:
+    """The part files under ``parts``, in order of their names, become the file ``target``.
+
+    HDFS does it in its name node without moving a byte; a local file system
+    copies on its own machine.  Sizes are checked.
+    """
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    where, goal = jvm.org.apache.hadoop.fs.Path(parts), jvm.org.apache.hadoop.fs.Path(target)
+    fs = where.getFileSystem(conf)
+    found = sorted(((s.getPath().getName(), s.getLen(), s.getPath()) for s in fs.listStatus(where)
+                    if s.getPath().getName().startswith("part-")), key=lambda f: f[0])
+    sources = [path for _, size, path in found if size]
+    local = fs.getUri().getScheme() == "file"
+    if fs.exists(goal):
+        fs.delete(goal, False)
+    if not sources:
+        fs.create(goal).close()
+        return
+    try:
+        if local:
+            fs, first = fs.getRawFileSystem(), []
+        else:
+            fs.rename(sources[0], goal)
+            first = [sources.pop(0)]
+        if sources:
+            array = spark._sc._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(sources))
+            for i, path in enumerate(sources):
+                array[i] = path
+            fs.concat(goal, array)
+    except Py4JJavaError as error:
+        if first:
+            fs.rename(goal, first[0])
+        raise RuntimeError(f"the store of {target} can't join files ({fs.getUri()}); the parts are under {parts}: "
+                           "write several files (write_result with single_file=False)") from error
+    size = sum(size for _, size, _ in found)
+    if fs.getFileStatus(goal).getLen() != size:
+        raise RuntimeError(f"{target} has {fs.getFileStatus(goal).getLen()} bytes, its parts had {size}")
+
+
+def _one_file(rows: DataFrame, path: str, order_by: Sequence[str], write) -> str:
+    parts = f"{path.rstrip('/')}.parts-{uuid.uuid4().hex[:12]}"
+    if order_by:
+        rows = rows.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    write(rows, parts)
+    _join_parts(rows.sparkSession, parts, path)
+    return path
+
+
+def write_one_file(df: DataFrame, path: str, order_by: Sequence[str] = (), sep: str = ",") -> str:
+    """Write ``df`` as one headerless delimited file ``path``, in the global order of ``order_by``.
+
+    All tasks write: rows are range-partitioned by the order, each task writes
+    its part, and the file system joins the parts.  No row goes through a
+    single task.  A store that can't join files (object stores) is a clear
+    error.  ``path`` is replaced.  The folder of the parts, ``path`` with a
+    suffix, is left: empty on HDFS, with the parts on a local disk.
+    """
+    def write(rows: DataFrame, parts: str) -> None:
+        rows.write.option("sep", sep).csv(parts)
+
+    return _one_file(df, path, order_by, write)
+
+
+def write_one_collection(features: DataFrame, key: str, path: str) -> str:
+    """Write (``key``, ``feature``) rows as one FeatureCollection document ``path``, by all tasks.
+
+    ``key`` is unique and orders the features.  See ``write_one_file``.
+    """
+    first = features.agg(F.min(key).alias("first")).first()["first"]
+    text = F.concat(F.when(F.col(key) == F.lit(first), F.lit("")).otherwise(F.lit(",")), F.to_json("feature"))
+    lines = features.select(F.lit(1).alias("part"), F.col(key).alias("at"), text.alias("value"))
+    ends = features.sparkSession.createDataFrame(
+        [(0, '{"type": "FeatureCollection", "features": ['), (2, "]}")], "part int, value string")
+    rows = lines.unionByName(ends.withColumn("at", F.lit(None).cast(lines.schema["at"].dataType)))
+
+    def write(rows: DataFrame, parts: str) -> None:
+        rows.select("value").write.text(parts)
+
+    return _one_file(rows, path, ["part", "at"], write)
+
+
 def as_features(
     df: DataFrame,
     properties: Sequence[str],
