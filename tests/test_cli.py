@@ -60,3 +60,11 @@ def test_explain_and_single_file(spark, tmp_dir, capsys):
           "--output", out], spark)
     assert "Physical Plan" in capsys.readouterr().out
     assert len(glob.glob(os.path.join(out, "part-*"))) == 1
+
+
+def test_one_split_collection_and_headers_of_their_own(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "income")
+    os.mkdir(folder)
+    write_income(folder)
+    df = main(["area", "--blocks", write_blocks(tmp_dir), "--split", "--income", folder, "--own-headers"], spark)
+    assert sorted(map(tuple, df.collect()), key=lambda r: (r[0], r[1] or -1)) == Q3_LOOSE

@@ -111,3 +111,46 @@ def test_rejects_are_counted_by_the_query_itself(spark, tmp_dir):
     counts = observed_counts(spark, seen)
     assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, crime_rejects(spark, paths).collect()))
     assert counts.columns == crime_rejects(spark, paths).columns
+
+
+def test_rejects_of_every_source_are_counted_by_its_reader(spark, tmp_dir):
+    from files import write_blocks, write_income, write_stations
+
+    from urbanlens.operators.areas import area_ratio, income_lookup
+    from urbanlens.sources import city
+
+    blocks, income, stations = write_blocks(tmp_dir), write_income(tmp_dir), write_stations(tmp_dir)
+    for split in (False, True):
+        rows, in_blocks = city.read_census_blocks_observed(spark, [blocks], split=split)
+        incomes, in_income = city.read_income_observed(spark, [income])
+        assert area_ratio(rows, income_lookup(incomes, "zip", "income_text")).count() == 6
+        for seen, counted in ((in_blocks, city.block_rejects(spark, [blocks])), (in_income, city.income_rejects(spark, [income]))):
+            assert list(map(tuple, observed_counts(spark, seen).collect())) == list(map(tuple, counted.collect()))
+    sites, in_stations = city.read_stations_observed(spark, stations)
+    assert sites.count() == 3
+    assert tuple(observed_counts(spark, in_stations).first()) == tuple(city.station_rejects(spark, [stations]).first())
+
+
+def test_typed_readers_take_folders_with_mixed_headers(spark, tmp_dir):
+    from urbanlens.sources.city import read_crimes, read_income
+
+    _write(tmp_dir, a="Zip Code;Name;Estimated Median Income\n1;A;$1\n", b="Estimated Median Income;Zip Code\n$2;2\n")
+    rows = read_income(spark, tmp_dir, own_headers=True).collect()
+    assert sorted(map(tuple, rows)) == [("1", "$1"), ("2", "$2")]
+    crimes = os.path.join(tmp_dir, "crimes")
+    os.mkdir(crimes)
+    _write(crimes, a="DATE OCC,TIME OCC,Premis Desc,LAT,LON\nd,0100,STREET,1,2\n", b="LON,LAT,TIME OCC,DATE OCC\n4,3,0200,e\n")
+    rows = sorted(map(tuple, read_crimes(spark, [crimes], own_headers=True).collect()))
+    assert rows == [("d", 100, "STREET", 1.0, 2.0), ("e", 200, None, 3.0, 4.0)]
+
+
+def test_features_to_parquet_by_many_tasks(spark, tmp_dir):
+    from files import write_blocks
+
+    from urbanlens.sources.city import BLOCK_PROPERTIES
+    from urbanlens.sources.writers import features_to_parquet
+
+    blocks = write_blocks(tmp_dir)
+    out = [sorted(map(str, spark.read.parquet(features_to_parquet(
+        spark, blocks, BLOCK_PROPERTIES, os.path.join(tmp_dir, str(split)), split=split)).collect())) for split in (False, True)]
+    assert out[0] == out[1] and len(out[0]) == 9

@@ -33,13 +33,13 @@ from urbanlens.sources.writers import csv_to_parquet, write_result
 
 
 def _share(spark: SparkSession, a) -> DataFrame:
-    crimes = read_crimes(spark, a.crimes, fmt=a.format)
+    crimes = read_crimes(spark, a.crimes, fmt=a.format, own_headers=a.own_headers)
     return time_of_day_share(crimes.where(F.col("premis") == a.premise), "time_occ",
                              method=a.method, rounding=a.rounding)
 
 
 def _months(spark: SparkSession, a) -> DataFrame:
-    sources = [read_crimes(spark, [p], fmt=a.format) for p in a.crimes]
+    sources = [read_crimes(spark, [p], fmt=a.format, own_headers=a.own_headers) for p in a.crimes]
     if a.sql:
         named = {f"crimes{i + 1}": s for i, s in enumerate(sources)}
         return monthly_top_k_sql(spark, named, f"try_to_timestamp(date_occ, '{EVENT_TIME_FORMAT}')", k=a.k)
@@ -48,13 +48,13 @@ def _months(spark: SparkSession, a) -> DataFrame:
 
 
 def _area(spark: SparkSession, a) -> DataFrame:
-    income = income_lookup(read_income(spark, a.income), "zip", "income_text", strict=a.strict)
-    return area_ratio(read_census_blocks(spark, a.blocks), income, strict=a.strict,
+    income = income_lookup(read_income(spark, a.income, own_headers=a.own_headers), "zip", "income_text", strict=a.strict)
+    return area_ratio(read_census_blocks(spark, a.blocks, lines=a.lines, split=a.split), income, strict=a.strict,
                       digits=a.digits, join_strategy=a.join)
 
 
 def _nearest(spark: SparkSession, a) -> DataFrame:
-    crimes = read_crimes(spark, a.crimes, fmt=a.format)
+    crimes = read_crimes(spark, a.crimes, fmt=a.format, own_headers=a.own_headers)
     stations = read_stations(spark, a.stations, order_col=a.order_column)
     return nearest_site_summary(nearest_site(crimes, stations, strategy=a.strategy))
 
@@ -68,6 +68,7 @@ def build_parser() -> argparse.ArgumentParser:
         if crimes:
             sp.add_argument("--crimes", nargs="+", required=True)
             sp.add_argument("--format", choices=("csv", "parquet"), default="csv")
+        sp.add_argument("--own-headers", action="store_true", help="text files of a folder differ in their headers")
         sp.add_argument("--output")
         sp.add_argument("--single-file", action="store_true", help="one output file whatever the question")
         sp.add_argument("--explain", action="store_true", help="print the physical plan first")
@@ -89,6 +90,9 @@ def build_parser() -> argparse.ArgumentParser:
     common(r, crimes=False)
     r.add_argument("--blocks", nargs="+", required=True)
     r.add_argument("--income", nargs="+", required=True)
+    shape = r.add_mutually_exclusive_group()
+    shape.add_argument("--lines", action="store_true", help="blocks are one feature per line")
+    shape.add_argument("--split", action="store_true", help="many tasks read one collection")
     r.add_argument("--strict", action="store_true")
     r.add_argument("--digits", type=int)
     r.add_argument("--join", choices=JOIN_STRATEGIES, default="auto")

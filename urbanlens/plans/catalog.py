@@ -28,10 +28,13 @@ from urbanlens.sources.city import (
     income_rejects,
     observed_counts,
     read_census_blocks,
+    read_census_blocks_observed,
     read_crimes,
     read_crimes_observed,
     read_income,
+    read_income_observed,
     read_stations,
+    read_stations_observed,
     station_rejects,
 )
 from urbanlens.sources.feature_scan import read_features_split
@@ -365,36 +368,51 @@ def _by_name(counts: DataFrame, source: str) -> DataFrame:
         x for c in counts.columns if c != "source" for x in (F.lit(c), F.col(c).cast("long"))])).alias("what", "n"))
 
 
-def observed_rejects_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The share of the day over the rough crime file, and the file's rejects counted by that query's own scan."""
-    path = _rough_crimes(spark, sf_dir, scratch_path(spark, "rough_crimes"))
-    crimes, seen = read_crimes_observed(spark, [path])
-    shares = written(time_of_day_share(crimes.where(F.col("premis") == "error"), "time_occ"), "observed-shares")
-    share = shares.select(F.lit("share").alias("source"), F.col("period").alias("what"),
-                          F.round(F.col("percentage") * 100).cast("long").alias("n"))
-    return _by_name(observed_counts(spark, seen), "crimes").unionByName(share)
-
-
-def source_rejects_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and rejects of every source, each with faults planted in known rows: (source, what, n)."""
+def _rough_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """A file of every kind, each with faults planted in known rows."""
     base = scratch_path(spark, "rough")
-    crimes = _rough_crimes(spark, sf_dir, f"{base}/crimes")
     line = F.col("l_linenumber")
     rough = inputs.table(spark, sf_dir, "lineitem").select(
         F.when(line != 1, F.col("l_suppkey").cast("string")).alias("ZCTA20"),
         F.when(line == 2, F.lit("many")).when(line != 3, F.col("l_quantity").cast("string")).alias("POP20"),
         F.when(line == 4, F.lit("4.0")).when(line == 5, F.lit("-")).otherwise(F.lit("7")).alias("HOUSING20"))
-    blocks = write_feature_lines(as_features(rough, ["ZCTA20", "POP20", "HOUSING20"]), f"{base}/blocks")
-    income = _write_csv(inputs.income_text(spark, sf_dir).select(
-        F.col("zip").alias("Zip Code"), F.col("name").alias("Name"),
-        F.when(F.col("zip").cast("long") % 7 == 0, F.concat("income_text", F.lit(".50")))
-        .otherwise(F.col("income_text")).alias("Estimated Median Income")), f"{base}/income", sep=";")
-    stations = _write_csv(inputs.sites(spark, sf_dir).select(
-        F.when(F.col("ord") % 3 == 0, F.lit("?")).otherwise(F.col("lon").cast("string")).alias("X"),
-        F.col("lat").cast("string").alias("Y"), F.col("division").alias("DIVISION")), f"{base}/stations")
-    counts = {"crimes": crime_rejects(spark, [crimes]), "blocks": block_rejects(spark, [blocks], lines=True),
-              "income": income_rejects(spark, [income]), "stations": station_rejects(spark, [stations])}
-    return union_sources([_by_name(df, name) for name, df in counts.items()])
+    return {
+        "crimes": _rough_crimes(spark, sf_dir, f"{base}/crimes"),
+        "blocks": write_feature_lines(as_features(rough, ["ZCTA20", "POP20", "HOUSING20"]), f"{base}/blocks"),
+        "income": _write_csv(inputs.income_text(spark, sf_dir).select(
+            F.col("zip").alias("Zip Code"), F.col("name").alias("Name"),
+            F.when(F.col("zip").cast("long") % 7 == 0, F.concat("income_text", F.lit(".50")))
+            .otherwise(F.col("income_text")).alias("Estimated Median Income")), f"{base}/income", sep=";"),
+        "stations": _write_csv(inputs.sites(spark, sf_dir).select(
+            F.when(F.col("ord") % 3 == 0, F.lit("?")).otherwise(F.col("lon").cast("string")).alias("X"),
+            F.col("lat").cast("string").alias("Y"), F.col("division").alias("DIVISION")), f"{base}/stations"),
+    }
+
+
+def source_rejects_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and rejects of every source: (source, what, n)."""
+    files = _rough_files(spark, sf_dir)
+    return union_sources([
+        _by_name(crime_rejects(spark, [files["crimes"]]), "crimes"),
+        _by_name(block_rejects(spark, [files["blocks"]], lines=True), "blocks"),
+        _by_name(income_rejects(spark, [files["income"]]), "income"),
+        _by_name(station_rejects(spark, [files["stations"]]), "stations")])
+
+
+def observed_rejects_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts made by the scans of the questions themselves, and the share that one of them gives."""
+    files = _rough_files(spark, sf_dir)
+    crimes, in_crimes = read_crimes_observed(spark, [files["crimes"]])
+    shares = written(time_of_day_share(crimes.where(F.col("premis") == "error"), "time_occ"), "observed-shares")
+    blocks, in_blocks = read_census_blocks_observed(spark, [files["blocks"]], lines=True)
+    income, in_income = read_income_observed(spark, [files["income"]])
+    written(area_ratio(blocks, income_lookup(income, "zip", "income_text")), "observed-ratios")
+    stations, in_stations = read_stations_observed(spark, files["stations"])
+    written(stations, "observed-stations")
+    share = shares.select(F.lit("share").alias("source"), F.col("period").alias("what"),
+                          F.round(F.col("percentage") * 100).cast("long").alias("n"))
+    seen = {"crimes": in_crimes, "blocks": in_blocks, "income": in_income, "stations": in_stations}
+    return union_sources([_by_name(observed_counts(spark, s), name) for name, s in seen.items()] + [share])
 
 
 def geojson_split_scan_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -408,6 +426,20 @@ def geojson_split_scan_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_features(read_features_split(spark, path, CUSTOMER_PROPERTIES, split_bytes=128 << 10))
 
 
+def area_ratio_geojson_split_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All blocks as one GeoJSON document read by many tasks, income files of one folder under headers of their own."""
+    features = _block_features(spark, sf_dir).withColumn("key", F.monotonically_increasing_id())
+    path = write_one_collection(written(features, "keyed-blocks"), "key", scratch_path(spark, "blocks") + ".geojson")
+    rows = inputs.income_rows(spark, sf_dir).select(
+        F.col("zip").alias("Zip Code"), F.col("name").alias("Name"), F.col("income_text").alias("Estimated Median Income"))
+    folder = scratch_path(spark, "income_folder")
+    even = F.col("Zip Code").cast("long") % 2 == 0
+    for part, columns in ((rows.where(even), rows.columns), (rows.where(~even), rows.columns[::-1])):
+        part.select(*columns).write.mode("append").option("header", True).option("sep", ";").csv(folder)
+    income = read_income(spark, folder, own_headers=True)
+    return area_ratio(read_census_blocks(spark, path, split=True), income_lookup(income, "zip", "income_text"))
+
+
 def mixed_headers_scan_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One folder of income files whose headers differ in order and lack columns."""
     rows = inputs.income_text(spark, sf_dir).select(
@@ -522,6 +554,7 @@ QUERIES: dict[str, Query] = {
     "nearest_site_summary": nearest_site_summary_q,
     "nearest_site_summary_csv": nearest_site_summary_csv_q,
     "geojson_split_scan": geojson_split_scan_q,
+    "area_ratio_geojson_split": area_ratio_geojson_split_q,
     "mixed_headers_scan": mixed_headers_scan_q,
     "quarantine_rows": quarantine_rows_q,
     "quarantine_lines": quarantine_lines_q,

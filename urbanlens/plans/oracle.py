@@ -100,9 +100,6 @@ _SOURCE_REJECTS = " UNION ALL ".join((
 # Digits of a double's exact value, as text: no rounding of its shortest decimal form.
 _BINARY = "CAST(printf('%.{1}f', {0}) AS DOUBLE)"
 
-_CRIME_REJECTS = _counted("crimes", "events", bad_date="event_id % 5 = 0 OR (event_id % 5 <> 0 AND ts IS NULL)",
-                          bad_clock="event_id % 5 = 1", bad_coordinates="event_id % 5 IN (3, 4)")
-
 _ROUGH_SHARE = f"""
 SELECT 'share' AS source, period AS what, CAST(round(round(n * 100 / sum(n) OVER (), 2) * 100) AS BIGINT) AS n
 FROM (SELECT period, count(*) AS n FROM (
@@ -187,6 +184,7 @@ UNION ALL SELECT 'assigned', count(*) FROM customer WHERE NOT (c_custkey % 7 = 0
     "nearest_site_summary": _NEAREST_SUMMARY,
     "nearest_site_summary_csv": _NEAREST_SUMMARY,
     "geojson_split_scan": "SELECT c_custkey, c_name || '}\"{[\\' AS c_name, c_nationkey FROM customer",
+    "area_ratio_geojson_split": _AREA_RATIO,
     "mixed_headers_scan": f"SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 3 <> 2 THEN {_INCOME} END AS income FROM supplier",
     "quarantine_rows": _area_ratio_strict("s_suppkey % 7 <> 0 AND s_suppkey % 9 <> 0"),
     "quarantine_lines": _ROUGH_LINES,
@@ -200,6 +198,6 @@ FROM (SELECT l_orderkey, l_linenumber, CAST(l_partkey AS DOUBLE) + CAST(l_orderk
     "nearest_site_exact_mean": f"""WITH {_pairs()}
 SELECT division, round(CAST(sum(CAST(round(distance * 1099511627776) AS HUGEINT)) AS DOUBLE) / count(*) / 1099511627776, 6)
   AS avg_distance, count(*) AS crime_total FROM best GROUP BY division""",
-    "observed_rejects": f"{_CRIME_REJECTS} UNION ALL {_ROUGH_SHARE}",
+    "observed_rejects": f"{_SOURCE_REJECTS} UNION ALL {_ROUGH_SHARE}",
     "ordered_single_file": "SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_custkey DESC) - 1 AS line FROM customer",
 }

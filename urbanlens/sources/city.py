@@ -6,7 +6,7 @@ types (``conform``), so the operators never see spaces or text numbers.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from urbanlens.functions.clean import parse_event_time, parse_money, parse_money_whole
 from urbanlens.functions.geo import usable_coordinates
-from urbanlens.sources.lines import with_file_order
+from urbanlens.sources.feature_scan import read_features_split
+from urbanlens.sources.lines import read_mixed_headers, with_file_order
 from urbanlens.sources.readers import (
     conform,
     flatten_features,
@@ -58,19 +59,22 @@ INCOME_KEY, INCOME_TEXT = "Zip Code", "Estimated Median Income"
 
 def read_crimes(
     spark: SparkSession, paths: Sequence[str], fmt: str = "csv",
-    columns: dict[str, tuple[str, str]] | None = None,
+    columns: dict[str, tuple[str, str]] | None = None, own_headers: bool = False,
 ) -> DataFrame:
     """One or more crime files (CSV with header, or their Parquet copies).
 
     Files are combined by column name; only the columns in ``columns`` are
-    read and typed.
+    read and typed.  ``own_headers``: the files of a folder differ in their
+    headers, each is read under its own.
     """
     columns = columns or CRIME_COLUMNS
-    frames = []
-    for path in paths:
-        raw = read_delimited(spark, path) if fmt == "csv" else read_parquet(spark, path)
-        frames.append(conform(raw, columns))
-    return union_sources(frames)
+    return union_sources([conform(_raw(spark, path, fmt, own_headers), columns) for path in paths])
+
+
+def _raw(spark: SparkSession, path: str, fmt: str, own_headers: bool = False) -> DataFrame:
+    if fmt != "csv":
+        return read_parquet(spark, path)
+    return read_mixed_headers(spark, path) if own_headers else read_delimited(spark, path)
 
 
 def crime_rejects(spark: SparkSession, paths: Sequence[str], fmt: str = "csv") -> DataFrame:
@@ -83,11 +87,27 @@ def crime_rejects(spark: SparkSession, paths: Sequence[str], fmt: str = "csv") -
     which uses the same condition).
     One aggregate scan per file; :func:`read_crimes_observed` counts in a query's own scan.
     """
-    frames = []
+    return _counted(paths, lambda path: _crime_text(_raw(spark, path, fmt)), _crime_checks())
+
+
+def _counted(paths: Sequence[str], read: Callable[[str], DataFrame], checks: dict[str, Column]) -> DataFrame:
+    """One aggregate scan a path."""
+    return union_sources([reject_counts(read(path), checks).select(F.lit(path).alias("source"), "*") for path in paths])
+
+
+def _observed(paths: Sequence[str], read: Callable[[str], DataFrame], checks: dict[str, Column],
+              finish: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, dict[str, Observation]]:
+    """The paths' rows, and per path an observation of its counts in the scan that gives those rows.
+
+    The counts are there (``Observation.get``) when the first action on the
+    result is done: no scan of their own.  Read each frame once in that
+    action; a plan that scans twice counts twice.
+    """
+    frames, seen = [], {}
     for path in paths:
-        raw = read_delimited(spark, path) if fmt == "csv" else read_parquet(spark, path)
-        frames.append(reject_counts(_crime_text(raw), _crime_checks()).select(F.lit(path).alias("source"), "*"))
-    return union_sources(frames)
+        rows, seen[path] = observe_rejects(read(path), checks)
+        frames.append(finish(rows))
+    return union_sources(frames), seen
 
 
 def _crime_text(raw: DataFrame) -> DataFrame:
@@ -102,21 +122,10 @@ def _crime_checks() -> dict[str, Column]:
     }
 
 
-def read_crimes_observed(
-    spark: SparkSession, paths: Sequence[str], fmt: str = "csv",
-) -> tuple[DataFrame, dict[str, Observation]]:
-    """``read_crimes``, and per path an observation of what ``crime_rejects`` counts.
-
-    The counts are made by the scan of the first action on the result and are
-    there (``Observation.get``) when it is done: no scan of their own.  Read
-    each frame once in that action; a plan that scans twice would count twice.
-    """
-    frames, seen = [], {}
-    for path in paths:
-        raw = read_delimited(spark, path) if fmt == "csv" else read_parquet(spark, path)
-        text, seen[path] = observe_rejects(_crime_text(raw), _crime_checks())
-        frames.append(conform(text, {name: (name, dtype) for name, (_, dtype) in CRIME_COLUMNS.items()}))
-    return union_sources(frames), seen
+def read_crimes_observed(spark: SparkSession, paths: Sequence[str], fmt: str = "csv") -> tuple[DataFrame, dict[str, Observation]]:
+    """``read_crimes``, and per path an observation of what ``crime_rejects`` counts (see ``_observed``)."""
+    return _observed(paths, lambda path: _crime_text(_raw(spark, path, fmt)), _crime_checks(),
+                     lambda text: conform(text, {name: (name, dtype) for name, (_, dtype) in CRIME_COLUMNS.items()}))
 
 
 def observed_counts(spark: SparkSession, seen: dict[str, Observation]) -> DataFrame:
@@ -152,53 +161,82 @@ def _blocks(flat: DataFrame) -> DataFrame:
         _count_text("HOUSING20").try_cast(_COUNT).alias("housing"))
 
 
-def read_census_blocks(spark: SparkSession, paths: str | Sequence[str], lines: bool = False) -> DataFrame:
+def _features(spark: SparkSession, paths: str | Sequence[str], lines: bool, split: bool) -> DataFrame:
+    if lines and split:
+        raise ValueError("features are either one per line or in documents to split")
+    read = read_feature_lines if lines else read_features_split if split else read_features
+    return flatten_features(read(spark, paths, _LOOSE_PROPERTIES))
+
+
+def read_census_blocks(spark: SparkSession, paths: str | Sequence[str], lines: bool = False,
+                       split: bool = False) -> DataFrame:
     """GeoJSON census blocks -> (zip, population, housing); polygons are not read.
 
-    ``lines``: one feature per line instead of collections.
+    ``lines``: one feature per line instead of collections.  ``split``: many
+    tasks read one collection (``read_features_split``, which scans when called).
     """
-    read = read_feature_lines if lines else read_features
-    return _blocks(flatten_features(read(spark, paths, _LOOSE_PROPERTIES)))
+    return _blocks(_features(spark, paths, lines, split))
+
+
+def read_census_blocks_observed(spark: SparkSession, paths: Sequence[str], lines: bool = False,
+                                split: bool = False) -> tuple[DataFrame, dict[str, Observation]]:
+    """``read_census_blocks``, and per path an observation of what ``block_rejects`` counts."""
+    return _observed(paths, lambda path: _features(spark, path, lines, split), _block_checks(), _blocks)
 
 
-def read_income(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """';'-separated income table -> (zip, income_text); several files each under its own header."""
-    raw = read_delimited(spark, paths, sep=";")
+def read_income(spark: SparkSession, paths: str | Sequence[str], own_headers: bool = False) -> DataFrame:
+    """';'-separated income table -> (zip, income_text); several files each under its own header.
+
+    ``own_headers``: also the files inside one folder.
+    """
+    raw = read_mixed_headers(spark, paths, sep=";") if own_headers else read_delimited(spark, paths, sep=";")
     return raw.select(F.col(f"`{INCOME_KEY}`").alias("zip"), F.col(f"`{INCOME_TEXT}`").alias("income_text"))
 
 
+def read_income_observed(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, dict[str, Observation]]:
+    """``read_income``, and per path an observation of what ``income_rejects`` counts."""
+    return _observed(paths, lambda path: read_income(spark, path), _income_checks(), lambda rows: rows)
+
+
+def _block_checks() -> dict[str, Column]:
+    return {
+        "no_key": F.col("ZCTA20").isNull(),
+        "bad_population": _count_text("POP20").isNotNull() & _count_text("POP20").try_cast(_COUNT).isNull(),
+        "bad_housing": _count_text("HOUSING20").isNotNull() & _count_text("HOUSING20").try_cast(_COUNT).isNull(),
+    }
+
+
 def block_rejects(spark: SparkSession, paths: Sequence[str], lines: bool = False) -> DataFrame:
     """Per source: features, those without a key, and counts that are there but are no numbers."""
-    read = read_feature_lines if lines else read_features
-    frames = []
-    for path in paths:
-        text = flatten_features(read(spark, path, _LOOSE_PROPERTIES))
-        frames.append(reject_counts(text, {
-            "no_key": F.col("ZCTA20").isNull(),
-            "bad_population": _count_text("POP20").isNotNull() & _count_text("POP20").try_cast(_COUNT).isNull(),
-            "bad_housing": _count_text("HOUSING20").isNotNull() & _count_text("HOUSING20").try_cast(_COUNT).isNull(),
-        }).select(F.lit(path).alias("source"), "*"))
-    return union_sources(frames)
+    return _counted(paths, lambda path: _features(spark, path, lines, False), _block_checks())
+
+
+def _income_checks() -> dict[str, Column]:
+    return {
+        "short_line": F.col("income_text").isNull(),
+        "bad_income": F.col("income_text").isNotNull() & parse_money("income_text").isNull(),
+        "not_whole": F.col("income_text").isNotNull() & parse_money_whole("income_text").isNull(),
+    }
 
 
 def income_rejects(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Per source: rows, short lines, incomes that are unreadable, and those the strict reading drops."""
-    frames = []
-    for path in paths:
-        raw = read_income(spark, path)
-        frames.append(reject_counts(raw, {
-            "short_line": F.col("income_text").isNull(),
-            "bad_income": F.col("income_text").isNotNull() & parse_money("income_text").isNull(),
-            "not_whole": F.col("income_text").isNotNull() & parse_money_whole("income_text").isNull(),
-        }).select(F.lit(path).alias("source"), "*"))
-    return union_sources(frames)
+    return _counted(paths, lambda path: read_income(spark, path), _income_checks())
+
+
+def _station_checks() -> dict[str, Column]:
+    return {"bad_coordinates": ~usable_coordinates("lat", "lon")}
 
 
 def station_rejects(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Per source: stations, and those without usable coordinates."""
-    frames = []
-    for path in paths:
-        sites = conform(read_delimited(spark, path), STATION_COLUMNS)
-        frames.append(reject_counts(sites, {"bad_coordinates": ~usable_coordinates("lat", "lon")})
-                      .select(F.lit(path).alias("source"), "*"))
-    return union_sources(frames)
+    return _counted(paths, lambda path: conform(read_delimited(spark, path), STATION_COLUMNS), _station_checks())
+
+
+def read_stations_observed(spark: SparkSession, path: str,
+                           order_col: str | None = None) -> tuple[DataFrame, dict[str, Observation]]:
+    """``read_stations``, and an observation of what ``station_rejects`` counts.
+
+    The nearest-site search reads its sites more than once: write these first.
+    """
+    return _observed([path], lambda path: read_stations(spark, path, order_col), _station_checks(), lambda rows: rows)

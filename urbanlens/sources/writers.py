@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from urbanlens.sources.feature_scan import read_features_split
 from urbanlens.sources.readers import flatten_features, read_delimited, read_features
 
 
@@ -48,13 +49,16 @@ def features_to_parquet(
     properties: T.StructType,
     out_path: str,
     geometry: T.DataType | None = None,
+    split: bool = False,
 ) -> str:
     """Convert GeoJSON FeatureCollection files once to a flat Parquet table.
 
-    The multi-line JSON scan is one task per file and re-parses text on every
-    read; the Parquet copy is split, pruned and filtered like any table.
+    The multi-line JSON scan is one task per file (``split``: many tasks a file)
+    and re-parses text on every read; the Parquet copy is split, pruned and
+    filtered like any table.
     """
-    return to_parquet(flatten_features(read_features(spark, paths, properties, geometry)), out_path)
+    read = read_features_split if split else read_features
+    return to_parquet(flatten_features(read(spark, paths, properties, geometry)), out_path)
 
 
 def write_result(
