@@ -98,6 +98,82 @@ def test_rare_words_take_the_join(odd, monkeypatch):
     assert scores(0) == scores(3) == scores(10_000)
 
 
+def test_long_words_are_learnt_whole(monkeypatch):
+    """A word's length decides how it is computed, never what: one opening piece each, however long."""
+    pieces, scores = lattice.read_vocabulary()
+    lat = Lattice(pieces, scores)
+    opens = np.array([i for i, p in enumerate(pieces) if p.startswith(MARK)])
+    for word in ("a" * 65, "hello" * 26, "x中q" * 30, "ét" * 320):
+        assert lat.expected([word], np.ones(1))[opens].sum() == pytest.approx(1.0)
+    rng = random.Random(1)
+    words = ["".join(rng.choice("abcdeé中▁xyz") for _ in range(rng.randint(1, 60))) for _ in range(60)]
+    counts = np.array([rng.randint(1, 5) for _ in words], float)
+    want, scores = lat.expected(words, counts), lat.score(words)
+    monkeypatch.setattr(lattice, "LONG", 0)
+    assert np.allclose(lat.expected(words, counts), want, atol=1e-9) and np.allclose(lat.score(words), scores)
+
+
+def test_every_round_learns_from_every_word(ready):
+    """The fitted weights are those of rounds over all distinct words, made by hand."""
+    texts = ["one two two " + "long" * 40, "two three", "seen once", None]
+    df = ready.createDataFrame([(t,) for t in texts], "text string")
+    counts = lattice.count_words(df)
+    pieces = lattice.read_vocabulary()
+    got = lattice.estimate(Lattice(*pieces), counts, len(texts), rounds=2)
+    want = Lattice(*pieces)
+    words = sorted({w for t in texts for w in (t or "").split()})
+    for _ in range(2):
+        weight = want.expected(words, np.ones(len(words))) + lattice._FLOOR
+        weight[-1] = 1.0
+        want.set_weights(weight)
+    assert np.allclose(got.log, want.log)
+
+
+def test_scores_of_whole_documents(odd):
+    """Against a plain recursion over each word and the counts of all training texts."""
+    learn = [(t or "").encode().lower().split() for d, t in ODD_ROWS if d is not None and d < 9]
+    counts = {}
+    for words in learn:
+        for w in words:
+            counts[w] = counts.get(w, 0) + 1
+    n, v = sum(counts.values()) + len(learn), len(counts) + 1
+    once, twice = (sum(c == k for c in counts.values()) for k in (1, 2))
+    discount = once / (once + 2 * twice) if once and twice else 0.5
+    spare = discount * v / n
+    lat = Lattice(*lattice.read_vocabulary())       # no rounds: the vocabulary's own weights
+
+    def spelt(word):
+        text = MARK + word
+        ways = [1.0] + [0.0] * len(text)
+        for i in range(len(text)):
+            for j in range(i + 1, min(len(text), i + lat.longest) + 1):
+                part = text[i:j]
+                p = 0.0
+                if part in lat.by_text and not (i and part[0] == MARK):
+                    p = math.exp(lat.log[lat.by_text[part]])
+                elif j == i + 1 and i and (part == MARK or part not in lat.by_text):
+                    p = math.exp(sum(lat.log[len(lat.pieces) + b] for b in part.encode()))
+                ways[j] += ways[i] * p
+        return math.log10(ways[-1]) if ways[-1] else None
+
+    def mixed(c, log):
+        return math.log10(spare) + log if c <= discount else math.log10((c - discount) / n + spare * 10 ** log)
+
+    out = lattice.score_documents(odd, F.col("doc_id") < 9, rounds=0, keep=["doc_id"]).collect()
+    want = []
+    for _, t in ODD_ROWS:
+        words = (t or "").encode().lower().split()
+        logs = [spelt(w.decode()) for w in words]
+        if None in logs:        # beyond the range of plain floats: the long word of one letter
+            continue
+        end = lat.end / math.log(10)
+        want.append((len(words) + 1, round(sum(logs) + end, 5),
+                     round(sum(mixed(counts.get(w, 0), x) for w, x in zip(words, logs)) + mixed(len(learn), end), 5)))
+    got = [(r["n_tokens"], round(r["lattice_score"], 5), round(r["score"], 5)) for r in out]
+    assert len(want) >= len(ODD_ROWS) - 1 and all(min(
+        abs(w[1] - g[1]) + abs(w[2] - g[2]) for g in got if g[0] == w[0]) < 1e-4 for w in want)
+
+
 def test_lattice_nothing_to_learn(odd, ready):
     out = lattice.score_documents(odd, F.lit(False), rounds=1, keep=["doc_id"])
     assert {(r["n_known"], r["train_tokens"]) for r in out.collect()} == {(0, 0)}

@@ -10,8 +10,8 @@ are spelt by byte pieces, so every text has a probability, and the
 probabilities of all texts add up to no more than one.
 
 The pieces' weights start from the vocabulary's own scores (ranks) and are
-re-estimated from the corpus by expectation maximisation over all its
-distinct words.  Words of the corpus are arcs of the lattice too: a word seen c
+re-estimated from the corpus by expectation maximisation, every round over all
+its distinct words, each word whole.  Words of the corpus are arcs of the lattice too: a word seen c
 times in N tokens has an arc of weight (c - D) / N, and the discounted mass
 D V / N (V distinct tokens) is what all spellings by pieces share, so words
 never seen keep a probability and frequent ones are not spelt badly.
@@ -45,8 +45,7 @@ from urbanlens.llm.partenum import hashed_words
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-ROUNDS = 3                  # of expectation maximisation, the last over all words
-WARM_COUNT = 3              # words seen so often make the rounds before
+ROUNDS = 1                  # of expectation maximisation, each over all words
 MAX_SHIPPED = 200_000       # words whose counts are sent to every task
 LONG = 64                   # code points of a word that the batched recursion takes
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -185,26 +184,52 @@ class Lattice:
                 points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
                 yield part, points.reshape(len(part), int(size) + 1).astype(np.int64)
 
-    def _long(self, word: str) -> float:
-        """The forward recursion of one very long word."""
-        text, log, known = MARK + word, self.log, self.by_text
+    def _arcs(self, text: str, start: int) -> Iterator[tuple[int, int | None, float]]:
+        """(stop, slot, log) of the arcs that leave one place of a marked word; slots are None for bytes."""
+        if start and text[start] == MARK:
+            yield start + 1, None, self._bytes_log(MARK)
+            return
+        covered = False
+        for stop in range(start + 1, min(len(text), start + self.longest) + 1):
+            slot = self.by_text.get(text[start:stop])
+            if slot is not None:
+                covered = covered or stop == start + 1
+                yield stop, slot, float(self.log[slot])
+        if start and not covered:
+            yield start + 1, None, self._bytes_log(text[start])
+
+    def _long_forward(self, text: str) -> list[float]:
         forward = [-math.inf] * (len(text) + 1)
         forward[0] = 0.0
-        for stop in range(1, len(text) + 1):
-            terms = []
-            for i in range(max(0, stop - self.longest), stop):
-                if forward[i] == -math.inf or (i and text[i] == MARK):
+        for i in range(len(text)):
+            if forward[i] > -math.inf:
+                for stop, _, log in self._arcs(text, i):
+                    forward[stop] = float(np.logaddexp(forward[stop], forward[i] + log))
+        return forward
+
+    def _long(self, word: str) -> float:
+        """The forward recursion of one very long word."""
+        return self._long_forward(MARK + word)[-1]
+
+    def _long_expected(self, word: str, times: float, total: np.ndarray) -> None:
+        """Adds the expected counts of one very long word, whole, to ``total``."""
+        text = MARK + word
+        forward = self._long_forward(text)
+        backward = [-math.inf] * (len(text) + 1)
+        backward[-1] = 0.0
+        for i in range(len(text) - 1, -1, -1):
+            if forward[i] == -math.inf:
+                continue
+            for stop, slot, log in self._arcs(text, i):
+                if backward[stop] == -math.inf:
                     continue
-                slot = known.get(text[i:stop])
+                backward[i] = float(np.logaddexp(backward[i], log + backward[stop]))
+                share = times * math.exp(forward[i] + log + backward[stop] - forward[-1])
                 if slot is not None:
-                    terms.append(forward[i] + log[slot])
-            last = text[stop - 1]
-            if stop > 1 and forward[stop - 1] > -math.inf and (last == MARK or last not in known):
-                terms.append(forward[stop - 1] + self._bytes_log(last))
-            if terms:
-                top = max(terms)
-                forward[stop] = top + math.log(sum(math.exp(t - top) for t in terms))
-        return forward[-1]
+                    total[slot] += share
+                else:
+                    for b in text[i].encode("utf-8", "surrogatepass"):
+                        total[len(self.pieces) + b] += share
 
     def score(self, words: list[str]) -> np.ndarray:
         """Log probability of each word (with its mark)."""
@@ -218,15 +243,15 @@ class Lattice:
         return out
 
     def expected(self, words: list[str], counts: np.ndarray) -> np.ndarray:
-        """Expected counts of all slots over the words (longer ones in parts of LONG), without the end."""
-        parts, times = [], []
-        for w, c in zip(words, counts):
-            for at in range(0, len(w), LONG):
-                parts.append(w[at:at + LONG])
-                times.append(c)
+        """Expected counts of all slots over the words, without the end."""
         n = len(self.pieces)
-        total, weights = np.zeros(n + 257), np.array(times, np.float64)
-        for part, points in self._matrices(parts):
+        total = np.zeros(n + 257)
+        short = np.array([k for k, w in enumerate(words) if len(w) <= LONG], np.int64)
+        weights = np.asarray(counts, np.float64)[short]
+        for word, times in zip(words, counts):
+            if len(word) > LONG:
+                self._long_expected(word, float(times), total)
+        for part, points in self._matrices([words[k] for k in short]):
             edges = list(self._edges(points))
             forward = self._forward(points, edges)
             backward = np.full(forward.shape, -np.inf)
@@ -295,10 +320,9 @@ def estimate(lattice: Lattice, counts: DataFrame, documents: int, rounds: int =
     spark = counts.sparkSession
     if documents == 0:
         return lattice
-    for left in range(rounds, 0, -1):
+    for _ in range(rounds):
         shared = ship(spark, lattice)
-        words = counts if left == 1 else counts.where(F.col("c") >= WARM_COUNT)
-        rows = words.mapInArrow(_expect_body(shared), "slot int, mass double").groupBy("slot").agg(
+        rows = counts.mapInArrow(_expect_body(shared), "slot int, mass double").groupBy("slot").agg(
             F.sum("mass").alias("mass")).collect()
         weight = np.full(len(lattice.pieces) + 257, _FLOOR)
         for row in rows:
@@ -324,9 +348,10 @@ def _score_body(shared, text_col: str):
         ten = math.log(10)
         end_base = math.log10(documents + 0.5) - below
         end_score = _mixed(documents, lattice.end / ten, discount, n, spare)
-        cache: dict[bytes, tuple[float, float, bool]] = {}    # base, score (others: the lattice's alone), frequent
+        # base, score (others: the lattice's alone), the lattice's score, frequent
+        cache: dict[bytes, tuple[float, float, float, bool]] = {}
 
-        def looked_up(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        def looked_up(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
             if len(cache) > _CACHE:
                 cache.clear()
             new = [w for w in words if w not in cache]
@@ -334,11 +359,11 @@ def _score_body(shared, text_col: str):
                 part = new[at:at + 50_000]
                 for w, log in zip(part, (lattice.score([_decode(w) for w in part]) / ten).tolist()):
                     c = known.get(w)
-                    cache[w] = (0.0, log, False) if c is None else (
-                        math.log10(c + 0.5) - below, _mixed(c, log, discount, n, spare), True)
+                    cache[w] = (0.0, log, log, False) if c is None else (
+                        math.log10(c + 0.5) - below, _mixed(c, log, discount, n, spare), log, True)
             got = [cache[w] for w in words]
-            base, score, frequent = zip(*got) if got else ((), (), ())
-            return np.array(base), np.array(score), np.array(frequent, bool)
+            base, score, spelt, frequent = zip(*got) if got else ((), (), (), ())
+            return np.array(base), np.array(score), np.array(spelt), np.array(frequent, bool)
 
         for whole in batches:
             column = text_of(whole, text_col)
@@ -353,7 +378,7 @@ def _score_body(shared, text_col: str):
                 first = np.empty(len(kinds), np.int64)
                 first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
                 words = [buffer[a:a + s] for a, s in zip(at[first].tolist(), size[first].tolist())]
-                base, score, frequent = looked_up(words)
+                base, score, spelt, frequent = looked_up(words)
                 some = np.flatnonzero(count)
 
                 def sums(of_word: np.ndarray) -> np.ndarray:
@@ -375,18 +400,20 @@ def _score_body(shared, text_col: str):
                 yield pa.RecordBatch.from_arrays(
                     [whole.column("row")[start:stop], whole.column("rid")[start:stop], pa.array(count + 1, pa.int64()),
                      pa.array(seen), pa.array(sums(base) + end_base),
-                     pa.array(sums(np.where(frequent, score, 0.0)) + end_score), rare],
-                    names=["row", "rid", "n_tokens", "seen", "base", "score", "rare"])
+                     pa.array(sums(np.where(frequent, score, 0.0)) + end_score),
+                     pa.array(sums(spelt) + lattice.end / ten), rare],
+                    names=["row", "rid", "n_tokens", "seen", "base", "score", "lattice", "rare"])
 
     return body
 
 
 def score_documents(df: DataFrame, learn: Column, text_col: str = "text", vocabulary: str = VOCABULARY,
                     keep: list[str] | None = None, rounds: int = ROUNDS) -> DataFrame:
-    """``row`` (the ``keep`` columns, or all), ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
+    """``row`` (the ``keep`` columns, or all), ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``, ``lattice_score``.
 
     Learns from the rows where ``learn`` is true.  Scores are log10
     probabilities; the words and the end of a text are its tokens.
+    ``lattice_score`` is that of the pieces alone, without word arcs.
     """
     teaching = df.where(learn).select(F.col(text_col).alias("text"))
     counts = count_words(teaching)
@@ -414,7 +441,7 @@ def score_documents(df: DataFrame, learn: Column, text_col: str = "text", vocabu
 
     rows = packed(df, keep, text=F.col(f"`{text_col}`"), rid=F.monotonically_increasing_id())
     scored = cut(rows.mapInArrow(_score_body(shared, "text"), row_schema(
-        rows, "rid long, n_tokens long, seen long, base double, score double, "
+        rows, "rid long, n_tokens long, seen long, base double, score double, lattice double, "
               "rare array<struct<word:binary,tf:bigint,log:double>>")), "lm-scored")
     rare = scored.select("rid", F.explode("rare").alias("r")).select("rid", "r.word", "r.tf", "r.log")
     met = rare.join(counts.where(~frequent), "word", "left")
@@ -429,4 +456,5 @@ def score_documents(df: DataFrame, learn: Column, text_col: str = "text", vocabu
     return out.select("row", "n_tokens", (F.col("seen") + F.coalesce("rare_seen", F.lit(0))).alias("n_known"),
                       F.lit(n).cast("long").alias("train_tokens"),
                       (F.col("base") + F.coalesce("rare_base", zero)).alias("base_score"),
-                      (F.col("score") + F.coalesce("rare_score", zero)).alias("score"))
+                      (F.col("score") + F.coalesce("rare_score", zero)).alias("score"),
+                      F.col("lattice").alias("lattice_score"))

@@ -31,7 +31,7 @@ def op2_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = in_bucket("doc_id", SCORE_FOLDS, SCORE_HELD)
     out = lattice.score_documents(table(spark, sf_dir, "documents"), ~held, keep=["doc_id"])
     return out.select(*_row("doc_id"), in_bucket("row.doc_id", SCORE_FOLDS, SCORE_HELD).alias("held_out"),
-                      "n_tokens", "n_known", "train_tokens", "base_score", "score")
+                      "n_tokens", "n_known", "train_tokens", "base_score", "score", "lattice_score")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
