@@ -120,3 +120,12 @@ def test_pipeline_on_empty_and_odd_rows(odd, ready):
                 assert out.columns == names
             docs = out.cache()
             docs.count()
+
+
+def test_fewer_blocks_leave_no_document_out(ready):
+    """``max_blocks`` only makes blocks larger: a whole epoch holds every document once."""
+    df = ready.range(300).selectExpr("id AS doc_id", "concat('s', id % 2) AS source", "repeat('word ', 20) AS text")
+    for most in (1, 3, 1_000):
+        out = mixing.mix(df, mixing.Target("entropy", 1.0, 1.0), block_tokens=40, max_blocks=most)
+        assert sorted(r["id"] for r in out.where("epoch = 0").collect()) == list(range(300))
+        assert out.select("source", "block_rank").distinct().count() <= 2 * most

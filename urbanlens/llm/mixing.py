@@ -11,7 +11,8 @@ sources equal).  The exponent is bisected until the weights meet
 
 The weights are realised under a token ``budget``.  A source's documents are
 dealt by hash into blocks of about ``block_tokens`` tokens, or more where that
-would make over ``MAX_BLOCKS`` blocks of a source.  Every epoch of a
+would make over ``max_blocks`` blocks of a source (a bound of the window that
+orders a source's blocks; no document is left out).  Every epoch of a
 source is a permutation of its blocks, and of the documents in each; whole
 epochs are followed by one partial epoch, which takes blocks, and in the last
 block documents, until the source's part of the budget is reached (the
@@ -96,7 +97,7 @@ def _draw(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
 
 
-def weigh(counts: DataFrame, target: Target, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def weigh(counts: DataFrame, target: Target, block_tokens: int = BLOCK_TOKENS, max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """``counts`` (key, docs, tokens > 0) with weight, quota, whole epochs, rest and blocks of each source."""
     total = counts.agg(F.sum("tokens").alias("t")).first()["t"] or 0
     sources = counts.withColumn("share", F.col("tokens") / F.lit(float(total or 1)))
@@ -104,13 +105,13 @@ def weigh(counts: DataFrame, target: Target, block_tokens: int = BLOCK_TOKENS) -
     mass = F.pow(F.col("share"), F.lit(t))
     all_mass = sources.agg(F.sum(mass).alias("m")).first()["m"] or 1.0
     quota = F.floor(F.round(mass / F.lit(all_mass), DIGITS) * F.lit(target.budget * total)).cast("long")
-    blocks = F.least(F.ceil(F.col("tokens") / F.lit(block_tokens)), F.lit(MAX_BLOCKS)).cast("long")
+    blocks = F.least(F.ceil(F.col("tokens") / F.lit(block_tokens)), F.lit(max_blocks)).cast("long")
     out = sources.select("key", "docs", "tokens", quota.alias("quota"), blocks.alias("blocks"))
     return out.select("*", F.expr("quota div tokens").alias("whole"), (F.col("quota") % F.col("tokens")).alias("rest"))
 
 
 def mix(df: DataFrame, target: Target = Target(), id_col: str = "doc_id", source_col: str = "source",
-        text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+        text_col: str = "text", block_tokens: int = BLOCK_TOKENS, max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """One row per drawn document: ``id``, ``source``, ``n_tokens``, ``epoch``, ``block_rank``, ``draw``.
 
     Reading a source's rows by (epoch, block_rank, draw, id) gives its stream.
@@ -120,7 +121,7 @@ def mix(df: DataFrame, target: Target = Target(), id_col: str = "doc_id", source
         F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("-")).alias("key"),
         tokens(F.col(text_col)).alias("n_tokens")), "mix-docs")
     counts = docs.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_tokens").alias("tokens"))
-    sources = cut(weigh(cut(counts.where(F.col("tokens") > 0), "mix-counts"), target, block_tokens), "mix-sources")
+    sources = cut(weigh(cut(counts.where(F.col("tokens") > 0), "mix-counts"), target, block_tokens, max_blocks), "mix-sources")
     dealt = join_unique(docs, sources.select("key", "blocks", F.col("docs").alias("w")), "key", "w")
     dealt = dealt.withColumn("block", F.pmod(_draw(F.lit("block"), F.col("key"), F.col("id")), F.col("blocks")))
     dealt = cut(dealt.drop("blocks"), "mix-dealt")
