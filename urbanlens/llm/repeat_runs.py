@@ -10,8 +10,6 @@ context.  Runs of a text are about ``span`` / 2 windows long.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -27,14 +25,18 @@ def shape(min_bytes: int) -> tuple[int, int]:
     return span, min_bytes - span + 1
 
 
-@lru_cache(maxsize=2)
+_TABLES: dict = {}              # kept by a worker; no decorator, so that it is pickled by value
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     def table(base: int) -> np.ndarray:
         out = np.full(n, base, np.uint64)
         out[0] = 1
         return np.cumprod(out)
 
-    return table(_BASE), table(pow(_BASE, -1, 1 << 64))
+    if n not in _TABLES:
+        _TABLES[n] = table(_BASE), table(pow(_BASE, -1, 1 << 64))
+    return _TABLES[n]
 
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:

@@ -49,7 +49,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from urbanlens.llm import repeat_runs, split_filter
+from urbanlens.llm.repeat_runs import piece_runs, pieces, shape, text_runs
+from urbanlens.llm.split_filter import SplitFilter, build
 from urbanlens.llm.common import cut, join_unique, packed, text_of
 from urbanlens.llm.previous_factor import SuffixOrder, longest_previous
 
@@ -65,8 +66,8 @@ def _anchors(min_bytes: int):
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [repeat_runs.piece_runs(data, first, last, min_bytes)[3] for _, _, data, first, last
-                     in repeat_runs.pieces(text_of(batch, "text"), min_bytes)]
+            found = [piece_runs(data, first, last, min_bytes)[3] for _, _, data, first, last
+                     in pieces(text_of(batch, "text"), min_bytes)]
             if found:
                 anchors, counts = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(anchors), pa.array(counts > 1)], names=["h", "again"])
@@ -78,10 +79,10 @@ def _runs(shared, parts: int, min_bytes: int):
     """The runs of repeated anchors; neighbours with equal contexts are one row with ``times``."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = split_filter.SplitFilter(shared.value, parts).has
+        wanted = SplitFilter(shared.value, parts).has
         for batch in batches:
             ids = [batch.column(c) for c in ("id", "k", "h")]
-            for row, start, windows, place, anchor, context in repeat_runs.text_runs(text_of(batch, "text"), min_bytes, wanted):
+            for row, start, windows, place, anchor, context in text_runs(text_of(batch, "text"), min_bytes, wanted):
                 if not len(row):
                     continue
                 same = ((row[1:] == row[:-1]) & (anchor[1:] == anchor[:-1]) & (context[1:] == context[:-1])
@@ -115,11 +116,11 @@ def _contexts(shared, parts: int, min_bytes: int):
     """The bytes of the runs whose places pass the filter."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = split_filter.SplitFilter(shared.value, parts)
+        known = SplitFilter(shared.value, parts)
         for batch in batches:
             ks, hs = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("k", "h"))
-            for rows, base, data, first, last in repeat_runs.pieces(text_of(batch, "text"), min_bytes):
-                start, windows, _, _ = repeat_runs.piece_runs(data, first, last, min_bytes)
+            for rows, base, data, first, last in pieces(text_of(batch, "text"), min_bytes):
+                start, windows, _, _ = piece_runs(data, first, last, min_bytes)
                 at = np.searchsorted(first, start, "right") - 1
                 row, inside = rows[at], start - first[at] + base[at]
                 some = np.flatnonzero(known.has(_place_hash(ks[row], hs[row], inside)))
@@ -215,7 +216,7 @@ def _compare(min_bytes: int, keep: str, block_bytes: int):
 
 def _halve(width: int, min_bytes: int):
     """Each run's windows by their distance from the anchor, ``width`` distances a group."""
-    span, _ = repeat_runs.shape(min_bytes)
+    span, _ = shape(min_bytes)
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,7 +249,7 @@ _PART = ("anchor long, context long, n long, id long, k long, start int, place i
 
 def _compare_all(contexts: DataFrame, min_bytes: int, keep: str, max_kinds: int, block_bytes: int) -> DataFrame:
     """(anchor, context, lo, hi): windows of the contexts with an earlier (or any) copy in another context."""
-    span, _ = repeat_runs.shape(min_bytes)
+    span, _ = shape(min_bytes)
     max_kinds = max(min(max_kinds, ((1 << 21) - 1) // (min_bytes + span)), 1)
     marks, width = [], span
     while True:
@@ -289,7 +290,7 @@ def repeated_spans(documents: DataFrame, min_bytes: int = MIN_BYTES, keep: str =
     seen = documents.select("text").mapInArrow(_anchors(min_bytes), "h long, again boolean")
     repeated = cut(seen.groupBy("h").agg(F.sum(F.when(F.col("again"), 2).otherwise(1)).alias("n"))
                    .where(F.col("n") > 1).select("h"), "suffix-anchors")
-    data, parts = split_filter.build(repeated, repeated.count())
+    data, parts = build(repeated, repeated.count())
     shared = spark.sparkContext.broadcast(data)
     runs = cut(documents.mapInArrow(_runs(shared, parts, min_bytes), _RUN), "suffix-runs")
     shared.unpersist()
@@ -303,7 +304,7 @@ def repeated_spans(documents: DataFrame, min_bytes: int = MIN_BYTES, keep: str =
     mixed = join_unique(classes, kinds.withColumn("weight", F.col("kinds")), "anchor", "weight")
     mixed = cut(mixed.select("anchor", "context", "n", "kinds", "first.*"), "suffix-mixed")
 
-    data, parts = split_filter.build(mixed.select("k", "h", "start").mapInArrow(_place_hashes, "h long"), mixed.count())
+    data, parts = build(mixed.select("k", "h", "start").mapInArrow(_place_hashes, "h long"), mixed.count())
     shared = spark.sparkContext.broadcast(data)
     texts = documents.mapInArrow(_contexts(shared, parts, min_bytes), "k long, h long, start int, text binary")
     # Rows with equal ids and texts give their contexts twice.
