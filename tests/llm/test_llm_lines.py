@@ -77,3 +77,15 @@ def test_bloom_has_no_false_negatives():
     assert bloom.has(hashes).all()
     others = rng.integers(0, 1 << 63, 5_000).astype(np.uint64)
     assert bloom.has(others).mean() < 0.01
+
+
+def test_parts_of_the_filter_are_joined():
+    rng = np.random.default_rng(5)
+    rows = sorted((int(p), rng.integers(0, 256, 64, np.uint8).tobytes()) for p in rng.integers(0, 4, 50))
+    batches = [pa.RecordBatch.from_arrays([pa.array([p for p, _ in some], pa.int32()), pa.array([b for _, b in some], pa.binary())],
+                                          names=["part", "bits"]) for some in (rows[:7], rows[7:8], rows[8:])]
+    want: dict = {}
+    for p, b in rows:
+        want[p] = bytes(x | y for x, y in zip(want.get(p, bytes(64)), b))
+    got = {r["part"]: r["bits"] for b in line_dedup._joined_parts(iter(batches)) for r in b.to_pylist()}
+    assert got == want and list(line_dedup._joined_parts(iter([]))) == []

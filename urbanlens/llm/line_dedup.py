@@ -110,13 +110,17 @@ def _task_hashes(min_chars: int):
 
 
 def _suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per segment: hashes that the once-seen filter has met before, once a batch."""
-    filters: dict[int, Bloom] = {}
+    """Per segment: hashes that the once-seen filter has met before, once a batch.
+
+    Rows come sorted by segment, so a task holds one segment's filter at a time.
+    """
+    current, once = None, None
     for batch in batches:
         segments, hashes, marks = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("segment", "h", "again"))
         out = []
         for segment in np.unique(segments):
-            once = filters.setdefault(int(segment), Bloom(SEGMENT_BITS))
+            if segment != current:
+                current, once = segment, Bloom(SEGMENT_BITS)
             here = segments == segment
             found, where, counts = np.unique(hashes[here].view(np.uint64), return_inverse=True, return_counts=True)
             again = (counts > 1) | (np.bincount(where, marks[here]) > 0) | once.has(found)
@@ -145,22 +149,44 @@ def _filter_parts(bits: int, part_bits: int):
     return body
 
 
+def _joined_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bitwise or of each part's rows, which come sorted by part."""
+    part, held = None, np.empty(0, np.uint8)
+
+    def joined() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([held.tobytes()], pa.binary())],
+                                          names=["part", "bits"])
+
+    for batch in batches:
+        for number, bits in zip(batch.column("part").to_pylist(), batch.column("bits")):
+            mine = np.frombuffer(bits.as_buffer(), np.uint8)
+            if number == part:
+                held |= mine
+            else:
+                if part is not None:
+                    yield joined()
+                part, held = number, mine.copy()
+    if part is not None:
+        yield joined()
+
+
 def twice_filter(documents: DataFrame, min_chars: int, max_filter_bits: int) -> tuple[int, bytes]:
     """The twice-seen filter of ``documents`` (id, text): its bits and bytes."""
     hashes = cut(documents.select("text").mapInArrow(_task_hashes(min_chars), "h long, again boolean"), "line-hashes")
     segments = max(1, -(-hashes.count() * BITS_PER_KEY // SEGMENT_BITS))
     # Half of a filter's bits stay clear at two keys in three of its room.
     owned = hashes.withColumn("segment", F.pmod(F.shiftright("h", 40), F.lit(2 * segments)))
-    suspects = cut(owned.repartition("segment").mapInArrow(_suspects, "h long").distinct(), "line-suspects")
+    suspects = cut(owned.repartition("segment").sortWithinPartitions("segment").mapInArrow(_suspects, "h long").distinct(), "line-suspects")
     bits = _power_of_two(suspects.count() * BITS_PER_KEY, 1 << 12, max_filter_bits)
-    # Eight builders whatever the input: what they send is bounded by the filter.
+    # One partial filter a core; Spark joins the parts, so the driver gets each bit once.
     built = bytearray(bits >> 3)
     part_bits = min(bits, 1 << 23)
-    rows = suspects.coalesce(8).mapInArrow(_filter_parts(bits, part_bits), "part int, bits binary")
-    for row in rows.toLocalIterator():
+    cores = max(1, documents.sparkSession.sparkContext.defaultParallelism)
+    parts = suspects.coalesce(cores).mapInArrow(_filter_parts(bits, part_bits), "part int, bits binary")
+    parts = parts.repartition("part").sortWithinPartitions("part").mapInArrow(_joined_parts, "part int, bits binary")
+    for row in parts.toLocalIterator():
         at = row["part"] * (part_bits >> 3)
-        old = np.frombuffer(bytes(built[at:at + len(row["bits"])]), np.uint8)
-        built[at:at + len(row["bits"])] = (old | np.frombuffer(row["bits"], np.uint8)).tobytes()
+        built[at:at + len(row["bits"])] = row["bits"]
     return bits, bytes(built)
 
 
