@@ -314,3 +314,22 @@ def test_quality_odd_rows(odd, ready):
     assert factorisation.score(odd.where("false"), machine).count() == 0
     without = odd.drop("n_chars")
     assert factorisation.score(without, machine).count() == len(ODD_ROWS)
+
+
+def test_fresh_texts_of_a_rich_vocabulary_are_not_rejected():
+    """The limit comes from unseen texts, so fresh ones of the language pass whatever the size of the sample."""
+    rng = np.random.default_rng(7)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 11))) for _ in range(5000)]
+    texts = [" ".join(rng.choice(words, 60)) for _ in range(900)]
+    for n in (20, 100, 400):
+        models = Models({"en": texts[:n]})
+        rejected = models.score(texts[500:], symbol_table())[3]
+        assert rejected.mean() <= (0.02 if n < 100 else 0.01)
+        assert models.score(["ΑΒΓ ΔΕΖ ΗΘΙ " * 20], symbol_table())[3].all()
+
+
+def test_limit_by_rank():
+    values = np.random.default_rng(1).permutation(np.arange(2000.0))
+    assert kneser_ney.rejection_limit(values) == 1998.0           # ceil(2001 * 0.999) = 1999th smallest
+    assert kneser_ney.rejection_limit(values[:1]) == np.inf and kneser_ney.rejection_limit(values[:0]) == np.inf
+    assert kneser_ney.rejection_limit(np.array([2.0, 2.0, 2.0])) == 2.0

@@ -9,8 +9,13 @@ Unseen n-grams fall back through the interpolation weights of their context.
 
 A document's cross-entropy per symbol is the mean over all its positions; the
 language with the lowest wins.  Documents whose lowest cross-entropy is above
-the ``rejection`` limit of the winning language (a high quantile over the
-training texts themselves) are marked ``rejected``.
+the ``rejection`` limit of the winning language are marked ``rejected``.  The
+limit is calibrated on texts that the model hasn't seen: the language's texts
+are dealt into ``FOLDS`` folds, each scored by a model of the others, and the
+limit is the ``REJECT_QUANTILE`` of these cross-entropies (by rank of n + 1).
+With too few texts for that rank, it is the largest of them or their mean and
+the quantile's number of standard deviations, whichever is more; with fewer
+than two texts, nothing is rejected.
 
 The models are fitted on at most ``per_language`` documents of a language,
 those with the smallest hash of their id and text, and on at most
@@ -24,7 +29,9 @@ language first by name; rows with equal ids are judged one by one.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -41,6 +48,7 @@ _PLACES = 1 << 30
 MAX_TRAIN_CHARS = 1 << 26       # all languages together
 UNKNOWN = "und"
 REJECT_QUANTILE = 0.999
+FOLDS = 4                       # of the texts that the rejection limit is calibrated on
 SCALE = 0.25                    # softening of per-document posteriors, see Models.score
 
 
@@ -136,6 +144,46 @@ class Model:
         return out
 
 
+def cross_entropy(models: list[Model], order: int, texts: list[str],
+                  table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nats per symbol of each text under each model, and how many symbols are letters."""
+    codes, start = symbols(texts, table)
+    where, kinds = pd.factorize(ngrams(codes, order))
+    steps = start[:-1]
+    length = np.diff(start)
+    out = np.empty((len(texts), len(models)))
+    for k, model in enumerate(models):
+        nats = -np.log(model.probability(kinds))
+        out[:, k] = np.add.reduceat(nats[where], steps) / np.maximum(length, 1) if len(texts) else 0
+    letters = np.add.reduceat((codes > 0).astype(np.int64), steps) if len(texts) else np.zeros(0, np.int64)
+    return out, letters
+
+
+def unseen_entropy(texts: list[str], order: int, n_symbols: int, table: np.ndarray) -> np.ndarray:
+    """Cross-entropy of each text with letters, under a model of the folds it isn't in."""
+    out = [np.empty(0)]
+    for fold in range(min(FOLDS, len(texts)) if len(texts) > 1 else 0):
+        mine = texts[fold::FOLDS]
+        others = [t for i, t in enumerate(texts) if i % FOLDS != fold]
+        model = Model(symbols(others, table)[0], order, n_symbols)
+        for start in range(0, len(mine), 100):
+            entropy, letters = cross_entropy([model], order, mine[start:start + 100], table)
+            out.append(entropy[letters > 0, 0])
+    return np.concatenate(out)
+
+
+def rejection_limit(entropy: np.ndarray) -> float:
+    """What a fresh text of the language exceeds with probability 1 - ``REJECT_QUANTILE``, about."""
+    n = len(entropy)
+    if n < 2:
+        return np.inf
+    rank = math.ceil((n + 1) * REJECT_QUANTILE)
+    if rank <= n:
+        return float(np.sort(entropy)[rank - 1])
+    tail = NormalDist().inv_cdf(REJECT_QUANTILE) * entropy.std(ddof=1) * math.sqrt(1 + 1 / n)
+    return max(float(entropy.max()), float(entropy.mean() + tail))
+
+
 class Models:
     """The models of all languages."""
 
@@ -148,23 +196,11 @@ class Models:
         self.models = [Model(parts[lang][0], order, n_symbols) for lang in self.languages]
         self.limit = np.full(len(self.languages), np.inf)
         for k, lang in enumerate(self.languages):
-            entropy, letters = self.entropy(by_language[lang], table)
-            mine = entropy[letters > 0, k]
-            if len(mine):
-                self.limit[k] = np.quantile(mine, REJECT_QUANTILE) * 1.1
+            self.limit[k] = rejection_limit(unseen_entropy(by_language[lang], order, n_symbols, table))
 
     def entropy(self, texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Nats per symbol of each text under each language, and how many symbols are letters."""
-        codes, start = symbols(texts, table)
-        where, kinds = pd.factorize(ngrams(codes, self.order))
-        steps = start[:-1]
-        length = np.diff(start)
-        out = np.empty((len(texts), len(self.models)))
-        for k, model in enumerate(self.models):
-            nats = -np.log(model.probability(kinds))
-            out[:, k] = np.add.reduceat(nats[where], steps) / np.maximum(length, 1) if len(texts) else 0
-        letters = np.add.reduceat((codes > 0).astype(np.int64), steps) if len(texts) else np.zeros(0, np.int64)
-        return out, letters
+        return cross_entropy(self.models, self.order, texts, table)
 
     def score(self, texts: list[str], table: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Language, score (posterior, softened), lowest cross-entropy, rejected."""
