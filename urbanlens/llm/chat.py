@@ -127,14 +127,21 @@ def _beyond_limits(record: Column, v: Column) -> Column:
     return v.isNull() & (F.octet_length(record) > SAFE_BYTES) & whole["wrong"].isNull()
 
 
-def _json_turns(record: Column, mappings: tuple[Mapping, ...]) -> tuple[Column, Column, Column]:
-    v = F.try_parse_json(record)
-    mark = fingerprint(v)
+def _mapped(mark: Column, get: Callable[[str, str], Column],
+            mappings: tuple[Mapping, ...]) -> tuple[Column, Column]:
+    """Name and turns by the mapping whose example has the fingerprint ``mark``."""
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for m in reversed(mappings):
         known = mark == fingerprint(F.parse_json(F.lit(m.example)))
         name = F.when(known, F.lit(m.name)).otherwise(name)
-        turns = F.when(known, m.turns(lambda path, kind: F.try_variant_get(v, path, kind))).otherwise(turns)
+        turns = F.when(known, m.turns(get)).otherwise(turns)
+    return name, turns
+
+
+def _json_turns(record: Column, mappings: tuple[Mapping, ...]) -> tuple[Column, Column, Column]:
+    v = F.try_parse_json(record)
+    mark = fingerprint(v)
+    name, turns = _mapped(mark, lambda path, kind: F.try_variant_get(v, path, kind), mappings)
     error = F.raise_error(F.lit("JSON record beyond the limits of a variant (20,000,000 characters a text, 128 MiB)"))
     return mark, name, F.when(_beyond_limits(record, v), error.cast(TURNS)).otherwise(turns)
 
@@ -146,30 +153,24 @@ def _sample(kind: T.DataType):
     return [_sample(kind.elementType)] if isinstance(kind, T.ArrayType) else ""
 
 
-def _alike(a, b) -> bool:
-    """Whether two parsed JSON values have one layout."""
-    if isinstance(a, dict):
-        return isinstance(b, dict) and a.keys() == b.keys() and all(_alike(a[k], b[k]) for k in a)
-    if isinstance(a, list):
-        return isinstance(b, list) and all(_alike(x, y) for x, y in zip(a, b))
-    return not isinstance(b, (dict, list))
-
-
 def _struct_turns(record: Column, kind: T.StructType,
                   mappings: tuple[Mapping, ...]) -> tuple[Column, Column, Column]:
     def get(path: str, wanted: str) -> Column:
-        out = record
+        """The field at ``path``; null where the type has none such, as in a variant."""
+        out, at = record, kind
         for name in path.removeprefix("$.").split("."):
-            out = out.getField(name)
-        return out.cast(wanted) if wanted == "string" else out
-
-    sample = _sample(kind)
-    there = record.isNotNull()
-    mark = F.when(there, fingerprint(F.parse_json(F.lit(json.dumps(sample)))))
-    for m in mappings:
-        if _alike(json.loads(m.example), sample):
-            return mark, F.when(there, F.lit(m.name)), m.turns(get)
-    return mark, F.lit(None).cast("string"), F.lit(None).cast(TURNS)
+            if not isinstance(at, T.StructType) or name not in at.names:
+                return F.lit(None).cast(wanted)
+            out, at = out.getField(name), at[name].dataType
+        if wanted == "string":
+            return out.cast(wanted)
+        inner = at.elementType if isinstance(at, T.ArrayType) else None
+        names = T.DataType.fromDDL(wanted).elementType.names
+        held = isinstance(inner, T.StructType) and set(names) <= set(inner.names)
+        return out if held else F.lit(None).cast(wanted)
+
+    mark = F.when(record.isNotNull(), fingerprint(F.parse_json(F.lit(json.dumps(_sample(kind))))))
+    return mark, *_mapped(mark, get, mappings)
 
 
 def canonical_turns(record: Column, mappings: tuple[Mapping, ...] = MAPPINGS,
