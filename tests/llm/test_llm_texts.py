@@ -1,6 +1,8 @@
+import gzip
 import hashlib
 import json
 import random
+import tracemalloc
 import zlib
 
 import pytest
@@ -246,3 +248,42 @@ def test_stream_in_any_chunks_and_damage():
 
 def test_empty_pages(ready):
     assert warc.archive(ready.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_struct_layouts_are_selected_by_their_hash(ready):
+    """Structs and JSON records of one layout take one mapping; a mapping of one's own is found by its hash too."""
+    df = ready.createDataFrame([("q1", "a1")], "question string, answer string")
+    as_struct = df.select(F.struct("answer", "question").alias("record"))
+    as_json = as_struct.select(F.to_json("record").alias("record"))
+    got = [chat.format_records(d).select("fingerprint", "mapping", "formatted").first() for d in (as_struct, as_json)]
+    assert got[0] == got[1] and got[0]["mapping"] == "question_answer"
+    nested = df.select(F.struct(F.struct("question").alias("in"), F.struct("answer").alias("out")).alias("record"))
+    mine = chat.Mapping("mine", '{"in":{"question":"q"},"out":{"answer":"a"}}',
+                        fields=(("user", ("$.in.question",)), ("assistant", ("$.out.answer",))))
+    unknown = chat.format_records(nested).select("fingerprint", "mapping", "formatted").first()
+    known = chat.format_records(nested, mappings=(*chat.MAPPINGS, mine)).select("fingerprint", "mapping", "formatted").first()
+    assert unknown["mapping"] is None and unknown["formatted"] == "" and unknown["fingerprint"] == known["fingerprint"]
+    assert known["mapping"] == "mine" and "q1" in known["formatted"]
+
+
+def test_inflated_pieces_are_bounded(monkeypatch):
+    """A chunk that inflates a thousandfold is taken in pieces; any size of piece gives the same records."""
+    def record(i, payload):
+        return warc.record_bytes({"type": "response", "id": i, "uri": "u", "digest": "00" * 20, "n": len(payload),
+                                  "refers_to": None}, payload)
+
+    records = [record(i, b"0" * 1_000_000) for i in range(64)]
+    data = gzip.compress(b"".join(records))
+    assert len(data) < 100_000
+    tracemalloc.start()
+    assert sum(len(r) for _, r in warc.stream_records(iter([data]))) == sum(map(len, records))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12_000_000
+    some = [record(i, bytes([i]) * (i * 37)) for i in range(30)]
+    members = b"".join(gzip.compress(r) for r in some)
+    for piece in (1, 7, 1000):
+        monkeypatch.setattr(warc, "PIECE", piece)
+        for stream in (members, gzip.compress(b"".join(some))):
+            chunks = (stream[i:i + 50] for i in range(0, len(stream), 50))
+            assert [r for _, r in warc.stream_records(chunks)] == some

@@ -43,6 +43,7 @@ MAX_BYTES = 64 << 20
 MIN_REVISIT = 1_000
 GZIP = 31                    # zlib's window bits for a gzip stream
 _CHUNK = 1 << 18
+PIECE = 1 << 20                # most bytes inflated at once
 _LINE = b"\r\n"
 
 INDEX = "path string, offset long, length long"
@@ -83,19 +84,27 @@ def parse_head(head: bytes) -> dict[str, str]:
 
 
 def stream_records(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, whole record) of each record in gzip bytes, whether one stream or many members."""
+    """(headers, whole record) of each record in gzip bytes, whether one stream or many members.
+
+    Holds one record and one piece of at most ``PIECE`` inflated bytes, however far a chunk inflates.
+    """
     inflate, held = zlib.decompressobj(GZIP), bytearray()
     ended = False
 
     def plain() -> Iterator[bytes]:
         nonlocal inflate, ended
         for chunk in chunks:
-            while chunk:
+            more = bool(chunk)
+            while more:
                 ended = False
-                yield inflate.decompress(chunk)
-                if not inflate.eof:
-                    break
-                chunk, inflate, ended = inflate.unused_data, zlib.decompressobj(GZIP), True
+                piece = inflate.decompress(chunk, PIECE)
+                yield piece
+                if inflate.eof:
+                    chunk, inflate, ended = inflate.unused_data, zlib.decompressobj(GZIP), True
+                    more = bool(chunk)
+                else:
+                    chunk = inflate.unconsumed_tail
+                    more = bool(chunk) or len(piece) == PIECE
 
     wanted, head = None, {}
     for piece in plain():
