@@ -2,6 +2,7 @@ import gzip
 import hashlib
 import json
 import random
+import time
 import tracemalloc
 import zlib
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from brute import contamination, item_words
 from odd_rows import ODD_ROWS
 from urbanlens.llm import chat, suffix_automaton, warc
-from urbanlens.llm.suffix_automaton import SuffixAutomaton, words
+from urbanlens.llm.suffix_automaton import Builder, SuffixAutomaton, words
 
 
 # --- decontamination ---------------------------------------------------------
@@ -20,13 +21,44 @@ def _positions(spans):
     return {p for a, b in spans for p in range(a, b)}
 
 
+def _automaton(items, window):
+    builder = Builder(window)
+    for name, sequence in items:
+        builder.add(name, sequence)
+    return SuffixAutomaton(builder.arrays())
+
+
+def test_arrays_are_small_and_open_at_once():
+    """An automaton at its bound: some 60 bytes a state, opened in a fraction of a second."""
+    rng = random.Random(5)
+    builder = Builder(13)
+    while len(builder.length) < suffix_automaton.MAX_STATES:
+        builder.add(str(len(builder.names)), [b"w%d" % rng.randrange(20_000) for _ in range(200)])
+    parts = builder.arrays()
+    assert len(builder.length) < suffix_automaton.MAX_STATES + 400
+    assert sum(len(v) for v in parts.values() if isinstance(v, bytes)) < 60 * len(builder.length)
+    begin = time.perf_counter()
+    SuffixAutomaton(parts)
+    assert time.perf_counter() - begin < 0.5
+
+
+def test_pieces_have_every_window():
+    for n in range(1, 40):
+        sequence = [b"%d" % i for i in range(n)]
+        for window, most in ((3, 3), (3, 5), (5, 5), (5, 17)):
+            got = list(suffix_automaton._pieces(sequence, window, most))
+            runs = {tuple(p[i:i + window]) for p in got for i in range(max(1, len(p) - window + 1))}
+            assert runs == {tuple(sequence[i:i + window]) for i in range(max(1, n - window + 1))}
+            assert all(len(p) <= max(most, window) for p in got)
+
+
 def test_automaton_matches_windows():
     rng = random.Random(8)
     for trial in range(60):
         vocabulary = [f"w{i}" for i in range(rng.choice([2, 3, 6]))]
         items = [(str(i), " ".join(rng.choices(vocabulary, k=rng.randint(1, 12)))) for i in range(rng.randint(1, 6))]
         window = rng.choice([2, 3, 5])
-        automaton = SuffixAutomaton([(n, words(t.encode())) for n, t in items], window)
+        automaton = _automaton([(n, words(t.encode())) for n, t in items], window)
         for _ in range(6):
             text = " ".join(rng.choices(vocabulary + ["other"], k=rng.randint(0, 40)))
             spans, found = automaton.scan(words(text.encode()))
@@ -54,12 +86,12 @@ def _documents():
     ]
 
 
-@pytest.mark.parametrize("item_bytes", [1 << 20, 40])
-def test_scan_documents(ready, item_bytes):
+@pytest.mark.parametrize("bounds", [{}, {"max_states": 30}, {"max_states": 30, "max_pass_bytes": 1}])
+def test_scan_documents(ready, bounds):
     bench = ready.createDataFrame(ITEMS, "item_id int, text string")
     docs = ready.createDataFrame(_documents(), "doc_id long, text string").withColumns(
         {c: F.lit(c) for c in ("spans", "items", "row", "clean")})
-    out = suffix_automaton.scan_documents(docs, bench, clean=True, max_item_bytes=item_bytes).collect()
+    out = suffix_automaton.scan_documents(docs, bench, clean=True, **bounds).collect()
     named = [(n, t) for n, t in ITEMS if n is not None]
     got, want = [], []
     for r in out:
@@ -74,16 +106,16 @@ def test_scan_documents(ready, item_bytes):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("item_bytes", [1 << 20, 10])
-def test_items_without_an_id_hit(ready, item_bytes):
+@pytest.mark.parametrize("bounds", [{}, {"max_states": 1, "max_pass_bytes": 1}])
+def test_items_without_an_id_hit(ready, bounds):
     bench = ready.createDataFrame([(None, "never a name"), (None, "no name either"), (7, "a name")],
                                   "item_id int, text string")
     docs = ready.createDataFrame([(1, "this is never a name no name either"), (2, "clean text"), (3, "no name either")],
                                  "doc_id long, text string")
-    out = suffix_automaton.scan_documents(docs, bench, max_item_bytes=item_bytes).collect()
+    out = suffix_automaton.scan_documents(docs, bench, **bounds).collect()
     assert sorted((r["row"]["doc_id"], r["n_hit"], r["items"], r["contaminated"]) for r in out) == [
         (1, 6, ["7", None], True), (2, 0, [], False), (3, 3, [None], True)]
-    kept = suffix_automaton.decontaminate(docs, bench, max_item_bytes=item_bytes).collect()
+    kept = suffix_automaton.decontaminate(docs, bench, **bounds).collect()
     assert [r["doc_id"] for r in kept] == [2]
 
 

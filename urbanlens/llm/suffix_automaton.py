@@ -7,11 +7,14 @@ words or more, the last ``window`` of them are an occurrence of an item
 window; an item shorter than a window must occur whole.  All words inside
 occurrences are *hit*.
 
-The automaton grows with the benchmark, not with the documents.  The items'
-bytes are measured first; they are handled in groups of at most
-``max_item_bytes``, each with its own automaton sent to every task (one
-group for usual benchmarks), and every group adds to
-what the groups before it have found, so what is sent has a fixed bound.
+The automaton grows with the benchmark, not with the documents.  The driver
+builds it once and sends it as flat arrays (sorted transitions, links,
+lengths), which tasks open without building anything.  Past ``max_states``
+states a further automaton is begun, and a single item larger than that is cut
+into pieces that share ``window - 1`` words, so all its windows stay; one scan
+of the documents goes through several automata.  Arrays beyond
+``max_pass_bytes`` make a further pass, which adds to what the passes before
+have found, so what is built and sent at once has a fixed bound.
 
 Defined results: null or empty text has no words and no hits; items without
 words are ignored; equal items each count; items whose id is null hit like
@@ -22,6 +25,8 @@ rows with equal ids are judged one by one.
 
 from __future__ import annotations
 
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,7 +37,8 @@ from urbanlens.llm.common import cut, ranges, text_of, unpacked, with_text
 
 WINDOW = 13
 COVERAGE = (1, 20)              # hit words to all words
-MAX_ITEM_BYTES = 8 << 20
+MAX_STATES = 200_000            # of an automaton; about 200 MB and six seconds while the driver builds it
+MAX_PASS_BYTES = 64 << 20       # of the arrays that tasks open at once
 
 # Word characters: digits, letters and everything beyond ASCII.  A-Z lower-cased.
 _TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
@@ -43,111 +49,136 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(_TO_WORDS).split()
 
 
-class SuffixAutomaton:
-    """Of word sequences; states know which item windows end in them."""
+class Builder:
+    """A generalised suffix automaton of word sequences, grown word by word; states know which items end in them."""
 
-    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int):
+    def __init__(self, window: int):
         self.window = window
-        self.next: list[dict[bytes, int]] = [{}]
+        self.ids: dict[bytes, int] = {}
+        self.names: list[str | None] = []
+        self.next: list[dict[int, int]] = [{}]
         self.link = [-1]
         self.length = [0]
-        self.names = [name for name, _ in items]
-        holds: list[set[int]] = [set()]      # items with an occurrence that ends in the state
-        whole: list[dict[int, set[int]]] = [{}]   # lengths of short items that end in the state
-        for number, (_, sequence) in enumerate(items):
-            last = 0
-            for word in sequence:
-                last = self._extend(last, word, holds, whole)
-                holds[last].add(number)
-            if sequence and len(sequence) < window:
-                whole[last].setdefault(len(sequence), set()).add(number)
-        # What ends in a state ends in every shorter suffix of it too.
-        order = sorted(range(1, len(self.length)), key=self.length.__getitem__)
-        for state in reversed(order):
-            if self.link[state] > 0:
-                holds[self.link[state]] |= holds[state]
-        self.full: list[frozenset[int] | None] = [None] * len(self.length)
-        self.short: list[tuple[tuple[int, frozenset[int]], ...]] = [()] * len(self.length)
-        for state in order:
-            up = self.link[state]
-            if self.length[state] >= window:
-                # The state (or suffix) whose lengths include ``window``.
-                self.full[state] = frozenset(holds[state]) if self.length[up] < window else self.full[up]
-            mine = tuple((n, frozenset(who)) for n, who in sorted(whole[state].items()))
-            self.short[state] = self.short[up] + mine
-        self.has_short = any(self.short)
-
-    def _extend(self, last: int, word: bytes, holds, whole) -> int:
+        self.holds: dict[int, set[int]] = {}             # items with an occurrence that ends in the state
+        self.whole: dict[int, dict[int, set[int]]] = {}  # short items that end in the state, by length
+
+    def add(self, name: str | None, sequence: list[bytes]) -> None:
+        number, last = len(self.names), 0
+        self.names.append(name)
+        for word in sequence:
+            last = self._extend(last, self.ids.setdefault(word, len(self.ids)))
+            self.holds.setdefault(last, set()).add(number)
+        if sequence and len(sequence) < self.window:
+            self.whole.setdefault(last, {}).setdefault(len(sequence), set()).add(number)
+
+    def _state(self, transitions: dict[int, int], link: int, length: int) -> int:
+        self.next.append(transitions)
+        self.link.append(link)
+        self.length.append(length)
+        return len(self.length) - 1
+
+    def _extend(self, last: int, word: int) -> int:
         known = self.next[last].get(word)
         if known is not None:
             if self.length[known] == self.length[last] + 1:
                 return known
-            return self._clone(last, word, known, holds, whole)
-        state = len(self.length)
-        self.next.append({})
-        self.link.append(0)
-        self.length.append(self.length[last] + 1)
-        holds.append(set())
-        whole.append({})
+            return self._clone(last, word, known)
+        state = self._state({}, 0, self.length[last] + 1)
         at = last
         while at >= 0 and word not in self.next[at]:
             self.next[at][word] = state
             at = self.link[at]
         if at >= 0:
             target = self.next[at][word]
-            self.link[state] = (target if self.length[target] == self.length[at] + 1
-                                else self._clone(at, word, target, holds, whole))
+            self.link[state] = target if self.length[target] == self.length[at] + 1 else self._clone(at, word, target)
         return state
 
-    def _clone(self, at: int, word: bytes, target: int, holds, whole) -> int:
-        copy = len(self.length)
-        self.next.append(dict(self.next[target]))
-        self.link.append(self.link[target])
-        self.length.append(self.length[at] + 1)
-        holds.append(set())
-        whole.append({})
+    def _clone(self, at: int, word: int, target: int) -> int:
+        copy = self._state(dict(self.next[target]), self.link[target], self.length[at] + 1)
         self.link[target] = copy
         while at >= 0 and self.next[at].get(word) == target:
             self.next[at][word] = copy
             at = self.link[at]
         return copy
 
+    def arrays(self) -> dict:
+        """The automaton as flat arrays (bytes), which a task opens without building anything."""
+        n, window, holds = len(self.length), self.window, self.holds
+        order = sorted(range(1, n), key=self.length.__getitem__)
+        # What ends in a state ends in every shorter suffix of it too.
+        for state in reversed(order):
+            if self.link[state] > 0 and state in holds:
+                holds.setdefault(self.link[state], set()).update(holds[state])
+        full, members, ends = [-1] * n, array("i"), array("i", [0])
+        short, shorts = [0] * n, [()]
+        for state in order:
+            up = self.link[state]
+            if self.length[state] >= window:
+                if self.length[up] < window:      # the state whose lengths include ``window``
+                    full[state] = len(ends) - 1
+                    members.extend(sorted(holds[state]))
+                    ends.append(len(members))
+                else:
+                    full[state] = full[up]
+            short[state] = short[up]
+            if state in self.whole:
+                mine = tuple((k, tuple(sorted(who))) for k, who in sorted(self.whole[state].items()))
+                short[state] = len(shorts)
+                shorts.append(shorts[short[up]] + mine)
+        begin, word, to = array("i", [0]), array("i"), array("i")
+        for transitions in self.next:
+            for key in sorted(transitions):
+                word.append(key)
+                to.append(transitions[key])
+            begin.append(len(word))
+        flat = {"begin": begin, "word": word, "to": to, "link": array("i", self.link),
+                "length": array("i", self.length), "full": array("i", full), "short": array("i", short),
+                "members": members, "ends": ends}
+        return {k: v.tobytes() for k, v in flat.items()} | {
+            "words": b"\n".join(self.ids), "names": self.names, "shorts": shorts, "window": window}
+
+
+class SuffixAutomaton:
+    """The opened arrays of a :class:`Builder`; scans word sequences."""
+
+    def __init__(self, parts: dict):
+        self.names, self.shorts, self.window = parts["names"], parts["shorts"], parts["window"]
+        self.flat = {k: memoryview(v).cast("i") for k, v in parts.items() if k in (
+            "begin", "word", "to", "link", "length", "full", "short", "members", "ends")}
+        found = parts["words"].split(b"\n") if parts["words"] else []
+        self.ids = dict(zip(found, range(len(found))))
+
     def scan(self, sequence: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
         """Runs of hit words as (first, behind last), in order, and the items that occur."""
-        window, next_, link, length = self.window, self.next, self.link, self.length
-        full, short = self.full, self.short
-        root = next_[0]
+        begin, words_, targets, link, length, full, short, members, ends = (self.flat[k] for k in (
+            "begin", "word", "to", "link", "length", "full", "short", "members", "ends"))
+        ids, shorts, window = self.ids.get, self.shorts, self.window
         spans: list[list[int]] = []
         items: set[int] = set()
-        state, run = 0, 0
-        for i, word in enumerate(sequence):
-            if state:
-                to = next_[state].get(word)
-                while to is None:
-                    state = link[state]
-                    if state <= 0:
-                        state = run = 0
-                        to = root.get(word)
-                        break
-                    run = length[state]
-                    to = next_[state].get(word)
-                if to is None:
-                    continue
-            else:
-                to = root.get(word)
-                if to is None:
-                    continue
-            state = to
+        state = run = 0
+        for i, text in enumerate(sequence):
+            word = ids(text)
+            if word is None:
+                state = run = 0
+                continue
+            while True:              # ends at the root, whose transitions are all words, in order
+                stop = begin[state + 1]
+                at = bisect_left(words_, word, begin[state], stop) if state else word
+                if at < stop and words_[at] == word:
+                    break
+                state = link[state]
+                run = length[state]
+            state = targets[at]
             run += 1
             back = 0
             if run >= window:
                 back = window
-                items |= full[state]
+                items.update(members[ends[full[state]]:ends[full[state] + 1]])
             if short[state]:
-                for n, who in short[state]:
+                for n, who in shorts[short[state]]:
                     if n <= run:
                         back = max(back, n)
-                        items |= who
+                        items.update(who)
             if back:
                 first = i + 1 - back
                 if spans and first <= spans[-1][1]:
@@ -156,13 +187,7 @@ class SuffixAutomaton:
                 else:
                     spans.append([first, i + 1])
         # A long window may reach back over earlier short runs.
-        joined: list[tuple[int, int]] = []
-        for a, b in spans:
-            while joined and a <= joined[-1][1]:
-                a = min(a, joined[-1][0])
-                joined.pop()
-            joined.append((a, b))
-        return joined, items
+        return _merge([(a, b) for a, b in spans]), items
 
 
 def _cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -195,11 +220,11 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _scan_body(shared, window: int, text_col: str, clean: bool):
-    """Adds one group of items to what earlier groups have found."""
+def _scan_body(shared, text_col: str, clean: bool):
+    """Adds one pass's items to what earlier passes have found."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = SuffixAutomaton(shared.value, window)
+        automata = [SuffixAutomaton(parts) for parts in shared.value]
         for whole in batches:
             column = text_of(whole, text_col)
             for start, stop in ranges(column):
@@ -209,12 +234,15 @@ def _scan_body(shared, window: int, text_col: str, clean: bool):
                                                       batch.column("spans").to_pylist(),
                                                       batch.column("items").to_pylist()):
                     sequence = words(text)
-                    spans, items = automaton.scan(sequence)
-                    if old_spans:
-                        spans = _merge([*spans, *((s["first"], s["behind"]) for s in old_spans)])
+                    spans, names = [(s["first"], s["behind"]) for s in old_spans], list(old_items)
+                    for automaton in automata:
+                        more, items = automaton.scan(sequence)
+                        spans += more
+                        names += [automaton.names[i] for i in items]
+                    spans = _merge(spans)
                     count.append(len(sequence))
                     spans_out.append([{"first": a, "behind": b} for a, b in spans])
-                    found.append(old_items + [automaton.names[i] for i in items])
+                    found.append(names)
                     cleaned.append(_cut_spans(text, spans) if clean and spans else None)
                 new = {"n_words": pa.array(count, pa.int64()), "spans": pa.array(spans_out, SPANS),
                        "items": pa.array(found, pa.list_(pa.string())),
@@ -225,29 +253,51 @@ def _scan_body(shared, window: int, text_col: str, clean: bool):
     return body
 
 
-def item_groups(benchmark: DataFrame, item_col: str, text_col: str,
-                max_item_bytes: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
-    """The items as (name or null, words), in groups of bounded size; one empty group at least."""
+def _pieces(sequence: list[bytes], window: int, most: int) -> Iterator[list[bytes]]:
+    """The words in pieces of at most ``most`` (at least a window), which together have all its windows."""
+    step = max(1, most - window + 1)
+    for start in range(0, max(1, len(sequence) - window + 1), step):
+        yield sequence[start:start + step + window - 1]
+
+
+def automata(benchmark: DataFrame, item_col: str, text_col: str, window: int, max_states: int,
+             max_pass_bytes: int) -> Iterator[list[dict]]:
+    """The items' automata as arrays, in passes of bounded size; one pass at least.
+
+    An automaton takes pieces until it has ``max_states`` states; a piece of
+    n words adds 2 n at most, so none has over twice that.
+    """
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
     items = items.where(F.col("text").isNotNull())
-    group: list[tuple[str | None, list[bytes]]] = []
+    ready: list[dict] = []
     size = 0
+    builder = Builder(window)
+
+    def closed() -> None:
+        nonlocal builder, size
+        ready.append(builder.arrays())
+        size += sum(len(v) for v in ready[-1].values() if isinstance(v, bytes))
+        builder = Builder(window)
+
     for row in items.toLocalIterator():
         sequence = words(row["text"].encode("utf-8", "surrogatepass"))
         if not sequence:
             continue
-        if group and size + len(row["text"]) > max_item_bytes:
-            yield group
-            group, size = [], 0
-        group.append((row["item"], sequence))
-        size += len(row["text"])
-    yield group
+        for piece in _pieces(sequence, window, max(window, max_states // 2)):
+            if len(builder.length) >= max_states:
+                closed()
+                if size >= max_pass_bytes:
+                    yield ready
+                    ready, size = [], 0
+            builder.add(row["item"], piece)
+    closed()
+    yield ready
 
 
 def scan_documents(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                    item_text_col: str = "text", window: int = WINDOW, coverage: tuple[int, int] = COVERAGE,
                    keep: list[str] | None = None, clean: bool = False,
-                   max_item_bytes: int = MAX_ITEM_BYTES) -> DataFrame:
+                   max_states: int = MAX_STATES, max_pass_bytes: int = MAX_PASS_BYTES) -> DataFrame:
     """``row``, ``n_words``, ``spans`` (hit word runs), ``items`` (sorted), ``clean``, ``n_hit``, ``contaminated``.
 
     ``row`` has the ``keep`` columns (or all).  ``contaminated``: a word is hit,
@@ -260,17 +310,17 @@ def scan_documents(df: DataFrame, benchmark: DataFrame, text_col: str = "text",
         "*", F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<struct<first:bigint,behind:bigint>>").alias("spans"),
         F.array().cast("array<string>").alias("items"), F.lit(None).cast("string").alias("clean"))
-    groups = item_groups(benchmark, item_col, item_text_col, max_item_bytes)
-    group, more = next(groups), True
+    passes = automata(benchmark, item_col, item_text_col, window, max_states, max_pass_bytes)
+    now, more = next(passes), True
     while more:
-        following = next(groups, None)
-        shared = spark.sparkContext.broadcast(group)
-        out = out.mapInArrow(_scan_body(shared, window, text_col, clean and following is None), out.schema)
+        following = next(passes, None)
+        shared = spark.sparkContext.broadcast(now)
+        out = out.mapInArrow(_scan_body(shared, text_col, clean and following is None), out.schema)
         more = following is not None
         if more:
             out = cut(out, "contamination")
             shared.unpersist()
-            group = following
+            now = following
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda t, s: t + s["behind"] - s["first"])
     out = out.withColumns({"items": F.array_sort(F.array_distinct("items")), "n_hit": n_hit})
     part, of = coverage
