@@ -57,6 +57,76 @@ def test_large_clusters_are_compared_in_blocks(ready, monkeypatch):
     assert got == jaccard_components(docs, 5, 80, 100)
 
 
+def _sets(rng, families, n, size):
+    """``families`` groups of near copies, n sets each, the second half of every group off by a fifth."""
+    out = []
+    for _ in range(families):
+        whole = rng.integers(0, 1 << 63, 2 * size).astype(np.uint64)
+        for i in range(n):
+            core = whole[:size] if i < n // 2 else np.concatenate([whole[:size - size // 6], whole[size:size + size // 6]])
+            out.append(np.unique(np.concatenate([core[int(rng.integers(0, 3)):], rng.integers(0, 1 << 63, 2).astype(np.uint64)])))
+    return out
+
+
+def _all_links(sets, part, of):
+    out = []
+    for i, a in enumerate(sets):
+        for j in range(i):
+            common = len(np.intersect1d(a, sets[j]))
+            if of * common >= part * (len(a) + len(sets[j]) - common):
+                out.append((i, j))
+    return out
+
+
+def test_links_of_a_block_are_those_of_all_pairs():
+    sets = _sets(np.random.default_rng(3), 4, 14, 60)
+    names = list(range(len(sets)))
+    links = partenum.block_links(names, sets, 80, 100)
+    want = _all_links(sets, 80, 100)
+    assert components(names, links) == components(names, want) and set(map(frozenset, links)) <= set(map(frozenset, want))
+    assert len(links) == len(names) - len(set(components(names, want).values()))
+
+
+def test_links_of_what_is_apart():
+    """Askers of large, small and mixed sides: with the links inside the sides, all components are found."""
+    rng = np.random.default_rng(4)
+    sets = _sets(rng, 3, 24, 60)
+    names, want = list(range(len(sets))), _all_links(sets, 80, 100)
+    inside = [e for e in want if rng.random() < 0.03]
+    sides = components(names, inside)
+    asking = [i for i in names if i % 3 or sides[i] != i]
+    links = partenum.apart_links(names + asking, [sides[i] for i in names + asking], [False] * len(names) + [True] * len(asking),
+                                 sets + [sets[i] for i in asking], 80, 100)
+    kept = [(i, j) for i, j in want if i in asking or j in asking]
+    assert components(names, inside + links) == components(names, inside + kept)
+    assert set(map(frozenset, links)) <= set(map(frozenset, want))
+
+
+def test_a_block_of_near_copies_takes_one_look_each(monkeypatch):
+    whole = np.random.default_rng(5).integers(0, 1 << 63, 1000).astype(np.uint64)
+    sets = [np.unique(np.delete(whole, i % 1000)) for i in range(500)]
+    looks, linked = [], partenum.Postings.linked
+    monkeypatch.setattr(partenum.Postings, "linked", lambda *a: looks.append(a[1]) or linked(*a))
+    assert len(partenum.block_links(range(500), sets, 80, 100)) == 499 and len(looks) == 1
+
+
+def test_large_groups_left_apart_take_a_second_pass(ready, monkeypatch):
+    """Chains of documents that pivots can't join, and one signature that most documents share."""
+    monkeypatch.setattr(partenum, "BLOCK_SETS", 4)
+    monkeypatch.setattr(partenum, "GROUP_BLOCK", 4)
+    monkeypatch.setattr(partenum, "PIVOTS", 1)
+    words = [f"w{i}" for i in range(260)]
+    docs = [(i, " ".join(words[2 * i:2 * i + 60])) for i in range(90)]       # each like its next ones alone
+    docs += [(200 + i, " ".join(words[:60] + [f"x{i}"])) for i in range(40)]
+    docs += [(300 + i, " ".join(words[40:100] + [f"y{i}", f"z{i}"])) for i in range(40)]
+    passes, second = [], partenum._second_pass
+    monkeypatch.setattr(partenum, "_second_pass", lambda *a: passes.append(second(*a)) or passes[-1])
+    df = ready.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r["id"]: r["component"] for r in partenum.similar_groups(df).collect()}
+    assert got == jaccard_components(docs, 5, 80, 100)
+    assert any(p is not None for p in passes)
+
+
 def test_odd_rows(odd):
     got = partenum.similar_groups(odd, keep=["doc_id", "row"]).collect()
     assert len(got) == len(ODD_ROWS)
@@ -210,8 +280,7 @@ def test_bitmaps_never_rule_out_a_link():
         whole = rng.integers(0, 1 << 63, 3 * n).astype(np.uint64)
         sets = [np.unique(np.concatenate([whole[int(rng.integers(0, n // 8)):n], whole[n:n + int(rng.integers(0, n // 8))]]))
                 for _ in range(30)] + [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for _ in range(30)]
-        edges = partenum.near_edges(list(range(60)), [len(s) for s in sets], [partenum.bitmap(s) for s in sets],
-                                    [0] * 60, 85, 100, False)
+        edges = partenum.near_edges(list(range(60)), [len(s) for s in sets], [partenum.bitmap(s) for s in sets], 85, 100)
         group = components(range(60), edges)
         for i in range(60):
             for j in range(i):

@@ -19,17 +19,22 @@ lower-cased; fewer words: the whole sequence is one).  Two documents link when
    group an exact lower bound of the symmetric difference, the distance of
    two XOR bitmaps of the sets, rules out pairs that can't link.  What is left
    joins documents into candidate clusters, passed on as a spanning forest.
-   Large groups are handled in blocks, every pair of blocks a task's work.
-4. Clusters are compared exactly, in blocks of bounded size; every pair of
-   blocks is a task of its own.  Inside, an inverted index over the
-   shingles counts the intersections of one set with all others, and only
-   links that join two parts are passed on.  No pair is lost: the blocks cover
-   all pairs of a cluster.
+4. Clusters are compared exactly: an inverted index over the shingles counts
+   the intersections of one set with those not yet reached, and the links that
+   reach them are passed on, again a spanning forest.
 5. Connected components of the links and classes.
 
-No step emits the pairs of a group.  A signature's documents (12 bytes each)
-are sorted by one task; set the shuffle partitions so that one holds a few
-million of them, as for any sort.
+Groups and clusters larger than a block take two passes.  The first compares
+every block with itself and with a few pivots of the group, which joins most of
+a group of near copies in time that grows with its size.  The second compares
+what this leaves outside the group's main part with all blocks, a task for
+every pair of them.  Only pairs whose ends are linked by then are left out, so
+the components are those of all pairs, whatever the pivots.
+
+No step emits the pairs of a group.  The signatures of one place (12 bytes
+each, eight places to a shuffle partition) are sorted by one task; set the
+shuffle partitions so that a place holds a few million of them, as for any
+sort.
 
 Defined results: null or empty text, or text without words, is the empty set
 and linked with nothing; rows with a null id are returned unlinked
@@ -45,8 +50,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from urbanlens.llm.common import cut, join_unique, packed, ranges, row_schema, text_of
 from urbanlens.llm.components import connected_components
@@ -56,6 +62,7 @@ BAND_RATIO = 1.25
 GROUP_BLOCK = 4096             # documents of a signature group compared at once
 BLOCK_SETS = 1024              # sets in a block of a cluster
 BLOCK_FEATURES = 1 << 20       # shingles in a block of a cluster
+PIVOTS = 8                     # members that the first pass compares with all blocks of a large group
 MAX_SENT_IDS = 500_000         # ids of cluster members that are broadcast
 _BUFFER = 1 << 21              # signatures held by a task before they are reduced
 
@@ -334,60 +341,98 @@ def groups_of(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _meet_body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The groups of one partition's signatures."""
-    keys, ids = [], []
+    """The groups of rows sorted by place, one place held at a time."""
+    at, keys, ids = None, [], []
+
+    def met() -> Iterator[pa.RecordBatch]:
+        group, member = groups_of(np.concatenate(keys), np.concatenate(ids))
+        keys.clear()
+        ids.clear()
+        for start in range(0, len(group), 1 << 16):
+            stop = start + (1 << 16)
+            yield pa.RecordBatch.from_arrays([pa.array(group[start:stop]), pa.array(member[start:stop])],
+                                             names=["grp", "id"])
+
     for batch in batches:
         for place, tails, steps in zip(*(batch.column(c).to_pylist() for c in ("place", "tails", "steps"))):
+            if place != at and keys:
+                yield from met()
+            at = place
             wide = np.zeros((len(tails) // _TAIL, 8), np.uint8)
             wide[:, :_TAIL] = np.frombuffer(tails, np.uint8).reshape(-1, _TAIL)
             keys.append(wide.view("<u8").ravel() | (_U(place) << _U(8 * _TAIL)))
             ids.append(np.cumsum(np.frombuffer(steps, np.int64)))
     if keys:
-        group, member = groups_of(np.concatenate(keys), np.concatenate(ids))
-        for at in range(0, len(group), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(group[at:at + (1 << 16)]), pa.array(member[at:at + (1 << 16)])],
-                                             names=["grp", "id"])
+        yield from met()
 
 
-def near_edges(names: list[int], sizes: list[int], bits: list[bytes], side: list[int], part: int, of: int,
-               cross: bool) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs that sizes and bitmaps do not rule out."""
+def _near(sizes: list[int], bits: list[bytes], part: int, of: int):
+    """A function (i, others): which of the others sizes and bitmaps don't rule out as partners of i."""
     least = min(map(len, bits))
     maps = np.empty((len(bits), least), np.uint8)
     for i, b in enumerate(bits):      # larger bitmaps fold to the smallest
         maps[i] = np.bitwise_xor.reduce(np.frombuffer(b, np.uint8).reshape(-1, least), axis=0)
-    words = maps.view(np.uint64)
-    n, where = np.array(sizes, np.int64), np.array(side)
-    left, edges = np.arange(len(names)), []
+    words, n = maps.view(np.uint64), np.array(sizes, np.int64)
 
-    def reached(i: int, others: np.ndarray) -> np.ndarray:
+    def near(i: int, others: np.ndarray) -> np.ndarray:
         apart = np.bitwise_count(words[others] ^ words[i]).sum(axis=1, dtype=np.int64)
-        near = (apart * (of + part) <= (n[others] + n[i]) * (of - part)) & (
+        return (apart * (of + part) <= (n[others] + n[i]) * (of - part)) & (
             np.minimum(n[others], n[i]) * of >= np.maximum(n[others], n[i]) * part)
-        return near & (where[others] != where[i]) if cross else near
 
+    return near
+
+
+def near_edges(names: list[int], sizes: list[int], bits: list[bytes], part: int, of: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that sizes and bitmaps do not rule out."""
+    near, left, edges = _near(sizes, bits, part, of), np.arange(len(names)), []
     while len(left):
         waiting, left = [left[0]], left[1:]
         while waiting and len(left):
             i = waiting.pop()
-            near = reached(i, left)
-            found = left[near]
-            left = left[~near]
-            edges.extend((names[i], names[j]) for j in found)
-            waiting.extend(found)
+            reached = near(i, left)
+            edges.extend((names[i], names[j]) for j in left[reached])
+            waiting.extend(left[reached])
+            left = left[~reached]
+    return edges
+
+
+def joined_sides(names, sides, asks, partners) -> list[tuple[int, int]]:
+    """Edges from asking rows to others of a side not yet joined with theirs, as a spanning forest of the sides.
+
+    ``partners(i, others)`` tells which of the others i is joined with.
+    """
+    side, edges = np.unique(sides, return_inverse=True)[1], []
+    others = np.flatnonzero(~np.array(asks))
+    asking = np.flatnonzero(asks)
+    for i in asking[np.argsort(side[asking], kind="stable")]:
+        apart = others[side[others] != side[i]]
+        if len(apart):
+            for j in apart[partners(i, apart)]:
+                if side[i] != side[j]:
+                    side[side == side[j]] = side[i]
+                    edges.append((int(names[i]), int(names[j])))
     return edges
 
 
 def _filter_body(part: int, of: int):
-    """Rows sorted by (grp, low, high): the candidate edges of each."""
+    """Rows sorted by (grp, block): the candidate edges of each."""
+
+    def edges_of(key, rows) -> list[tuple[int, int]]:
+        return near_edges(*zip(*rows), part, of) if len(rows) > 1 else []
+
+    return _by_key(("grp", "block"), ("id", "n", "bits"), edges_of)
+
+
+def _filter_apart_body(part: int, of: int):
+    """Rows sorted by (grp, low, high): the candidate edges that join sides."""
 
     def edges_of(key, rows) -> list[tuple[int, int]]:
         if len(rows) < 2:
             return []
-        names, sizes, bits, side = zip(*rows)
-        return near_edges(names, sizes, bits, side, part, of, key[1] != key[2])
+        names, sides, asks, sizes, bits = zip(*rows)
+        return joined_sides(names, sides, asks, _near(sizes, bits, part, of))
 
-    return _by_key(("grp", "low", "high"), ("id", "n", "bits", "block"), edges_of)
+    return _by_key(("grp", "low", "high"), ("id", "side", "asks", "n", "bits"), edges_of)
 
 
 def _by_key(keys: tuple, values: tuple, edges_of):
@@ -417,12 +462,52 @@ def _by_key(keys: tuple, values: tuple, edges_of):
     return body
 
 
-def _in_blocks(rows: DataFrame, key: str, values: list[str]) -> DataFrame:
-    """Rows of ``key`` dealt into ``blocks`` (a column), once for every pair of blocks they are in."""
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select(key, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                       "block", *values)
+def _block(blocks: str, *salt: int) -> Column:
+    return F.pmod(F.xxhash64("id", *[F.lit(x) for x in salt]), F.col(blocks)).cast("int")
+
+
+def _first_pass(members: DataFrame, key: str) -> DataFrame:
+    """(key, id, block): every member in its block, and the pivots of a large group in all of its blocks."""
+    rows = members.select(key, "id", "blocks", _block("blocks").alias("block"))
+    pivots = rows.where((F.col("blocks") > 1) & (F.col("block") < PIVOTS)).groupBy(key, "blocks", "block").agg(
+        F.min("id").alias("id"))
+    pivots = pivots.select(key, "id", F.col("block").alias("own"), F.explode(
+        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).where(F.col("own") != F.col("block"))
+    return rows.select(key, "id", "block").unionByName(pivots.select(key, "id", "block"))
+
+
+def _second_pass(members: DataFrame, key: str, edges: DataFrame, name: str) -> DataFrame | None:
+    """(key, id, side, blocks, main, askers) of the large groups that the first pass leaves in several sides.
+
+    A side is a component of ``edges``; the members outside the main side,
+    dealt into ``askers`` blocks, are to be compared with all blocks.  None if
+    there are none.
+    """
+    large = members.where(F.col("blocks") > 1)
+    if large.isEmpty():
+        return None
+    sides = large.join(connected_components(edges), "id", "left").select(
+        key, "id", "blocks", "load", F.coalesce("component", "id").alias("side"))
+    sides = cut(sides, f"{name}-sides")
+    sizes = sides.groupBy(key, "side").agg(F.count(F.lit(1)).alias("n"), F.sum("load").alias("load"))
+    apart = sizes.groupBy(key).agg(
+        F.max_by("side", F.struct("n", "side")).alias("main"), F.sum("n").alias("w"), F.max("n").alias("most"),
+        (F.sum("load") - F.max_by("load", F.struct("n", "side"))).alias("load"))
+    apart = apart.where(F.col("w") > F.col("most")).select(
+        key, "main", "w", F.greatest(F.ceil("load"), F.lit(1)).cast("int").alias("askers"))
+    apart = cut(apart, f"{name}-apart")
+    return None if apart.isEmpty() else join_unique(sides.drop("load"), apart, key, "w")
+
+
+def _in_pairs(rows: DataFrame, key: str, values: list[str]) -> DataFrame:
+    """Rows of :func:`_second_pass`, once for every pair of an asking and another block that they are in."""
+    every, own = F.sequence(F.lit(0), F.col("blocks") - 1), _block("blocks")
+    asked = F.transform(F.sequence(F.lit(0), F.col("askers") - 1), lambda low: F.struct(
+        F.lit(False).alias("asks"), low.alias("low"), own.alias("high")))
+    asking = F.transform(every, lambda high: F.struct(
+        F.lit(True).alias("asks"), _block("askers", 1).alias("low"), high.alias("high")))
+    at = F.explode(F.when(F.col("side") == F.col("main"), asked).otherwise(F.concat(asked, asking)))
+    rows = rows.withColumn("at", at).select(key, "at.low", "at.high", "at.asks", "id", "side", *values)
     return rows.repartition(key, "low", "high").sortWithinPartitions(key, "low", "high", "id")
 
 
@@ -431,16 +516,25 @@ def candidate_edges(docs: DataFrame, maps: DataFrame, size: int, part: int, of:
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     places = min(8 * partitions, 1 << 20)
     rows = docs.mapInArrow(_signature_body(size, part, of, places), "place int, tails binary, steps binary")
-    members = rows.repartition(partitions, "place").mapInArrow(_meet_body, "grp long, id long")
+    members = rows.repartition(partitions, "place").sortWithinPartitions("place").mapInArrow(
+        _meet_body, "grp long, id long")
     members = cut(members.distinct(), "jaccard-groups")
     large = members.groupBy("grp").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > GROUP_BLOCK)
     large = large.select("grp", F.ceil(F.col("m") / GROUP_BLOCK).cast("int").alias("parts"))
-    met = members.join(large, "grp", "left").withColumn("blocks", F.coalesce("parts", F.lit(1)))
-    return _in_blocks(met.join(maps, "id"), "grp", ["id", "n", "bits"]).mapInArrow(
-        _filter_body(part, of), "a long, b long")
-
-
-def _features_body(size: int):
+    members = members.join(large, "grp", "left").select(
+        "grp", "id", F.coalesce("parts", F.lit(1)).alias("blocks"), F.lit(1.0 / GROUP_BLOCK).alias("load"))
+    values = ["id", "n", "bits"]
+    first = _first_pass(members, "grp").join(maps, "id").select("grp", "block", *values)
+    first = first.repartition("grp", "block").sortWithinPartitions("grp", "block", "id")
+    edges = cut(first.mapInArrow(_filter_body(part, of), "a long, b long"), "jaccard-near")
+    apart = _second_pass(members, "grp", edges, "jaccard-groups")
+    if apart is None:
+        return edges
+    pairs = _in_pairs(apart.join(maps, "id"), "grp", ["n", "bits"])
+    return edges.unionByName(pairs.mapInArrow(_filter_apart_body(part, of), "a long, b long"))
+
+
+def _features_body(size: int, columns: list[str]):
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(size)
         for batch in batches:
@@ -448,54 +542,106 @@ def _features_body(size: int):
             for start, stop in ranges(column, 4 << 20):
                 sets = [f.tobytes() for f in shingles.of_all(column[start:stop].to_pylist())]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c)[start:stop] for c in ("cluster", "id", "blocks")] + [pa.array(sets, pa.binary())],
-                    names=["cluster", "id", "blocks", "features"])
+                    [batch.column(c)[start:stop] for c in columns] + [pa.array(sets, pa.binary())],
+                    names=[*columns, "features"])
 
     return body
 
 
-def block_links(names: np.ndarray, side: np.ndarray, sets: list[np.ndarray], part: int, of: int,
-                cross: bool) -> list[tuple[int, int]]:
-    """Links that join the sets of a block (or of two: only across ``side``), as a spanning forest."""
-    sizes = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    features, where, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    # Shingles of one set alone never count; the rest as postings by shingle and by set.
-    common = counts[where] > 1
-    where, owner = where[common], owner[common]
-    by_feature = np.argsort(where, kind="stable")
-    posting = owner[by_feature]
-    start = np.searchsorted(where[by_feature], np.arange(len(features) + 1))
-    own_start = np.searchsorted(owner, np.arange(len(sets) + 1))
-    del features
-    forest, links = Forest(len(sets)), []
-    for i in range(len(sets)):
-        mine = where[own_start[i]:own_start[i + 1]]
-        if not len(mine):
-            continue
-        met = np.concatenate([posting[start[f]:start[f + 1]] for f in mine])
-        common_ = np.bincount(met, minlength=len(sets))
-        linked = of * common_ >= part * (sizes[i] + sizes - common_)
-        linked[:i + 1] = False
-        if cross:
-            linked &= side != side[i]
-        for j in np.flatnonzero(linked):
-            if forest.join(i, int(j)):
-                links.append((int(names[i]), int(names[j])))
+class Postings:
+    """The sets that hold each shingle; shingles of one set alone never count and are left out."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets])
+        owner = np.repeat(np.arange(len(sets)), self.sizes)
+        found, where, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        common = counts[where] > 1
+        self.where, self.owner, self.features = where[common], owner[common], len(found)
+        self.own = np.searchsorted(self.owner, np.arange(len(sets) + 1))
+        self.keep(np.ones(len(sets), bool))
+
+    def keep(self, wanted: np.ndarray) -> None:
+        """Only the ``wanted`` sets are met from now on."""
+        kept = wanted[self.owner]
+        where, owner = self.where[kept], self.owner[kept]
+        order = np.argsort(where, kind="stable")
+        self.posting = owner[order]
+        self.start = np.searchsorted(where[order], np.arange(self.features + 1))
+        self.held = int(wanted.sum())
+
+    def linked(self, i: int, part: int, of: int) -> np.ndarray:
+        """Whether each of the sets met links with set i."""
+        mine = self.where[self.own[i]:self.own[i + 1]]
+        first, many = self.start[mine], self.start[mine + 1] - self.start[mine]
+        at = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+        common = np.bincount(self.posting[at], minlength=len(self.sizes))
+        return (common > 0) & (of * common >= part * (self.sizes[i] + self.sizes - common))
+
+
+def block_links(names, sets: list[np.ndarray], part: int, of: int) -> list[tuple[int, int]]:
+    """Links that join the sets of a block, as a spanning forest.
+
+    Only sets not yet reached are met, so near copies cost about one look each.
+    """
+    postings, left, links = Postings(sets), np.ones(len(sets), bool), []
+    for seed in range(len(sets)):
+        waiting = [seed] if left[seed] else []
+        left[seed] = False
+        while waiting:
+            n = int(left.sum())
+            if not n:
+                break
+            if 2 * n <= postings.held:
+                postings.keep(left)
+            i = waiting.pop()
+            reached = np.flatnonzero(postings.linked(i, part, of) & left)
+            left[reached] = False
+            links.extend((int(names[i]), int(names[j])) for j in reached)
+            waiting.extend(reached)
     return links
 
 
+def apart_links(names, sides, asks, sets: list[np.ndarray], part: int, of: int) -> list[tuple[int, int]]:
+    """Links of asking sets with others of another side, as a spanning forest of the sides."""
+    postings, others = Postings(sets), ~np.array(asks)
+    side = np.unique(sides, return_inverse=True)[1]
+    asking, at = np.bincount(side[~others], minlength=side.max() + 1), -1
+
+    def partners(i: int, apart: np.ndarray) -> np.ndarray:
+        nonlocal at
+        if side[i] != at:
+            at = side[i]
+            if asking[at] > 8:       # a side of near copies would mostly meet itself
+                postings.keep(others & (side != at))
+            elif postings.held != others.sum():
+                postings.keep(others)
+        return postings.linked(i, part, of)[apart]
+
+    return joined_sides(names, sides, asks, partners)
+
+
 def _compare_body(part: int, of: int):
-    """Rows sorted by (cluster, low, high): the links of each block pair's sets."""
+    """Rows sorted by (cluster, block): the links of each block's sets."""
 
     def links_of(key, rows) -> list[tuple[int, int]]:
         if len(rows) < 2:
             return []
-        names, side, sets = zip(*rows)
-        return block_links(np.array(names), np.array(side), [np.frombuffer(f, np.uint64) for f in sets], part, of,
-                           cross=key[1] != key[2])
+        names, sets = zip(*rows)
+        return block_links(names, [np.frombuffer(f, np.uint64) for f in sets], part, of)
+
+    return _by_key(("cluster", "block"), ("id", "features"), links_of)
 
-    return _by_key(("cluster", "low", "high"), ("id", "block", "features"), links_of)
+
+def _compare_apart_body(part: int, of: int):
+    """Rows sorted by (cluster, low, high): the links of each block pair's sets that join sides."""
+
+    def links_of(key, rows) -> list[tuple[int, int]]:
+        if len(rows) < 2:
+            return []
+        names, sides, asks, sets = zip(*rows)
+        return apart_links(names, sides, asks, [np.frombuffer(f, np.uint64) for f in sets], part, of)
+
+    return _by_key(("cluster", "low", "high"), ("id", "side", "asks", "features"), links_of)
 
 
 def _sent(ids: DataFrame) -> DataFrame:
@@ -503,16 +649,28 @@ def _sent(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= MAX_SENT_IDS else ids
 
 
+def _with_features(docs: DataFrame, rows: DataFrame, size: int) -> DataFrame:
+    met = docs.join(_sent(rows), "id").select(*rows.columns, "text")
+    schema = T.StructType([*rows.schema.fields, T.StructField("features", T.BinaryType())])
+    return met.mapInArrow(_features_body(size, rows.columns), schema)
+
+
 def verified_links(docs: DataFrame, members: DataFrame, size: int, part: int, of: int) -> DataFrame:
     """(a, b) links that join what links inside each cluster; ``members``: (id, cluster, n)."""
-    totals = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("features"))
-    totals = totals.where(F.col("sets") > 1).select("cluster", F.ceil(F.greatest(
-        F.col("sets") / BLOCK_SETS, F.col("features") / BLOCK_FEATURES)).cast("int").alias("blocks"))
-    wanted = cut(members.join(totals, "cluster").select("id", "cluster", "blocks"), "jaccard-wanted")
-    rows = docs.join(_sent(wanted), "id")
-    sets = rows.select("cluster", "id", "blocks", "text").mapInArrow(
-        _features_body(size), "cluster long, id long, blocks int, features binary")
-    return _in_blocks(sets, "cluster", ["id", "features"]).mapInArrow(_compare_body(part, of), "a long, b long")
+    load = F.greatest(F.lit(1.0 / BLOCK_SETS), F.col("n") / BLOCK_FEATURES)
+    members = members.withColumn("load", load)
+    totals = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"), F.sum("load").alias("blocks"))
+    totals = totals.where(F.col("sets") > 1).select("cluster", "sets", F.ceil("blocks").cast("int").alias("blocks"))
+    wanted = join_unique(members, cut(totals, "jaccard-totals"), "cluster", "sets")
+    wanted = cut(wanted.select("id", "cluster", "blocks", "load"), "jaccard-wanted")
+    first = _with_features(docs, cut(_first_pass(wanted, "cluster"), "jaccard-dealt"), size)
+    first = first.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "id")
+    links = cut(first.mapInArrow(_compare_body(part, of), "a long, b long"), "jaccard-links")
+    apart = _second_pass(wanted, "cluster", links, "jaccard-clusters")
+    if apart is None:
+        return links
+    pairs = _in_pairs(_with_features(docs, cut(apart, "jaccard-askers"), size), "cluster", ["features"])
+    return links.unionByName(pairs.mapInArrow(_compare_apart_body(part, of), "a long, b long"))
 
 
 def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
