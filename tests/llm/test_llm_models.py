@@ -90,12 +90,13 @@ def test_lattice_documents(odd):
 
 def test_rare_words_take_the_join(odd, monkeypatch):
     """Scores don't depend on which words are sent to the tasks."""
-    def scores(limit):
+    def scores(limit, longest=256):
         monkeypatch.setattr(lattice, "MAX_SHIPPED", limit)
+        monkeypatch.setattr(lattice, "SHIPPED_BYTES", longest)
         rows = lattice.score_documents(odd, F.col("doc_id") < 9, rounds=1, keep=["doc_id"]).collect()
         return sorted((r["n_tokens"], r["n_known"], round(r["base_score"], 8), round(r["score"], 8)) for r in rows)
 
-    assert scores(0) == scores(3) == scores(10_000)
+    assert scores(0) == scores(3) == scores(10_000) == scores(10_000, 4)
 
 
 def test_long_words_are_learnt_whole(monkeypatch):

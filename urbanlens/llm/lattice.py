@@ -19,7 +19,7 @@ never seen keep a probability and frequent ones are not spelt badly.
 Beside it stands a word unigram with add-1/2 smoothing (``base_score``).
 
 Words are counted in each task before they are shuffled.  Counts of frequent
-words (at most ``MAX_SHIPPED``, the rest by a shuffled join) go to the tasks;
+words (at most ``MAX_SHIPPED`` of at most ``SHIPPED_BYTES``, the rest by a shuffled join) go to the tasks;
 lattice scores of words are computed in batches, and kept in a bounded cache.
 
 Defined results: A-Z are lower-cased; null or empty text is the end symbol
@@ -47,6 +47,7 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 ROUNDS = 1                  # of expectation maximisation, each over all words
 MAX_SHIPPED = 200_000       # words whose counts are sent to every task
+SHIPPED_BYTES = 256         # and the bytes of the longest of them; longer words take the join
 LONG = 64                   # code points of a word that the batched recursion takes
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FLUSH = 300_000            # distinct words held by a task
@@ -427,15 +428,16 @@ def score_documents(df: DataFrame, learn: Column, text_col: str = "text", vocabu
     spare = discount * v / n if n else 1.0
     lattice = estimate(Lattice(*read_vocabulary(vocabulary)), counts, documents, rounds)
 
-    # The least count of which no more than MAX_SHIPPED words have as much.
-    classes = counts.groupBy(F.floor(F.log2("c")).cast("int").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    # The least count of which no more than MAX_SHIPPED short words have as much.
+    short = F.octet_length("word") <= SHIPPED_BYTES
+    classes = counts.where(short).groupBy(F.floor(F.log2("c")).cast("int").alias("k")).agg(F.count(F.lit(1)).alias("n"))
     least, room = 62, MAX_SHIPPED
     for row in sorted(classes.collect(), reverse=True):
         room -= row["n"]
         if room < 0:
             break
         least = row["k"]
-    frequent = F.col("c") >= F.lit(1 << least)
+    frequent = short & (F.col("c") >= F.lit(1 << least))
     known = {bytes(r["word"]): r["c"] for r in counts.where(frequent).collect()}     # MAX_SHIPPED at most
     shared = ship(df.sparkSession, (lattice, known, documents, n, below, discount, spare))
 
