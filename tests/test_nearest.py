@@ -220,3 +220,40 @@ def test_checkpoint_folder_is_required_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(Session())
+
+
+def test_far_points_and_neighbours_meet_few_sites():
+    """Points far from all sites meet the near edge, points among them their neighbourhood; found as by brute force."""
+    import numpy as np
+
+    from urbanlens.operators.nearest import SiteIndex, _unit
+
+    rng = np.random.default_rng(5)
+    n = 20_000
+    lat, lon = rng.uniform(33, 35, n).round(3), rng.uniform(-119, -117, n).round(3)
+    index = SiteIndex(lat, lon, np.arange(n), np.array([f"d{i}" for i in range(n)], object))
+    sites = _unit(np.radians(lat), np.radians(lon))
+    for low, high, most in ((33, 35, 160), (89, 97, 2_000)):
+        a, b = rng.uniform(low, high, 400), rng.uniform(-119, -117, 400)
+        xyz = _unit(np.radians(a), np.radians(b))
+        assert len(index.tree.near(xyz)[0]) * 16 / len(xyz) < most
+        found, distance = index.nearest(a, b)
+        least = ((xyz[:, None, :] - sites) ** 2).sum(axis=2).min(axis=1)
+        assert distance == pytest.approx(2 * 6371.0 * np.arcsin(np.sqrt(least) / 2), rel=1e-6, abs=1e-6)
+        assert (np.abs(((xyz - index.xyz[found]) ** 2).sum(axis=1) - least) <= 1e-9 * least + 1e-18).all()
+
+
+def test_tiles_met_by_a_point(spark, tmp_dir):
+    """Few points lie so near an edge that a second tile can hold their nearest site."""
+    from urbanlens.session import checkpoint_dir
+    import glob
+
+    rnd = random.Random(11)
+    sdf = spark.createDataFrame([(i, f"s{i}", 34 + rnd.uniform(0, 1), -118 + rnd.uniform(0, 1)) for i in range(4_000)],
+                                "ord long, division string, lat double, lon double")
+    pdf = spark.createDataFrame([(j, 34 + rnd.uniform(0, 1), -118 + rnd.uniform(0, 1)) for j in range(3_000)],
+                                "id long, lat double, lon double")
+    known = set(glob.glob(f"{checkpoint_dir(spark).removeprefix('file:')}/scratch/point-tiles-*"))
+    out = nearest_site(pdf, sdf, strategy="grid", tile_sites=500)
+    new = set(glob.glob(f"{checkpoint_dir(spark).removeprefix('file:')}/scratch/point-tiles-*")) - known
+    assert out.count() == 3_000 and spark.read.parquet(*new).count() < 2 * 3_000

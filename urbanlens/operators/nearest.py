@@ -14,24 +14,27 @@ Two exact plans with the same rows, types and column order:
   shuffled, and a query that needs few columns reads few.
 * **grid**: any number of sites.  They are range-partitioned along a
   space-filling curve into tiles of bounded size, so a dense cluster is cut
-  into as many tiles as its sites need.  The tiles' boxes (their number is
-  bounded) tell each point the few tiles that can hold its nearest site.
-  Points meet those tiles by (tile, part of the tile's points), so a tile
-  with very many points is many tasks, each with one tile's sites.  A point's
-  best candidates are then joined back by a row number of our own: no point
-  id is needed.  The plan is a fixed number of jobs, run while it is built;
+  into as many tiles as its sites need.  Small boxes of each tile's sites,
+  with one site of every box (their number is bounded), tell each point the
+  few tiles that can hold its nearest site.  Points meet those tiles by
+  (tile, part of the tile's points), so a tile with very many points is many
+  tasks, each with one tile's sites.  A point's best candidates are then
+  joined back by a row number of our own: no point id is needed.  The plan is a fixed number of jobs, run while it is built;
   intermediate tables are written to the shared folder.
 
-The index is a tree of boxes over sites in curve order.  A point descends it
-with two bounds: a box is left out if its nearest corner is farther than the
-farthest corner of some other.  Straight-line (chord) distance grows with the
-great-circle distance, so there are no special cases at the poles or the
-date line; the exact haversine with the tie rule decides among the closest.
+The index is a tree of boxes over sites in curve order; every box names one of
+its sites.  A point descends it with two bounds: a box is left out if its
+nearest corner is farther than some box's named site.  The sites of the
+likeliest last box come first and tighten the bound for the others.
+Straight-line (chord) distance grows with the great-circle distance, so there
+are no special cases at the poles or the date line; the exact haversine with
+the tie rule decides among the closest.
 """
 
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -57,6 +60,9 @@ MAX_ARRAY_BYTES = 64 << 20
 TILE_SITES = 4_096
 MAX_TILES = 50_000
 PART_POINTS = 200_000
+# Boxes that tell points their tiles: sites of one (more where that would make over MAX_BOXES).
+BOX_SITES = 16
+MAX_BOXES = 200_000
 
 _FAN = 16                 # sites in a leaf box, boxes in a parent
 _CHUNK = 4_096            # points that descend together
@@ -168,49 +174,82 @@ def _unit(lat_r: np.ndarray, lon_r: np.ndarray) -> np.ndarray:
 
 
 def curve(xyz: np.ndarray) -> np.ndarray:
-    """Place on a space-filling curve: the bits of the three coordinates in turn."""
-    cells = np.clip((xyz + 1) * (1 << 19), 0, (1 << 20) - 1).astype(np.int64)
-    code = np.zeros(len(cells), np.int64)
-    for bit in range(20):
-        for axis in range(3):
-            code |= ((cells[:, axis] >> bit) & 1) << (3 * bit + axis)
+    """Place on a space-filling curve: the sphere unfolded by way of an octahedron, then the bits of both axes in turn."""
+    x, y, z = (xyz / np.abs(xyz).sum(axis=1, keepdims=True)).T
+    fold = z < 0
+    x, y = (np.where(fold, np.copysign(1 - np.abs(y), x), x), np.where(fold, np.copysign(1 - np.abs(x), y), y))
+    cells = [np.clip((axis + 1) * (1 << 29), 0, (1 << 30) - 1).astype(np.int64) for axis in (x, y)]
+    code = np.zeros(len(xyz), np.int64)
+    for bit in range(30):
+        for axis in range(2):
+            code |= ((cells[axis] >> bit) & 1) << (2 * bit + axis)
     return code
 
 
+def _named(xyz: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Of every run of rows (they start at ``at``) the one nearest to the middle of the run's box."""
+    run = np.repeat(np.arange(len(at)), np.diff(at, append=len(xyz)))
+    gap = xyz - (low + high)[run] / 2
+    return xyz[np.lexsort(((gap * gap).sum(axis=1), run))[at]]
+
+
+def _within(bound: np.ndarray) -> np.ndarray:
+    """A squared distance with room for the errors of arithmetic."""
+    return bound * (1 + _MARGIN) + 1e-18
+
+
 class BoxTree:
-    """Boxes in curve order, under parents of ``_FAN`` consecutive boxes, and so on."""
+    """Boxes in curve order, each with one of its sites, under parents of ``_FAN`` consecutive boxes, and so on."""
 
-    def __init__(self, low: np.ndarray, high: np.ndarray):
-        self.levels = [(low, high)]
+    def __init__(self, low: np.ndarray, high: np.ndarray, site: np.ndarray):
+        # One row per axis: a gather then reads one short array after the other.
+        self.levels = [(low.T.copy(), high.T.copy(), site.T.copy())]
         while len(low) > _FAN:
             at = np.arange(0, len(low), _FAN)
             low, high = np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)
-            self.levels.append((low, high))
+            site = _named(site, at, low, high)
+            self.levels.append((low.T.copy(), high.T.copy(), site.T.copy()))
 
     def near(self, xyz: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(point, box) pairs, ordered by point, of the boxes that can hold its nearest site."""
-        n = len(xyz)
-        low, high = self.levels[-1]
-        point, node = np.repeat(np.arange(n), len(low)), np.tile(np.arange(len(low)), n)
+        point, node, _ = self.reach(xyz.T.copy())
+        return point, node
+
+    def reach(self, axes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pairs of ``near`` and the squared distances to the boxes; points as one row per axis."""
+        n, top = axes.shape[1], self.levels[-1][0].shape[1]
+        point, node = np.repeat(np.arange(n), top), np.tile(np.arange(top), n)
+        near = np.empty(0)
         for depth in range(len(self.levels) - 1, -1, -1):
-            low, high = self.levels[depth]
-            p = xyz[point]
-            near = np.maximum(np.maximum(low[node] - p, p - high[node]), 0)
-            far = np.maximum(np.abs(p - low[node]), np.abs(p - high[node]))
-            first = np.flatnonzero(np.diff(point, prepend=-1))
-            bound = np.minimum.reduceat((far * far).sum(axis=1), first)
-            keep = (near * near).sum(axis=1) <= bound[point] * (1 + _MARGIN) + 1e-18
-            point, node = point[keep], node[keep]
+            near, named = np.zeros(len(point)), np.zeros(len(point))
+            for p, low, high, site in zip(axes, *self.levels[depth]):
+                p = p[point]
+                gap = np.maximum(np.maximum(low[node] - p, p - high[node]), 0)
+                near += gap * gap
+                gap = p - site[node]
+                named += gap * gap
+            bound = _within(np.minimum.reduceat(named, np.flatnonzero(np.diff(point, prepend=-1))))
+            keep = np.flatnonzero(near <= bound[point])
+            point, node, near = point[keep], node[keep], near[keep]
             if depth:
-                size = len(self.levels[depth - 1][0])
+                size = self.levels[depth - 1][0].shape[1]
                 if len(point) * _FAN > _MAX_PAIRS and n > 1:
                     half = n // 2
-                    a, b = self.near(xyz[:half]), self.near(xyz[half:])
-                    return np.concatenate([a[0], b[0] + half]), np.concatenate([a[1], b[1]])
-                child = node[:, None] * _FAN + np.arange(_FAN)
-                known = child < size
-                point, node = np.repeat(point, known.sum(axis=1)), child[known]
-        return point, node
+                    a, b = self.reach(axes[:, :half]), self.reach(axes[:, half:])
+                    return (np.concatenate([a[0], b[0] + half]), np.concatenate([a[1], b[1]]),
+                            np.concatenate([a[2], b[2]]))
+                point, node = _members(point, node, size)
+        return point, node, near
+
+
+def _members(point: np.ndarray, node: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(point, member) pairs of the ``_FAN`` members of each node; there are ``size`` members in all."""
+    member = (node[:, None] * _FAN + np.arange(_FAN)).ravel()
+    point = np.repeat(point, _FAN)
+    if len(node) and member.max() >= size:
+        known = member < size
+        point, member = point[known], member[known]
+    return point, member
 
 
 class SiteIndex:
@@ -229,7 +268,9 @@ class SiteIndex:
         self.ord, self.division = ord_[rank][order], division[rank][order]
         if len(rank):
             at = np.arange(0, len(order), _FAN)
-            self.tree = BoxTree(np.minimum.reduceat(self.xyz, at), np.maximum.reduceat(self.xyz, at))
+            low, high = np.minimum.reduceat(self.xyz, at), np.maximum.reduceat(self.xyz, at)
+            self.tree = BoxTree(low, high, _named(self.xyz, at, low, high))
+            self.axes = self.xyz.T.copy()
 
     @classmethod
     def from_rows(cls, rows) -> SiteIndex:
@@ -246,20 +287,28 @@ class SiteIndex:
         return site, distance
 
     def _chunk(self, lat_r, lon_r):
-        xyz = _unit(lat_r, lon_r)
-        point, leaf = self.tree.near(xyz)
+        axes = _unit(lat_r, lon_r).T.copy()
+        point, leaf, near = self.tree.reach(axes)
         if len(point) * _FAN > _MAX_PAIRS and len(lat_r) > 1:
             half = len(lat_r) // 2
             a, b = self._chunk(lat_r[:half], lon_r[:half]), self._chunk(lat_r[half:], lon_r[half:])
             return np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
-        site = leaf[:, None] * _FAN + np.arange(_FAN)
-        known = site < len(self.lat)
-        point, site = np.repeat(point, known.sum(axis=1)), site[known]
-        gap = xyz[point] - self.xyz[site]
-        chord = (gap * gap).sum(axis=1)
-        least = np.minimum.reduceat(chord, np.flatnonzero(np.diff(point, prepend=-1)))
+        # The nearest box first: its closest site bounds the others.
+        starts = np.flatnonzero(np.diff(point, prepend=-1))
+        first = np.zeros(len(point), bool)
+        first[np.lexsort((near, point))[starts]] = True
+        at, site = _members(point[first], leaf[first], len(self.lat))
+        chord = self._chord(axes, at, site)
+        least = np.minimum.reduceat(chord, np.flatnonzero(np.diff(at, prepend=-1)))
+        other = np.flatnonzero(~first & (near <= _within(least)[point]))
+        at2, site2 = _members(point[other], leaf[other], len(self.lat))
+        chord2 = self._chord(axes, at2, site2)
+        point, site, chord = np.concatenate([at, at2]), np.concatenate([site, site2]), np.concatenate([chord, chord2])
+        if len(at2):
+            begin = np.flatnonzero(np.diff(at2, prepend=-1))
+            least[at2[begin]] = np.minimum(least[at2[begin]], np.minimum.reduceat(chord2, begin))
         # Candidates within a hair of the closest by chord; the exact rule chooses among them.
-        close = chord <= least[point] * (1 + _MARGIN) + 1e-18
+        close = np.flatnonzero(chord <= _within(least)[point])
         point, site = point[close], site[close]
         d = _haversine_np(lat_r[point], lon_r[point], np.cos(lat_r)[point], self.lat[site], self.lon[site],
                           self.cos[site])
@@ -267,6 +316,14 @@ class SiteIndex:
         pick = order[np.flatnonzero(np.diff(point[order], prepend=-1))]
         return site[pick], d[pick]
 
+    def _chord(self, axes: np.ndarray, point: np.ndarray, site: np.ndarray) -> np.ndarray:
+        """Squared straight-line distances of the pairs."""
+        chord = np.zeros(len(point))
+        for p, s in zip(axes, self.axes):
+            gap = p[point] - s[site]
+            chord += gap * gap
+        return chord
+
 
 def _haversine_np(lat1, lon1, cos1, lat2, lon2, cos2):
     """Same formula and operation order as ``haversine_from_radians``."""
@@ -281,12 +338,13 @@ def _haversine_np(lat1, lon1, cos1, lat2, lon2, cos2):
 def _nearest_by_array(usable: DataFrame, index: SiteIndex, la: Column, lo: Column) -> DataFrame:
     shared = usable.sparkSession.sparkContext.broadcast(cloudpickle.dumps(index))
 
-    def assign(lat: pd.Series, lon: pd.Series) -> pd.DataFrame:
+    def assign(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         held = cloudpickle.loads(shared.value)
-        site, distance = held.nearest(lat.to_numpy("float64"), lon.to_numpy("float64"))
-        division = np.full(len(site), None, dtype=object)
-        division[site >= 0] = held.division[site[site >= 0]]
-        return pd.DataFrame({"division": division, "distance": distance})
+        for lat, lon in batches:
+            site, distance = held.nearest(lat.to_numpy("float64"), lon.to_numpy("float64"))
+            division = np.full(len(site), None, dtype=object)
+            division[site >= 0] = held.division[site[site >= 0]]
+            yield pd.DataFrame({"division": division, "distance": distance})
 
     best = F.pandas_udf(assign, "struct<division:string,distance:double>")
     return usable.withColumn("_best", best(la, lo))
@@ -302,29 +360,41 @@ def _nearest_by_tiles(usable: DataFrame, sites: DataFrame, n_sites: int, la: Col
     place = F.pandas_udf(lambda a, b, c: pd.Series(curve(np.stack([a, b, c], axis=1))), "long")
     placed = sites.withColumns({"x": x, "y": y, "z": z}).withColumn("place", place("x", "y", "z"))
     # Equal places are cut too: latitude and longitude follow in the range key.
+    # A row's number within its partition is the low part of the increasing id; it goes along the curve.
+    box_sites = max(BOX_SITES, -(-n_sites // MAX_BOXES))
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     tiles = written(placed.repartitionByRange(n_tiles, "place", "lat", "lon")
-                    .withColumn("tile", F.spark_partition_id()), "tiles")
-    boxes = tiles.groupBy("tile").agg(*[f(c).alias(f"{name}_{c}") for c in "xyz"
-                                        for name, f in (("low", F.min), ("high", F.max))]).orderBy("tile").collect()
+                    .sortWithinPartitions("place", "lat", "lon")
+                    .withColumns({"tile": F.spark_partition_id(), "box": F.floor(number / box_sites),
+                                  "at": number % box_sites}), "tiles")
+    boxes = tiles.groupBy("tile", "box").agg(
+        *[f(c).alias(f"{name}_{c}") for c in "xyz" for name, f in (("low", F.min), ("high", F.max))],
+        F.min_by(F.struct("x", "y", "z"), F.abs(F.col("at") - box_sites // 2)).alias("site")).orderBy("tile", "box").collect()
     names = np.array([b["tile"] for b in boxes])
     tree = BoxTree(np.array([[b[f"low_{c}"] for c in "xyz"] for b in boxes], np.float64),
-                   np.array([[b[f"high_{c}"] for c in "xyz"] for b in boxes], np.float64))
+                   np.array([[b[f"high_{c}"] for c in "xyz"] for b in boxes], np.float64),
+                   np.array([tuple(b["site"]) for b in boxes], np.float64))
     shared = spark.sparkContext.broadcast(cloudpickle.dumps((names, tree)))
 
-    def tiles_of(lat: pd.Series, lon: pd.Series) -> pd.Series:
+    def tiles_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         numbers, held = cloudpickle.loads(shared.value)
-        out: list = []
-        lat_r, lon_r = np.radians(lat.to_numpy("float64")), np.radians(lon.to_numpy("float64"))
-        for start in range(0, len(lat_r), _CHUNK):
-            xyz = _unit(lat_r[start:start + _CHUNK], lon_r[start:start + _CHUNK])
-            point, box = held.near(xyz)
-            out.extend(np.split(numbers[box], np.flatnonzero(np.diff(point)) + 1))
-        return pd.Series(out)
+        for lat, lon in batches:
+            out: list = []
+            lat_r, lon_r = np.radians(lat.to_numpy("float64")), np.radians(lon.to_numpy("float64"))
+            for start in range(0, len(lat_r), _CHUNK):
+                point, box = held.near(_unit(lat_r[start:start + _CHUNK], lon_r[start:start + _CHUNK]))
+                tile = numbers[box]
+                # A point's boxes come in the order of their tiles.
+                new = (np.diff(point, prepend=-1) != 0) | (np.diff(tile, prepend=-1) != 0)
+                point, tile = point[new], tile[new]
+                out.extend(np.split(tile, np.flatnonzero(np.diff(point)) + 1))
+            yield pd.Series(out)
 
     near = F.pandas_udf(tiles_of, "array<int>")
     base = written(usable.withColumn("_row", F.monotonically_increasing_id()), "points")
-    pairs = written(base.select("_row", la.alias("lat"), lo.alias("lon"), F.explode(near(la, lo)).alias("tile")),
-                    "point-tiles")
+    # Dealt over all tasks: the points may come from few files.
+    narrow = base.select("_row", la.alias("lat"), lo.alias("lon")).repartition("_row")
+    pairs = written(narrow.select("_row", "lat", "lon", F.explode(near("lat", "lon")).alias("tile")), "point-tiles")
     # One row per tile: at most MAX_TILES, so it may be broadcast.
     load = pairs.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / PART_POINTS).cast("int").alias("parts"))
     load = F.broadcast(load)
