@@ -19,8 +19,9 @@ Two exact plans with the same rows, types and column order:
   few tiles that can hold its nearest site.  Points meet those tiles by
   (tile, part of the tile's points), so a tile with very many points is many
   tasks, each with one tile's sites.  A point's best candidates are then
-  joined back by a row number of our own: no point id is needed.  The plan is a fixed number of jobs, run while it is built;
-  intermediate tables are written to the shared folder.
+  joined back by a row number of our own: no point id is needed.  The plan is
+  a fixed number of jobs, run while it is built; intermediate tables are
+  written to the shared folder.
 
 The index is a tree of boxes over sites in curve order; every box names one of
 its sites.  A point descends it with two bounds: a box is left out if its
