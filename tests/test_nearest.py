@@ -257,3 +257,45 @@ def test_tiles_met_by_a_point(spark, tmp_dir):
     out = nearest_site(pdf, sdf, strategy="grid", tile_sites=500)
     new = set(glob.glob(f"{checkpoint_dir(spark).removeprefix('file:')}/scratch/point-tiles-*")) - known
     assert out.count() == 3_000 and spark.read.parquet(*new).count() < 2 * 3_000
+
+
+def test_many_sites_and_points_of_one_task(spark, monkeypatch):
+    """30,000 sites are searched as arrays, by more than the one task the points come in; the rows of the grid plan."""
+    from pyspark.sql import functions as F
+
+    import urbanlens.operators.nearest as nearest
+    from urbanlens.plans.inspect import physical_plan
+
+    monkeypatch.setattr(nearest, "PART_POINTS", 1_000)
+    sdf = spark.range(30_000).select(
+        F.col("id").alias("ord"), F.concat(F.lit("s"), "id").alias("division"),
+        (34 + (F.col("id") * 6151 % 9973) / 9973).alias("lat"), (-118 + (F.col("id") * 4957 % 7919) / 7919).alias("lon"))
+    pdf = spark.range(0, 3_000, 1, 1).select(
+        "id", (34 + (F.col("id") * 7877 % 3001) / 3001).alias("lat"), (-118 + (F.col("id") * 1237 % 2999) / 2999).alias("lon"))
+    out = nearest_site(pdf, sdf)
+    assert "Join" not in physical_plan(out)
+    used = out.withColumn("task", F.spark_partition_id()).select("id", "division", "distance", "task").collect()
+    assert len({r.task for r in used}) == 3
+    grid = nearest_site(pdf, sdf, strategy="grid").select("id", "division", "distance").collect()
+    assert sorted((r.id, r.division, r.distance) for r in used) == sorted(map(tuple, grid))
+
+
+def test_grid_deals_its_points_though_they_are_few_bytes(spark, monkeypatch):
+    """Adaptive execution merges small partitions; the search of tiles is work, and keeps its tasks."""
+    import glob
+
+    from pyspark.sql import functions as F
+
+    import urbanlens.operators.nearest as nearest
+    from urbanlens.session import checkpoint_dir
+
+    monkeypatch.setattr(nearest, "PART_POINTS", 100)
+    sdf = spark.range(2_000).select(F.col("id").alias("ord"), F.concat(F.lit("s"), "id").alias("division"),
+                                    (34 + F.col("id") % 43 / 43).alias("lat"), (-118 + F.col("id") % 47 / 47).alias("lon"))
+    pdf = spark.range(0, 500, 1, 1).select("id", (34 + F.col("id") / 500).alias("lat"), F.lit(-117.5).alias("lon"))
+    made = f"{checkpoint_dir(spark).removeprefix('file:')}/scratch/point-tiles-*"
+    known = set(glob.glob(made))
+    out = nearest_site(pdf, sdf, strategy="grid", tile_sites=500)
+    new, = set(glob.glob(made)) - known
+    assert len(glob.glob(f"{new}/*.parquet")) == 5
+    assert out.count() == 500

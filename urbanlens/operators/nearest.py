@@ -10,8 +10,10 @@ Two exact plans with the same rows, types and column order:
 
 * **array**: the sites fit a checked bound of rows and bytes.  They go once
   to every executor as an indexed set of arrays (``SiteIndex``); a vectorised
-  scalar function maps (lat, lon) to (division, distance).  Points are not
-  shuffled, and a query that needs few columns reads few.
+  scalar function maps (lat, lon) to (division, distance).  A query that needs
+  few columns reads few.  Over few sites points are not shuffled; over many a
+  point's search costs more than its way, so many points are dealt over tasks
+  of some PART_POINTS each.
 * **grid**: any number of sites.  They are range-partitioned along a
   space-filling curve into tiles of bounded size, so a dense cluster is cut
   into as many tiles as its sites need.  Small boxes of each tile's sites,
@@ -54,19 +56,22 @@ try:  # ship this module's code with the Python tasks
 except (ImportError, AttributeError):  # pragma: no cover
     pass
 
-# Bounds of the array plan.
-MAX_ARRAY_SITES = 20_000
+# Bounds of the array plan: no more sites than the grid plan has boxes.
+MAX_ARRAY_SITES = 200_000
 MAX_ARRAY_BYTES = 64 << 20
-# Grid plan: sites of a tile (more where that would make over MAX_TILES), points of one task's part.
+# Array plan: with more sites than this, more points than PART_POINTS are dealt over several tasks.
+DEAL_SITES = 1_000
+# Grid plan: sites of a tile (more where that would make over MAX_TILES), points of one task's part (both plans).
 TILE_SITES = 4_096
 MAX_TILES = 50_000
-PART_POINTS = 200_000
+PART_POINTS = 50_000
+MAX_TASKS = 100_000
 # Boxes that tell points their tiles: sites of one (more where that would make over MAX_BOXES).
 BOX_SITES = 16
 MAX_BOXES = 200_000
 
 _FAN = 16                 # sites in a leaf box, boxes in a parent
-_CHUNK = 4_096            # points that descend together
+_CHUNK = 1_024            # points that descend together: their pairs stay in the processor's cache
 _MAX_PAIRS = 2_000_000    # (point, box) pairs held at once before the points are split
 _MARGIN = 1e-9
 _LAST = 2**63 - 1         # order of a site whose order value is missing
@@ -150,6 +155,9 @@ def nearest_site(
     la, lo = F.col(lat).try_cast("double"), F.col(lon).try_cast("double")
     usable = points.where(_valid(la, lo, box))
     if fits and (strategy != "grid" or not n):
+        if n > DEAL_SITES:
+            tasks = _tasks(usable.count())
+            usable = usable.repartition(tasks) if tasks > 1 else usable
         out = _nearest_by_array(usable, SiteIndex.from_rows(listed.collect()), la, lo)
     else:
         out = _nearest_by_tiles(usable, listed, n, la, lo, tile_sites)
@@ -167,6 +175,14 @@ def _extent(sites: DataFrame) -> tuple[int, int]:
     return row["n"], row["n"] * 64 + row["text"]
 
 
+def _tasks(points: int) -> int:
+    """Tasks for the search of so many points.
+
+    It is much work on few bytes: adaptive execution, which goes by bytes, would merge the partitions if it chose.
+    """
+    return min(-(-points // PART_POINTS), MAX_TASKS)
+
+
 # --- the index -------------------------------------------------------------------------
 
 def _unit(lat_r: np.ndarray, lon_r: np.ndarray) -> np.ndarray:
@@ -394,7 +410,7 @@ def _nearest_by_tiles(usable: DataFrame, sites: DataFrame, n_sites: int, la: Col
     near = F.pandas_udf(tiles_of, "array<int>")
     base = written(usable.withColumn("_row", F.monotonically_increasing_id()), "points")
     # Dealt over all tasks: the points may come from few files.
-    narrow = base.select("_row", la.alias("lat"), lo.alias("lon")).repartition("_row")
+    narrow = base.select("_row", la.alias("lat"), lo.alias("lon")).repartition(max(1, _tasks(base.count())), "_row")
     pairs = written(narrow.select("_row", "lat", "lon", F.explode(near("lat", "lon")).alias("tile")), "point-tiles")
     # One row per tile: at most MAX_TILES, so it may be broadcast.
     load = pairs.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / PART_POINTS).cast("int").alias("parts"))
